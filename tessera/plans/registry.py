@@ -390,3 +390,303 @@ def q_midnight(spark, d):
     t = _t(spark, d)
     return R.company_transactions_at(src.companies(t), _silver(spark, d).drop("product_ids"),
                                      MIDNIGHT_COUNTRY, MIDNIGHT_TS)
+
+
+# ================================================================== scoring (PIP22-PIP25)
+from tessera.plans import oracle_survey as S  # noqa: E402
+from tessera.plans import scoring as SC  # noqa: E402
+from tessera.sources import scoring_inputs as SI  # noqa: E402
+
+_CAND = """cand AS (SELECT c_custkey AS ord,
+  CASE WHEN c_custkey % 5 = 0 THEN '  ' || c_name ELSE c_name END AS nombre_completo,
+  '6' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS telefono,
+  CAST(c_custkey % 10 AS INTEGER) AS "años_experiencia", CAST(c_nationkey % 5 AS INTEGER) AS catalan,
+  CAST(c_custkey % 4 AS INTEGER) AS excel, CAST((c_custkey * 3) % 4 AS INTEGER) AS estudios FROM customer),
+cn AS (SELECT ord, """ + S.norm("nombre_completo") + """ AS nombre_completo, telefono, "años_experiencia",
+  catalan, excel, estudios FROM cand)
+"""
+
+
+@query("candidate_scores", "WITH " + _CAND + """
+SELECT *, CAST("años_experiencia" * 1.5 + catalan + excel + estudios AS DOUBLE) AS puntuacion_total,
+  CASE WHEN "años_experiencia" * 1.5 + catalan + excel + estudios >= 12 THEN 'prioridad alta'
+       WHEN "años_experiencia" * 1.5 + catalan + excel + estudios >= 8 THEN 'candidato_adecuado'
+       ELSE 'no prioritario' END AS clasificacion
+FROM cn WHERE catalan BETWEEN 0 AND 3 AND excel BETWEEN 0 AND 3 AND estudios BETWEEN 0 AND 3""")
+def q_candidates(spark, d):
+    return SC.score_candidates(SI.candidates(_t(spark, d)))[0]
+
+
+@query("candidate_rejects", "WITH " + _CAND + """
+SELECT * FROM cn WHERE NOT (catalan BETWEEN 0 AND 3 AND excel BETWEEN 0 AND 3 AND estudios BETWEEN 0 AND 3)""")
+def q_candidate_rejects(spark, d):
+    return SC.score_candidates(SI.candidates(_t(spark, d)))[1]
+
+
+_CART = """WITH last AS (SELECT user_id, event_type FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+cl AS (SELECT user_id AS id_client, 'user_' || CAST(user_id AS VARCHAR) AS nom,
+  CAST(18 + (user_id * 7) % 60 AS INTEGER) AS edat,
+  CASE user_id % 4 WHEN 0 THEN '18-25' WHEN 1 THEN '26-40' WHEN 2 THEN '41-60' ELSE '60+' END AS grup_edat,
+  CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'signup' THEN 2 WHEN 'purchase' THEN 3
+    WHEN 'error' THEN 4 END AS codi_comportament FROM last),
+risk AS (SELECT *,
+  CASE codi_comportament WHEN 0 THEN 'Navega pero no añade productos'
+    WHEN 1 THEN 'Añade productos pero no llega al checkout' WHEN 2 THEN 'Llega al checkout pero no hace el pago'
+    WHEN 3 THEN 'Cesta de la compra abandonada hace menos de 24h'
+    WHEN 4 THEN 'Cesta de la compra abandonada hace más de 24h' END AS segment,
+  CASE codi_comportament WHEN 0 THEN 0.10::DOUBLE WHEN 1 THEN 0.25::DOUBLE WHEN 2 THEN 0.50::DOUBLE
+    WHEN 3 THEN 0.75::DOUBLE WHEN 4 THEN 0.90::DOUBLE END AS factor_codi,
+  CASE grup_edat WHEN '18-25' THEN 1.20::DOUBLE WHEN '26-40' THEN 1.0::DOUBLE WHEN '41-60' THEN 0.85::DOUBLE
+    WHEN '60+' THEN 0.70::DOUBLE END AS factor_edad FROM cl),
+rk AS (SELECT *, round(factor_codi * factor_edad, 2) AS risc_final FROM risk)
+"""
+
+
+@query("cart_risk", _CART + "SELECT * FROM rk")
+def q_cart(spark, d):
+    return SC.cart_risk(SI.cart_clients(_t(spark, d)))
+
+
+@query("cart_risk_extremes", _CART + """
+(SELECT 'highest_risk' AS question, id_client, risc_final FROM rk ORDER BY risc_final DESC, id_client LIMIT 1)
+UNION ALL (SELECT 'lowest_risk', id_client, risc_final FROM rk ORDER BY risc_final, id_client LIMIT 1)
+UNION ALL (SELECT 'most_profitable', id_client, risc_final FROM rk WHERE codi_comportament >= 3
+           ORDER BY risc_final DESC, id_client LIMIT 1)""")
+def q_cart_extremes(spark, d):
+    return SC.cart_extremes(SC.cart_risk(SI.cart_clients(_t(spark, d))))
+
+
+@query("cart_not_worth_investing", _CART + "SELECT * FROM rk WHERE codi_comportament <= 1")
+def q_cart_not_worth(spark, d):
+    return SC.not_worth_investing(SC.cart_risk(SI.cart_clients(_t(spark, d))))
+
+
+@query("cart_codes_with_several", _CART + """
+SELECT rk.*, g.group_size FROM rk JOIN (SELECT codi_comportament AS c, count(*) AS group_size FROM rk
+  GROUP BY 1 HAVING count(*) >= 2) g ON rk.codi_comportament = g.c""")
+def q_cart_several(spark, d):
+    from tessera.operators.relational import groups_with_several
+    return groups_with_several(SC.cart_risk(SI.cart_clients(_t(spark, d))), "codi_comportament")
+
+
+_SYM = {"view": "tos", "click": " Fatiga", "signup": "dolor cabeza ", "error": "Fiebre Alta",
+        "purchase": "dificultad RESPIRAR"}
+_W = {"fiebre_alta": 3, "dificultad_respirar": 5, "dolor_pecho": 4, "tos": 1, "fatiga": 1, "dolor_cabeza": 1}
+
+
+@query("symptom_triage", """WITH rec AS (SELECT event_id AS ord, 'user_' || CAST(user_id AS VARCHAR) || '|'
+  || CAST(18 + (user_id * 7) % 60 AS VARCHAR) || '|'
+  || CASE event_type """ + " ".join(f"WHEN {S.sq(k)} THEN {S.sq(v)}" for k, v in _SYM.items()) + """ END
+  || CASE WHEN value > 15 THEN ', dolor_pecho' ELSE '' END AS record FROM events),
+p AS (SELECT ord, record, string_split(record, '|') AS parts FROM rec),
+q AS (SELECT ord, record, parts[1] AS nom, parts[2] AS edad,
+  list_transform(string_split(parts[3], ','), lambda s: """ + S.norm("s") + """) AS sintomas FROM p)
+SELECT ord, record, nom, edad, array_to_string(sintomas, ',') AS sintomas,
+  CAST(list_sum(list_transform(sintomas, lambda s: CASE s """ + " ".join(
+    f"WHEN {S.sq(k)} THEN {v}" for k, v in _W.items()) + """ END)) AS BIGINT) AS riesgo_total FROM q""")
+def q_triage(spark, d):
+    out = SC.triage(SI.triage_records(_t(spark, d)))
+    return out.withColumn("sintomas", F.array_join("sintomas", ","))
+
+
+_INS = """WITH cl AS (SELECT c_custkey AS ord, c_name AS nombre, CAST(18 + (c_custkey * 7) % 60 AS INTEGER) AS edad,
+  CAST(c_custkey % 4 AS INTEGER) AS codigo FROM customer),
+pr AS (SELECT *, CASE codigo WHEN 0 THEN 'Baix risc' WHEN 1 THEN 'Risc mitjà' WHEN 2 THEN 'Risc alt'
+    WHEN 3 THEN 'Risc crític' END AS categoria,
+  CASE codigo WHEN 0 THEN 120 WHEN 1 THEN 200 WHEN 2 THEN 350 WHEN 3 THEN 500 END AS precio_base,
+  CASE codigo WHEN 0 THEN 0.01::DOUBLE WHEN 1 THEN 0.05::DOUBLE WHEN 2 THEN 0.15::DOUBLE
+    WHEN 3 THEN 0.30::DOUBLE END AS probabilidad_fraude FROM cl),
+fin AS (SELECT *, precio_base * (1 + edad / 100) AS precio_final FROM pr)
+"""
+
+
+@query("insurance_prices", _INS + "SELECT * FROM fin")
+def q_insurance(spark, d):
+    return SC.insurance_prices(SI.insurance_clients(_t(spark, d)))
+
+
+@query("insurance_answers", _INS + """
+(SELECT 'most_fraud' AS question, nombre, ord FROM fin ORDER BY probabilidad_fraude DESC, ord LIMIT 1)
+UNION ALL (SELECT 'highest_price', nombre, ord FROM fin ORDER BY precio_final DESC, ord LIMIT 1)
+UNION ALL (SELECT 'review_first', nombre, ord FROM fin ORDER BY probabilidad_fraude DESC, ord LIMIT 1)""")
+def q_insurance_answers(spark, d):
+    return SC.insurance_answers(SC.insurance_prices(SI.insurance_clients(_t(spark, d))))
+
+
+# ================================================================== employees (PIP26-PIP31)
+from tessera.plans import employees as E  # noqa: E402
+from tessera.sources import survey as SV  # noqa: E402
+
+_CLEAN_COLS = ("_ord, nom, cognoms, dni, pais_origen, ciutat, genere, salari_mensual, grup_professional, "
+               "nombre_fills, te_cotxe, km_anuals, consum_mitja_l_100km, temperatura_mitjana_ciutat, data_naixement")
+
+
+def _clean(spark, d):
+    return E.clean_employees(SV.survey_sheet(_t(spark, d)))[0]
+
+
+def _priced(spark, d):
+    return E.apply_salary_policy(E.enrich_with_city(_clean(spark, d), SV.city_context(_t(spark, d))))
+
+
+_PRICED = "WITH " + S.priced(E.DEFAULT_POLICY) + "\n"
+
+
+@query("employees_clean", "WITH " + S.CLEAN + f"\nSELECT {_CLEAN_COLS} FROM clean")
+def q_emp_clean(spark, d):
+    return _clean(spark, d).select(*[c.strip() for c in _CLEAN_COLS.split(",")])
+
+
+@query("employees_dropped", "WITH " + S.SHEET + """,
+keys_ AS (SELECT "DNI" AS k, count(DISTINCT ("Nom", "Cognoms", "Ciutat", "Gènere")) AS ids
+          FROM sheet WHERE "DNI" IS NOT NULL GROUP BY 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY "DNI" ORDER BY _ord) AS rn FROM sheet)
+SELECT _ord, "DNI", CASE WHEN "DNI" IN (SELECT k FROM keys_ WHERE ids > 1) THEN 'conflicting_identity'
+  ELSE 'resubmitted_duplicate' END AS reason
+FROM ranked WHERE "DNI" IN (SELECT k FROM keys_ WHERE ids > 1) OR rn > 1""")
+def q_emp_dropped(spark, d):
+    return E.clean_employees(SV.survey_sheet(_t(spark, d)))[1].select("_ord", "DNI", "reason")
+
+
+@query("salary_by_gender", "WITH " + S.CLEAN + """
+SELECT genere, round(avg(salari_mensual), 2) AS sou_mig, round(median(salari_mensual), 2) AS mediana,
+  round(min(salari_mensual), 2) AS minim, round(max(salari_mensual), 2) AS maxim
+FROM clean WHERE genere IS NOT NULL GROUP BY genere""")
+def q_salary_gender(spark, d):
+    return E.salary_by_gender(_clean(spark, d))
+
+
+@query("salary_gender_country", "WITH " + S.CLEAN + """
+SELECT CASE WHEN grouping(genere) = 1 THEN 'Mitjana_total' ELSE genere END AS genere,
+  CASE WHEN grouping(pais_origen) = 1 THEN 'Mitjana_total' ELSE pais_origen END AS pais_origen,
+  round(avg(salari_mensual), 2) AS mean
+FROM clean WHERE genere IS NOT NULL AND pais_origen IS NOT NULL GROUP BY CUBE (genere, pais_origen)""")
+def q_salary_gc(spark, d):
+    return E.salary_gender_country(_clean(spark, d))
+
+
+_PRICED_COLS = ("dni, grup_professional, salari_mensual, \"Cost_vida_index\", \"Transport_public_score\", "
+                "incremento_base, incremento_hijo, edad, incremento_edad, coste_de_vida, inc_cost_vida, "
+                "incremento_transporte, incremento_total, inc_total_porcentaje, nou_salari")
+
+
+@query("salary_policy", _PRICED + f"SELECT {_PRICED_COLS} FROM priced")
+def q_policy(spark, d):
+    return _priced(spark, d).select(*[c.strip().strip('"') for c in _PRICED_COLS.split(",")])
+
+
+@query("policy_gaps", _PRICED + """
+, reasons AS (SELECT 'no_group_increment' AS reason FROM priced WHERE incremento_base IS NULL
+  UNION ALL SELECT 'no_city_context' FROM priced WHERE "Cost_vida_index" IS NULL
+  UNION ALL SELECT 'no_birth_date' FROM priced WHERE edad IS NULL)
+SELECT reason, count(*) AS "rows" FROM reasons GROUP BY reason""")
+def q_policy_gaps(spark, d):
+    return E.policy_gaps(_priced(spark, d))
+
+
+@query("employee_features", _PRICED + """
+SELECT dni, salari_mensual / (nombre_fills + 1) AS index_dependencia_familiar,
+  salari_mensual / "Cost_vida_index" AS index_coste_vida, nombre_fills * edad AS responsabilidad_familiar,
+  km_anuals / nullif(temperatura_mitjana_ciutat, 0.0) AS index_mobilitat,
+  CASE WHEN nombre_fills = 0 THEN 0 WHEN nombre_fills <= 2 THEN 1 ELSE 2 END AS etapa_vital FROM priced""")
+def q_features(spark, d):
+    return E.features(_priced(spark, d)).select(
+        "dni", "index_dependencia_familiar", "index_coste_vida", "responsabilidad_familiar",
+        "index_mobilitat", "etapa_vital")
+
+
+@query("employees_long", _PRICED + """
+, m AS (SELECT dni, salari_mensual, nou_salari, inc_total_porcentaje, consum_mitja_l_100km,
+  temperatura_mitjana_ciutat, "Transport_public_score", "Cost_vida_index" FROM priced)
+SELECT dni, metrica, valor FROM m UNPIVOT INCLUDE NULLS (valor FOR metrica IN (salari_mensual, nou_salari,
+  inc_total_porcentaje, consum_mitja_l_100km, temperatura_mitjana_ciutat, "Transport_public_score",
+  "Cost_vida_index"))""")
+def q_long(spark, d):
+    return E.to_long(_priced(spark, d)).select("dni", "metrica", "valor")
+
+
+@query("group_summary", _PRICED + """
+SELECT grup_professional, count(dni) AS nombre_trabajador, round(avg(salari_mensual), 2) AS salari_mig,
+  avg(edad) AS edad_media, median(edad) AS edad_mediana
+FROM priced WHERE grup_professional IS NOT NULL GROUP BY grup_professional""")
+def q_group_summary(spark, d):
+    return E.group_summary(_priced(spark, d))
+
+
+@query("group_export", _PRICED + """
+SELECT 'dades_' || replace(grup_professional, ' ', '') AS file, count(*) AS "rows"
+FROM priced WHERE grup_professional IS NOT NULL GROUP BY 1""")
+def q_group_export(spark, d):
+    from tessera.sinks.writers import export_per_group
+    path = scratch_dir(spark, "group_export")
+    export_per_group(E.features(_priced(spark, d)).drop("data_naixement"), "grup_professional", path)
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy(F.col("_file").alias("file")).agg(F.count("*").alias("rows"))
+
+
+@query("null_report", _PRICED + """
+SELECT "column", nulls FROM (UNPIVOT (SELECT count(*) FILTER (WHERE salari_mensual IS NULL) AS salari_mensual,
+  count(*) FILTER (WHERE "Cost_vida_index" IS NULL) AS "Cost_vida_index",
+  count(*) FILTER (WHERE edad IS NULL) AS edad, count(*) FILTER (WHERE incremento_base IS NULL) AS incremento_base,
+  count(*) FILTER (WHERE nou_salari IS NULL) AS nou_salari,
+  count(*) FILTER (WHERE data_naixement IS NULL) AS data_naixement FROM priced)
+  ON COLUMNS(*) INTO NAME "column" VALUE nulls) WHERE nulls > 0""")
+def q_null_report(spark, d):
+    from tessera.operators.profile import null_counts
+    return null_counts(_priced(spark, d).select(
+        "salari_mensual", "Cost_vida_index", "edad", "incremento_base", "nou_salari", "data_naixement"))
+
+
+@query("gender_value_counts", "WITH " + S.CLEAN + """
+SELECT genere AS value, count(*) AS freq FROM clean GROUP BY genere""")
+def q_gender_counts(spark, d):
+    from tessera.operators.relational import value_counts
+    return value_counts(_clean(spark, d), "genere")
+
+
+@query("group_share", "WITH " + S.CLEAN + """
+SELECT grup_professional, count(*) AS n, count(*) / (SELECT count(*) FROM clean) AS share
+FROM clean GROUP BY grup_professional""")
+def q_group_share(spark, d):
+    from tessera.operators.relational import share_of_rows
+    return share_of_rows(_clean(spark, d), "grup_professional")
+
+
+@query("gender_gap_by_country", "WITH " + S.CLEAN + """
+SELECT pais_origen, avg(salari_mensual) FILTER (WHERE genere = 'Home') AS mean_a,
+  avg(salari_mensual) FILTER (WHERE genere = 'Dona') AS mean_b,
+  avg(salari_mensual) FILTER (WHERE genere = 'Home') - avg(salari_mensual) FILTER (WHERE genere = 'Dona') AS gap,
+  avg(salari_mensual) FILTER (WHERE genere = 'Home') / avg(salari_mensual) FILTER (WHERE genere = 'Dona') AS ratio
+FROM clean GROUP BY pais_origen""")
+def q_gap(spark, d):
+    from tessera.operators.relational import group_gap
+    return group_gap(_clean(spark, d), "pais_origen", "genere", "Home", "Dona", "salari_mensual")
+
+
+@query("salary_histogram", "WITH " + S.CLEAN + """
+, b AS (SELECT min(salari_mensual) AS lo, max(salari_mensual) AS hi FROM clean)
+SELECT CAST(coalesce(least(floor((salari_mensual - lo) / ((hi - lo) / 10)), 9), 0) AS INTEGER) AS bucket,
+  count(*) AS freq, min(salari_mensual) AS lo_value, max(salari_mensual) AS hi_value
+FROM clean, b WHERE salari_mensual IS NOT NULL GROUP BY 1""")
+def q_hist(spark, d):
+    from tessera.operators.relational import histogram
+    return histogram(_clean(spark, d), "salari_mensual", 10)
+
+
+@query("employee_profile")
+def q_profile(spark, d):
+    from tessera.operators.profile import profile_table
+    return profile_table(_clean(spark, d).drop("_ord"))
+
+
+@query("exploration_report")
+def q_explore(spark, d):
+    from tessera.operators.profile import exploration_report
+    return exploration_report(SV.survey_sheet(_t(spark, d)).drop("_ord"), "DNI")
+
+
+@query("describe_employees")
+def q_describe(spark, d):
+    from tessera.operators.profile import describe
+    return describe(_clean(spark, d), ["salari_mensual", "km_anuals", "genere", "ciutat"])
