@@ -690,3 +690,62 @@ def q_explore(spark, d):
 def q_describe(spark, d):
     from tessera.operators.profile import describe
     return describe(_clean(spark, d), ["salari_mensual", "km_anuals", "genere", "ciutat"])
+
+
+# ================================================================== routes (PIP12)
+@query("nearest_routes")
+def q_routes(spark, d):
+    from tessera.operators.routes import greedy_routes
+    from tessera.sources.lanes import lane_edges, route_requests
+    t = _t(spark, d)
+    out = greedy_routes(route_requests(t), lane_edges(t))
+    return out.select("req_id", "origin", "destination", F.array_join("route", " -> ").alias("route"),
+                      "total_km", "steps", "error")
+
+
+# ================================================================== data quality (DQ1-DQ3)
+from tessera.operators import quality as Q  # noqa: E402
+
+
+@query("dq_lineitem_primary_key", """WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS n,
+  bool_or(l_orderkey IS NULL OR l_linenumber IS NULL) AS nul FROM lineitem GROUP BY l_orderkey, l_linenumber)
+SELECT count(*) FILTER (WHERE n > 1 AND NOT nul) AS duplicate_keys,
+  CAST(coalesce(sum(n) FILTER (WHERE n > 1 AND NOT nul), 0) AS BIGINT) AS rows_in_duplicate_keys,
+  CAST(coalesce(sum(n) FILTER (WHERE nul), 0) AS BIGINT) AS rows_with_null_key FROM g""")
+def q_dq_pk(spark, d):
+    return Q.primary_key_violations(_t(spark, d).lineitem, ["l_orderkey", "l_linenumber"])
+
+
+_NN = ("business_id", "product_ids", "amount", "declined", "user_id")
+
+
+@query("dq_transactions_not_null", _V(t=M.TRANSACTIONS) + "SELECT \"column\", nulls FROM (SELECT "
+       + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in _NN)
+       + " FROM t) UNPIVOT INCLUDE NULLS (nulls FOR \"column\" IN (" + ", ".join(_NN) + "))")
+def q_dq_nn(spark, d):
+    return Q.not_null_violations(src.transactions(_t(spark, d)), list(_NN))
+
+
+@query("dq_transaction_orphans", _V(t=M.TRANSACTIONS, c=M.COMPANIES, u=M.USERS, k=M.CARDS) + """
+SELECT 'business_id' AS fk, count(*) AS orphan_rows FROM t WHERE business_id IS NOT NULL
+  AND business_id NOT IN (SELECT company_id FROM c)
+UNION ALL SELECT 'user_id', count(*) FROM t WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT user_id FROM u)
+UNION ALL SELECT 'card_id', count(*) FROM t WHERE card_id IS NOT NULL AND card_id NOT IN (SELECT card_id FROM k)""")
+def q_dq_orphans(spark, d):
+    t = _t(spark, d)
+    return Q.orphan_counts(src.transactions(t, False), {
+        "business_id": (src.companies(t), "company_id"),
+        "user_id": (src.users(t), "user_id"),
+        "card_id": (src.cards(t), "card_id")})
+
+
+# ================================================================== SNK4 streaming refresh
+@query("daily_sales_streamed", _MV + "SELECT CAST(round(total_vendes, 2) AS DOUBLE) AS total_vendes, fecha FROM mv")
+def q_streamed(spark, d):
+    from tessera.streaming.daily_sales import refresh_daily_sales
+    fact = scratch_dir(spark, "fact_stream")
+    R.write_partitioned_fact(_recent(spark, d).drop("product_ids"), fact)
+    schema = spark.read.parquet(fact).schema
+    table, ck = scratch_dir(spark, "mv_daily_sales"), scratch_dir(spark, "mv_daily_sales_ckpt")
+    refresh_daily_sales(spark, fact, table, ck, schema)
+    return R.daily_sales_report(spark.read.parquet(table))
