@@ -98,8 +98,11 @@ def clean_salary(df: DataFrame, group: str = "grup_professional", approx: bool =
                  legacy_order: bool = False, already_parsed: bool = False) -> DataFrame:
     """CLN6 + CLN7 + CLN8: text → number, hundreds → units, group-median
     fill then global-median fill (the global median after the group fill)."""
-    s = F.col("salari_mensual") if already_parsed else parse_amount_text(F.col("salari_mensual"), legacy_order)
-    d = df.withColumn("salari_mensual", F.when((s > 0) & (s < 100), s * 100).otherwise(s))
+    if already_parsed:
+        d = df
+    else:
+        s = parse_amount_text(F.col("salari_mensual"), legacy_order)
+        d = df.withColumn("salari_mensual", F.when((s > 0) & (s < 100), s * 100).otherwise(s))
     g = d.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias("_g")) \
         .agg(_median("salari_mensual", approx).alias("_gm"))
     d = d.join(g, F.col(group) == F.col("_g"), "left") \
@@ -113,46 +116,74 @@ def type_numeric(df: DataFrame, cols: Sequence[str] = NUMERIC_COLS) -> DataFrame
     return df.withColumns({c: F.col(c).try_cast("double") for c in cols if c in df.columns})
 
 
-def children_rules(df: DataFrame, approx: bool = False) -> DataFrame:
-    """CLN10: ordered rules; later rules see earlier writes."""
+def children_flags(df: DataFrame) -> DataFrame:
+    """CLN10 rules 1-3 (row-wise): n>0 ⇒ has children; ``no_fills`` ⇒ 0 and
+    not ``fills``; ``fills`` False ⇒ 0.  Later rules see earlier writes."""
     n, fills, nof = F.col("nombre_fills"), F.col("fills"), F.col("no_fills")
     d = df.withColumn("fills", F.when(n > 0, F.lit("True")).otherwise(fills)) \
           .withColumn("no_fills", F.when(n > 0, F.lit("False")).otherwise(nof))
     d = d.withColumn("nombre_fills", F.when(F.col("no_fills") == "True", F.lit(0.0)).otherwise(n)) \
          .withColumn("fills", F.when(F.col("no_fills") == "True", F.lit("False")).otherwise(F.col("fills")))
-    d = d.withColumn("nombre_fills", F.when(F.col("fills") == "False", F.lit(0.0)).otherwise(F.col("nombre_fills")))
-    med = d.select(_median(F.when(F.col("nombre_fills") > 0, F.col("nombre_fills")), approx)).scalar()
+    return d.withColumn("nombre_fills", F.when(F.col("fills") == "False", F.lit(0.0)).otherwise(F.col("nombre_fills")))
+
+
+def children_fill(d: DataFrame, med: Column) -> DataFrame:
+    """CLN10 rules 4-6: has children but unknown count ⇒ ``med`` (median of
+    positive counts), else 0; flags recomputed from the count."""
     d = d.withColumn("nombre_fills", F.when((F.col("fills") == "True") & F.col("nombre_fills").isNull(), med)
                      .otherwise(F.col("nombre_fills")))
     d = d.withColumn("nombre_fills", F.coalesce(F.col("nombre_fills"), F.lit(0.0)))
     return d.withColumn("fills", F.col("nombre_fills") > 0).withColumn("no_fills", F.col("nombre_fills") == 0)
 
 
-def car_rules(df: DataFrame, approx: bool = False) -> DataFrame:
-    """CLN11: no car ⇒ 0 km / 0 L; any km or consumption ⇒ car; car with a
-    missing figure ⇒ median of the positive figures; the flag is km > 0.
+def children_rules(df: DataFrame, approx: bool = False) -> DataFrame:
+    """CLN10: ordered rules; the median is taken after rules 1-3."""
+    d = children_flags(df)
+    med = d.select(_median(F.when(F.col("nombre_fills") > 0, F.col("nombre_fills")), approx)).scalar()
+    return children_fill(d, med)
 
-    The car flag comes from the row itself (the reference copied it from
-    another frame by position, which misaligned rows: CLN16, not kept).
-    """
+
+def car_flags(df: DataFrame) -> DataFrame:
+    """CLN11 rules 1-2 (row-wise): no car ⇒ 0 km / 0 L; any km or
+    consumption ⇒ car."""
     km, cons, car = F.col("km_anuals"), F.col("consum_mitja_l_100km"), F.col("te_cotxe")
     d = df.withColumn("km_anuals", F.when(car == "False", F.lit(0.0)).otherwise(km)) \
           .withColumn("consum_mitja_l_100km", F.when(car == "False", F.lit(0.0)).otherwise(cons))
-    d = d.withColumn("te_cotxe", F.when((F.col("km_anuals") > 0) | (F.col("consum_mitja_l_100km") > 0),
-                                        F.lit("True")).otherwise(F.col("te_cotxe")))
-    meds = d.select(F.struct(
-        _median(F.when(F.col("km_anuals") > 0, F.col("km_anuals")), approx).alias("mk"),
-        _median(F.when(F.col("consum_mitja_l_100km") > 0, F.col("consum_mitja_l_100km")),
-                approx).alias("mc"))).scalar()  # one aggregate, evaluated once
-    mk, mc = meds.getField("mk"), meds.getField("mc")
+    return d.withColumn("te_cotxe", F.when((F.col("km_anuals") > 0) | (F.col("consum_mitja_l_100km") > 0),
+                                           F.lit("True")).otherwise(F.col("te_cotxe")))
+
+
+def car_fill(d: DataFrame, med_km: Column, med_cons: Column) -> DataFrame:
+    """CLN11 rules 3-5: car with a missing figure ⇒ median of the positive
+    figures, remaining NULL ⇒ 0, the flag is km > 0.
+
+    The car flag comes from the row itself (the reference copied it from
+    another frame by position, which misaligned rows: CLN16, not kept).
+    """
     has = F.col("te_cotxe") == "True"
-    d = d.withColumn("km_anuals", F.when(has & F.col("km_anuals").isNull(), mk).otherwise(F.col("km_anuals"))) \
-         .withColumn("consum_mitja_l_100km", F.when(has & F.col("consum_mitja_l_100km").isNull(), mc)
+    d = d.withColumn("km_anuals", F.when(has & F.col("km_anuals").isNull(), med_km).otherwise(F.col("km_anuals"))) \
+         .withColumn("consum_mitja_l_100km", F.when(has & F.col("consum_mitja_l_100km").isNull(), med_cons)
                      .otherwise(F.col("consum_mitja_l_100km")))
     d = d.fillna(0.0, ["km_anuals", "consum_mitja_l_100km"])
     return d.withColumn("te_cotxe", F.col("km_anuals") > 0)
 
 
+def _positive_medians(d: DataFrame, approx: bool) -> Column:
+    """One aggregate, evaluated once: medians of positive children counts,
+    km and consumption (after the row-wise rules)."""
+    pos = lambda c: F.when(F.col(c) > 0, F.col(c))
+    return d.select(F.struct(_median(pos("nombre_fills"), approx).alias("n"),
+                             _median(pos("km_anuals"), approx).alias("km"),
+                             _median(pos("consum_mitja_l_100km"), approx).alias("cons"))).scalar()
+
+
+def car_rules(df: DataFrame, approx: bool = False) -> DataFrame:
+    """CLN11: ordered rules; the medians are taken after rules 1-2."""
+    d = car_flags(df)
+    m = _positive_medians(d.withColumn("nombre_fills", F.lit(None).cast("double")), approx)
+    return car_fill(d, m.getField("km"), m.getField("cons"))
+
+
 def fill_temperature(df: DataFrame) -> DataFrame:
     """CLN9: missing temperature ← mean of the city (all-NULL city stays NULL)."""
     d = transform_agg(df, "ciutat", "temperatura_mitjana_ciutat", "mean", out="_tm")
@@ -178,22 +209,28 @@ def clean_employees(sheet: DataFrame, approx: bool = False, legacy_order: bool =
                     cut_lineage: bool = True) -> tuple[DataFrame, DataFrame]:
     """PIP26 end to end.  Returns ``(clean, dropped)``.
 
-    ``sheet`` is the header-promoted sheet with an ``_ord`` column.  The
-    row-wise part (key resolution, names, text repair, typing) is
-    checkpointed once (reliable checkpoint in ``spark.checkpoint.dir``), so
-    the imputation statistics below — each a small aggregate or a scalar
-    subquery — re-read that table instead of re-running the whole lineage.
+    ``sheet`` is the header-promoted sheet with an ``_ord`` column.
+
+    Plan: every row-wise rule first (key resolution, names, text repair,
+    typing, salary parsing and unit repair, children/car rules 1-3), then
+    one reliable checkpoint (``spark.checkpoint.dir``); the statistics are
+    read from that table: group salary medians and city temperature means
+    (aggregates joined back), one global aggregate for the three positive
+    medians, and the global salary median after the group fill.
     """
     kept, dropped = resolve_key_conflicts(sheet, "DNI", IDENTITY_COLS, "_ord")
     d = canonical_names(kept)
     d = repair_text(d)
     d = type_numeric(d)
-    d = d.withColumn("salari_mensual", parse_amount_text(F.col("salari_mensual"), legacy_order))
+    s = parse_amount_text(F.col("salari_mensual"), legacy_order)
+    d = d.withColumn("salari_mensual", F.when((s > 0) & (s < 100), s * 100).otherwise(s))
+    d = car_flags(children_flags(d))
     if cut_lineage:
         d = d.checkpoint(eager=True)
+    meds = _positive_medians(d, approx)
     d = clean_salary(d, approx=approx, already_parsed=True)
-    d = children_rules(d, approx)
-    d = car_rules(d, approx)
+    d = children_fill(d, meds.getField("n"))
+    d = car_fill(d, meds.getField("km"), meds.getField("cons"))
     d = fill_temperature(d)
     d = normalise_gender(d)
     d = birth_date(d)
