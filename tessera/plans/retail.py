@@ -32,10 +32,25 @@ def _exact(c) -> F.Column:
 
 
 def _sales(companies: DataFrame, transactions: DataFrame) -> DataFrame:
-    """JN1: fact × dimension on the company key."""
+    """JN1: fact × dimension on the company key (row-level result)."""
     return companies.join(transactions, companies.company_id == transactions.business_id)
 
 
+def _per_company(companies: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Pre-aggregate the fact per business key *before* the join.
+
+    Catalyst does not push aggregates below joins, so without this the
+    whole fact would be shuffled to meet the company dimension.  Here each
+    map task first collapses its rows to one per company (a hot company
+    costs one row per task), then only those partial sums cross the
+    network; sums stay exact in decimal and means are ``sum / count``.
+    """
+    per = transactions.groupBy("business_id").agg(
+        F.sum(_exact("amount")).alias("_sum"), F.count("amount").alias("_n_amount"),
+        F.count("transaction_id").alias("_n_tx"))
+    return companies.join(per, companies.company_id == per.business_id)
+
+
 # ---------------------------------------------------------------- PIP1 / PIP2 / PIP3 / PIP4
 def countries_with_sales(companies: DataFrame, transactions: DataFrame) -> DataFrame:
     """PIP1a: one country row per accepted sale (no DISTINCT), sorted."""
@@ -44,14 +59,14 @@ def countries_with_sales(companies: DataFrame, transactions: DataFrame) -> DataF
 
 def count_sales_countries(companies: DataFrame, transactions: DataFrame) -> DataFrame:
     """PIP1b/AGG1: exact ``COUNT(DISTINCT country)`` of accepted sales."""
-    return _sales(companies, _accepted(transactions)).agg(
+    return _per_company(companies, _accepted(transactions)).agg(
         F.count_distinct("country").alias("n_countries"))
 
 
 def top_company_by_mean_sale(companies: DataFrame, transactions: DataFrame, k: int = 1) -> DataFrame:
     """PIP1c/AGG2/SRT3: company with the highest rounded mean accepted sale."""
-    g = _sales(companies, _accepted(transactions)).groupBy("company_name").agg(
-        _money(F.avg(_exact("amount"))).alias("mitja_superior_vendes"))
+    g = _per_company(companies, _accepted(transactions)).groupBy("company_name").agg(
+        _money(F.sum("_sum") / F.sum("_n_amount")).alias("mitja_superior_vendes"))
     return g.orderBy(F.desc("mitja_superior_vendes"), "company_name").limit(k)
 
 
@@ -146,8 +161,8 @@ def companies_in_band_on_days_raw(companies: DataFrame, raw: DataFrame, lo, hi,
 
 def capacity_band(companies: DataFrame, transactions: DataFrame, threshold: int = 400) -> DataFrame:
     """PIP7/AGG9: transactions per company and a band on the count."""
-    g = _sales(companies, transactions).groupBy("company_name").agg(
-        F.count("transaction_id").alias("total_transacciones"))
+    g = _per_company(companies, transactions).groupBy("company_name").agg(
+        F.sum("_n_tx").alias("total_transacciones"))
     return g.withColumn("capacidad_operativa", F.when(
         F.col("total_transacciones") >= threshold, F.lit(f"{threshold} o més transaccions"))
         .otherwise(F.lit(f"Menys de {threshold} transaccions"))).orderBy("total_transacciones")
@@ -158,9 +173,9 @@ def marketing_tiers(companies: DataFrame, transactions: DataFrame, premium_above
 
     The tier tests the *unrounded* mean, the shown mean is rounded.
     """
-    g = _sales(companies, _accepted(transactions)) \
+    g = _per_company(companies, _accepted(transactions)) \
         .groupBy("company_name", "phone", "country") \
-        .agg(F.avg(_exact("amount")).alias("_mean"))
+        .agg((F.sum("_sum") / F.sum("_n_amount")).alias("_mean"))
     return g.select("company_name", "phone", "country",
                     _money(F.col("_mean")).alias("mitja_compra"),
                     F.when(F.col("_mean") > premium_above, F.lit("Premium"))
@@ -190,21 +205,23 @@ def product_sales_membership(transactions: DataFrame, products: DataFrame) -> Da
     Rewritten from a nested-loop theta join to explode + equi-join; the set is
     de-duplicated per transaction because FIND_IN_SET matches once.
     """
-    members = transactions.select(F.explode(id_set_text(F.col("product_ids"))).alias("_pid"))
+    members = transactions.select(F.explode(id_set_text(F.col("product_ids"))).alias("_pid")) \
+        .groupBy("_pid").agg(F.count("*").alias("_n"))  # pre-aggregated per member
     p = products.select(F.col("product_id").alias("id"), F.col("name").alias("product_name"),
                         F.col("product_id").cast("string").alias("_pid"))
     return p.join(members, "_pid").groupBy("id", "product_name") \
-        .agg(F.count("*").alias("veces_vendido")).orderBy("id")
+        .agg(F.sum("_n").alias("veces_vendido")).orderBy("id")
 
 
 def product_sales_ranking(products_silver: DataFrame, transactions_silver: DataFrame) -> DataFrame:
     """PIP10b/JN3/JN10: every product with its unnested sale count, zeros kept
     (left join + ``COUNT(right key)``); repeats within a transaction count."""
-    flat = transactions_silver.select(F.explode("product_ids").alias("id_aplanado"))
+    flat = transactions_silver.select(F.explode("product_ids").alias("id_aplanado")) \
+        .groupBy("id_aplanado").agg(F.count("id_aplanado").alias("_n"))  # pre-aggregated per id
     p = products_silver
     return p.join(flat, p.product_id == flat.id_aplanado, "left") \
         .groupBy("product_id", "name", "price", "colour") \
-        .agg(F.count("id_aplanado").alias("total_sold")).orderBy(F.desc("total_sold"))
+        .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_sold")).orderBy(F.desc("total_sold"))
 
 
 # ---------------------------------------------------------------- PIP13-PIP15
@@ -250,13 +267,13 @@ def daily_sales_report(mv: DataFrame) -> DataFrame:
 def vip_customers(transactions: DataFrame, users: DataFrame, min_total=500) -> DataFrame:
     """PIP16/AGG8/STR3: accepted spend per user, kept above ``min_total``
     (tested on the *rounded* sum, like the HAVING on the alias)."""
-    t = transactions.filter(F.col("declined") == "0")
-    g = t.join(users, t.user_id == users.user_id.cast("string")).groupBy(
-        users.user_id, "name", "surname", "email").agg(
-        _money(F.sum(_exact("amount"))).alias("total_gastat"),
-        F.count("transaction_id").alias("num_compres"),
-        _money(F.avg(_exact("amount"))).alias("tiquet_mitja"),
-        F.max("amount").alias("compra_maxima"))
+    t = transactions.filter(F.col("declined") == "0").groupBy(F.col("user_id").alias("_u")).agg(
+        F.sum(_exact("amount")).alias("_sum"), F.count("amount").alias("_n_amount"),
+        F.count("transaction_id").alias("num_compres"), F.max("amount").alias("compra_maxima"))
+    g = t.join(users, t._u == users.user_id.cast("string")).select(
+        users.user_id, "name", "surname", "email",
+        _money(F.col("_sum")).alias("total_gastat"), "num_compres",
+        _money(F.col("_sum") / F.col("_n_amount")).alias("tiquet_mitja"), "compra_maxima")
     return g.filter(F.col("total_gastat") > min_total).select(
         "user_id", F.concat("name", F.lit(" "), "surname").alias("nom_complet"), "email",
         "total_gastat", "num_compres", "tiquet_mitja", "compra_maxima") \
