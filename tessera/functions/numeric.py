@@ -44,3 +44,14 @@ def register_sql_functions(spark: SparkSession) -> None:
     """UDF1 as a SQL temporary function (``CREATE TEMPORARY FUNCTION``)."""
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION calculate_tax(amount DOUBLE) "
               f"RETURNS DOUBLE RETURN amount * {TAX_RATE}")
+
+
+def round_money(c: Column, digits: int = 2) -> Column:
+    """Round a double money value half-up *on its decimal value*.
+
+    The value is first fixed to 6 decimals (this absorbs the last-bit noise
+    that summation order leaves in a double), then rounded to ``digits``; an
+    exact tie such as ``x.xx5`` therefore rounds the same way on every run
+    and every partitioning.
+    """
+    return F.round(c.cast("decimal(20,6)"), digits).cast("double")

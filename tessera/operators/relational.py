@@ -145,12 +145,13 @@ def group_stats(df: DataFrame, group: str, col: str, digits: int = 2,
     ``median`` is exact (interpolated, as pandas); null keys dropped as in
     ``groupby``.
     """
+    from tessera.functions.numeric import round_money
     d = df.filter(F.col(group).isNotNull()) if dropna_keys else df
     return d.groupBy(group).agg(
-        F.round(F.avg(col), digits).alias("sou_mig"),
-        F.round(F.median(col), digits).alias("mediana"),
-        F.round(F.min(col), digits).alias("minim"),
-        F.round(F.max(col), digits).alias("maxim")).orderBy(F.desc("sou_mig"))
+        round_money(F.avg(col), digits).alias("sou_mig"),
+        round_money(F.median(col), digits).alias("mediana"),
+        round_money(F.min(col), digits).alias("minim"),
+        round_money(F.max(col), digits).alias("maxim")).orderBy(F.desc("sou_mig"))
 
 
 def share_of_rows(df: DataFrame, group: str) -> DataFrame:
@@ -160,12 +161,18 @@ def share_of_rows(df: DataFrame, group: str) -> DataFrame:
     return g.withColumn("share", F.col("n") / total)
 
 
-def group_gap(df: DataFrame, by: str, split_col: str, a: str, b: str, value: str) -> DataFrame:
-    """AGG25: per ``by``: mean(value | split=a) − mean(value | split=b) and the ratio."""
-    g = df.groupBy(by).agg(F.avg(F.when(F.col(split_col) == a, F.col(value))).alias("mean_a"),
-                           F.avg(F.when(F.col(split_col) == b, F.col(value))).alias("mean_b"))
-    return g.withColumn("gap", F.col("mean_a") - F.col("mean_b")) \
-        .withColumn("ratio", F.try_divide(F.col("mean_a"), F.col("mean_b")))
+def group_gap(df: DataFrame, by: str, split_col: str, a: str, b: str, value: str,
+              digits: int = 2) -> DataFrame:
+    """AGG25: per ``by``: mean(value | split=a) − mean(value | split=b) and
+    the ratio; means and gap rounded to ``digits`` (a money report), the
+    ratio to 4."""
+    from tessera.functions.numeric import round_money
+    g = df.groupBy(by).agg(F.avg(F.when(F.col(split_col) == a, F.col(value))).alias("_a"),
+                           F.avg(F.when(F.col(split_col) == b, F.col(value))).alias("_b"))
+    return g.select(by, round_money(F.col("_a"), digits).alias("mean_a"),
+                    round_money(F.col("_b"), digits).alias("mean_b"),
+                    round_money(F.col("_a") - F.col("_b"), digits).alias("gap"),
+                    round_money(F.try_divide(F.col("_a"), F.col("_b")), 4).alias("ratio"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:

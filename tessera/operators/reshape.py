@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.numeric import round_money
+
 
 def melt(df: DataFrame, metrics: Sequence[str], var_name: str = "metrica",
          value_name: str = "valor") -> DataFrame:
@@ -46,7 +48,7 @@ def pivot_with_margins(df: DataFrame, row: str, col: str, value: str,
     return c.select(
         F.when(F.col("_gid").bitwiseAND(2) == 2, F.lit(margin)).otherwise(F.col(row)).alias(row),
         F.when(F.col("_gid").bitwiseAND(1) == 1, F.lit(margin)).otherwise(F.col(col)).alias(col),
-        F.round("_m", digits).alias("mean"))
+        round_money(F.col("_m"), digits).alias("mean"))
 
 
 def matrix_to_edges(matrix: DataFrame, key: str = "city", exclude: Sequence[str] = ()) -> DataFrame:

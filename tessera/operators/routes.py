@@ -16,9 +16,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage, ensure_checkpoint_dir
+
 BROADCAST_EDGE_LIMIT = 2_000_000  # rows; checked before hinting a broadcast
 
 
+def _checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of the (small) per-step state; recomputing one
+    step for the write is cheaper than caching it."""
+    return df.checkpoint(eager=True)
+
+
 def edges_from_matrix(matrix: DataFrame, key: str = "city", exclude: Sequence[str] = ()) -> DataFrame:
     """RSH4: wide matrix → edges, excluded cities removed on both axes."""
     from tessera.operators.reshape import matrix_to_edges
@@ -33,12 +41,12 @@ def greedy_routes(requests: DataFrame, edges: DataFrame, max_steps: int | None =
     diagonal are never taken.  Output per request: ``route`` (array of
     cities), ``total_km``, ``steps`` and ``error`` (unknown city / dead end).
     """
-    spark = requests.sparkSession
+    ensure_checkpoint_dir(requests.sparkSession)
     e = edges.filter(F.col("km").isNotNull() & (F.col("src") != F.col("dst"))) \
         .select("src", "dst", F.col("km").cast("double").alias("km"), "ord")
     n_edges = e.count()
     if n_edges <= BROADCAST_EDGE_LIMIT:
-        e = F.broadcast(e.checkpoint(eager=True))
+        e = F.broadcast(cut_lineage(e))
     cities = e.select(F.col("src").alias("c")).union(e.select(F.col("dst").alias("c"))).distinct()
     if max_steps is None:
         max_steps = cities.count()
@@ -51,7 +59,8 @@ def greedy_routes(requests: DataFrame, edges: DataFrame, max_steps: int | None =
     state = ok.select("req_id", "origin", "destination", F.col("origin").alias("cur"),
                       F.array("origin").alias("route"), F.lit(0.0).alias("total_km"),
                       F.when(F.col("origin") == F.col("destination"), F.lit("arrived"))
-                      .otherwise(F.lit("open")).alias("status")).checkpoint(eager=True)
+                      .otherwise(F.lit("open")).alias("status"))
+    state = _checkpoint(state)
     cols = ["req_id", "origin", "destination", "route", "total_km"]
     done_parts = [unknown.select("req_id", "origin", "destination", F.lit(None).cast("array<string>").alias("route"),
                                  F.lit(None).cast("double").alias("total_km"),
@@ -74,8 +83,8 @@ def greedy_routes(requests: DataFrame, edges: DataFrame, max_steps: int | None =
             F.when(nxt.isNotNull(), F.array_append("route", nxt)).otherwise(F.col("route")).alias("route"),
             (F.col("total_km") + F.coalesce(F.col("b.km"), F.lit(0.0))).alias("total_km"),
             F.when(nxt.isNull(), F.lit("dead"))
-            .when(nxt == F.col("destination"), F.lit("arrived")).otherwise(F.lit("open")).alias("status")
-        ).checkpoint(eager=True)
+            .when(nxt == F.col("destination"), F.lit("arrived")).otherwise(F.lit("open")).alias("status"))
+        state = _checkpoint(state)
     out = done_parts[0]
     for p in done_parts[1:]:
         out = out.unionByName(p)

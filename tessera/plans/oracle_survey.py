@@ -81,9 +81,9 @@ r1 AS (SELECT _ord, {fix('"Nom"')} AS nom, {fix('"Cognoms"')} AS cognoms, {fix('
 s1 AS (SELECT *, TRY_CAST(replace({strip("replace(regexp_replace(salari_txt, '(?i)euros', '', 'g'), '€', '')")},
                                    ',', '.') AS DOUBLE) AS s0 FROM r1),
 s2 AS (SELECT *, CASE WHEN s0 > 0 AND s0 < 100 THEN s0 * 100 ELSE s0 END AS s FROM s1),
-gmed AS (SELECT grup_professional AS g, median(s) AS gm FROM s2 WHERE grup_professional IS NOT NULL GROUP BY 1),
+gmed AS (SELECT grup_professional AS g, round(median(s), 6) AS gm FROM s2 WHERE grup_professional IS NOT NULL GROUP BY 1),
 s3 AS (SELECT s2.*, coalesce(s, gm) AS sf FROM s2 LEFT JOIN gmed ON s2.grup_professional = gmed.g),
-s4 AS (SELECT *, coalesce(sf, (SELECT median(sf) FROM s3)) AS salari_mensual FROM s3),
+s4 AS (SELECT *, coalesce(sf, (SELECT round(median(sf), 6) FROM s3)) AS salari_mensual FROM s3),
 k1 AS (SELECT * EXCLUDE (fills, no_fills),
   CASE WHEN nombre_fills > 0 THEN 'True' ELSE fills END AS fills1,
   CASE WHEN nombre_fills > 0 THEN 'False' ELSE no_fills END AS no1 FROM s4),
@@ -91,19 +91,19 @@ k2 AS (SELECT *, CASE WHEN no1 = 'True' THEN 0.0 ELSE nombre_fills END AS n2,
   CASE WHEN no1 = 'True' THEN 'False' ELSE fills1 END AS fills2 FROM k1),
 k3 AS (SELECT *, CASE WHEN fills2 = 'False' THEN 0.0 ELSE n2 END AS n3 FROM k2),
 k4 AS (SELECT * EXCLUDE (nombre_fills), coalesce(CASE WHEN fills2 = 'True' AND n3 IS NULL
-  THEN (SELECT median(n3) FILTER (WHERE n3 > 0) FROM k3) ELSE n3 END, 0.0) AS nombre_fills FROM k3),
+  THEN (SELECT round(median(n3) FILTER (WHERE n3 > 0), 6) FROM k3) ELSE n3 END, 0.0) AS nombre_fills FROM k3),
 v1 AS (SELECT * EXCLUDE (km_anuals, consum_mitja_l_100km, te_cotxe),
   CASE WHEN te_cotxe = 'False' THEN 0.0 ELSE km_anuals END AS km1,
   CASE WHEN te_cotxe = 'False' THEN 0.0 ELSE consum_mitja_l_100km END AS c1, te_cotxe AS car0 FROM k4),
 v2 AS (SELECT *, CASE WHEN km1 > 0 OR c1 > 0 THEN 'True' ELSE car0 END AS car1 FROM v1),
 v3 AS (SELECT *,
-  coalesce(CASE WHEN car1 = 'True' AND km1 IS NULL THEN (SELECT median(km1) FILTER (WHERE km1 > 0) FROM v2)
+  coalesce(CASE WHEN car1 = 'True' AND km1 IS NULL THEN (SELECT round(median(km1) FILTER (WHERE km1 > 0), 6) FROM v2)
            ELSE km1 END, 0.0) AS km_anuals,
-  coalesce(CASE WHEN car1 = 'True' AND c1 IS NULL THEN (SELECT median(c1) FILTER (WHERE c1 > 0) FROM v2)
+  coalesce(CASE WHEN car1 = 'True' AND c1 IS NULL THEN (SELECT round(median(c1) FILTER (WHERE c1 > 0), 6) FROM v2)
            ELSE c1 END, 0.0) AS consum_mitja_l_100km FROM v2),
 tmean AS (SELECT ciutat AS cc, avg(temperatura_mitjana_ciutat) AS tm FROM v3 WHERE ciutat IS NOT NULL GROUP BY 1),
 t1 AS (SELECT v3.* EXCLUDE (temperatura_mitjana_ciutat),
-  coalesce(temperatura_mitjana_ciutat, tm) AS temperatura_mitjana_ciutat FROM v3 LEFT JOIN tmean ON v3.ciutat = tmean.cc),
+  coalesce(temperatura_mitjana_ciutat, round(tm, 6)) AS temperatura_mitjana_ciutat FROM v3 LEFT JOIN tmean ON v3.ciutat = tmean.cc),
 clean AS (SELECT _ord, nom, cognoms, dni, pais_origen, ciutat,
   coalesce(CASE genere WHEN 'D' THEN 'Dona' WHEN 'd' THEN 'Dona' WHEN 'H' THEN 'Home' WHEN 'h' THEN 'Home'
     WHEN 'F' THEN 'Dona' WHEN 'M' THEN 'Home' WHEN 'NC' THEN 'No contestat' WHEN 'A' THEN 'No contestat'

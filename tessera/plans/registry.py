@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import oracle_model as M
 from tessera.plans import retail as R
-from tessera.session import scratch_dir
+from tessera.session import ensure_checkpoint_dir, scratch_dir
 from tessera.sources import retail as src
 from tessera.sources.tables import Tables
 
@@ -54,6 +54,7 @@ _V = M.with_views
 
 
 def _t(spark, d) -> Tables:
+    ensure_checkpoint_dir(spark)  # reads spark.checkpoint.dir; sets one only when unset
     return Tables(spark, d)
 
 
@@ -550,8 +551,8 @@ def q_emp_dropped(spark, d):
 
 
 @query("salary_by_gender", "WITH " + S.CLEAN + """
-SELECT genere, round(avg(salari_mensual), 2) AS sou_mig, round(median(salari_mensual), 2) AS mediana,
-  round(min(salari_mensual), 2) AS minim, round(max(salari_mensual), 2) AS maxim
+SELECT genere, CAST(round(CAST(avg(salari_mensual) AS DECIMAL(20,6)), 2) AS DOUBLE) AS sou_mig, CAST(round(CAST(median(salari_mensual) AS DECIMAL(20,6)), 2) AS DOUBLE) AS mediana,
+  CAST(round(CAST(min(salari_mensual) AS DECIMAL(20,6)), 2) AS DOUBLE) AS minim, CAST(round(CAST(max(salari_mensual) AS DECIMAL(20,6)), 2) AS DOUBLE) AS maxim
 FROM clean WHERE genere IS NOT NULL GROUP BY genere""")
 def q_salary_gender(spark, d):
     return E.salary_by_gender(_clean(spark, d))
@@ -560,7 +561,7 @@ def q_salary_gender(spark, d):
 @query("salary_gender_country", "WITH " + S.CLEAN + """
 SELECT CASE WHEN grouping(genere) = 1 THEN 'Mitjana_total' ELSE genere END AS genere,
   CASE WHEN grouping(pais_origen) = 1 THEN 'Mitjana_total' ELSE pais_origen END AS pais_origen,
-  round(avg(salari_mensual), 2) AS mean
+  CAST(round(CAST(avg(salari_mensual) AS DECIMAL(20,6)), 2) AS DOUBLE) AS mean
 FROM clean WHERE genere IS NOT NULL AND pais_origen IS NOT NULL GROUP BY CUBE (genere, pais_origen)""")
 def q_salary_gc(spark, d):
     return E.salary_gender_country(_clean(spark, d))
@@ -607,7 +608,7 @@ def q_long(spark, d):
 
 
 @query("group_summary", _PRICED + """
-SELECT grup_professional, count(dni) AS nombre_trabajador, round(avg(salari_mensual), 2) AS salari_mig,
+SELECT grup_professional, count(dni) AS nombre_trabajador, CAST(round(CAST(avg(salari_mensual) AS DECIMAL(20,6)), 2) AS DOUBLE) AS salari_mig,
   avg(edad) AS edad_media, median(edad) AS edad_mediana
 FROM priced WHERE grup_professional IS NOT NULL GROUP BY grup_professional""")
 def q_group_summary(spark, d):
@@ -654,10 +655,10 @@ def q_group_share(spark, d):
 
 
 @query("gender_gap_by_country", "WITH " + S.CLEAN + """
-SELECT pais_origen, avg(salari_mensual) FILTER (WHERE genere = 'Home') AS mean_a,
-  avg(salari_mensual) FILTER (WHERE genere = 'Dona') AS mean_b,
-  avg(salari_mensual) FILTER (WHERE genere = 'Home') - avg(salari_mensual) FILTER (WHERE genere = 'Dona') AS gap,
-  avg(salari_mensual) FILTER (WHERE genere = 'Home') / avg(salari_mensual) FILTER (WHERE genere = 'Dona') AS ratio
+SELECT pais_origen, CAST(round(CAST(avg(salari_mensual) FILTER (WHERE genere = 'Home') AS DECIMAL(20,6)), 2) AS DOUBLE) AS mean_a,
+  CAST(round(CAST(avg(salari_mensual) FILTER (WHERE genere = 'Dona') AS DECIMAL(20,6)), 2) AS DOUBLE) AS mean_b,
+  CAST(round(CAST(avg(salari_mensual) FILTER (WHERE genere = 'Home') - avg(salari_mensual) FILTER (WHERE genere = 'Dona') AS DECIMAL(20,6)), 2) AS DOUBLE) AS gap,
+  CAST(round(CAST(avg(salari_mensual) FILTER (WHERE genere = 'Home') / avg(salari_mensual) FILTER (WHERE genere = 'Dona') AS DECIMAL(20,6)), 4) AS DOUBLE) AS ratio
 FROM clean GROUP BY pais_origen""")
 def q_gap(spark, d):
     from tessera.operators.relational import group_gap

@@ -67,3 +67,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tessera/{name}/{uuid.uuid4().hex}"
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into ``spark.checkpoint.dir`` computed only once.
+
+    An eager ``checkpoint()`` runs the plan for its action and again for the
+    checkpoint write unless the data is persisted first; persisting for the
+    duration of the write avoids the second computation.  The returned frame
+    reads the checkpoint files, so lineage (and recomputation after a lost
+    executor) starts there.
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist(blocking=False)
+    return out
