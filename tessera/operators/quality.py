@@ -63,16 +63,18 @@ def resolve_key_conflicts(df: DataFrame, key: str, identity: Sequence[str], ord_
     person resubmitted → keep the first row.
 
     Conflicts are *derived* (groups whose identity columns take more than one
-    distinct value) instead of listed by hand.  Returns ``(kept, dropped)``;
+    value) instead of listed by hand.  Returns ``(kept, dropped)``;
     ``dropped`` carries a ``reason``.  Two partial aggregates and joins on the
     key — no group is materialised in one task.  NULL keys are kept apart
     (never merged with each other).
     """
     ident = F.struct(*[F.col(c) for c in identity])
+    # a key conflicts when its rows do not all carry the same identity, i.e.
+    # the smallest and largest identity differ: two partial aggregates (one
+    # shuffle, a hot key collapses map-side), no distinct-count expansion
     g = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
-        F.count("*").alias("_n"), F.count_distinct(ident).alias("_ids"),
-        F.count_if(ident.isNull()).alias("_nullid"))
-    bad = g.filter((F.col("_ids") + F.when(F.col("_nullid") > 0, 1).otherwise(0)) > 1).select("_k")
+        F.min(ident).alias("_lo"), F.max(ident).alias("_hi"))
+    bad = g.filter(~F.col("_lo").eqNullSafe(F.col("_hi"))).select("_k")
     conflict = df.join(bad, F.col(key) == F.col("_k"), "left_semi")
     clean = df.join(bad, F.col(key) == F.col("_k"), "left_anti")
     with_key = keep_first(clean.filter(F.col(key).isNotNull()), [key], ord_col)

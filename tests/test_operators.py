@@ -187,12 +187,14 @@ def test_describe_text(spark):  # AGG19
 def test_key_conflicts(spark):  # CLN5
     rows = [(1, "K1", "Ana", "BCN"), (2, "K1", "Ana", "BCN"),   # resubmitted → keep first
             (3, "K2", "Ana", "BCN"), (4, "K2", "Joan", "MAD"),  # different people → drop both
-            (5, None, "X", "Y"), (6, None, "Z", "Y")]           # NULL keys never merged
+            (5, None, "X", "Y"), (6, None, "Z", "Y"),           # NULL keys never merged
+            (7, "K3", "Eva", None), (8, "K3", "Eva", None)]    # NULL identity field, same person
     df = spark.createDataFrame(rows, "ord int, dni string, nom string, ciutat string")
     kept, dropped = Q.resolve_key_conflicts(df, "dni", ["nom", "ciutat"], "ord")
-    assert sorted(col(kept, "ord")) == [1, 5, 6]
+    assert sorted(col(kept, "ord")) == [1, 5, 6, 7]
     assert sorted((r.ord, r.reason) for r in dropped.collect()) == [
-        (2, "resubmitted_duplicate"), (3, "conflicting_identity"), (4, "conflicting_identity")]
+        (2, "resubmitted_duplicate"), (3, "conflicting_identity"), (4, "conflicting_identity"),
+        (8, "resubmitted_duplicate")]
 
 
 def test_dq_checks(spark):  # DQ1-DQ4
