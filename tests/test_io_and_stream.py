@@ -169,3 +169,17 @@ def test_routes_match_brute_force(spark):  # PIP12, RSH4, JN17, ARR4
     assert res == exp
     assert res[1][0] == ["Lleida", "Tarragona", "Barcelona", "Girona"]
     assert res[2] == (["Barcelona"], 0.0, None) and res[3][2] == "unknown city"
+
+
+def test_streaming_batch_replay_is_idempotent(spark, tmp_out):  # SNK4 failure safety
+    from tessera.streaming.daily_sales import _recompute_touched_dates
+    schema = "date date, amount double"
+    fact = f"{tmp_out}/fact"
+    spark.createDataFrame([(dt.date(2024, 1, 1), 1.5), (dt.date(2024, 1, 1), 2.0)], schema) \
+        .write.mode("append").partitionBy("date").parquet(fact)
+    run = _recompute_touched_dates(spark, fact, f"{tmp_out}/mv")
+    batch = spark.read.parquet(fact)
+    run(batch, 0)
+    run(batch, 0)  # the same micro-batch delivered again
+    got = {r.fecha: float(r.total_vendes) for r in spark.read.parquet(f"{tmp_out}/mv").collect()}
+    assert got == {dt.date(2024, 1, 1): 3.5}

@@ -70,3 +70,20 @@ def test_redate_is_repeatable_and_bounded(spark):  # PIP13, MTH9, DAT4
     assert a.exceptAll(b).count() == 0
     rng = a.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
     assert rng.hi <= dt.datetime(2001, 8, 1) and rng.lo >= dt.datetime(2001, 6, 11)
+
+
+def test_small_functions_and_writers(spark, tmp_out):  # STR1, STR2, STR10, ARR3, DAT4, SNK1, SNK3
+    from tessera.functions import arrays as A
+    from tessera.functions import dates as D
+    from tessera.functions import text as X
+    df = spark.createDataFrame([("WH-12", "a|b|c", ["Fiebre Alta ", " tos"])], "w string, p string, s array<string>")
+    r = df.select(X.substr_from(F.col("w"), 4).alias("x"), X.split_list(F.col("p"), "|").alias("y"),
+                  A.normalise_items(F.col("s")).alias("z"), A.join_list(F.col("s"), "+").alias("j"),
+                  D.days_before("2024-03-01 00:00:00", 30).alias("d")).first()
+    assert (r.x, r.y, r.z, r.j) == ("12", ["a", "b", "c"], ["fiebre_alta", "tos"], "Fiebre Alta + tos")
+    assert r.d == dt.datetime(2024, 1, 31)
+    W.replace_table(df.select("w"), f"{tmp_out}/t")
+    W.replace_table(df.select("p"), f"{tmp_out}/t")  # create-or-replace
+    assert spark.read.parquet(f"{tmp_out}/t").columns == ["p"]
+    W.view(df, "tessera_view_test")
+    assert spark.sql("SELECT count(*) AS n FROM tessera_view_test").first().n == 1
