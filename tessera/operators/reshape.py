@@ -66,3 +66,11 @@ def matrix_to_edges(matrix: DataFrame, key: str = "city", exclude: Sequence[str]
                                              F.lit(i).alias("ord"))
                                     for i, c in enumerate(dst_cols)])).alias("e"))
     return stacked.select("src", "e.dst", "e.km", "e.ord")
+
+
+def margins_wide(long: DataFrame, row: str, col: str, col_values, margin: str = "Mitjana_total") -> DataFrame:
+    """AGG15 wide form: one row per ``row`` value (plus the margin row), one
+    column per ``col`` value in the caller's order plus the margin column —
+    ``pivot`` with an explicit value list, so no extra distinct job."""
+    values = list(col_values) + [margin]
+    return long.groupBy(row).pivot(col, values).agg(F.first("mean"))

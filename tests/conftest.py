@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from tessera.session import get_session
     s = get_session("local[4]", shuffle_partitions=4,
-                    extra={"spark.local.dir": tempfile.mkdtemp(prefix="tessera-test-local-")})
+                    extra={"spark.local.dir": tempfile.mkdtemp(prefix="tessera-test-local-"),
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tessera-test-wh-")})
     yield s
 
 

@@ -87,3 +87,29 @@ def test_small_functions_and_writers(spark, tmp_out):  # STR1, STR2, STR10, ARR3
     assert spark.read.parquet(f"{tmp_out}/t").columns == ["p"]
     W.view(df, "tessera_view_test")
     assert spark.sql("SELECT count(*) AS n FROM tessera_view_test").first().n == 1
+
+
+def test_bucketed_tables_join_without_shuffle(spark):  # SNK1/SNK2 catalog variant
+    a = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    b = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("w"))
+    W.save_as_table(a, "tessera_bucket_a", bucket_by="k", buckets=8)
+    W.save_as_table(b, "tessera_bucket_b", bucket_by="k", buckets=8)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("tessera_bucket_a").join(spark.table("tessera_bucket_b"), "k")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev)
+
+
+def test_margins_wide(spark):  # AGG15 wide form
+    from tessera.operators.reshape import margins_wide, pivot_with_margins
+    df = spark.createDataFrame([("H", "ES", 10.0), ("D", "ES", 40.0), ("D", "FR", 50.0)], "g string, p string, s double")
+    wide = {r.g: r.asDict() for r in margins_wide(pivot_with_margins(df, "g", "p", "s"), "g", "p", ["ES", "FR"]).collect()}
+    assert wide["H"]["ES"] == 10.0 and wide["H"]["FR"] is None and wide["D"]["Mitjana_total"] == 45.0
+    assert wide["Mitjana_total"]["Mitjana_total"] == 33.33
