@@ -234,7 +234,7 @@ FROM transactions t JOIN products p
 GROUP BY p.product_id, p.name""")
 def q_membership(spark, d):
     t = _t(spark, d)
-    return R.product_sales_membership(src.transactions(t), src.products(t))
+    return R.product_sales_membership_lines(src.transaction_lines(t), src.products(t))
 
 
 @query("product_sales_ranking", _V(p=M.SILVER_PRODUCTS, t=M.SILVER_TRANSACTIONS) + """
@@ -245,7 +245,7 @@ FROM p LEFT JOIN (SELECT TRY_CAST(x AS BIGINT) AS id_aplanado
 GROUP BY p.product_id, p.name, p.price, p.colour""")
 def q_ranking(spark, d):
     t = _t(spark, d)
-    return R.product_sales_ranking(src.products_silver(src.products(t)), _silver(spark, d))
+    return R.product_sales_ranking_lines(src.products_silver(src.products(t)), src.transaction_lines(t))
 
 
 # ------------------------------------------------------------------ PIP11 silver
@@ -368,7 +368,8 @@ _FLAT = _V(r=_RECENT, p=M.SILVER_PRODUCTS) + """
 
 def _flat(spark, d):
     t = _t(spark, d)
-    return R.flat_sales(_recent(spark, d), src.products_silver(src.products(t)))
+    recent = R.redate(src.transactions_silver(src.transactions_raw_without_products(t)), AS_OF)
+    return R.flat_sales_lines(recent, src.transaction_lines(t), src.products_silver(src.products(t)))
 
 
 @query("flat_sales", _FLAT + "SELECT * FROM f")

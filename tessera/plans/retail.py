@@ -224,6 +224,45 @@ def product_sales_ranking(products_silver: DataFrame, transactions_silver: DataF
         .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_sold")).orderBy(F.desc("total_sold"))
 
 
+def product_sales_membership_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """PIP10a/JN12 on the unnested form ``(transaction_id, product_id)``:
+    a product counts once per transaction (distinct pairs), as FIND_IN_SET.
+    Distinct and count are partial aggregates; nothing is collected."""
+    per = lines.select("transaction_id", "product_id").distinct() \
+        .groupBy("product_id").agg(F.count("*").alias("veces_vendido"))
+    p = products.select(F.col("product_id").alias("id"), F.col("name").alias("product_name"))
+    return p.join(per, p.id == per.product_id).select("id", "product_name", "veces_vendido").orderBy("id")
+
+
+def product_sales_ranking_lines(products_silver: DataFrame, lines: DataFrame) -> DataFrame:
+    """PIP10b/JN3/JN10 on the unnested form: every occurrence counts
+    (repeats included), products never sold keep 0."""
+    per = lines.groupBy(F.col("product_id").alias("id_aplanado")).agg(F.count("*").alias("_n"))
+    p = products_silver
+    return p.join(per, p.product_id == per.id_aplanado, "left") \
+        .select("product_id", "name", "price", "colour", F.coalesce("_n", F.lit(0)).alias("total_sold")) \
+        .orderBy(F.desc("total_sold"))
+
+
+def flat_sales_lines(transactions_silver: DataFrame, lines: DataFrame, products_silver: DataFrame,
+                     accepted_only: bool = True, with_tax: bool = True) -> DataFrame:
+    """PIP20/JN11/UDF1 on the unnested form: transaction × its product
+    occurrences × product, same columns as ``flat_sales``."""
+    t = transactions_silver
+    if accepted_only:
+        t = t.filter(F.col("declined") == "0")
+    t = t.select("transaction_id", "timestamp", F.col("amount").alias("total_ticket"))
+    ln = lines.select(F.col("transaction_id").cast("string").alias("_t"), F.col("product_id").alias("product_sku"))
+    flat = t.join(ln, t.transaction_id == ln._t).drop("_t")
+    p = products_silver
+    cols = ["transaction_id", "timestamp", "total_ticket", "product_sku",
+            p.name.alias("product_name"), p.price.alias("product_price")]
+    if with_tax:
+        cols.append(calculate_tax(p.price).alias("producto_price_tax_inc"))
+    cols.append(p.category)
+    return flat.join(p, flat.product_sku == p.product_id).select(*cols)
+
+
 # ---------------------------------------------------------------- PIP13-PIP15
 def redate(transactions_silver: DataFrame, as_of: str, span: int = 50,
            key: str = "transaction_id") -> DataFrame:

@@ -60,6 +60,19 @@ def order_lines(t: Tables, with_products: bool = True) -> DataFrame:
     return t.lineitem.groupBy("l_orderkey").agg(*aggs)
 
 
+def transaction_lines(t: Tables) -> DataFrame:
+    """The unnested form of ``product_ids``: one row per (transaction,
+    product occurrence), i.e. the order lines of existing orders.
+
+    Queries that only unnest the list read this directly, so no per-order
+    list is ever collected (a hot order stays spread over tasks).
+    """
+    li = t.lineitem.select(F.col("l_orderkey").alias("transaction_id"),
+                           F.col("l_partkey").alias("product_id"))
+    o = t.orders.select(F.col("o_orderkey").alias("_o"))
+    return li.join(o, li.transaction_id == o._o, "left_semi")
+
+
 def transactions(t: Tables, with_products: bool = True) -> DataFrame:
     """Typed transactions (MySQL-level model).
 
@@ -81,12 +94,20 @@ def transactions(t: Tables, with_products: bool = True) -> DataFrame:
     return o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select(*cols)
 
 
-def transactions_raw(t: Tables) -> DataFrame:
+def transactions_raw_without_products(t: Tables) -> DataFrame:
+    """Bronze columns without the product list (its unnested form is
+    ``transaction_lines``)."""
+    return transactions_raw(t, with_products=False)
+
+
+def transactions_raw(t: Tables, with_products: bool = True) -> DataFrame:
     """Bronze: the same rows with every column as text (SRC6 layout).
 
     declined is ``'0'``/``'1'``; timestamp ``yyyy-MM-dd HH:mm:ss``.
     """
-    x = transactions(t)
+    x = transactions(t, with_products)
+    if not with_products:
+        x = x.withColumn("product_ids", F.lit(None).cast("string"))
     return x.select(
         x.transaction_id.cast("string").alias("id"),
         x.card_id.cast("string").alias("card_id"),
