@@ -53,8 +53,13 @@ def _per_company(companies: DataFrame, transactions: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- PIP1 / PIP2 / PIP3 / PIP4
 def countries_with_sales(companies: DataFrame, transactions: DataFrame) -> DataFrame:
-    """PIP1a: one country row per accepted sale (no DISTINCT), sorted."""
-    return _sales(companies, _accepted(transactions)).select("country").orderBy("country")
+    """PIP1a: one country row per accepted sale (no DISTINCT), sorted.
+
+    The unique transaction id is a secondary sort key: range partitioning
+    cannot split equal keys, so without it a country holding a third of the
+    sales would land in one sort task.
+    """
+    return _sales(companies, _accepted(transactions)).orderBy("country", "transaction_id").select("country")
 
 
 def count_sales_countries(companies: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -155,8 +160,9 @@ def companies_in_band_on_days_raw(companies: DataFrame, raw: DataFrame, lo, hi,
                 & F.col("amount").cast("double").between(lo, hi)
                 & F.col("fecha_inversa").isin(list(days_dmy)))
     c = companies.select(F.col("company_id").cast("string").alias("_cid"), "company_name", "country")
-    return c.join(t, c._cid == t.business_id).select(
-        "company_name", "country", "fecha_inversa").orderBy("fecha_inversa")
+    # a handful of distinct days: the id tiebreak lets range partitioning split them
+    return c.join(t, c._cid == t.business_id).orderBy("fecha_inversa", "id").select(
+        "company_name", "country", "fecha_inversa")
 
 
 def capacity_band(companies: DataFrame, transactions: DataFrame, threshold: int = 400) -> DataFrame:
