@@ -181,8 +181,8 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     Min/max come from one global aggregate (scalar subquery); the bucket is
     computed per row and counted with a partial aggregate.
     """
-    lo = df.select(F.min(col)).scalar()
-    hi = df.select(F.max(col)).scalar()
+    b = df.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()  # one job
+    lo, hi = b.getField("lo"), b.getField("hi")
     width = (hi - lo) / F.lit(bins)
     idx = F.least(F.floor(F.try_divide(F.col(col) - lo, width)), F.lit(bins - 1))
     b = F.when(F.col(col).isNotNull(), F.coalesce(idx, F.lit(0)).cast("int"))

@@ -44,15 +44,21 @@ def greedy_routes(requests: DataFrame, edges: DataFrame, max_steps: int | None =
     ensure_checkpoint_dir(requests.sparkSession)
     e = edges.filter(F.col("km").isNotNull() & (F.col("src") != F.col("dst"))) \
         .select("src", "dst", F.col("km").cast("double").alias("km"), "ord")
+    # both inputs are cut once: every step re-reads them, never their lineage
+    e = cut_lineage(e)
     n_edges = e.count()
-    if n_edges <= BROADCAST_EDGE_LIMIT:
-        e = F.broadcast(cut_lineage(e))
+    if n_edges <= BROADCAST_EDGE_LIMIT:  # size checked before the hint
+        e = F.broadcast(e)
+    else:
+        # hash-partitioned by src once; a checkpoint keeps that partitioning,
+        # so each step shuffles only the (small) frontier, not the edges
+        e = cut_lineage(e.repartition("src"))
     cities = e.select(F.col("src").alias("c")).union(e.select(F.col("dst").alias("c"))).distinct()
     if max_steps is None:
         max_steps = cities.count()
     known = cities.select(F.col("c").alias("_c"))
 
-    r = requests.select("req_id", "origin", "destination")
+    r = cut_lineage(requests.select("req_id", "origin", "destination"))
     unknown = r.join(known, r.origin == known._c, "left_anti").unionByName(
         r.join(known, r.destination == known._c, "left_anti")).dropDuplicates(["req_id"])
     ok = r.join(unknown.select(F.col("req_id").alias("_bad")), F.col("req_id") == F.col("_bad"), "left_anti")

@@ -183,3 +183,15 @@ def test_streaming_batch_replay_is_idempotent(spark, tmp_out):  # SNK4 failure s
     run(batch, 0)  # the same micro-batch delivered again
     got = {r.fecha: float(r.total_vendes) for r in spark.read.parquet(f"{tmp_out}/mv").collect()}
     assert got == {dt.date(2024, 1, 1): 3.5}
+
+
+def test_routes_without_broadcast_match(spark, monkeypatch):  # PIP12 large-edge path
+    import tessera.operators.routes as RT
+    monkeypatch.setattr(RT, "BROADCAST_EDGE_LIMIT", 0)
+    names = ["A", "B", "C"]
+    km = [[0.0, 1.0, 5.0], [1.0, 0.0, 2.0], [5.0, 2.0, 0.0]]
+    mx = spark.createDataFrame([(n, *km[i]) for i, n in enumerate(names)], "city string, A double, B double, C double")
+    edges = matrix_to_edges(mx)
+    reqs = spark.createDataFrame([(1, "A", "C")], "req_id int, origin string, destination string")
+    got = RT.greedy_routes(reqs, edges).first()
+    assert got.route == ["A", "B", "C"] and got.total_km == 3.0
