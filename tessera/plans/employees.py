@@ -279,12 +279,13 @@ def enrich_with_city(clean: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 def apply_salary_policy(enriched: DataFrame, policy: Mapping = DEFAULT_POLICY,
-                        ref_year: int = REFERENCE_YEAR) -> DataFrame:
+                        ref_year: int = REFERENCE_YEAR, close_gap: bool = False) -> DataFrame:
     """PIP28: base + children + age + cost of living + transport → capped %
     → new salary with a floor.
 
     Age bands 18-29, 30-44, 45-59 and *over* 60 (exactly 60, under 18 or
-    unknown get 0); cost band from temperature (<12 high, ≤16 medium, else
+    unknown get 0, as in the reference; ``close_gap=True`` gives 60 the
+    over-60 adjustment); cost band from temperature (<12 high, ≤16 medium, else
     low; unknown medium); transport from km (unknown or 0 low, >30000 high,
     else medium).  An unmapped group leaves the total, the percentage and
     the new salary NULL (not the floor).
@@ -296,7 +297,7 @@ def apply_salary_policy(enriched: DataFrame, policy: Mapping = DEFAULT_POLICY,
                .when(age.between(18, 29), F.lit(float(aa["18-29"])))
                .when(age.between(30, 44), F.lit(float(aa["30-44"])))
                .when(age.between(45, 59), F.lit(float(aa["45-59"])))
-               .when(age > 60, F.lit(float(aa["60+"]))).otherwise(F.lit(0.0)))
+               .when(age >= 60 if close_gap else age > 60, F.lit(float(aa["60+"]))).otherwise(F.lit(0.0)))
     temp = F.col("temperatura_mitjana_ciutat")
     cost_band = (F.when(temp.isNull(), F.lit("medium")).when(temp < 12, F.lit("high"))
                  .when(temp <= 16, F.lit("medium")).otherwise(F.lit("low")))

@@ -397,9 +397,17 @@ def top_products(flat: DataFrame, k: int = 5) -> DataFrame:
 
 
 def company_transactions_at(companies_silver: DataFrame, transactions_silver: DataFrame,
-                            country: str, ts: str) -> DataFrame:
+                            country: str, ts: str, day: bool = False) -> DataFrame:
     """FLT7/PRJ1: ``c.company_name, t.*`` of a country where the timestamp
-    *equals* a date literal, i.e. exactly midnight of that day."""
+    *equals* a date literal, i.e. exactly midnight of that day (as the
+    reference's comparison does).  ``day=True`` matches the whole day
+    instead, as a half-open timestamp range that still reaches the scan."""
     c = companies_silver.filter(F.col("country") == country)
-    t = transactions_silver.filter(F.col("timestamp") == F.lit(ts).cast("timestamp_ntz"))
+    start = F.lit(ts).cast("timestamp_ntz")
+    if day:
+        start = F.to_date(start).cast("timestamp_ntz")
+        t = transactions_silver.filter((F.col("timestamp") >= start)
+                                       & (F.col("timestamp") < start + F.expr("INTERVAL 1 DAY")))
+    else:
+        t = transactions_silver.filter(F.col("timestamp") == start)
     return c.join(t, c.company_id.cast("string") == t.business_id).select(c.company_name, t["*"])

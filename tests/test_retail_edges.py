@@ -113,3 +113,33 @@ def test_margins_wide(spark):  # AGG15 wide form
     wide = {r.g: r.asDict() for r in margins_wide(pivot_with_margins(df, "g", "p", "s"), "g", "p", ["ES", "FR"]).collect()}
     assert wide["H"]["ES"] == 10.0 and wide["H"]["FR"] is None and wide["D"]["Mitjana_total"] == 45.0
     assert wide["Mitjana_total"]["Mitjana_total"] == 33.33
+
+
+def test_card_with_three_latest_declined_is_inactive(spark):  # PIP9 / WIN1 edge
+    tx = spark.createDataFrame([(1, 7, False), (2, 7, True), (3, 7, True), (4, 7, True), (5, 8, False)],
+                               "transaction_id int, card_id int, declined boolean")
+    assert R.active_cards(tx).first().total_tarjetas_activas == 1  # only card 8
+
+
+def test_uncorrelated_exists_without_match_returns_nothing(spark):  # JN7 edge
+    comp = spark.createDataFrame([(1, "Germany")], "company_id bigint, country string")
+    tx = spark.createDataFrame([(10, 1, False), (11, 2, False), (12, 2, True)],
+                               "transaction_id bigint, business_id bigint, declined boolean")
+    assert R.transactions_if_country_exists(comp, tx, "Nowhere").count() == 0
+    # with a match every accepted transaction comes back, whatever its company
+    assert sorted(r.transaction_id for r in R.transactions_if_country_exists(comp, tx, "Germany").collect()) == [10, 11]
+
+
+def test_day_variant_and_close_gap(spark):  # FLT7 day=, PIP28 close_gap
+    comp = spark.createDataFrame([(1, "Acme", "Germany")], "company_id bigint, company_name string, country string")
+    tx = spark.createDataFrame([("a", "1", dt.datetime(2022, 3, 12, 0, 0)), ("b", "1", dt.datetime(2022, 3, 12, 5, 0)),
+                                ("c", "1", dt.datetime(2022, 3, 13, 0, 0))],
+                               "transaction_id string, business_id string, timestamp timestamp_ntz")
+    got = R.company_transactions_at(comp, tx, "Germany", "2022-03-12 00:00:00", day=True).collect()
+    assert sorted(r.transaction_id for r in got) == ["a", "b"]
+    from tessera.plans import employees as E
+    df = spark.createDataFrame([("BUILDING", 1000.0, 0.0, dt.date(1966, 6, 1), 14.0, 1.0)],
+                               "grup_professional string, salari_mensual double, nombre_fills double, "
+                               "data_naixement date, temperatura_mitjana_ciutat double, km_anuals double")
+    assert E.apply_salary_policy(df).first().incremento_edad == 0.0
+    assert E.apply_salary_policy(df, close_gap=True).first().incremento_edad == 2.0
