@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import mixing
+from tessera.llm import mixing, secret_scan, token_counts
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +53,32 @@ SELECT doc_id, size, source_size, target, (n * size)::BIGINT AS taken FROM mixed
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's share of the mix of weights 1, 2, 3 with at most 3 copies."""
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# ------------------------------------------------------------------ 6: token counts
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public vocabulary file, the same on every executor."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact token counts of whole texts, read off their prefix tables."""
+    counts = token_counts.prefix_counts(table(spark, sf_dir, "documents"), vocabulary())
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+# ------------------------------------------------------------------ 8: secrets
+@query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the pattern kinds, and all spans."""
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.joined(of("assign", "access", "hex")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"))
