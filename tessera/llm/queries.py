@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, secret_scan, token_counts
+from tessera.llm import mixing, secret_scan, token_blocks, token_counts
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.sha2(secret_scan.joined(of("assign", "access", "hex")).cast("binary"), 256).alias("base_sha256"),
         secret_scan.joined(F.col("spans")).alias("spans"))
+
+
+# ------------------------------------------------------------------ 10: token ids
+@query("op10_token_blocks")
+def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of whole texts in patched blocks, written in id order and read back."""
+    return token_blocks.write_and_read(table(spark, sf_dir, "documents"), vocabulary())
