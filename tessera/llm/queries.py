@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, secret_scan, token_blocks, token_counts
+from tessera.llm import fm_index, mixing, secret_scan, token_blocks, token_counts
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,15 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of whole texts in patched blocks, written in id order and read back."""
     return token_blocks.write_and_read(table(spark, sf_dir, "documents"), vocabulary())
+
+
+# ------------------------------------------------------------------ 3: decontamination
+@query("op3_fm_decontamination")
+def op3_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside an occurrence of a ten-word window of a test item."""
+    found = fm_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = fm_index.hit_words(F.col("spans"))
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.sort_array("items"), ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"))
