@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fm_index, mixing, secret_scan, token_blocks, token_counts
-from tessera.llm.common import table
+from tessera.llm import fm_index, line_crf, mixing, secret_scan, token_blocks, token_counts, toxicity_fm
+from tessera.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +101,23 @@ def op3_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.sort_array("items"), ",").cast("binary"), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"))
+
+
+# ------------------------------------------------------------------ 1 and 7: classifiers
+def _judged(scores: DataFrame, least: float) -> DataFrame:
+    return scores.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+@query("op1_toxicity_fm")
+def op1_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; labels outside the fold crc32 mod 5 = 0 teach the model."""
+    docs = table(spark, sf_dir, "documents")
+    return _judged(toxicity_fm.score(docs, toxicity_fm.train(docs, table(spark, sf_dir, "labels"))), 0.5)
+
+
+@query("op7_quality_crf")
+def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text; labels outside the fold crc32 mod 5 = 0 teach the model."""
+    docs = table(spark, sf_dir, "documents")
+    return _judged(line_crf.score(docs, line_crf.train(docs, table(spark, sf_dir, "labels"))), line_crf.GOOD)

@@ -213,7 +213,7 @@ class ChunkEncoder:
             self.old, self.chunks = self.chunks, {}
         if len(self.words) > KEEP:
             self.words = {}
-        new = set().union(*split) - self.chunks.keys()
+        new = set().union(*split).difference(self.chunks)
         for chunk in new:
             self.chunks[chunk] = self.old.get(chunk) or self._chunk(chunk)
         get = self.chunks.__getitem__

@@ -200,7 +200,7 @@ class PrefixCounter:
         split = {c: self.units(text) for c in chunks if (text := c.decode("utf-8"))}
         if len(self.words) > KEEP:
             self.words.clear()
-        self.learn({u for units in split.values() for _, u in units or ()} - self.words.keys())
+        self.learn({u for units in split.values() for _, u in units or ()}.difference(self.words))
         for chunk, units in split.items():
             text = chunk.decode("utf-8")
             counts = self.counts(len(text), units) if units is not None else [
@@ -212,10 +212,10 @@ class PrefixCounter:
         split = [t.translate(_BLANK).split(b" ") for t in texts]
         if len(self.chunks) > KEEP:
             self.old, self.chunks = self.chunks, {b"": b""}
-        new = set().union(*split) - self.chunks.keys()
-        again = {c: self.old[c] for c in new & self.old.keys()}
+        new = set().union(*split).difference(self.chunks)
+        again = {c: self.old[c] for c in new if c in self.old}
         self.chunks |= again
-        self.add(new - again.keys())
+        self.add(new.difference(again))
         get = self.chunks.__getitem__
         return [bytes([_BIAS]).join(map(get, chunks)) for chunks in split]
 
