@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import plain_words, slices, text_bytes
 from tessera.llm.labelled import Adam, fitted, labelled_sample, sigmoid
 
-HASH_BITS, PIECE, TERMS, FACTORS = 18, 5, 512, 8
-PER_CLASS, STEPS, KEEP = 4000, 200, 300_000
+HASH_BITS, PIECE, TERMS, FACTORS = 22, 5, 512, 8
+PER_CLASS, STEPS, DECAY, KEEP = 4000, 200, 0.003, 300_000
 
 
 def word_terms(word: bytes) -> list[int]:
@@ -89,7 +89,10 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
     by_term = np.argsort(term, kind="stable")
     rows_of_term, term_cuts = row[by_term], np.searchsorted(term[by_term], np.arange(max(1, len(kept)) + 1))
     share = np.clip((weight * label).sum() / weight.sum(), 1e-3, 1 - 1e-3)
-    p = {"bias": np.array([np.log(share / (1 - share))]), "w": np.zeros(max(1, len(kept))),
+    # Weights start at the terms' log odds, so that a term which occurs in one class only counts by itself, too.
+    odds = (np.log((hits[kept] + 3) / (positives + 6))
+            - np.log((seen[kept] - hits[kept] + 3) / (len(label) - positives + 6)))
+    p = {"bias": np.array([np.log(share / (1 - share))]), "w": np.resize(np.sign(odds) * np.maximum(np.abs(odds) - 1, 0), max(1, len(kept))),
          "v": np.random.default_rng(7).normal(0, 0.05, (max(1, len(kept)), FACTORS))}
     balance = weight / weight.mean()
     adam = Adam(0.05)
@@ -98,8 +101,9 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
         g = balance * (sigmoid(logit) - label) / len(label)
         # A term's factor moves by the sum of the other terms' factors in its texts.
         own = _segment_sums(np.hstack([g[:, None], g[:, None] * total])[rows_of_term], term_cuts)
-        adam.step(p, {"bias": np.array([g.sum()]), "w": own[:, 0] + 1e-5 * p["w"],
-                      "v": own[:, 1:] - own[:, :1] * p["v"] + 1e-4 * p["v"]})
+        adam.step(p, {"bias": np.array([g.sum()]), "w": own[:, 0], "v": own[:, 1:] - own[:, :1] * p["v"]})
+        p["w"] *= 1 - DECAY  # apart from the step, whose scale Adam sets anew for each weight
+        p["v"] *= 1 - 4 * DECAY
     return p | {"buckets": kept}
 
 
