@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import plain_words, slices, text_bytes
 from tessera.llm.labelled import Adam, fitted, labelled_sample, sigmoid
 
-HASH_BITS, PIECE, TERMS, FACTORS = 22, 5, 512, 8
+HASH_BITS, PIECE, TERMS, FACTORS = 31, 5, 512, 8
 PER_CLASS, STEPS, DECAY, KEEP = 4000, 200, 0.003, 300_000
 
 
@@ -73,15 +73,15 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
     label, weight = sample["label"].to_numpy().astype(float), sample["weight"].to_numpy()
     sizes = np.array([len(t) for t in sample["terms"].to_pylist()])
     row, bucket = np.repeat(np.arange(len(label)), sizes), sample["terms"].combine_chunks().flatten().to_numpy().astype(np.int64)
-    n = 1 << HASH_BITS
+    buckets, bucket = np.unique(bucket, return_inverse=True)
     positives = label.sum()
-    seen, hits = np.bincount(bucket, minlength=n), np.bincount(bucket, label[row], n)
+    seen, hits = np.bincount(bucket), np.bincount(bucket, label[row])
     expected = seen * positives / len(label)
     spread = np.maximum(expected * (1 - positives / len(label)) * (1 - seen / (len(label) + 1)), 1e-9)
     chi = np.where(seen >= 3, (hits - expected) ** 2 / spread, 0)
     kept = np.sort(np.argsort(-chi, kind="stable")[:TERMS])
     kept = kept[chi[kept] > 20]
-    number = np.full(n, -1)
+    number = np.full(len(buckets), -1)
     number[kept] = np.arange(len(kept))
     inside = number[bucket] >= 0
     row, term = row[inside], number[bucket[inside]]
@@ -104,7 +104,7 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
         adam.step(p, {"bias": np.array([g.sum()]), "w": own[:, 0], "v": own[:, 1:] - own[:, :1] * p["v"]})
         p["w"] *= 1 - DECAY  # apart from the step, whose scale Adam sets anew for each weight
         p["v"] *= 1 - 4 * DECAY
-    return p | {"buckets": kept}
+    return p | {"buckets": buckets[kept]}
 
 
 class Scorer:
