@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fm_index, line_crf, mixing, secret_scan, token_blocks, token_counts, toxicity_fm
+from tessera.llm import (
+    fm_index,
+    line_crf,
+    minhash_inverted,
+    mixing,
+    secret_scan,
+    token_blocks,
+    token_counts,
+    toxicity_fm,
+)
 from tessera.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +130,10 @@ def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text; labels outside the fold crc32 mod 5 = 0 teach the model."""
     docs = table(spark, sf_dir, "documents")
     return _judged(line_crf.score(docs, line_crf.train(docs, table(spark, sf_dir, "labels"))), line_crf.GOOD)
+
+
+# ------------------------------------------------------------------ 5: near-duplicates
+@query("op5_minhash_inverted")
+def op5_minhash_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose two-word shingle sets are at least 80 % alike."""
+    return minhash_inverted.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
