@@ -13,6 +13,7 @@ from tessera.llm import (
     minhash_inverted,
     mixing,
     secret_scan,
+    subspace_join,
     token_blocks,
     token_counts,
     toxicity_fm,
@@ -137,3 +138,10 @@ def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_minhash_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose two-word shingle sets are at least 80 % alike."""
     return minhash_inverted.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+# ------------------------------------------------------------------ 4: embeddings
+@query("op4_subspace_join")
+def op4_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label whose cosine is at least 0.98, and what they connect."""
+    return subspace_join.linked(table(spark, sf_dir, "embeddings"), cosine=0.98)
