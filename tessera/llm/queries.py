@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import (
     fm_index,
+    katz,
     line_crf,
     minhash_inverted,
     mixing,
@@ -145,3 +146,10 @@ def op5_minhash_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of one label whose cosine is at least 0.98, and what they connect."""
     return subspace_join.linked(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+# ------------------------------------------------------------------ 2: language model
+@query("op2_katz_backoff")
+def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every whole text; texts outside the fold crc32 mod 7 = 2 teach the model."""
+    return katz.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
