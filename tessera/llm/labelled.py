@@ -39,15 +39,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
 def fitted(rows: DataFrame, fit: Callable[[pa.Table], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     """The arrays that ``fit`` makes of a bounded sample, in one task."""
-    schema = pa.schema([])  # replaced by the first batch
+    nothing = pa.Table.from_batches([], pa.schema([]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [b for b in batches if b.num_rows]
         out = io.BytesIO()
-        np.savez(out, **fit(pa.Table.from_batches(found) if found else pa.Table.from_batches([], schema)))
+        np.savez(out, **fit(pa.Table.from_batches(found) if found else nothing))
         yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], ["model"])
 
     model = rows.repartition(1).mapInArrow(run, "model binary").first()
+    if model is None:  # no row, no task
+        return fit(nothing)
     with np.load(io.BytesIO(bytes(model["model"]))) as arrays:
         return dict(arrays)
 
