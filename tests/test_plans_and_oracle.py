@@ -4,7 +4,8 @@ pushdown, window group limits) and the DuckDB oracle check on sf0.001."""
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tessera.plans.registry import ORACLE, QUERIES
 from tessera.sources.tables import TABLES
 from tools.oracle_check import rows_of
 
@@ -23,31 +24,31 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_bad_plan_nodes(spark, name):
-    plan = _plan(queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     for node in BAD_NODES:
         assert node not in plan, f"{name} plans {node}"
 
 
 def test_column_pruning_and_pushdown(spark):
-    plan = _plan(queries()["companies_without_transactions"](spark, SF_SMALL))
+    plan = _plan(QUERIES["companies_without_transactions"](spark, SF_SMALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
 
 
 def test_rank_filter_becomes_window_group_limit(spark):
-    assert "WindowGroupLimit" in _plan(queries()["active_cards"](spark, SF_SMALL))
-    assert "WindowGroupLimit" in _plan(queries()["third_purchase"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in _plan(QUERIES["active_cards"](spark, SF_SMALL))
+    assert "WindowGroupLimit" in _plan(QUERIES["third_purchase"](spark, SF_SMALL))
 
 
 def test_uncorrelated_exists_is_a_subquery_not_a_join(spark):
-    plan = _plan(queries()["transactions_if_country_exists"](spark, SF_SMALL))
+    plan = _plan(QUERIES["transactions_if_country_exists"](spark, SF_SMALL))
     assert "Subquery" in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_partition_pruning_on_recent_fact(spark):
-    plan = _plan(queries()["recent_30_days"](spark, SF_SMALL))
+    plan = _plan(QUERIES["recent_30_days"](spark, SF_SMALL))
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
@@ -59,11 +60,11 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle_matches(spark, duck, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    rel = duck.execute(oracle_sql()[name])
+    rel = duck.execute(ORACLE[name])
     dcols = [c[0] for c in rel.description]
     assert sorted(df.columns) == sorted(dcols)
     assert rows_of(df.columns, srows) == rows_of(dcols, rel.fetchall())
