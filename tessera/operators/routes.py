@@ -3,10 +3,10 @@
 Re-aimed from "one origin/destination in a Python loop" to a *table of
 route requests* advanced together: each step is one distributed join of
 the open requests with the edge table, a per-request ``min_by`` (partial
-aggregate) picking the closest unvisited city, and an update.  Finished
-requests leave the frontier.  Each step's state is checkpointed (reliable,
-in ``spark.checkpoint.dir``) so lineage stays one step long and a lost
-executor recomputes one step only.  The driver sees one count per step.
+aggregate) picking the closest unvisited city, and an update.  Each step's
+rows are written to a folder of their own below ``spark.checkpoint.dir``:
+the next step reads the open ones, the result reads the finished ones of all
+steps in one scan, and a lost executor recomputes one step only.
 """
 
 from __future__ import annotations
@@ -16,15 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage, ensure_checkpoint_dir
-
-BROADCAST_EDGE_LIMIT = 2_000_000  # rows; checked before hinting a broadcast
-
-
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of the (small) per-step state; recomputing one
-    step for the write is cheaper than caching it."""
-    return df.checkpoint(eager=True)
+from tessera.session import cut_lineage, scratch_dir
 
 
 def edges_from_matrix(matrix: DataFrame, key: str = "city", exclude: Sequence[str] = ()) -> DataFrame:
@@ -33,65 +25,50 @@ def edges_from_matrix(matrix: DataFrame, key: str = "city", exclude: Sequence[st
     return matrix_to_edges(matrix, key, exclude)
 
 
-def greedy_routes(requests: DataFrame, edges: DataFrame, max_steps: int | None = None) -> DataFrame:
-    """Route every ``(req_id, origin, destination)`` greedily.
+def greedy_routes(requests: DataFrame, edges: DataFrame) -> DataFrame:
+    """Route every ``(req_id, origin, destination)`` greedily; each request is in the result.
 
     ``edges``: ``(src, dst, km, ord)``; ``ord`` breaks distance ties (first
     column of the matrix wins, like ``idxmin``).  NULL distances and the
-    diagonal are never taken.  Output per request: ``route`` (array of
-    cities), ``total_km``, ``steps`` and ``error`` (unknown city / dead end).
+    diagonal are never taken, but their cities are known: one without usable
+    distances is a dead end, and a route from a known city to itself has
+    length 0.  Output per request: ``route`` (array of cities), ``total_km``,
+    ``steps`` and ``error`` (unknown city / dead end).
     """
-    ensure_checkpoint_dir(requests.sparkSession)
-    e = edges.filter(F.col("km").isNotNull() & (F.col("src") != F.col("dst"))) \
-        .select("src", "dst", F.col("km").cast("double").alias("km"), "ord")
-    # both inputs are cut once: every step re-reads them, never their lineage
-    e = cut_lineage(e)
-    n_edges = e.count()
-    if n_edges <= BROADCAST_EDGE_LIMIT:  # size checked before the hint
-        e = F.broadcast(e)
-    else:
-        # hash-partitioned by src once; a checkpoint keeps that partitioning,
-        # so each step shuffles only the (small) frontier, not the edges
-        e = cut_lineage(e.repartition("src"))
-    cities = e.select(F.col("src").alias("c")).union(e.select(F.col("dst").alias("c"))).distinct()
-    if max_steps is None:
-        max_steps = cities.count()
-    known = cities.select(F.col("c").alias("_c"))
+    spark = requests.sparkSession
+    table = cut_lineage(edges.select("src", "dst", F.col("km").cast("double").alias("km"), "ord"), "route-edges")
+    cities = table.select(F.col("src").alias("_c")).union(table.select("dst")).distinct()
+    e = table.where(F.col("km").isNotNull() & (F.col("src") != F.col("dst")))
+    root = scratch_dir(spark, "route-steps")
 
-    r = cut_lineage(requests.select("req_id", "origin", "destination"))
-    unknown = r.join(known, r.origin == known._c, "left_anti").unionByName(
-        r.join(known, r.destination == known._c, "left_anti")).dropDuplicates(["req_id"])
-    ok = r.join(unknown.select(F.col("req_id").alias("_bad")), F.col("req_id") == F.col("_bad"), "left_anti")
-    state = ok.select("req_id", "origin", "destination", F.col("origin").alias("cur"),
-                      F.array("origin").alias("route"), F.lit(0.0).alias("total_km"),
-                      F.when(F.col("origin") == F.col("destination"), F.lit("arrived"))
-                      .otherwise(F.lit("open")).alias("status"))
-    state = _checkpoint(state)
-    cols = ["req_id", "origin", "destination", "route", "total_km"]
-    done_parts = [unknown.select("req_id", "origin", "destination", F.lit(None).cast("array<string>").alias("route"),
-                                 F.lit(None).cast("double").alias("total_km"),
-                                 F.lit("unknown city").alias("error"))]
-    for _ in range(max_steps + 1):
-        done_parts.append(state.filter(F.col("status") != "open").select(
-            *cols, F.when(F.col("status") == "dead", F.lit("dead end")).alias("error")))
-        frontier = state.filter(F.col("status") == "open")
+    r = requests.select("req_id", "origin", "destination")
+    known = r.join(cities, F.col("origin") == F.col("_c"), "left").withColumnRenamed("_c", "_from") \
+        .join(cities, F.col("destination") == F.col("_c"), "left")
+    state = known.select(
+        "req_id", "origin", "destination", F.col("origin").alias("cur"), F.array("origin").alias("route"),
+        F.lit(0.0).alias("total_km"),
+        F.when(F.col("_from").isNull() | F.col("_c").isNull(), F.lit("unknown"))
+        .when(F.col("origin") == F.col("destination"), F.lit("arrived")).otherwise(F.lit("open")).alias("status"))
+    step = 0
+    while True:  # ends: every step adds a city to each open route, or closes it
+        state.write.parquet(f"{root}/step={step}")
+        frontier = spark.read.schema(state.schema).parquet(f"{root}/step={step}").where("status = 'open'")
         if frontier.isEmpty():
             break
-        cand = frontier.join(e, frontier.cur == e.src) \
-            .filter(~F.array_contains(F.col("route"), F.col("dst")))
-        best = cand.groupBy("req_id").agg(
-            F.min_by(F.struct("dst", "km"), F.struct("km", "ord")).alias("b"))
-        stepped = frontier.join(best, "req_id", "left")
+        best = (frontier.join(e, frontier.cur == e.src).where(~F.array_contains("route", F.col("dst")))
+                .groupBy("req_id").agg(F.min_by(F.struct("dst", "km"), F.struct("km", "ord")).alias("b")))
         nxt = F.col("b.dst")
-        state = stepped.select(
-            "req_id", "origin", "destination",
-            F.coalesce(nxt, F.col("cur")).alias("cur"),
+        state = frontier.join(best, "req_id", "left").select(
+            "req_id", "origin", "destination", F.coalesce(nxt, F.col("cur")).alias("cur"),
             F.when(nxt.isNotNull(), F.array_append("route", nxt)).otherwise(F.col("route")).alias("route"),
             (F.col("total_km") + F.coalesce(F.col("b.km"), F.lit(0.0))).alias("total_km"),
             F.when(nxt.isNull(), F.lit("dead"))
             .when(nxt == F.col("destination"), F.lit("arrived")).otherwise(F.lit("open")).alias("status"))
-        state = _checkpoint(state)
-    out = done_parts[0]
-    for p in done_parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("steps", F.array_size("route") - 1)
+        step += 1
+    done = spark.read.schema(state.schema).parquet(root).where("status != 'open'")
+    lost = F.col("status") == "unknown"
+    return done.select(
+        "req_id", "origin", "destination", F.when(~lost, F.col("route")).alias("route"),
+        F.when(~lost, F.col("total_km")).alias("total_km"),
+        F.when(lost, F.lit("unknown city")).when(F.col("status") == "dead", F.lit("dead end")).alias("error"),
+    ).withColumn("steps", F.array_size("route") - 1)

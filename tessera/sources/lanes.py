@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
 from tessera.sources.tables import Tables
 
 ISLANDS = ("NATION_23", "NATION_24")  # excluded from routing, like the island cities
@@ -21,12 +22,12 @@ def lane_keys(t: Tables) -> DataFrame:
         .join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")) \
         .join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")) \
         .join(s.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    return x.select(F.col("c_nationkey").alias("a"), F.col("s_nationkey").alias("b")).distinct()
+    return cut_lineage(x.select(F.col("c_nationkey").alias("a"), F.col("s_nationkey").alias("b")).distinct(), "lanes")
 
 
-def lane_edges(t: Tables) -> DataFrame:
+def lane_edges(t: Tables, lanes: DataFrame | None = None) -> DataFrame:
     """``(src, dst, km, ord)`` by nation name; ``ord`` = destination key."""
-    k = lane_keys(t)
+    k = lane_keys(t) if lanes is None else lanes
     n = t.nation
     na = n.select(F.col("n_nationkey").alias("_a"), F.col("n_name").alias("src"))
     nb = n.select(F.col("n_nationkey").alias("_b"), F.col("n_name").alias("dst"))
@@ -38,9 +39,9 @@ def lane_edges(t: Tables) -> DataFrame:
         .filter(~F.col("src").isin(list(ISLANDS)) & ~F.col("dst").isin(list(ISLANDS)))
 
 
-def route_requests(t: Tables) -> DataFrame:
+def route_requests(t: Tables, lanes: DataFrame | None = None) -> DataFrame:
     """One request per lane (islands included: they come back as errors)."""
-    k = lane_keys(t)
+    k = lane_keys(t) if lanes is None else lanes
     n = t.nation
     na = n.select(F.col("n_nationkey").alias("_a"), F.col("n_name").alias("origin"))
     nb = n.select(F.col("n_nationkey").alias("_b"), F.col("n_name").alias("destination"))
