@@ -7,7 +7,9 @@ machine-local paths.  ``get_session`` is for tests, the bench and local use.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -38,7 +40,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         b = b.master(master)
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -52,35 +54,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs and tests) a private folder under the system temp dir is
-    created and registered; on a cluster the setting always exists.
+    on a ``local[...]`` master (tests, bench) a private folder under the
+    system temp dir is made; on a cluster it must be named, as executors do
+    not share the driver's disk.  The context's folder is set once.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        d = local_scratch(spark.sparkContext.master)
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def local_scratch(master: str) -> str:
+    """A private folder for a local master; refused for any other.  Removed when Python ends."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tessera/{name}/{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into ``spark.checkpoint.dir`` computed only once.
+def cut_lineage(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared scratch folder and read it back.
 
-    An eager ``checkpoint()`` runs the plan for its action and again for the
-    checkpoint write unless the data is persisted first; persisting for the
-    duration of the write avoids the second computation.  The returned frame
-    reads the checkpoint files, so lineage (and recomputation after a lost
-    executor) starts there.
+    What follows starts at the written files (a lost executor costs no
+    recomputation) and, unlike a checkpointed RDD, its scans are pruned.
     """
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = kept.checkpoint(eager=True)
-    kept.unpersist(blocking=False)
-    return out
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
