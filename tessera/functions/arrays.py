@@ -27,11 +27,6 @@ def normalise_items(arr: Column) -> Column:
     return F.transform(arr, normalise_key)
 
 
-def append_visited(arr: Column, item: Column) -> Column:
-    """ARR4: visited-list append."""
-    return F.array_append(arr, item)
-
-
 def join_list(arr: Column, sep: str = " -> ") -> Column:
     """STR10: list → string."""
     return F.array_join(arr, sep)

@@ -43,18 +43,12 @@ def distinct_values(df: DataFrame, c: str, dropna: bool = True) -> DataFrame:
     return (d.dropna() if dropna else d).distinct()
 
 
-def median_where(c: str, cond: Column, approx: bool = False) -> Column:
+def median_where(c: str, cond: Column) -> Column:
     """AGG13: median of the values meeting ``cond`` (e.g. positive only)."""
     v = F.when(cond, F.col(c))
-    return F.percentile_approx(v, 0.5, 10000) if approx else F.median(v)
+    return F.median(v)
 
 
 def py_round(c: Column, digits: int = 2) -> Column:
     """MTH2: Python/NumPy rounding of exact ties is half-to-even."""
     return F.bround(c, digits)
-
-
-def rank_with_ties_first(df: DataFrame, score: str, ord_col: str) -> DataFrame:
-    """SRT5 as a column: position in the stable descending order."""
-    return df.withColumn("posicio", F.row_number().over(
-        Window.orderBy(F.desc(score), F.asc(ord_col))))

@@ -49,30 +49,41 @@ def duplicate_counts(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """AGG19: pandas ``describe``: numeric moments and, for text, count /
-    unique / top / freq.  Output ``(column, stat, value)`` as text."""
+    """AGG19: pandas ``describe``: numeric moments with interpolated quartiles
+    and, for text, count / unique / top / freq.
+
+    Output ``(column, stat, value double, text)``; ``text`` holds ``top`` only.
+    All numeric columns are one aggregate; the exact quartiles keep a
+    value-to-count map per column, bounded by its distinct values.
+    """
     cols = list(cols or df.columns)
     fields = {f.name: f.dataType for f in df.schema.fields}
     num = [c for c in cols if isinstance(fields[c], _NUM)]
-    txt = [c for c in cols if c not in num]
     parts = []
     if num:
-        s = df.select(*[_q(c) for c in num]).summary("count", "mean", "stddev", "min", "25%",
-                                                     "50%", "75%", "max")
-        parts.append(s.unpivot("summary", num, "column", "value")
-                     .select("column", F.col("summary").alias("stat"), "value"))
-    for c in txt:
-        counts = df.groupBy(F.col(_q(c)).cast("string").alias("v")).count()
-        nn = F.col("v").isNotNull()
-        row = counts.agg(
-            F.sum(F.when(nn, F.col("count"))).alias("count"),
-            F.count("v").alias("unique"),
-            F.min_by(F.when(nn, F.col("v")), F.when(nn, F.struct(-F.col("count"), F.col("v")))).alias("top"),
-            F.max(F.when(nn, F.col("count"))).alias("freq"))
-        parts.append(row.select(F.lit(c).alias("column"), F.explode(F.array(
-            *[F.struct(F.lit(k).alias("stat"), F.col(k).cast("string").alias("value"))
-              for k in ("count", "unique", "top", "freq")])).alias("s"))
-            .select("column", "s.stat", "s.value"))
+        def stats(i, c):
+            x = F.col(_q(c)).cast("double")
+            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+            return [F.count(x).cast("double").alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev(x).alias(f"s{i}"),
+                    F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
+        one = df.agg(*[a for i, c in enumerate(num) for a in stats(i, c)])
+        rows = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("stat"), v.alias("value"))
+                for i, c in enumerate(num) for k, v in (
+                    ("count", F.col(f"n{i}")), ("mean", F.col(f"m{i}")), ("std", F.col(f"s{i}")), ("min", F.col(f"lo{i}")),
+                    ("25%", F.col(f"q{i}")[0]), ("50%", F.col(f"q{i}")[1]), ("75%", F.col(f"q{i}")[2]), ("max", F.col(f"hi{i}")))]
+        parts.append(one.select(F.explode(F.array(*rows)).alias("r")).select(
+            "r.column", "r.stat", "r.value", F.lit(None).cast("string").alias("text")))
+    for c in (c for c in cols if c not in num):
+        counts = df.where(F.col(_q(c)).isNotNull()).groupBy(F.col(_q(c)).cast("string").alias("v")).count()
+        row = counts.agg(F.sum("count").cast("double").alias("count"), F.count("v").cast("double").alias("unique"),
+                         F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("top"),
+                         F.max("count").cast("double").alias("freq"))
+        none = F.lit(None)
+        parts.append(row.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.lit(k).alias("stat"),
+                     (none.cast("double") if k == "top" else F.col(k)).alias("value"),
+                     (F.col(k) if k == "top" else none.cast("string")).alias("text"))
+            for k in ("count", "unique", "top", "freq")])).alias("s")).select("s.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -91,14 +102,19 @@ def shape_report(df: DataFrame, before: DataFrame | None = None) -> DataFrame:
     return r
 
 
-def dtypes_report(df: DataFrame) -> list[tuple[str, str]]:
-    """AGG20: schema only (no job)."""
-    return df.dtypes
+def column_report(df: DataFrame) -> DataFrame:
+    """AGG20: type and non-NULL count per column, ``(metric, column, value, text)``; one scan."""
+    counts = df.agg(*[F.count(_q(c)).alias(c) for c in df.columns]).unpivot([], [F.col(_q(c)) for c in df.columns], "column", "value")
+    types = F.create_map(*[F.lit(x) for c, t in df.dtypes for x in (c, t)])
+    return counts.select(F.lit("non_null").alias("metric"), "column", "value", types[F.col("column")].alias("text"))
 
 
 def exploration_report(df: DataFrame, key: str | None = None) -> DataFrame:
-    """PRF2: shape + duplicates (+ key duplicates) as ``(metric, value)``."""
-    return shape_report(df).unionByName(duplicate_counts(df, key))
+    """PRF2: shape, duplicate rows and keys, then type and non-NULL count of
+    every column, as ``(metric, column, value, text)``."""
+    none = F.lit(None).cast("string")
+    shape = shape_report(df).unionByName(duplicate_counts(df, key))
+    return shape.select("metric", none.alias("column"), "value", none.alias("text")).unionByName(column_report(df))
 
 
 def profile_table(df: DataFrame, top: int = 10, bins: int = 10) -> DataFrame:

@@ -1,56 +1,41 @@
 """Joins, aggregates, sorts and set operations that need more than one
 built-in call (JN13-JN16, AGG11-AGG26, SRT5, SET2, SET3).
-
-Lookup tables here are *dimensions*: when they are literal (a handful of
-codes) they are built with ``createDataFrame`` and broadcast — their size is
-fixed by the caller, not by the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_LITERAL_LOOKUP = 10_000  # rows; above this a lookup is a regular join
 
 
 class LookupMissError(ValueError):
-    """Raised by ``lookup(..., on_miss='error')`` when keys are unmapped."""
-
-
-def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
-    """SRC11/SRC12: inline rows as a DataFrame."""
-    return spark.createDataFrame(list(rows), schema)
-
-
-def mapping_table(spark: SparkSession, mapping: Mapping, key: str, value: str,
-                  key_type: str = "string", value_type: str = "double") -> DataFrame:
-    """A ``dict`` lookup as a two-column dimension."""
-    return spark.createDataFrame(list(mapping.items()), f"{key} {key_type}, {value} {value_type}")
+    """Raised by ``check_no_misses`` when keys are unmapped."""
 
 
 def lookup(df: DataFrame, dim: DataFrame, left_key: str | Column, dim_key: str,
-           on_miss: str = "null", keep_col: str | None = None,
-           broadcast: bool | None = None) -> DataFrame:
+           on_miss: str = "null", keep_col: str | None = None) -> DataFrame:
     """JN13/JN14/JN15: one lookup operator, three miss policies.
 
     * ``'null'``  — ``Series.map``: unmapped → NULL columns (left join).
     * ``'keep'``  — ``Series.replace``: unmapped keeps ``keep_col``'s value;
       the dimension's single value column replaces ``keep_col`` otherwise.
-    * ``'error'`` — dict ``[]``: rows whose key is unmapped are reported
-      with ``find_misses`` / raise in ``check_no_misses``; the join is inner.
+    * ``'error'`` — dict ``[]``: the job fails on the first row whose key is
+      unmapped (also a NULL one); no row is dropped.
 
-    ``broadcast`` defaults to "dimension built from a literal" — callers
-    passing a data-sized dimension leave it to Spark's size-based choice.
+    No broadcast is forced: Spark chooses from the dimension's size in bytes.
     """
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
-    d = F.broadcast(dim) if broadcast else dim
-    how = "inner" if on_miss == "error" else "left"
-    renamed = d.withColumnRenamed(dim_key, "_lk")
-    out = df.join(renamed, lk == renamed._lk, how).drop("_lk")
+    renamed = dim.withColumnRenamed(dim_key, "_lk")
+    out = df.join(renamed, lk == renamed._lk, "left")
+    if on_miss == "error":
+        # checked in the same job, on a value that the caller reads
+        missing = F.raise_error(F.concat(F.lit("unmapped key: "), F.coalesce(lk.cast("string"), F.lit("NULL"))))
+        for c in dim.columns:
+            if c != dim_key:
+                out = out.withColumn(c, F.when(F.col("_lk").isNull(), missing).otherwise(F.col(c)))
+    out = out.drop("_lk")
     if on_miss == "keep":
         if keep_col is None:
             raise ValueError("on_miss='keep' needs keep_col")
@@ -68,7 +53,7 @@ def find_misses(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str) -> D
 
 def check_no_misses(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str) -> None:
     """JN13 strict mode: raise when any key is unmapped (one cheap job)."""
-    miss = find_misses(df, dim, left_key, dim_key).select(left_key).limit(5).collect()
+    miss = find_misses(df, dim, left_key, dim_key).select(left_key).limit(5).collect()  # five for the message
     if miss:
         raise LookupMissError(f"unmapped {left_key}: {[r[0] for r in miss]}")
 
@@ -88,7 +73,9 @@ def transform_agg(df: DataFrame, group: str, col: str, fn: str = "median",
     g = df.groupBy(F.col(group).alias("_g")).agg(agg(col).alias(out))
     if null_group_is_null:
         g = g.filter(F.col("_g").isNotNull())
-    return df.join(g, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
+    # plain equality lets Catalyst drop the join where the statistic is not read
+    same = F.col(group) == F.col("_g") if null_group_is_null else F.col(group).eqNullSafe(F.col("_g"))
+    return df.join(g, same, "left").drop("_g")
 
 
 def fill_from_group_then_global(df: DataFrame, group: str, col: str, fn: str = "median") -> DataFrame:
@@ -157,8 +144,8 @@ def group_stats(df: DataFrame, group: str, col: str, digits: int = 2,
 def share_of_rows(df: DataFrame, group: str) -> DataFrame:
     """AGG24: share of rows per group (count / total)."""
     g = df.groupBy(group).agg(F.count("*").alias("n"))
-    total = df.select(F.count("*")).scalar()
-    return g.withColumn("share", F.col("n") / total)
+    # the total is summed over the group table: the rows are read once
+    return g.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
 
 
 def group_gap(df: DataFrame, by: str, split_col: str, a: str, b: str, value: str,
