@@ -4,9 +4,9 @@
 Every step is a pure ``DataFrame -> DataFrame`` function.  Statistics used
 for imputation (group medians/means, global medians) are aggregates joined
 back or scalar subqueries — each is one partial+final aggregate, never a
-window that buffers a whole group.  ``median`` is exact (the aggregate keeps
+window that buffers a whole group.  ``median`` is exact: the aggregate keeps
 a value→count map, bounded by the number of *distinct* values, e.g. salary
-cents in a fixed range); ``approx=True`` switches to ``percentile_approx``.
+cents in a fixed range.
 """
 
 from __future__ import annotations
@@ -59,14 +59,13 @@ DEFAULT_POLICY = {
 STAT_DIGITS = 6  # imputed statistics are kept to 1e-6 (far below a cent)
 
 
-def _median(c: str | Column, approx: bool = False) -> Column:
-    """Exact (interpolated) median, or ``percentile_approx`` for huge groups.
+def _median(c: str | Column) -> Column:
+    """Exact (interpolated) median.
 
     Rounded to ``STAT_DIGITS`` so the value does not depend on the engine's
     interpolation formula (``(a+b)/2`` vs ``a+(b-a)/2`` differ in the last bit).
     """
-    m = F.percentile_approx(c, 0.5, 10000) if approx else F.median(c)
-    return F.round(m, STAT_DIGITS)
+    return F.round(F.median(c), STAT_DIGITS)
 
 
 # ------------------------------------------------------------------ CLN1 / CLN2 / CLN4
@@ -104,7 +103,7 @@ def repair_text(df: DataFrame) -> DataFrame:
                            if isinstance(f.dataType, T.StringType) and not f.name.startswith("_")})
 
 
-def clean_salary(df: DataFrame, group: str = "grup_professional", approx: bool = False,
+def clean_salary(df: DataFrame, group: str = "grup_professional",
                  legacy_order: bool = False, already_parsed: bool = False) -> DataFrame:
     """CLN6 + CLN7 + CLN8: text → number, hundreds → units, group-median
     fill then global-median fill (the global median after the group fill)."""
@@ -114,10 +113,10 @@ def clean_salary(df: DataFrame, group: str = "grup_professional", approx: bool =
         s = parse_amount_text(F.col("salari_mensual"), legacy_order)
         d = df.withColumn("salari_mensual", F.when((s > 0) & (s < 100), s * 100).otherwise(s))
     g = d.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias("_g")) \
-        .agg(_median("salari_mensual", approx).alias("_gm"))
+        .agg(_median("salari_mensual").alias("_gm"))
     d = d.join(g, F.col(group) == F.col("_g"), "left") \
         .withColumn("salari_mensual", F.coalesce("salari_mensual", "_gm")).drop("_g", "_gm")
-    glob = d.select(_median("salari_mensual", approx)).scalar()
+    glob = d.select(_median("salari_mensual")).scalar()
     return d.withColumn("salari_mensual", F.coalesce(F.col("salari_mensual"), glob))
 
 
@@ -146,10 +145,10 @@ def children_fill(d: DataFrame, med: Column) -> DataFrame:
     return d.withColumn("fills", F.col("nombre_fills") > 0).withColumn("no_fills", F.col("nombre_fills") == 0)
 
 
-def children_rules(df: DataFrame, approx: bool = False) -> DataFrame:
+def children_rules(df: DataFrame) -> DataFrame:
     """CLN10: ordered rules; the median is taken after rules 1-3."""
     d = children_flags(df)
-    med = d.select(_median(F.when(F.col("nombre_fills") > 0, F.col("nombre_fills")), approx)).scalar()
+    med = d.select(_median(F.when(F.col("nombre_fills") > 0, F.col("nombre_fills")))).scalar()
     return children_fill(d, med)
 
 
@@ -178,19 +177,19 @@ def car_fill(d: DataFrame, med_km: Column, med_cons: Column) -> DataFrame:
     return d.withColumn("te_cotxe", F.col("km_anuals") > 0)
 
 
-def _positive_medians(d: DataFrame, approx: bool) -> Column:
+def _positive_medians(d: DataFrame) -> Column:
     """One aggregate, evaluated once: medians of positive children counts,
     km and consumption (after the row-wise rules)."""
     pos = lambda c: F.when(F.col(c) > 0, F.col(c))
-    return d.select(F.struct(_median(pos("nombre_fills"), approx).alias("n"),
-                             _median(pos("km_anuals"), approx).alias("km"),
-                             _median(pos("consum_mitja_l_100km"), approx).alias("cons"))).scalar()
+    return d.select(F.struct(_median(pos("nombre_fills")).alias("n"),
+                             _median(pos("km_anuals")).alias("km"),
+                             _median(pos("consum_mitja_l_100km")).alias("cons"))).scalar()
 
 
-def car_rules(df: DataFrame, approx: bool = False) -> DataFrame:
+def car_rules(df: DataFrame) -> DataFrame:
     """CLN11: ordered rules; the medians are taken after rules 1-2."""
     d = car_flags(df)
-    m = _positive_medians(d.withColumn("nombre_fills", F.lit(None).cast("double")), approx)
+    m = _positive_medians(d.withColumn("nombre_fills", F.lit(None).cast("double")))
     return car_fill(d, m.getField("km"), m.getField("cons"))
 
 
@@ -216,7 +215,7 @@ def birth_date(df: DataFrame) -> DataFrame:
         .drop("dia_naixement", "mes_naixement", "any_naixement")
 
 
-def clean_employees(sheet: DataFrame, approx: bool = False, legacy_order: bool = False,
+def clean_employees(sheet: DataFrame, legacy_order: bool = False,
                     cut_lineage: bool = True) -> tuple[DataFrame, DataFrame]:
     """PIP26 end to end.  Returns ``(clean, dropped)``.
 
@@ -224,8 +223,8 @@ def clean_employees(sheet: DataFrame, approx: bool = False, legacy_order: bool =
 
     Plan: every row-wise rule first (key resolution, names, text repair,
     typing, salary parsing and unit repair, children/car rules 1-3), then
-    one reliable checkpoint (``spark.checkpoint.dir``); the statistics are
-    read from that table: group salary medians and city temperature means
+    one written table in the shared scratch folder; the statistics are read
+    from it: group salary medians and city temperature means
     (aggregates joined back), one global aggregate for the three positive
     medians, and the global salary median after the group fill.
     """
@@ -238,8 +237,8 @@ def clean_employees(sheet: DataFrame, approx: bool = False, legacy_order: bool =
     d = car_flags(children_flags(d))
     if cut_lineage:
         d = _cut_lineage(d)
-    meds = _positive_medians(d, approx)
-    d = clean_salary(d, approx=approx, already_parsed=True)
+    meds = _positive_medians(d)
+    d = clean_salary(d, already_parsed=True)
     d = children_fill(d, meds.getField("n"))
     d = car_fill(d, meds.getField("km"), meds.getField("cons"))
     d = fill_temperature(d)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,6 @@ YEAR = "1998"
 AS_OF = "2001-08-01 00:00:00"
 RECENT_DAYS = 30
 VIP_MIN = 500_000
-QUIET_FROM, QUIET_TO = "2001-07-01", "2001-08-01"
 MIDNIGHT_COUNTRY, MIDNIGHT_TS = "NATION_7", "1997-06-18 00:00:00"
 
 _V = M.with_views
@@ -131,16 +131,18 @@ def q_above_mean(spark, d):
     return R.companies_above_mean(src.companies(t), src.transactions(t, False))
 
 
-@query("companies_without_transactions", _V(companies=M.COMPANIES, transactions=M.TRANSACTIONS) + f"""
-SELECT * FROM companies c WHERE NOT EXISTS (
-  SELECT 1 FROM transactions t WHERE c.company_id = t.business_id
-  AND t."timestamp" >= TIMESTAMP '{QUIET_FROM}' AND t."timestamp" < TIMESTAMP '{QUIET_TO}')""")
+@query("companies_without_transactions", _V(companies=M.COMPANIES, transactions=M.TRANSACTIONS) + """
+SELECT * FROM companies c WHERE NOT EXISTS (SELECT 1 FROM transactions t WHERE c.company_id = t.business_id)""")
 def q_no_tx(spark, d):
     t = _t(spark, d)
-    tx = src.transactions(t, False).filter(
-        (F.col("timestamp") >= F.lit(QUIET_FROM).cast("timestamp_ntz"))
-        & (F.col("timestamp") < F.lit(QUIET_TO).cast("timestamp_ntz")))
-    return R.companies_without_transactions(src.companies(t), tx)
+    return R.companies_without_transactions(src.companies(t), src.transactions(t, False))
+
+
+@query("users_without_declines", _V(users=M.USERS, transactions=M.TRANSACTIONS) + """
+SELECT * FROM users u WHERE NOT EXISTS (SELECT 1 FROM transactions t WHERE t.user_id = u.user_id AND t.declined)""")
+def q_users_no_declines(spark, d):
+    t = _t(spark, d)
+    return R.users_without_transactions(src.users(t), src.transactions(t, False).filter("declined"))
 
 
 # ------------------------------------------------------------------ PIP3 / PIP4
@@ -248,7 +250,81 @@ def q_ranking(spark, d):
     return R.product_sales_ranking_lines(src.products_silver(src.products(t)), src.transaction_lines(t))
 
 
+# The same questions on rows that hold a list: one basket per order line, whose
+# list is made of that row's own keys (no list is collected from several rows).
+_BASKET_SQL = """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id,
+ CAST(l_partkey AS VARCHAR) || ', ' || CAST(l_suppkey AS VARCHAR) || ', ' || CAST(l_partkey AS VARCHAR)
+   || CASE WHEN l_linenumber % 3 = 0 THEN ', x' ELSE '' END AS product_ids,
+ l_extendedprice AS amount, CASE WHEN l_returnflag = 'R' THEN '1' ELSE '0' END AS declined,
+ l_shipdate AS "timestamp" FROM lineitem"""
+
+
+def _baskets(spark, d) -> DataFrame:
+    k = F.col("l_partkey").cast("string")
+    return _t(spark, d).lineitem.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
+        F.concat(F.concat_ws(", ", k, F.col("l_suppkey").cast("string"), k),
+                 F.when(F.col("l_linenumber") % 3 == 0, F.lit(", x")).otherwise(F.lit(""))).alias("product_ids"),
+        F.col("l_extendedprice").alias("amount"),
+        F.when(F.col("l_returnflag") == "R", F.lit("1")).otherwise(F.lit("0")).alias("declined"),
+        F.col("l_shipdate").alias("timestamp"))
+
+
+def _silver_baskets(spark, d) -> DataFrame:
+    from tessera.functions.arrays import id_list
+    return _baskets(spark, d).withColumn("product_ids", id_list(F.col("product_ids")))
+
+
+@query("basket_membership", _V(t=_BASKET_SQL, p=M.PRODUCTS) + """
+SELECT p.product_id AS id, p.name AS product_name, count(*) AS veces_vendido
+FROM (SELECT unnest(list_distinct(string_split(replace(product_ids, ' ', ''), ','))) AS m FROM t) x
+JOIN p ON x.m = CAST(p.product_id AS VARCHAR) GROUP BY p.product_id, p.name""")
+def q_basket_membership(spark, d):
+    return R.product_sales_membership(_baskets(spark, d), src.products(_t(spark, d)))
+
+
+@query("basket_ranking", _V(t=_BASKET_SQL, p=M.SILVER_PRODUCTS) + """
+SELECT p.product_id, p.name, p.price, p.colour, count(f.k) AS total_sold
+FROM p LEFT JOIN (SELECT TRY_CAST(unnest(string_split(product_ids, ', ')) AS BIGINT) AS k FROM t) f ON p.product_id = f.k
+GROUP BY p.product_id, p.name, p.price, p.colour""")
+def q_basket_ranking(spark, d):
+    return R.product_sales_ranking(src.products_silver(src.products(_t(spark, d))), _silver_baskets(spark, d))
+
+
+_BASKET_FLAT = _V(t=_BASKET_SQL, p=M.SILVER_PRODUCTS) + """
+, x AS (SELECT transaction_id, "timestamp", amount AS total_ticket,
+   TRY_CAST(unnest(string_split(product_ids, ', ')) AS BIGINT) AS product_sku FROM t WHERE declined = '0')
+, f AS (SELECT x.*, p.name AS product_name, p.price AS product_price, p.price * 1.21 AS producto_price_tax_inc,
+   p.category FROM x JOIN p ON x.product_sku = p.product_id)
+"""
+
+
+@query("basket_flat_sales", _BASKET_FLAT + "SELECT * FROM f")
+def q_basket_flat(spark, d):
+    return R.flat_sales(_silver_baskets(spark, d), src.products_silver(src.products(_t(spark, d))))
+
+
+@query("basket_top_products", _BASKET_FLAT + """
+SELECT product_name, count(product_sku) AS total_vendido FROM f GROUP BY product_name
+ORDER BY total_vendido DESC, product_name LIMIT 5""")
+def q_basket_top(spark, d):
+    return R.top_products(q_basket_flat(spark, d))
+
+
 # ------------------------------------------------------------------ PIP11 silver
+@query("silver_companies", _V(c=M.COMPANIES) + "SELECT * FROM c")
+def q_silver_companies(spark, d):
+    return src.companies(_t(spark, d))
+
+
+@query("silver_cards", """SELECT c_custkey AS card_id, c_custkey AS user_id,
+ 'XX' || lpad(CAST(c_custkey AS VARCHAR), 20, '0') AS iban,
+ make_date(CASE WHEN (c_custkey * 7) % 100 < 70 THEN 2000 ELSE 1900 END + CAST((c_custkey * 7) % 100 AS INTEGER),
+   CAST(c_custkey % 12 + 1 AS INTEGER), CAST(c_custkey % 28 + 1 AS INTEGER)) AS expiring_date FROM customer""")
+def q_silver_cards(spark, d):
+    return src.cards(_t(spark, d))
+
+
 @query("silver_transactions", _V(t=M.SILVER_TRANSACTIONS) + """
 SELECT transaction_id, card_id, business_id, "timestamp", amount, declined,
  len(string_split(product_ids, ', ')) AS n_products,
@@ -517,6 +593,7 @@ def q_insurance_answers(spark, d):
 
 
 # ================================================================== employees (PIP26-PIP31)
+from tessera.operators import quality as Q  # noqa: E402
 from tessera.plans import employees as E  # noqa: E402
 from tessera.sources import survey as SV  # noqa: E402
 
@@ -524,8 +601,20 @@ _CLEAN_COLS = ("_ord, nom, cognoms, dni, pais_origen, ciutat, genere, salari_men
                "nombre_fills, te_cotxe, km_anuals, consum_mitja_l_100km, temperatura_mitjana_ciutat, data_naixement")
 
 
+_CLEANED: dict[tuple[str, str], str] = {}  # (application, input) -> the silver table of this session
+
+
 def _clean(spark, d):
-    return E.clean_employees(SV.survey_sheet(_t(spark, d)))[0]
+    """The silver employee table: cleaned and written once per session and input, read by every report."""
+    key = (spark.sparkContext.applicationId, d)
+    if key in _CLEANED:
+        try:
+            return spark.read.parquet(_CLEANED[key])
+        except AnalysisException:  # the scratch folder was emptied meanwhile: clean again
+            pass
+    _CLEANED[key] = scratch_dir(spark, "employees_silver")
+    E.clean_employees(SV.survey_sheet(_t(spark, d)))[0].write.parquet(_CLEANED[key])
+    return spark.read.parquet(_CLEANED[key])
 
 
 def _priced(spark, d):
@@ -548,7 +637,8 @@ SELECT _ord, "DNI", CASE WHEN "DNI" IN (SELECT k FROM keys_ WHERE ids > 1) THEN
   ELSE 'resubmitted_duplicate' END AS reason
 FROM ranked WHERE "DNI" IN (SELECT k FROM keys_ WHERE ids > 1) OR rn > 1""")
 def q_emp_dropped(spark, d):
-    return E.clean_employees(SV.survey_sheet(_t(spark, d)))[1].select("_ord", "DNI", "reason")
+    return Q.resolve_key_conflicts(SV.survey_sheet(_t(spark, d)), "DNI", E.IDENTITY_COLS, "_ord")[1].select(
+        "_ord", "DNI", "reason")
 
 
 @query("salary_by_gender", "WITH " + S.CLEAN + """
@@ -682,31 +772,76 @@ def q_profile(spark, d):
     return profile_table(_clean(spark, d).drop("_ord"))
 
 
-@query("exploration_report")
+_SHEET_COLUMNS = ("Nom", "Cognoms", "DNI", "País d'origen", "Ciutat", "Dia de Naixement", "Mes de Naixement",
+                  "Any de Naixement", "Gènere", "Salari mensual", "Fills", "No Fills", "Grup Professional",
+                  "Nombre_fills", "Te_cotxe", "Km_anuals", "Consum_mitja_L_100km", "Temperatura_mitjana_ciutat")
+
+
+@query("exploration_report", "WITH " + S.SHEET + """, s AS (SELECT * EXCLUDE (_ord) FROM sheet)
+SELECT 'rows' AS metric, NULL::VARCHAR AS "column", count(*) AS value, NULL::VARCHAR AS text FROM s
+UNION ALL SELECT 'columns', NULL, count(*), NULL FROM (DESCRIBE s)
+UNION ALL SELECT 'duplicate_rows', NULL, (SELECT count(*) FROM s) - count(*), NULL FROM (SELECT DISTINCT * FROM s)
+UNION ALL SELECT 'duplicate_keys', NULL, (SELECT count(*) FROM s) - count(*), NULL FROM (SELECT DISTINCT "DNI" FROM s)
+""" + "".join(f"""UNION ALL SELECT 'non_null', '{c.replace("'", "''")}', count("{c}"), 'string' FROM s
+""" for c in _SHEET_COLUMNS))
 def q_explore(spark, d):
     from tessera.operators.profile import exploration_report
     return exploration_report(SV.survey_sheet(_t(spark, d)).drop("_ord"), "DNI")
 
 
-@query("describe_employees")
+def _described(num, txt) -> str:
+    """Two-argument describe in SQL: numeric moments and quartiles, then counts of text."""
+    parts = [f"""SELECT '{c}' AS "column", unnest(['count', 'mean', 'std', 'min', '25%', '50%', '75%', 'max']) AS stat,
+      unnest([count({c})::DOUBLE, avg({c}), stddev({c}), min({c}), quantile_cont({c}, 0.25), quantile_cont({c}, 0.5),
+      quantile_cont({c}, 0.75), max({c})]) AS value, NULL::VARCHAR AS text FROM clean""" for c in num]
+    parts += [f"""SELECT '{c}', unnest(['count', 'unique', 'top', 'freq']),
+      unnest([sum(n)::DOUBLE, count(*)::DOUBLE, NULL, max(n)::DOUBLE]), unnest([NULL, NULL, arg_min({c}, (-n, {c})), NULL])
+      FROM (SELECT {c}, count(*) AS n FROM clean WHERE {c} IS NOT NULL GROUP BY 1)""" for c in txt]
+    return 'SELECT "column", stat, round(value, 4) AS value, text FROM (' + " UNION ALL ".join(parts) + ")"
+
+
+@query("describe_employees", "WITH " + S.CLEAN + _described(["salari_mensual", "km_anuals"], ["genere", "ciutat"]))
 def q_describe(spark, d):
     from tessera.operators.profile import describe
-    return describe(_clean(spark, d), ["salari_mensual", "km_anuals", "genere", "ciutat"])
+    return describe(_clean(spark, d), ["salari_mensual", "km_anuals", "genere", "ciutat"]).withColumn(
+        "value", F.round("value", 4))
 
 
 # ================================================================== routes (PIP12)
-@query("nearest_routes")
+@query("nearest_routes", """WITH RECURSIVE lanes AS (
+  SELECT DISTINCT c_nationkey AS a, s_nationkey AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
+named AS (SELECT a, b, x.n_name AS src, y.n_name AS dst,
+  CASE WHEN a = b THEN 0.0 ELSE 50 + ((least(a, b) + 1) * (greatest(a, b) + 1) * 37 + (a + b) * 11) % 997 END::DOUBLE AS km
+  FROM lanes JOIN nation x ON a = x.n_nationkey JOIN nation y ON b = y.n_nationkey),
+edges AS (SELECT * FROM named WHERE src NOT IN ('NATION_23', 'NATION_24') AND dst NOT IN ('NATION_23', 'NATION_24')),
+cities AS (SELECT src AS c FROM edges UNION SELECT dst FROM edges),
+ways AS (SELECT src, dst, km, b AS ord FROM edges WHERE src <> dst),
+walk(req_id, origin, destination, cur, path, total_km, status) AS (
+  SELECT a * 1000 + b, src, dst, src, [src], 0.0::DOUBLE,
+    CASE WHEN src NOT IN (FROM cities) OR dst NOT IN (FROM cities) THEN 'unknown city'
+         WHEN src = dst THEN 'arrived' ELSE 'open' END FROM named
+  UNION ALL
+  SELECT req_id, origin, destination, coalesce(dst, cur), CASE WHEN dst IS NULL THEN path ELSE list_append(path, dst) END,
+    total_km + coalesce(km, 0), CASE WHEN dst IS NULL THEN 'dead end' WHEN dst = destination THEN 'arrived' ELSE 'open' END
+  FROM (SELECT w.*, e.dst, e.km, row_number() OVER (PARTITION BY req_id ORDER BY e.km NULLS LAST, e.ord) AS rn
+        FROM walk w LEFT JOIN ways e ON w.cur = e.src AND NOT list_contains(w.path, e.dst) WHERE w.status = 'open') WHERE rn = 1)
+SELECT req_id, origin, destination, CASE WHEN status <> 'unknown city' THEN array_to_string(path, ' -> ') END AS route,
+  CASE WHEN status <> 'unknown city' THEN total_km END AS total_km,
+  CASE WHEN status <> 'unknown city' THEN len(path) - 1 END::INTEGER AS steps,
+  CASE WHEN status <> 'arrived' THEN status END AS error
+FROM walk WHERE status <> 'open'""")
 def q_routes(spark, d):
     from tessera.operators.routes import greedy_routes
-    from tessera.sources.lanes import lane_edges, route_requests
+    from tessera.sources.lanes import lane_edges, lane_keys, route_requests
     t = _t(spark, d)
-    out = greedy_routes(route_requests(t), lane_edges(t))
+    lanes = lane_keys(t)
+    out = greedy_routes(route_requests(t, lanes), lane_edges(t, lanes))
     return out.select("req_id", "origin", "destination", F.array_join("route", " -> ").alias("route"),
                       "total_km", "steps", "error")
 
 
 # ================================================================== data quality (DQ1-DQ3)
-from tessera.operators import quality as Q  # noqa: E402
 
 
 @query("dq_lineitem_primary_key", """WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS n,
@@ -725,7 +860,9 @@ _NN = ("business_id", "product_ids", "amount", "declined", "user_id")
        + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in _NN)
        + " FROM t) UNPIVOT INCLUDE NULLS (nulls FOR \"column\" IN (" + ", ".join(_NN) + "))")
 def q_dq_nn(spark, d):
-    return Q.not_null_violations(src.transactions(_t(spark, d)), list(_NN))
+    # the list is NULL exactly where the order has no line: the line aggregate tells, no list is built
+    t = src.transactions(_t(spark, d), False)
+    return Q.not_null_violations(t.withColumn("product_ids", F.col("business_id").cast("string")), list(_NN))
 
 
 @query("dq_transaction_orphans", _V(t=M.TRANSACTIONS, c=M.COMPANIES, u=M.USERS, k=M.CARDS) + """

@@ -95,14 +95,22 @@ def companies_above_mean(companies: DataFrame, transactions: DataFrame) -> DataF
 
     The mean is a scalar subquery (one global aggregate), then a semi-join."""
     mean = transactions.select(F.avg("amount")).scalar()
-    ids = transactions.filter(F.col("amount") > mean).select("business_id")
+    ids = transactions.filter(F.col("amount") > mean).select("business_id").distinct()
     return companies.join(ids, companies.company_id == ids.business_id, "left_semi") \
         .select("company_name")
 
 
 def companies_without_transactions(companies: DataFrame, transactions: DataFrame) -> DataFrame:
-    """PIP2c/JN9: ``NOT EXISTS`` → left anti join."""
-    return companies.join(transactions, companies.company_id == transactions.business_id, "left_anti")
+    """PIP2c/JN9: ``NOT EXISTS`` → left anti join with the distinct keys, so
+    that a hot company is one row per task before the shuffle."""
+    ids = transactions.select("business_id").distinct()
+    return companies.join(ids, companies.company_id == ids.business_id, "left_anti")
+
+
+def users_without_transactions(users: DataFrame, transactions: DataFrame) -> DataFrame:
+    """JN9 on the second foreign key."""
+    ids = transactions.select(F.col("user_id").alias("_u")).distinct()
+    return users.join(ids, users.user_id == ids._u, "left_anti")
 
 
 def frequent_users(users: DataFrame, transactions: DataFrame, min_count: int = 80) -> DataFrame:
@@ -120,8 +128,9 @@ def mean_spend_per_card_at_company(cards: DataFrame, transactions: DataFrame,
     """PIP4/JN2: mean spend per card IBAN at one company (filtered dimension first)."""
     c = companies.filter(F.col("company_name") == company_name).select("company_id")
     t = transactions.join(c, transactions.business_id == c.company_id, "left_semi")
-    return cards.join(t, cards.card_id == t.card_id).groupBy("iban").agg(
-        _money(F.avg(_exact("amount"))).alias("media_gasto"))
+    per = t.groupBy("card_id").agg(F.sum(_exact("amount")).alias("_sum"), F.count("amount").alias("_n"))
+    return cards.join(per, cards.card_id == per.card_id).groupBy("iban").agg(
+        _money(F.sum("_sum") / F.sum("_n")).alias("media_gasto"))
 
 
 # ---------------------------------------------------------------- PIP5 / PIP6 / PIP7 / PIP8
@@ -281,12 +290,13 @@ def redate(transactions_silver: DataFrame, as_of: str, span: int = 50,
 def write_partitioned_fact(df: DataFrame, path: str, cluster_by: str = "business_id") -> str:
     """SNK2: ``PARTITION BY DATE(timestamp) CLUSTER BY business_id``.
 
-    One shuffle on the date puts each day's rows together (one file per date
-    directory), the sort within partitions clusters by company so Parquet
-    row-group min/max statistics skip other companies.
+    The rebalance puts a day's rows together and splits a day that is larger
+    than the advisory partition size into several files; the sort within
+    partitions clusters by company so Parquet row-group min/max statistics
+    skip other companies.
     """
     out = df.withColumn("date", F.to_date("timestamp"))
-    (out.repartition("date").sortWithinPartitions("date", cluster_by)
+    (out.hint("rebalance", F.col("date")).sortWithinPartitions("date", cluster_by)
         .write.mode("overwrite").partitionBy("date").parquet(path))
     return path
 
@@ -364,8 +374,10 @@ def third_purchase(users: DataFrame, transactions: DataFrame, nth: int = 3) -> D
     nth_row = t.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == nth) \
         .select(F.col("user_id").alias("_u"), F.col("timestamp").alias("data_3a_compra"),
                 F.col("amount").alias("import_3a_compra"))
-    upto = t.join(nth_row, (t.user_id == nth_row._u) & (t.timestamp <= nth_row.data_3a_compra)) \
-        .groupBy("_u").agg(F.avg(_exact("amount")).alias("_mean"))
+    # the history is one row per user and instant before it meets the rank row
+    at = t.groupBy("user_id", "timestamp").agg(F.sum(_exact("amount")).alias("_sum"), F.count("amount").alias("_n"))
+    upto = at.join(nth_row, (at.user_id == nth_row._u) & (at.timestamp <= nth_row.data_3a_compra)) \
+        .groupBy("_u").agg((F.sum("_sum") / F.sum("_n")).alias("_mean"))
     u = users.select("user_id", F.concat("name", F.lit(" "), "surname").alias("nom_complet"), "email")
     return u.join(nth_row, u.user_id.cast("string") == nth_row._u).join(upto, "_u").select(
         "user_id", "nom_complet", "email", _money(F.col("_mean")).alias("compra_media"),
