@@ -5,6 +5,7 @@ import glob
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.routes import greedy_routes
@@ -185,13 +186,41 @@ def test_streaming_batch_replay_is_idempotent(spark, tmp_out):  # SNK4 failure s
     assert got == {dt.date(2024, 1, 1): 3.5}
 
 
-def test_routes_without_broadcast_match(spark, monkeypatch):  # PIP12 large-edge path
-    import tessera.operators.routes as RT
-    monkeypatch.setattr(RT, "BROADCAST_EDGE_LIMIT", 0)
-    names = ["A", "B", "C"]
-    km = [[0.0, 1.0, 5.0], [1.0, 0.0, 2.0], [5.0, 2.0, 0.0]]
-    mx = spark.createDataFrame([(n, *km[i]) for i, n in enumerate(names)], "city string, A double, B double, C double")
-    edges = matrix_to_edges(mx)
-    reqs = spark.createDataFrame([(1, "A", "C")], "req_id int, origin string, destination string")
-    got = RT.greedy_routes(reqs, edges).first()
-    assert got.route == ["A", "B", "C"] and got.total_km == 3.0
+def test_routes_know_every_label(spark):  # PIP12: no request is lost, isolated cities are known
+    edges = spark.createDataFrame([("A", "B", 1.0, 1), ("B", "A", 1.0, 0), ("A", "Z", None, 2), ("Z", "A", None, 0),
+                                   ("B", "C", 2.0, 2), ("A", "C", 5.0, 3)], "src string, dst string, km double, ord int")
+    ask = [(1, "A", "C"), (2, "A", "Z"), (3, "Z", "Z"), (4, "Z", "A"), (5, "A", "Q"), (6, None, "A")]
+    got = {r.req_id: (r.route, r.total_km, r.error) for r in greedy_routes(
+        spark.createDataFrame(ask, "req_id int, origin string, destination string"), edges).collect()}
+    assert got == {1: (["A", "B", "C"], 3.0, None), 2: (["A", "B", "C"], 3.0, "dead end"), 3: (["Z"], 0.0, None),
+                   4: (["Z"], 0.0, "dead end"), 5: (None, None, "unknown city"), 6: (None, None, "unknown city")}
+
+
+def test_scratch_folder_must_be_shared():
+    from tessera.session import local_scratch
+    with pytest.raises(RuntimeError):
+        local_scratch("spark://host:7077")
+    assert local_scratch("local[2]")
+
+
+def test_refresh_reads_touched_directories_only(spark, tmp_out):  # SNK4
+    from tessera.streaming.daily_sales import totals_of
+    rows = [(dt.date(2024, 1, d), 1.0) for d in range(1, 9)]
+    spark.createDataFrame(rows, "date date, amount double").write.partitionBy("date").parquet(f"{tmp_out}/f")
+    plan = totals_of(spark.read.parquet(f"{tmp_out}/f"), [dt.date(2024, 1, 3)])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-03" in plan
+
+
+def test_large_day_becomes_several_files(spark, tmp_out):  # SNK2
+    import glob
+    from tessera.plans.retail import write_partitioned_fact
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(0, 60_000, 1, 8).selectExpr("id as business_id", "md5(cast(id as string)) as note",
+                                                    "timestamp_ntz'2024-01-01 10:00:00' as timestamp")
+        write_partitioned_fact(df, f"{tmp_out}/day")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert len(glob.glob(f"{tmp_out}/day/date=2024-01-01/*.parquet")) > 1
+    assert spark.read.parquet(f"{tmp_out}/day").count() == 60_000

@@ -91,12 +91,15 @@ def test_tax_sql_function(spark):  # UDF1
 def test_lookup_modes(spark):  # JN13/JN14/JN15
     df = spark.createDataFrame([(1, "D"), (2, "x"), (3, None)], "id int, g string")
     dim = spark.createDataFrame([("D", "Dona")], "k string, v string")
-    nul = RL.lookup(df, dim, "g", "k", "null", broadcast=True)
+    nul = RL.lookup(df, dim, "g", "k", "null")
     assert sorted((r.id, r.v) for r in nul.collect()) == [(1, "Dona"), (2, None), (3, None)]
-    keep = RL.lookup(df, dim, "g", "k", "keep", keep_col="g", broadcast=True)
+    keep = RL.lookup(df, dim, "g", "k", "keep", keep_col="g")
     assert sorted((r.id, r.g) for r in keep.collect()) == [(1, "Dona"), (2, "x"), (3, None)]
     with pytest.raises(RL.LookupMissError):
         RL.check_no_misses(df.filter("g is not null"), dim, "g", "k")
+    with pytest.raises(Exception, match="unmapped key: x"):  # a miss fails the job, it drops no row
+        RL.lookup(df.filter("g is not null"), dim, "g", "k", "error").collect()
+    assert RL.lookup(df.filter("g = 'D'"), dim, "g", "k", "error").first().v == "Dona"
 
 
 def test_keep_first_and_argmax(spark):  # SET2, AGG21
@@ -179,8 +182,8 @@ def test_null_and_duplicate_reports(spark):  # AGG18, AGG17, AGG20
 
 def test_describe_text(spark):  # AGG19
     df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "t string")
-    d = {r.stat: r.value for r in P.describe(df).collect()}
-    assert d == {"count": "3", "unique": "2", "top": "b", "freq": "2"}
+    d = {r.stat: r.value if r.text is None else r.text for r in P.describe(df).collect()}
+    assert d == {"count": 3, "unique": 2, "top": "b", "freq": 2}
 
 
 # ------------------------------------------------------------------ quality / mutation

@@ -5,8 +5,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry
+from tessera.plans import retail as R
 from tessera.plans.registry import ORACLE, QUERIES
-from tessera.sources.tables import TABLES
+from tessera.sources import retail as src
+from tessera.sources.tables import TABLES, Tables
 from tools.oracle_check import rows_of
 
 from .conftest import SF_SMALL
@@ -32,7 +34,9 @@ def test_no_bad_plan_nodes(spark, name):
 
 
 def test_column_pruning_and_pushdown(spark):
-    plan = _plan(QUERIES["companies_without_transactions"](spark, SF_SMALL))
+    t = Tables(spark, SF_SMALL)
+    recent = src.transactions(t, False).filter("timestamp >= timestamp_ntz'2001-07-01 00:00:00'")
+    plan = _plan(R.companies_without_transactions(src.companies(t), recent))
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
 

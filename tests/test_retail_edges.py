@@ -47,8 +47,10 @@ def test_profile_and_describe_kinds(spark):  # PRF1, AGG19
     prof = {(r.column, r.kind, r.bucket): r.freq for r in P.profile_table(df, top=10, bins=2).collect()}
     assert prof[("d", "year", "2020")] == 2 and prof[("t", "top_value", "nan")] == 1
     assert prof[("x", "histogram", "00")] == 1 and prof[("x", "histogram", "01")] == 1
-    desc = {(r.column, r.stat): r.value for r in P.describe(df, ["x", "t"]).collect()}
-    assert desc[("x", "count")] == "2" and desc[("x", "mean")] == "2.0" and desc[("t", "top")] == "a"
+    desc = {(r.column, r.stat): r.value if r.text is None else r.text for r in P.describe(df, ["x", "t"]).collect()}
+    assert desc[("x", "count")] == 2 and desc[("x", "mean")] == 2.0 and desc[("t", "top")] == "a"
+    four = P.describe(spark.createDataFrame([(1,), (2,), (3,), (4,)], "x int"))
+    assert {r.stat: r.value for r in four.collect() if "%" in r.stat} == {"25%": 1.75, "50%": 2.5, "75%": 3.25}
     inf = spark.createDataFrame([(float("inf"),), (None,)], "v double")
     rep = P.null_counts(inf, with_infinite=True).first()
     assert (rep.nulls, rep.infinite) == (1, 1)
