@@ -1,10 +1,10 @@
 """Greedy nearest-unvisited routing over a distance table (PIP12, JN17, ARR4).
 
 Re-aimed from "one origin/destination in a Python loop" to a *table of
-route requests* advanced together: each step is one distributed join of
+route requests* advanced together: each hop is one distributed join of
 the open requests with the edge table, a per-request ``min_by`` (partial
-aggregate) picking the closest unvisited city, and an update.  Each step's
-rows are written to a folder of their own below ``spark.checkpoint.dir``:
+aggregate) picking the closest unvisited city, and an update.  After every
+``HOPS`` hops the rows are written to a folder of their own below ``spark.checkpoint.dir``:
 the next step reads the open ones, the result reads the finished ones of all
 steps in one scan, and a lost executor recomputes one step only.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage, scratch_dir
 
+HOPS = 4  # hops between two written steps
 
 def edges_from_matrix(matrix: DataFrame, key: str = "city", exclude: Sequence[str] = ()) -> DataFrame:
     """RSH4: wide matrix → edges, excluded cities removed on both axes."""
@@ -25,6 +26,25 @@ def edges_from_matrix(matrix: DataFrame, key: str = "city", exclude: Sequence[st
     return matrix_to_edges(matrix, key, exclude)
 
 
+def _hop(state: DataFrame, edges: DataFrame) -> DataFrame:
+    """Every open route goes to its closest city not yet visited; others stay as they are.
+
+    One join and one partial aggregate, and the state is read once, so hops can be chained in one plan.
+    """
+    near = state.join(edges, (F.col("cur") == F.col("src")) & (F.col("status") == "open")
+                      & ~F.array_contains("route", F.col("dst")), "left")
+    best = near.groupBy("req_id").agg(
+        F.first(F.struct("origin", "destination", "cur", "route", "total_km", "status")).alias("s"),
+        F.min_by(F.when(F.col("dst").isNotNull(), F.struct("dst", "km")), F.struct("km", "ord")).alias("b"))
+    nxt, status = F.col("b.dst"), F.col("s.status")
+    return best.select(
+        "req_id", "s.origin", "s.destination", F.coalesce(nxt, F.col("s.cur")).alias("cur"),
+        F.when(nxt.isNotNull(), F.array_append("s.route", nxt)).otherwise(F.col("s.route")).alias("route"),
+        (F.col("s.total_km") + F.coalesce(F.col("b.km"), F.lit(0.0))).alias("total_km"),
+        F.when(status != "open", status).when(nxt.isNull(), F.lit("dead"))
+        .when(nxt == F.col("s.destination"), F.lit("arrived")).otherwise(F.lit("open")).alias("status"))
+
+
 def greedy_routes(requests: DataFrame, edges: DataFrame) -> DataFrame:
     """Route every ``(req_id, origin, destination)`` greedily; each request is in the result.
 
@@ -50,20 +70,13 @@ def greedy_routes(requests: DataFrame, edges: DataFrame) -> DataFrame:
         F.when(F.col("_from").isNull() | F.col("_c").isNull(), F.lit("unknown"))
         .when(F.col("origin") == F.col("destination"), F.lit("arrived")).otherwise(F.lit("open")).alias("status"))
     step = 0
-    while True:  # ends: every step adds a city to each open route, or closes it
+    while True:  # ends: every hop adds a city to each open route, or closes it
         state.write.parquet(f"{root}/step={step}")
-        frontier = spark.read.schema(state.schema).parquet(f"{root}/step={step}").where("status = 'open'")
-        if frontier.isEmpty():
+        state = spark.read.schema(state.schema).parquet(f"{root}/step={step}").where("status = 'open'")
+        if state.isEmpty():
             break
-        best = (frontier.join(e, frontier.cur == e.src).where(~F.array_contains("route", F.col("dst")))
-                .groupBy("req_id").agg(F.min_by(F.struct("dst", "km"), F.struct("km", "ord")).alias("b")))
-        nxt = F.col("b.dst")
-        state = frontier.join(best, "req_id", "left").select(
-            "req_id", "origin", "destination", F.coalesce(nxt, F.col("cur")).alias("cur"),
-            F.when(nxt.isNotNull(), F.array_append("route", nxt)).otherwise(F.col("route")).alias("route"),
-            (F.col("total_km") + F.coalesce(F.col("b.km"), F.lit(0.0))).alias("total_km"),
-            F.when(nxt.isNull(), F.lit("dead"))
-            .when(nxt == F.col("destination"), F.lit("arrived")).otherwise(F.lit("open")).alias("status"))
+        for _ in range(HOPS):
+            state = _hop(state, e)
         step += 1
     done = spark.read.schema(state.schema).parquet(root).where("status != 'open'")
     lost = F.col("status") == "unknown"

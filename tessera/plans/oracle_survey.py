@@ -1,8 +1,11 @@
 """DuckDB twins of the survey and scoring inputs and of the cleaning steps
 (the independent oracle for ``plans.employees`` / ``plans.scoring``)."""
 
-from tessera.functions.text import MOJIBAKE_FIXES
-
+#: Fixed values, written out a second time: damaged text and what it stands for, in order of repair.
+REPAIRS = (
+    ("Ã±", "ñ"), ("Ã²", "ò"), ("Ã³", "ó"), ("Ãª", "ê"), ("Ã«", "ë"), ("Ã¡", "á"), ("Ã\xa0", "à"), ("Ã ", "à"),
+    ("Ã\xad", "í"), ("Ã­", "í"), ("Ã©", "é"), ("Ã¨", "è"), ("Ãº", "ú"), ("Ã§", "ç"), ("â¬", ""), ("â\xac", ""), ("â\x82¬", ""),
+)
 
 def sq(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -18,11 +21,13 @@ def norm(x: str) -> str:
 
 def fix(x: str) -> str:
     out = x
-    for bad, good in MOJIBAKE_FIXES:
+    for bad, good in REPAIRS:
         out = f"replace({out}, {sq(bad)}, {sq(good)})"
     return out
 
 
+DAMAGED = "[" + ", ".join(sq("n" + bad + "z") for bad, _ in REPAIRS) + "]"
+
 SHEET = """
 base AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey
          JOIN region ON n_regionkey = r_regionkey),
@@ -30,7 +35,7 @@ rows_ AS (SELECT *, c_custkey * 2 AS _ord FROM base
           UNION ALL SELECT *, c_custkey * 2 + 1 AS _ord FROM base WHERE c_custkey % 89 = 3),
 cents_ AS (SELECT *, CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM rows_),
 sheet AS (SELECT _ord,
-  CASE WHEN c_custkey % 11 = 3 THEN c_name || ' JosÃ©' ELSE c_name END AS "Nom",
+  CASE WHEN c_custkey % 11 = 3 THEN c_name || ' ' || list_extract(""" + DAMAGED + """, c_custkey % 17 + 1) ELSE c_name END AS "Nom",
   'Cognom' || CAST(c_custkey % 97 AS VARCHAR) AS "Cognoms",
   lpad(CAST(CASE WHEN c_custkey % 97 = 5 THEN c_custkey - 1 ELSE c_custkey END AS VARCHAR), 8, '0') || 'K' AS "DNI",
   r_name AS "País d'origen", n_name AS "Ciutat",

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.text import MOJIBAKE_FIXES
 from tessera.sources.tables import Tables
 
 # Survey header as it appears in the sheet (after header promotion).
@@ -64,9 +65,11 @@ def survey_sheet(t: Tables) -> DataFrame:
               .otherwise(F.lit("euros")))
     gender = F.try_element_at(F.array(*[F.lit(g) for g in GENDER_CODES]), (_m(k, 9) + 1).cast("int"))
     tf = lambda cond_true, cond_false: F.when(cond_true, F.lit("True")).when(cond_false, F.lit("False"))
+    # every damaged sequence of the repair table occurs, one per name
+    damaged = F.element_at(F.array(*[F.lit(f"n{bad}z") for bad, _ in MOJIBAKE_FIXES]), (_m(k, len(MOJIBAKE_FIXES)) + 1).cast("int"))
     return rows.select(
         "_ord",
-        F.when(_m(k, 11) == 3, F.concat(F.col("c_name"), F.lit(" JosÃ©"))).otherwise(F.col("c_name")).alias("Nom"),
+        F.when(_m(k, 11) == 3, F.concat(F.col("c_name"), F.lit(" "), damaged)).otherwise(F.col("c_name")).alias("Nom"),
         F.concat(F.lit("Cognom"), _s(_m(k, 97))).alias("Cognoms"),
         F.concat(F.lpad(_s(dni_num), 8, "0"), F.lit("K")).alias("DNI"),
         F.col("r_name").alias("País d'origen"),
