@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import slices, text_bytes
 from tessera.llm.labelled import Adam, fitted, labelled_sample, sigmoid
 
-PER_CLASS, STEPS = 3000, 120
+PER_CLASS, STEPS, SLICE_BYTES = 3000, 120, 2 << 20
 #: The score from which a document counts as good.
 GOOD = 0.3
 N_MEASURES = 11
@@ -151,15 +151,34 @@ def _unary(features: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.stack([np.zeros_like(bad), bad], 1)
 
 
+def measured(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``line_measures`` of any number of texts, ``SLICE_BYTES`` at a time, as its work arrays are many times the text."""
+    parts, held, size = [], [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= SLICE_BYTES:
+            parts.append(line_measures(held))
+            held, size = [], 0
+    if held:
+        parts.append(line_measures(held))
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def _mean_badness(model: dict[str, np.ndarray], lines: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    measures, length, per_text = lines
+    features = neighbours((measures - model["mean"]) / model["scale"], per_text)
+    p, _ = Chain(per_text).marginals(_unary(features, model["w"]), model["pair"])
+    starts = np.cumsum(per_text) - per_text
+    return np.add.reduceat(p * length, starts) / np.add.reduceat(length, starts), p
+
+
 def badness(model: dict[str, np.ndarray], texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(each text's length-weighted mean marginal, each line's marginal, number of lines of each text)."""
     if not texts:
         return np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
-    measures, length, per_text = line_measures(texts)
-    features = neighbours((measures - model["mean"]) / model["scale"], per_text)
-    p, _ = Chain(per_text).marginals(_unary(features, model["w"]), model["pair"])
-    starts = np.cumsum(per_text) - per_text
-    return np.add.reduceat(p * length, starts) / np.add.reduceat(length, starts), p, per_text
+    lines = measured(texts)
+    return *_mean_badness(model, lines), lines[2]
 
 
 def _curve(model: dict[str, np.ndarray], bad: np.ndarray) -> np.ndarray:
@@ -180,7 +199,7 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
     share = np.clip((weight * label).sum() / weight.sum(), 1e-3, 1 - 1e-3)
     if label.min() == label.max():
         return model | {"curve": np.array([np.log(share / (1 - share)), 0.0])}
-    measures, length, per_text = line_measures(texts)
+    lines = measures, length, per_text = measured(texts)
     model["mean"], model["scale"] = measures.mean(0), measures.std(0) + 1e-3
     features = neighbours((measures - model["mean"]) / model["scale"], per_text)
     text = np.repeat(np.arange(len(texts)), per_text)
@@ -204,7 +223,7 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
         adam.step(q, {"w": features.T @ (marginal - state) / len(state) + 1e-4 * q["w"],
                       "pair": (pairs - have) / len(state) + 1e-4 * q["pair"]})
     model |= q
-    mean_bad, _, _ = badness(model, texts)
+    mean_bad, _ = _mean_badness(model, lines)
     x = np.clip(mean_bad, 1e-4, 1 - 1e-4)
     x = np.log(x / (1 - x))
     c, adam = {"curve": np.array([0.0, 0.5])}, Adam(0.05)
@@ -221,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out_o
 
 def _scores(model: dict[str, np.ndarray], text_col: str, keep_from: float | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, SLICE_BYTES):
             found = _curve(model, badness(model, text_bytes(batch.column(text_col)))[0])
             if keep_from is not None:
                 yield batch.filter(pa.array(found >= keep_from))
@@ -242,7 +261,7 @@ def line_labels(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "do
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             _, p, per_text = badness(model, text_bytes(batch.column("text")))
             cuts = np.concatenate([[0], np.cumsum(per_text)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(cuts, p)], ["id", "bad"])
