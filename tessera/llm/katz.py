@@ -43,9 +43,9 @@ from tessera.llm.common import blank_words, slices, text_bytes
 from tessera.session import scratch_dir
 
 KEY_BITS, K = 56, 5
-CHUNK_TOKENS, CHUNK_DOCS = 3_000_000, 1 << 16
+CHUNK_TOKENS, CHUNK_DOCS = 2_000_000, 1 << 16
 #: Keys that one range adds up in memory, about.
-RANGE_KEYS = 4_000_000
+RANGE_KEYS = 3_000_000
 _PLANES = KEY_BITS // 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _DROP = np.uint64(64 - KEY_BITS)
