@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import saved
 from tessera.llm.components import components
 
-BLOCK_DIMS, SAMPLE, LEAF, TILE, MOST_DEPTH = 8, 20_000, 2048, 2048, 14
+BLOCK_DIMS, SAMPLE, LEAF, TILE, MOST_DEPTH = 8, 20_000, 2048, 8192, 14
 #: Room for rounding in the candidate filter; verification has none.
 SLACK = 1e-9
 
