@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large and small stars.
 
 Each round joins every node with the least of its neighbours, halving path
-lengths or better; all work is grouped minima and joins on a node, so a hub is
+lengths or better, until every component is a star; all work is grouped minima and joins on a node, so a hub is
 pre-aggregated and its join side can be split.  A round's edges are written to
 the shared folder, which cuts the lineage.
 """
@@ -23,7 +23,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = _least(both).select("n", F.least("n", "m").alias("m"))
     return (both.where("v > u").join(least, F.col("u") == F.col("n"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -40,12 +40,13 @@ def components(pairs: DataFrame) -> DataFrame:
     """
     edges = saved(pairs.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
                   "component-edges")
-    seen = None
     while True:
-        state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first()
-        if state == seen or state[0] == 0:
+        # Stars only: every node points once, and none that others point to points on.
+        per = edges.groupBy("u").count()
+        astray = per.where("count > 1").select("u").unionByName(
+            per.join(edges.select("v").distinct(), F.col("u") == F.col("v"), "left_semi").select("u"))
+        if astray.isEmpty():
             break
-        seen = state
         edges = saved(_small_star(_large_star(edges)), "component-edges")
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))

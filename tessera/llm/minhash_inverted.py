@@ -12,9 +12,11 @@ is cut into tiles by hash and pairs of tiles, each a group of bounded size.
 
 In a list, members are compared by counting equal coordinates.  First each
 class keeps its best smaller partner; these pairs are confirmed on the full
-sets and joined to components.  Then every pair at or above the threshold that
-still lies in two components is confirmed, too: a group of copies is never
-expanded into all its pairs, and no link between components is left out.
+sets and joined to parts.  Then a class that agrees enough with any member of
+another part asks that whole part (the smaller part asks): its full set is held
+against all the part's sets by one count over their shingles, and one link
+joins the two.  So a group of copies is never expanded into its pairs, and no
+two parts that a link joins stay apart.
 
 Defined cases: null, empty or white-space texts have an empty set, link with
 nothing and are kept; texts of fewer words than a shingle have one shingle, the
@@ -78,7 +80,7 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     return out
 
 
-_ROWS = "id bigint, n bigint, set_a bigint, set_b bigint, signature array<int>"
+_ROWS = "id bigint, n bigint, set_a bigint, set_b bigint, signature array<int>, marks binary"
 
 
 def _signatures(size: int, coordinates: int):
@@ -90,15 +92,17 @@ def _signatures(size: int, coordinates: int):
                 n.append(len(hashes))
                 digest.append(xxhash.xxh128_digest(hashes.tobytes()))
                 keys.append(signature(hashes, coordinates).astype(np.uint32).view(np.int32) if len(hashes) else None)
+            # A byte of each minimum: enough to count agreement (chance agreement only adds candidates).
+            marks = [None if k is None else k.astype(np.uint8).tobytes() for k in keys]
             sides = np.frombuffer(b"".join(digest), "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(n, pa.int64()), pa.array(sides[:, 0]), pa.array(sides[:, 1]),
-                 pa.array(keys, pa.list_(pa.int32()))], ["id", "n", "set_a", "set_b", "signature"])
+                 pa.array(keys, pa.list_(pa.int32())), pa.array(marks, pa.binary())], ["id", "n", "set_a", "set_b", "signature", "marks"])
     return run
 
 
 def _posted(classes: DataFrame, prefix: int, coordinates: int) -> DataFrame:
-    """class, n, signature, lists<struct<members, key>> of the classes that post pairs others post, too."""
+    """class, n, marks, lists<struct<members, key>> of the classes that post pairs others post, too."""
     key = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     each = classes.select("class", F.posexplode("signature")).select("class", key.alias("key"))
     shared = each.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
@@ -107,7 +111,7 @@ def _posted(classes: DataFrame, prefix: int, coordinates: int) -> DataFrame:
     # Pairs held alone come first in the order of rarity; what they leave of the prefix is posted.
     room = F.lit(prefix - coordinates) + F.size("held")
     held = held.where(room > 0).select("class", F.slice("held", F.lit(1), room).alias("lists"))
-    return classes.select("class", "n", "signature").join(held, "class")
+    return classes.select("class", "n", "marks").join(held, "class")
 
 
 def _lists(posted: DataFrame) -> DataFrame:
@@ -118,7 +122,7 @@ def _lists(posted: DataFrame) -> DataFrame:
             .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))))
     group = ["key", "left", "right"]
     return (rows.select(F.col("list.key").alias("key"), F.least("tile", "other").alias("left"),
-                        F.greatest("tile", "other").alias("right"), "tile", "class", "part", "n", "signature")
+                        F.greatest("tile", "other").alias("right"), "tile", "class", "part", "size", "n", "marks")
             .repartition(*group).sortWithinPartitions(*group, "class"))
 
 
@@ -127,9 +131,8 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nd
     held: list[pa.RecordBatch] = []
 
     def arrays(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        cols = {c: table[c].to_numpy() for c in ("key", "left", "right", "tile", "class", "part", "n")}
-        signatures = table["signature"].combine_chunks()
-        cols["signature"] = signatures.flatten().to_numpy().reshape(len(signatures), -1)
+        cols = {c: table[c].to_numpy() for c in ("key", "left", "right", "tile", "class", "part", "size", "n")}
+        cols["marks"] = np.frombuffer(b"".join(table["marks"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
         new = np.concatenate([[True], (cols["key"][1:] != cols["key"][:-1]) | (cols["left"][1:] != cols["left"][:-1])
                               | (cols["right"][1:] != cols["right"][:-1])])
         return cols, np.cumsum(new)
@@ -162,7 +165,7 @@ def _agreements(cols: dict[str, np.ndarray], number: np.ndarray, threshold: int,
                 & (100 * np.minimum(n_low, n_high) >= percent * np.maximum(n_low, n_high))
                 & (cols["class"][low] != cols["class"][high]) & (cols["part"][low] != cols["part"][high]))
         low, high = low[fits], high[fits]
-        same = (cols["signature"][low] == cols["signature"][high]).sum(1)
+        same = (cols["marks"][low] == cols["marks"][high]).sum(1)
         enough = same >= threshold
         if enough.any():
             yield low[enough], high[enough], same[enough]
@@ -182,14 +185,101 @@ def _best(threshold: int, percent: int):
 
 
 def _across(threshold: int, percent: int):
-    """All pairs of classes in different parts that agree enough."""
+    """(class, parts): the other, larger parts (equal sizes: smaller id) with a member that the class agrees with enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            asked, of = np.unique(np.concatenate(held, axis=1), axis=1)
+            held.clear()
+            names, start = np.unique(asked, return_index=True)
+            cuts = pa.array(np.append(start, len(asked)).astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(names), pa.ListArray.from_arrays(cuts, pa.array(of))], ["class", "parts"])
+
         for cols, number in _groups(batches):
+            part, size = cols["part"], cols["size"]
             for low, high, _ in _agreements(cols, number, threshold, percent):
-                yield pa.RecordBatch.from_arrays([pa.array(cols["class"][high]), pa.array(cols["class"][low])], ["a", "b"])
+                swap = (size[low] < size[high]) | ((size[low] == size[high]) & (part[low] > part[high]))
+                held.append(np.unique(np.stack([cols["class"][np.where(swap, low, high)], part[np.where(swap, high, low)]]), axis=1))
+                if sum(h.shape[1] for h in held) > 500_000:
+                    yield flush()
+        if held:
+            yield flush()
     return run
 
 
+def _linked_member(members: list[tuple[int, np.ndarray]], asked: list[tuple[int, np.ndarray]],
+                   percent: int) -> Iterator[tuple[int, int]]:
+    """For each asked class, one member whose full set is as similar as asked, if there is any.
+
+    Intersections with all members come from one count over the members' shingles.
+    """
+    if not members or not asked:
+        return
+    sizes = np.array([len(h) for _, h in members])
+    every, number = np.unique(np.concatenate([h for _, h in members]), return_inverse=True)
+    owner = np.repeat(np.arange(len(members)), sizes)[np.argsort(number, kind="stable")]
+    ends = np.cumsum(np.bincount(number))
+    for name, hashes in asked:
+        at = np.minimum(np.searchsorted(every, hashes), len(every) - 1)
+        at = at[every[at] == hashes]
+        n = ends[at] - np.where(at > 0, ends[at - 1], 0)
+        both = np.bincount(owner[np.arange(n.sum()) + np.repeat(ends[at] - np.cumsum(n), n)], minlength=len(members))
+        found = np.flatnonzero(100 * both >= percent * (sizes + len(hashes) - both))
+        if len(found):
+            yield name, members[found[0]][0]
+
+
+def _meet(shingle: int, percent: int):
+    """Links between asked classes and the members of the part they ask for, group by group."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, members, asked = None, [], []
+
+        def links() -> list[pa.RecordBatch]:
+            found = list(_linked_member(members, asked, percent))
+            return [pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])] if found else []
+
+        for batch in slices(batches, "text", 2 << 20):
+            keys = zip(*[batch.column(c).to_pylist() for c in ("part", "tile", "ask_tile")])
+            for key, asks, name, text in zip(keys, batch.column("asks").to_pylist(), batch.column("class").to_pylist(),
+                                             text_bytes(batch.column("text"))):
+                if key != group:
+                    yield from links()
+                    group, members, asked = key, [], []
+                (asked if asks else members).append((name, shingle_hashes(text, shingle)))
+        yield from links()
+    return run
+
+
+def _texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(class, text) of the classes named in ``ids``, each once."""
+    ids = saved(ids.distinct(), "minhash-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return saved(rows.join(ids, F.col("id") == F.col("class")).select("class", "text").dropDuplicates(), "minhash-texts")
+
+
+def _met(asks: DataFrame, parted: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(a, b): one link for each (class, part) of ``asks`` that has any; parts and asks are cut into tiles."""
+    targets = asks.groupBy("part").agg(F.ceil(F.count("*") / TILE).cast("int").alias("ask_tiles"))
+    members = parted.select("part", "class", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")).join(targets, "part")
+    tiles = members.groupBy("part").agg(F.first("tiles").alias("tiles"), F.first("ask_tiles").alias("ask_tiles"))
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def own(n):
+        return F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+
+    here = (members.withColumn("tile", own("tiles")).withColumn("ask_tile", every("ask_tiles"))
+            .select("part", "tile", "ask_tile", F.lit(False).alias("asks"), "class"))
+    there = (asks.join(tiles, "part").withColumn("ask_tile", own("ask_tiles")).withColumn("tile", every("tiles"))
+             .select("part", "tile", "ask_tile", F.lit(True).alias("asks"), "class"))
+    group = ["part", "tile", "ask_tile"]
+    return (here.unionByName(there).join(texts, "class").repartition(*group).sortWithinPartitions(*group)
+            .mapInArrow(_meet(shingle, percent), "a bigint, b bigint"))
+
+
 def _similar(size: int, percent: int):
     """The pairs whose full shingle sets are as similar as asked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,24 +309,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = saved(rows.mapInArrow(_signatures(shingle, coordinates), _ROWS), "minhash-signatures")
     classes = saved(signed.where("n > 0 and id is not null").groupBy("n", "set_a", "set_b")
-                    .agg(F.min("id").alias("class"), F.min("signature").alias("signature")), "minhash-classes")
+                    .agg(F.min("id").alias("class"), F.min("signature").alias("signature"), F.min("marks").alias("marks")), "minhash-classes")
     posted = saved(_posted(classes, coordinates - threshold + 1, coordinates), "minhash-posted")
 
-    ids = posted.select("class").distinct()
-    if posted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = saved(rows.join(ids, F.col("id") == F.col("class")).select("class", "text").dropDuplicates(), "minhash-texts")
-
-    alone = posted.withColumn("part", F.col("class"))
-    best = (_lists(alone).mapInArrow(_best(threshold, percent), "a bigint, b bigint, same bigint")
-            .groupBy("a").agg(F.max(F.struct("same", (-F.col("b")).alias("b"))).alias("best"))
-            .select("a", (-F.col("best.b")).alias("b")))
+    alone = posted.withColumns({"part": F.col("class"), "size": F.lit(1).cast("long")})
+    best = saved(_lists(alone).mapInArrow(_best(threshold, percent), "a bigint, b bigint, same bigint")
+                 .groupBy("a").agg(F.max(F.struct("same", (-F.col("b")).alias("b"))).alias("best"))
+                 .select("a", (-F.col("best.b")).alias("b")), "minhash-best")
+    texts = _texts(rows, best.select(F.col("a").alias("class")).union(best.select("b")))
     linked = saved(_confirmed(best, texts, shingle, percent), "minhash-linked")
-    parted = posted.join(components(linked), F.col("class") == F.col("node"), "left").withColumn(
-        "part", F.coalesce("component", "class"))
-    rest = _lists(parted).mapInArrow(_across(threshold, percent), "a bigint, b bigint").distinct()
-    more = saved(_confirmed(rest, texts, shingle, percent), "minhash-linked")
-    return labelled(signed, classes, components(linked.unionByName(more)), id_col)
+    part = saved(posted.select("class").join(components(linked), F.col("class") == F.col("node"), "left").select(
+        "class", F.coalesce("component", "class").alias("part")), "minhash-parts")
+    sizes = part.groupBy("part").agg(F.count("*").alias("size"))
+    parted = saved(posted.join(part.join(sizes, "part"), "class"), "minhash-parted")
+    asks = saved(_lists(parted).mapInArrow(_across(threshold, percent), "`class` bigint, parts array<bigint>")
+                 .groupBy("class").agg(F.array_distinct(F.flatten(F.collect_list("parts"))).alias("parts"))
+                 .select("class", F.explode("parts").alias("part")), "minhash-asks")
+    texts = _texts(rows, asks.select("class").union(
+        part.join(asks.select("part").distinct(), "part", "left_semi").select("class")))
+    # Only parts are joined now: a graph of the few parts between which a link was found.
+    of_a, of_b = (part.select(F.col("class").alias(c), F.col("part").alias(f"part_{c}")) for c in "ab")
+    joined = components(_met(asks, parted, texts, shingle, percent).join(of_a, "a").join(of_b, "b")
+                        .select(F.col("part_a").alias("a"), F.col("part_b").alias("b")))
+    whole = part.join(joined, F.col("part") == F.col("node"), "left").select(
+        F.col("class").alias("node"), F.coalesce("component", "part").alias("component"))
+    return labelled(signed, classes, whole, id_col)
 
 
 def labelled(signed: DataFrame, classes: DataFrame, parts: DataFrame, id_col: str) -> DataFrame:

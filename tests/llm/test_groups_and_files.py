@@ -38,6 +38,8 @@ def least(nodes, edges):
 
 def test_components(spark):
     rng = np.random.default_rng(2)
+    two = spark.createDataFrame([(5, 1), (5, 2)], "a bigint, b bigint")  # no chain, but not a star either
+    assert {tuple(r) for r in components.components(two).collect()} == {(1, 1), (2, 1), (5, 1)}
     for n in (0, 1, 40, 200):
         edges = [tuple(map(int, e)) for e in rng.integers(0, 150, (n, 2))] + [(1000 + i, 1001 + i) for i in range(30)] * (n > 1)
         got = components.components(spark.createDataFrame(edges, "a bigint, b bigint"))
