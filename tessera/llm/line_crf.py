@@ -73,7 +73,7 @@ def line_measures(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     first = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
     last = np.flatnonzero(~space & np.concatenate([space[1:], [True]]))
     n_words = np.diff(np.searchsorted(first, np.concatenate([[0], ends])))
-    measures = np.zeros((len(starts), N_MEASURES))
+    measures = np.zeros((len(starts), N_MEASURES), np.float32)
     n, w = np.maximum(length - 1, 1), np.maximum(n_words, 1)
     if len(first):
         width = last - first + 1
@@ -104,9 +104,14 @@ def neighbours(measures: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     is_first, is_last = np.zeros(len(measures), bool), np.zeros(len(measures), bool)
     is_first[ends - per_text] = True
     is_last[ends - 1] = True
-    before = np.where(is_first[:, None], 0, np.roll(measures, 1, 0))
-    after = np.where(is_last[:, None], 0, np.roll(measures, -1, 0))
-    return np.hstack([measures, before, after, is_first[:, None], is_last[:, None], np.ones((len(measures), 1))])
+    out = np.ones((len(measures), 3 * N_MEASURES + 3), np.float32)
+    out[:, :N_MEASURES] = measures
+    out[1:, N_MEASURES:2 * N_MEASURES] = measures[:-1]
+    out[:-1, 2 * N_MEASURES:3 * N_MEASURES] = measures[1:]
+    out[is_first, N_MEASURES:2 * N_MEASURES] = 0
+    out[is_last, 2 * N_MEASURES:3 * N_MEASURES] = 0
+    out[:, -3], out[:, -2] = is_first, is_last
+    return out
 
 
 class Chain:
@@ -147,7 +152,7 @@ class Chain:
 
 
 def _unary(features: np.ndarray, w: np.ndarray) -> np.ndarray:
-    bad = features @ w
+    bad = (features @ w.astype(np.float32)).astype(np.float64)
     return np.stack([np.zeros_like(bad), bad], 1)
 
 
@@ -200,7 +205,8 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
     if label.min() == label.max():
         return model | {"curve": np.array([np.log(share / (1 - share)), 0.0])}
     lines = measures, length, per_text = measured(texts)
-    model["mean"], model["scale"] = measures.mean(0), measures.std(0) + 1e-3
+    model["mean"] = measures.mean(0, dtype=np.float64).astype(np.float32)
+    model["scale"] = (measures.std(0, dtype=np.float64) + 1e-3).astype(np.float32)
     features = neighbours((measures - model["mean"]) / model["scale"], per_text)
     text = np.repeat(np.arange(len(texts)), per_text)
     bad = 1.0 - label[text]
@@ -208,9 +214,9 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
     share_of_text = length / np.bincount(text, length)[text]
     p, adam = {"w": np.zeros(width)}, Adam(0.1)
     for _ in range(STEPS):
-        g = share_of_text * (sigmoid(features @ p["w"]) - bad) / len(texts)
-        adam.step(p, {"w": features.T @ g + 1e-5 * p["w"]})
-    seen = features @ p["w"]
+        g = share_of_text * (sigmoid(_unary(features, p["w"])[:, 1]) - bad) / len(texts)
+        adam.step(p, {"w": g.astype(np.float32) @ features + 1e-5 * p["w"]})
+    seen = _unary(features, p["w"])[:, 1]
     worst = np.full(len(texts), -np.inf)
     np.maximum.at(worst, text, seen)
     state = (bad == 1) & ((seen > 0) | (seen == worst[text]))
@@ -220,7 +226,7 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
     q, adam = {"w": p["w"].copy(), "pair": np.zeros((2, 2))}, Adam(0.1)
     for _ in range(STEPS):
         marginal, pairs = chain.marginals(_unary(features, q["w"]), q["pair"])
-        adam.step(q, {"w": features.T @ (marginal - state) / len(state) + 1e-4 * q["w"],
+        adam.step(q, {"w": (marginal - state).astype(np.float32) @ features / len(state) + 1e-4 * q["w"],
                       "pair": (pairs - have) / len(state) + 1e-4 * q["pair"]})
     model |= q
     mean_bad, _ = _mean_badness(model, lines)

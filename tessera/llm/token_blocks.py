@@ -45,7 +45,7 @@ from tessera.session import scratch_dir
 
 MAGIC = b"PFR1"
 BLOCK_IDS, SEGMENT_IDS, PERCENTILE = 512, 1 << 19, 0.9
-KEEP = 300_000
+KEEP = 150_000
 _HEAD = struct.Struct("<4sIQIIQ")
 _BLOCK = np.dtype([("low", "<u4"), ("width", "u1"), ("zero", "u1"), ("patched", "<u2")])
 
