@@ -87,6 +87,45 @@ def test_structure_is_confirmed():
     assert secret_scan.spans(f"{head[:-3]}.{body}.{'s' * 20}".encode()) == []
 
 
+def test_keys_and_tokens_in_any_dress():
+    import base64
+    rng = np.random.default_rng(5)
+    number = der(2, b"\x01" + rng.bytes(140))
+    rsa = der(0x30, der(2, b"\0") + number * 8)
+    wrapped = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86\x48")) + der(4, rsa))
+    part = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = b"openssh-key-v1\0" + part(b"none") + part(b"none") + part(b"") + (1).to_bytes(4, "big") + part(rng.bytes(51)) + part(rng.bytes(136))
+
+    def found(text, kind="key"):
+        return [text[s["start"]:s["end"]] for s in secret_scan.spans(text.encode()) if s["kind"] == kind]
+
+    for data, label in ((rsa, "RSA PRIVATE KEY"), (wrapped, "PRIVATE KEY"), (ssh, "OPENSSH PRIVATE KEY")):
+        flat = base64.b64encode(data).decode()
+        lines = [flat[i:i + 64] for i in range(0, len(flat), 64)]
+        for gap in ("\n", "\\n", "\\r\\n", "\\\\n", "\r\n    ", " ", '\\n" +\n    "', "\n> ", "%0A", "\n+", "\n// "):
+            block = f"-----BEGIN {label}-----{gap}{gap.join(lines)}{gap}-----END {label}-----"
+            assert found('é {"private_key": "' + block + '\\n"}') == [block], gap
+            if gap != " ":  # blanks alone join nothing without armour
+                joined = gap.join(lines)
+                assert found(f"here:\n{joined}\nthe end") == [joined], gap
+        slashes = flat.replace("/", "\\/").replace("+", "\\u002b")
+        assert found(f'"-----BEGIN {label}-----\\n{slashes}\\n-----END {label}-----"')
+        for before in ("path/", "my_", "x-", "n", "MIIM"):  # inside a run
+            assert found(f"see {before}{flat} there") == [flat], before
+        cut = "\n".join(lines[:-2])
+        assert data is ssh or found(f"{cut}\nThe quick brown fox jumps over the lazy dog\n" * 9) == []  # not completed from what follows
+    for text in (wrapped.hex(), wrapped.hex().upper(), wrapped.hex(":"), "\n".join(wrapped.hex()[i:i + 64] for i in range(0, 2 * len(wrapped), 64))):
+        assert found(f"00ff{text} end") == [text]
+    assert not found("MIIE" * 3000) and not found(wrapped[:-9].hex())
+
+    code = lambda x: base64.urlsafe_b64encode(x).rstrip(b"=").decode()
+    for head in (b'{"alg":"HS256"}', b'{\n "alg": "ES256"}'):
+        token = f"{code(head)}.{code(b'{"sub":"1234567890"}')}.{'s' * 20}"
+        for before in ("x-auth-token.", "some.dotted-name.second-name.", "id_", "key-"):
+            assert found(before + token, "token") == [token], before
+    assert not found(f"x-auth-token.{code(b'{"typ":"JWT"}')}.{code(b'{"sub":"1234567890"}')}.{'s' * 20}", "token")
+
+
 def base_spans(text):
     import re
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"""(?:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.A) if len(m[1]) >= 6]
