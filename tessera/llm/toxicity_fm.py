@@ -1,14 +1,17 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms of a text are its distinct plain words and their five-byte pieces, each
-hashed to ``2**HASH_BITS`` buckets.  Buckets are screened on the sample by
-chi-square (``TERMS`` stay), so a score touches few of them.  The machine's
-logit is bias + sum w_i + sum over pairs <v_i, v_j>; the pair part is computed
+hashed to ``2**HASH_BITS`` buckets.  Every bucket of at least ``LEAST`` sampled
+texts is in the model, whatever it says by itself, so that pairs of terms which
+are neutral alone can be learned, too.  The machine's logit is bias + sum w_i + sum over pairs <v_i, v_j>; the pair part is computed
 as half of (sum v)^2 - sum v^2 per factor, and learns what terms mean together
 (an insult beside a group's name) beyond their single weights.
 
 The model is fitted in one task on at most ``PER_CLASS`` labelled documents of
-each class, weighted back to the class shares; scoring covers every row.
+each class, weighted back to the class shares, in small batches.  A weight
+stands at its start plus a step by the sum of its slopes over their root of
+squares, less a share for chance: what one term explains moves no other, and
+the many terms that say nothing stay where they are.  Scoring covers every row.
 
 Defined cases: null and empty texts have no terms and score as the bias; a
 repeated word counts once; without labels, or with one class only, every score
@@ -27,10 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import plain_words, slices, text_bytes
-from tessera.llm.labelled import Adam, fitted, labelled_sample, sigmoid
+from tessera.llm.labelled import fitted, labelled_sample, sigmoid
 
-HASH_BITS, PIECE, TERMS, FACTORS = 31, 5, 512, 8
-PER_CLASS, STEPS, DECAY, KEEP = 4000, 200, 0.003, 300_000
+HASH_BITS, PIECE, LEAST, FACTORS = 31, 5, 3, 8
+PER_CLASS, STEPS, KEEP = 4000, 200, 300_000
+#: A batch of the fit: texts and terms at most; passes over the sample at least.
+BATCH, BATCH_TERMS, PASSES = 128, 1 << 20, 8
+#: Steps by array; a weight moves as far as its summed slopes exceed ``DOUBT`` times their spread, in each pass anew; start
+#: weights are log odds less ``SURE`` standard errors.
+RATES, DOUBT, SURE = {"bias": 0.1, "w": 0.3, "v": 0.1}, 1.0, 3.0
 
 
 def word_terms(word: bytes) -> list[int]:
@@ -58,57 +66,82 @@ def _segment_sums(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 def logits(p: dict[str, np.ndarray], term: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Logit of each text, whose terms stand between its cuts, and the sum of their factors."""
-    v = p["v"][term]
-    total = _segment_sums(v, cuts)
-    single = _segment_sums(p["w"][term] - 0.5 * (v * v).sum(1), cuts)
-    return p["bias"] + single + 0.5 * (total * total).sum(1), total
+    alone = p["w"] - 0.5 * (p["v"] * p["v"]).sum(1)
+    total = _segment_sums(p["v"][term], cuts)
+    return p["bias"] + _segment_sums(alone[term], cuts) + 0.5 * (total * total).sum(1), total
+
+
+def _batches(sizes: np.ndarray, order: np.ndarray) -> Iterator[np.ndarray]:
+    """Texts in the given order, at most ``BATCH`` texts and, but for a single one, ``BATCH_TERMS`` terms at a time."""
+    start = held = 0
+    for i, n in enumerate(sizes[order].tolist()):
+        if i > start and (i - start == BATCH or held + n > BATCH_TERMS):
+            yield order[start:i]
+            start, held = i, 0
+        held += n
+    if len(order) > start:
+        yield order[start:]
 
 
 def fit(sample: pa.Table) -> dict[str, np.ndarray]:
-    """Screen the buckets and fit the machine by Adam on the weighted log loss."""
+    """Fit the machine to all buckets that are not too rare, on the weighted log loss."""
     if not sample.num_rows:
         return {"bias": np.zeros(1), "w": np.zeros(1), "v": np.zeros((1, FACTORS)), "buckets": np.zeros(0, np.int64)}
-    order = np.lexsort((np.array([hash(tuple(t)) for t in sample["terms"].to_pylist()]), sample["label"].to_numpy()))
-    sample = sample.take(pa.array(order))  # the sum's order, and so its rounding, does not depend on partitioning
     label, weight = sample["label"].to_numpy().astype(float), sample["weight"].to_numpy()
-    sizes = np.array([len(t) for t in sample["terms"].to_pylist()])
-    row, bucket = np.repeat(np.arange(len(label)), sizes), sample["terms"].combine_chunks().flatten().to_numpy().astype(np.int64)
-    buckets, bucket = np.unique(bucket, return_inverse=True)
-    positives = label.sum()
-    seen, hits = np.bincount(bucket), np.bincount(bucket, label[row])
-    expected = seen * positives / len(label)
-    spread = np.maximum(expected * (1 - positives / len(label)) * (1 - seen / (len(label) + 1)), 1e-9)
-    chi = np.where(seen >= 3, (hits - expected) ** 2 / spread, 0)
-    kept = np.sort(np.argsort(-chi, kind="stable")[:TERMS])
-    kept = kept[chi[kept] > 20]
-    number = np.full(len(buckets), -1)
-    number[kept] = np.arange(len(kept))
-    inside = number[bucket] >= 0
-    row, term = row[inside], number[bucket[inside]]
-    cuts = np.searchsorted(row, np.arange(len(label) + 1))
-    by_term = np.argsort(term, kind="stable")
-    rows_of_term, term_cuts = row[by_term], np.searchsorted(term[by_term], np.arange(max(1, len(kept)) + 1))
+    terms = sample["terms"].combine_chunks()
+    sizes = np.diff(terms.offsets.to_numpy()).astype(np.int64)
+    found = terms.flatten().to_numpy()
+    cuts = np.cumsum([0, *sizes])
+    digest = [zlib.crc32(found[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
+    order = np.lexsort((digest, label))  # the sum's order, and so its rounding, does not depend on partitioning
+    buckets, term, seen = np.unique(found, return_inverse=True, return_counts=True)
+    hits = np.bincount(term, np.repeat(label, sizes))
+    kept = np.flatnonzero(seen >= LEAST)
+    number = np.full(len(buckets), -1, np.int32)
+    number[kept] = np.arange(len(kept), dtype=np.int32)
+    term = number[term]
+    sizes = _segment_sums((term >= 0).astype(float), cuts).astype(np.int64)
+    term = term[term >= 0]
+    cuts = np.cumsum([0, *sizes])
+    positives, n = label.sum(), max(1, len(kept))
     share = np.clip((weight * label).sum() / weight.sum(), 1e-3, 1 - 1e-3)
-    # Weights start at the terms' log odds, so that a term which occurs in one class only counts by itself, too.
-    odds = (np.log((hits[kept] + 3) / (positives + 6))
-            - np.log((seen[kept] - hits[kept] + 3) / (len(label) - positives + 6)))
-    p = {"bias": np.array([np.log(share / (1 - share))]), "w": np.resize(np.sign(odds) * np.maximum(np.abs(odds) - 1, 0), max(1, len(kept))),
-         "v": np.random.default_rng(7).normal(0, 0.05, (max(1, len(kept)), FACTORS))}
+    # Weights start at the terms' log odds as far as they are certain, so that a term of one class counts by itself, too.
+    toxic, other = hits[kept] + 0.5, seen[kept] - hits[kept] + 0.5
+    odds = np.log(toxic / (positives + 1)) - np.log(other / (len(label) - positives + 1))
+    odds = np.sign(odds) * np.maximum(np.abs(odds) - SURE * np.sqrt(1 / toxic + 1 / other), 0)
+    rng = np.random.default_rng(7)
+    p = {"bias": np.array([np.log(share / (1 - share))]), "w": np.resize(odds, n),
+         "v": rng.normal(0, 0.01, (n, FACTORS))}
     balance = weight / weight.mean()
-    adam = Adam(0.05)
-    for _ in range(STEPS if 0 < positives < len(label) else 0):
-        logit, total = logits(p, term, cuts)
-        g = balance * (sigmoid(logit) - label) / len(label)
-        # A term's factor moves by the sum of the other terms' factors in its texts.
-        own = _segment_sums(np.hstack([g[:, None], g[:, None] * total])[rows_of_term], term_cuts)
-        adam.step(p, {"bias": np.array([g.sum()]), "w": own[:, 0], "v": own[:, 1:] - own[:, :1] * p["v"]})
-        p["w"] *= 1 - DECAY  # apart from the step, whose scale Adam sets anew for each weight
-        p["v"] *= 1 - 4 * DECAY
-    return p | {"buckets": buckets[kept]}
+    start = {k: x.copy() for k, x in p.items()}
+    slopes, squares = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.full_like(x, 1e-8) for k, x in p.items()}
+    steps, passes = 0, 0
+    while 0 < positives < len(label) and (steps < STEPS or passes < PASSES):
+        for batch in _batches(sizes, rng.permutation(order)):
+            own = np.concatenate([term[cuts[i]:cuts[i + 1]] for i in batch])
+            ends = np.cumsum([0, *sizes[batch]])
+            here, own = np.unique(own, return_inverse=True)  # the batch's terms; no other weight moves
+            w, v = p["w"][here], p["v"][here]
+            logit, total = logits({"bias": p["bias"], "w": w, "v": v}, own, ends)
+            g = balance[batch] * (sigmoid(logit) - label[batch])
+            # A term's factor moves by the sum of the other terms' factors in its texts.
+            by_term = np.argsort(own, kind="stable")
+            texts = np.repeat(np.arange(len(batch)), sizes[batch])[by_term]
+            slope = _segment_sums(np.hstack([g[:, None], g[:, None] * total])[texts], np.searchsorted(own[by_term], np.arange(len(here) + 1)))
+            for name, at, x in (("bias", slice(None), g.sum(keepdims=True)), ("w", here, slope[:, 0]),
+                                ("v", here, slope[:, 1:] - slope[:, :1] * v)):
+                slopes[name][at] += x
+                squares[name][at] += x * x
+                z = slopes[name][at] / np.sqrt(squares[name][at])
+                doubt = 0 if name == "bias" else DOUBT * np.sqrt(passes + 1)
+                p[name][at] = start[name][at] - RATES[name] * np.sign(z) * np.maximum(np.abs(z) - doubt, 0)
+            steps += 1
+        passes += 1
+    return p | {"buckets": buckets[kept].astype(np.int64)}
 
 
 class Scorer:
-    """Scores texts with a fitted model; a word's screened terms are kept per worker."""
+    """Scores texts with a fitted model; a word's known terms are kept per worker."""
 
     def __init__(self, model: dict[str, np.ndarray]):
         self.model = model
@@ -140,7 +173,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(model)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(own.scores(text_bytes(batch.column("text"))))], ["id", "score"])
 

@@ -5,6 +5,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import rows
@@ -260,6 +261,28 @@ def test_pair_weights_of_the_machine():
     assert np.allclose(got, [0.3 + 0.6 + pair(0, 2), 0.3, 0.3 + 0.4 + pair(0, 1, 2)])
 
 
+def test_words_that_are_toxic_only_together():
+    rng = np.random.default_rng(0)
+    filler, texts, labels = [f"filler{i}" for i in range(300)], [], []
+    for i in range(2400):
+        mild, group = i & 1, i >> 1 & 1  # neither says anything alone
+        texts.append(" ".join([*rng.choice(filler, 40), *["mildword"] * mild, *["groupname"] * group]))
+        labels.append(int(mild == group))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts[:1800]), pa.array(labels[:1800], pa.int32()), pa.array([1.0] * 1800)],
+                                       ["text", "label", "weight"])
+    model = toxicity_fm.fit(pa.Table.from_batches(list(toxicity_fm._sample_terms(iter([batch])))))
+    scores = toxicity_fm.Scorer(model).scores([t.encode() for t in texts[1800:]])
+    assert ((scores >= 0.5) == np.array(labels[1800:])).mean() >= 0.95
+
+
+def test_no_term_of_several_texts_is_left_out():
+    texts = ["rare common"] * 3 + ["common"] * 197
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([1] * 100 + [0] * 100, pa.int32()), pa.array([1.0] * 200)],
+                                       ["text", "label", "weight"])
+    model = toxicity_fm.fit(pa.Table.from_batches(list(toxicity_fm._sample_terms(iter([batch])))))
+    assert {t for w in (b"rare", b"common") for t in toxicity_fm.word_terms(w)} <= set(model["buckets"].tolist())
+
+
 # ------------------------------------------------------------------ pipeline
 def test_pipeline(spark):
     import corpus_pipeline
