@@ -11,6 +11,7 @@ from tessera.llm import (
     fm_index,
     katz,
     line_crf,
+    merkle,
     minhash_inverted,
     mixing,
     secret_scan,
@@ -153,3 +154,60 @@ def op4_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every whole text; texts outside the fold crc32 mod 7 = 2 teach the model."""
     return katz.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+
+
+# ------------------------------------------------------------------ 12: Merkle manifest
+#: crc32 of a decimal number, a bit at a time: every byte is folded in, then seven bare shifts follow.
+_CRC32 = ("xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+          "lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), "
+          "lambda c, b: xor(xor(c, b) // 2, (xor(c, b) % 2) * 3988292384)), 4294967295::BIGINT)")
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(text if c == "text" else c) for c in merkle.FIELDS) + ")"
+
+
+def _tree(name: str, nodes: str) -> str:
+    """Levels of the trees in ``nodes`` (tree, pos, d, n): ``name`` (tree, lvl, pos, d, n)."""
+    return f""" {name} AS (SELECT tree, 0 AS lvl, pos, d, n FROM {nodes} UNION ALL
+   SELECT tree, lvl + 1, pos // 8, sha256(string_agg(d, '' ORDER BY pos)), (n + 7) // 8 FROM {name}
+   WHERE n > 1 GROUP BY tree, lvl, pos // 8, n),
+ {name}_sides AS (SELECT a.tree, a.lvl, a.pos, a.d, a.n,
+   coalesce(string_agg(b.d, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+   coalesce(string_agg(b.d, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+   FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.lvl = b.lvl AND a.pos // 8 = b.pos // 8
+   GROUP BY a.tree, a.lvl, a.pos, a.d, a.n)"""
+
+
+@query("op12_merkle_manifest", f"""
+WITH RECURSIVE docs AS (SELECT doc_id, lang, {_leaf("text")} AS leaf,
+   CASE WHEN {_CRC32} % 3 = 0 THEN {_leaf(f"translate(text, '{merkle._UPPER}', '{merkle._LOWER}')")} ELSE {_leaf("text")} END AS altered
+   FROM documents),
+ placed AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM docs),
+ leaves AS (SELECT tree, pos, leaf AS d, n FROM placed),{_tree("low", "leaves")},
+ subroots AS (SELECT 0 AS tree, tree AS pos, d, count(*) OVER () AS n FROM low WHERE n = 1),{_tree("high", "subroots")},
+ steps AS (SELECT p.doc_id, p.pos, p.tree, s.lvl, s.l, s.r FROM placed p JOIN low_sides s ON s.tree = p.tree
+     AND s.pos = p.pos // (8 ** s.lvl)::BIGINT AND s.n > 1
+   UNION ALL SELECT p.doc_id, p.pos, p.tree, 100 + s.lvl, s.l, s.r FROM placed p JOIN high_sides s
+     ON s.pos = p.tree // (8 ** s.lvl)::BIGINT AND s.n > 1),
+ numbered AS (SELECT *, row_number() OVER (PARTITION BY tree, pos ORDER BY lvl) AS step FROM steps),
+ folded AS (SELECT tree, pos, 0 AS step, altered AS d FROM placed UNION ALL
+   SELECT f.tree, f.pos, f.step + 1, sha256(s.l || f.d || s.r) FROM folded f
+   JOIN numbered s ON s.tree = f.tree AND s.pos = f.pos AND s.step = f.step + 1),
+ proofs AS (SELECT tree, pos, sha256(string_agg(l || r, '' ORDER BY step)) AS proof FROM numbered GROUP BY tree, pos),
+ ends AS (SELECT tree, pos, arg_max(d, step) AS folded_root FROM folded GROUP BY tree, pos),
+ roots AS (SELECT d AS root FROM high WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.d AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed p JOIN ends e USING (tree, pos) JOIN low s ON s.tree = p.tree AND s.n = 1 CROSS JOIN roots
+LEFT JOIN proofs q USING (tree, pos)""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the Merkle manifest, and what its proof says of a tampered text."""
+    docs = table(spark, sf_dir, "documents")
+    found = merkle.Manifest(docs, changed=merkle.tampered(docs)).checked()
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
