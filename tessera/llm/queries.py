@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.llm import (
     fm_index,
     katz,
+    licenses,
     line_crf,
     merkle,
     minhash_inverted,
@@ -211,3 +212,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.Manifest(docs, changed=merkle.tampered(docs)).checked()
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+# ------------------------------------------------------------------ 13: licences
+@query("op13_license_automaton")
+def op13_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every whole text."""
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    base = licenses.base_spans(F.col("spans"))
+    starts = F.transform(base, lambda s: s["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), licenses.label_list(base).alias("base_labels"),
+        licenses.label_list(F.col("spans")).alias("labels"), "score")
