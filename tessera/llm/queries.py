@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
+    collocations,
     fm_index,
     katz,
     licenses,
@@ -225,3 +226,35 @@ def op13_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"), licenses.label_list(base).alias("base_labels"),
         licenses.label_list(F.col("spans")).alias("labels"), "score")
+
+
+# ------------------------------------------------------------------ 11: collocations
+_GRAMS = """ grams AS (SELECT lang, size, CASE size WHEN 1 THEN w1 WHEN 2 THEN concat_ws(' ', w1, w2) WHEN 3 THEN concat_ws(' ', w1, w2, w3)
+   ELSE concat_ws(' ', w1, w2, w3, w4) END AS p, count(*) AS f FROM spots, (VALUES (1), (2), (3), (4)) sizes(size)
+   WHERE size = 1 OR (size = 2 AND w2 IS NOT NULL) OR (size = 3 AND w3 IS NOT NULL) OR (size = 4 AND w4 IS NOT NULL)
+   GROUP BY ALL HAVING count(*) >= 30)"""
+
+
+@query("op11_phrase_collocations", r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, unnest(string_split_regex(
+   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ numbered AS (SELECT lang, row_number() OVER () AS piece_no, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+ spots AS (SELECT lang, ws[i] AS w1, ws[i + 1] AS w2, ws[i + 2] AS w3, ws[i + 3] AS w4
+   FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM numbered)),
+ totals AS (SELECT lang, count(*) AS n FROM spots GROUP BY lang),""" + _GRAMS + r""",
+ cand AS (SELECT lang, p, f AS a, string_split(p, ' ') AS ws, size FROM grams WHERE size > 1),
+ cuts AS (SELECT c.*, k FROM cand c, (VALUES (1), (2), (3)) ks(k) WHERE k < size),
+ scored AS (SELECT c.lang, c.p, c.a, c.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score FROM cuts c
+   JOIN grams x ON x.lang = c.lang AND x.p = array_to_string(c.ws[1:c.k], ' ')
+   JOIN grams y ON y.lang = c.lang AND y.p = array_to_string(c.ws[c.k + 1:], ' ')),
+ best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ subs AS (SELECT lang, a, array_to_string(ws[b:b + m - 1], ' ') AS p FROM cand, (VALUES (2, 1), (2, 2), (2, 3), (3, 1), (3, 2)) sub(m, b)
+   WHERE m < size AND b + m - 1 <= size),
+ gone AS (SELECT lang, p, max(a) AS a FROM subs GROUP BY lang, p),
+ kept AS (SELECT b.* FROM best b LEFT JOIN gone g ON b.lang = g.lang AND b.p = g.p WHERE g.a IS NULL OR 100 * g.a < 80 * b.a)
+SELECT lang, rank, p AS phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM kept) JOIN totals USING (lang)
+WHERE rank <= 2000""")
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best collocations."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
