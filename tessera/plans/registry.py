@@ -601,20 +601,28 @@ _CLEAN_COLS = ("_ord, nom, cognoms, dni, pais_origen, ciutat, genere, salari_men
                "nombre_fills, te_cotxe, km_anuals, consum_mitja_l_100km, temperatura_mitjana_ciutat, data_naixement")
 
 
-_CLEANED: dict[tuple[str, str], str] = {}  # (application, input) -> the silver table of this session
+_CLEANED: dict[tuple, str] = {}  # (application, input files) -> the silver table of this session
+
+
+def _input_files(spark, d) -> tuple:
+    """A digest of name, size and time of every file that the sheet is made of: a changed input is another input."""
+    files = spark.read.format("binaryFile").load([f"{d}/{t}.parquet" for t in ("customer", "nation", "region")])
+    one = files.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("path", "length", "modificationTime")).alias("digest"))
+    return tuple(one.first())  # the contents are not read
 
 
 def _clean(spark, d):
     """The silver employee table: cleaned and written once per session and input, read by every report."""
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.sparkContext.applicationId, d, _input_files(spark, d))
     if key in _CLEANED:
         try:
             return spark.read.parquet(_CLEANED[key])
         except AnalysisException:  # the scratch folder was emptied meanwhile: clean again
             pass
-    _CLEANED[key] = scratch_dir(spark, "employees_silver")
-    E.clean_employees(SV.survey_sheet(_t(spark, d)))[0].write.parquet(_CLEANED[key])
-    return spark.read.parquet(_CLEANED[key])
+    path = scratch_dir(spark, "employees_silver")
+    E.clean_employees(SV.survey_sheet(_t(spark, d)))[0].write.parquet(path)
+    _CLEANED[key] = path
+    return spark.read.parquet(path)
 
 
 def _priced(spark, d):
@@ -626,7 +634,8 @@ _PRICED = "WITH " + S.priced(E.DEFAULT_POLICY) + "\n"
 
 @query("employees_clean", "WITH " + S.CLEAN + f"\nSELECT {_CLEAN_COLS} FROM clean")
 def q_emp_clean(spark, d):
-    return _clean(spark, d).select(*[c.strip() for c in _CLEAN_COLS.split(",")])
+    """The cleaning itself, timed on its own; the reports below read the written table."""
+    return E.clean_employees(SV.survey_sheet(_t(spark, d)))[0].select(*[c.strip() for c in _CLEAN_COLS.split(",")])
 
 
 @query("employees_dropped", "WITH " + S.SHEET + """,
