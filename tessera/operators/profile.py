@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.order_stats import exact_quantiles
+
 _NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -53,8 +55,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     and, for text, count / unique / top / freq.
 
     Output ``(column, stat, value double, text)``; ``text`` holds ``top`` only.
-    All numeric columns are one aggregate; the exact quartiles keep a
-    value-to-count map per column, bounded by its distinct values.
+    All numeric columns are one aggregate; the exact quartiles come from
+    refining histograms, so no column's values are held together.
     """
     cols = list(cols or df.columns)
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -63,10 +65,11 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     if num:
         def stats(i, c):
             x = F.col(_q(c)).cast("double")
-            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
             return [F.count(x).cast("double").alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev(x).alias(f"s{i}"),
-                    F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
-        one = df.agg(*[a for i, c in enumerate(num) for a in stats(i, c)])
+                    F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        quartiles = exact_quantiles(df, [], {f"q{i}": F.col(_q(c)) for i, c in enumerate(num)}, [0.25, 0.5, 0.75])
+        one = df.agg(*[a for i, c in enumerate(num) for a in stats(i, c)]).withColumn(
+            "q", quartiles.select(F.struct(*quartiles.columns)).scalar()).select("*", "q.*")
         rows = [F.struct(F.lit(c).alias("column"), F.lit(k).alias("stat"), v.alias("value"))
                 for i, c in enumerate(num) for k, v in (
                     ("count", F.col(f"n{i}")), ("mean", F.col(f"m{i}")), ("std", F.col(f"s{i}")), ("min", F.col(f"lo{i}")),

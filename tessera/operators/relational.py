@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.order_stats import exact_medians
+
 
 class LookupMissError(ValueError):
     """Raised by ``check_no_misses`` when keys are unmapped."""
@@ -68,9 +70,11 @@ def transform_agg(df: DataFrame, group: str, col: str, fn: str = "median",
     NULL as a group, so those rows are guarded.
     """
     out = out or f"{fn}_{col}"
-    agg = {"median": F.median, "mean": F.avg, "avg": F.avg, "sum": F.sum, "min": F.min,
-           "max": F.max, "count": F.count}[fn]
-    g = df.groupBy(F.col(group).alias("_g")).agg(agg(col).alias(out))
+    if fn == "median":
+        g = exact_medians(df.select(F.col(group).alias("_g"), F.col(col)), ["_g"], {out: col})
+    else:
+        agg = {"mean": F.avg, "avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count}[fn]
+        g = df.groupBy(F.col(group).alias("_g")).agg(agg(col).alias(out))
     if null_group_is_null:
         g = g.filter(F.col("_g").isNotNull())
     # plain equality lets Catalyst drop the join where the statistic is not read
@@ -84,7 +88,7 @@ def fill_from_group_then_global(df: DataFrame, group: str, col: str, fn: str = "
     tmp = "_grp_stat"
     filled = transform_agg(df, group, col, fn, out=tmp) \
         .withColumn(col, F.coalesce(F.col(col), F.col(tmp))).drop(tmp)
-    glob = filled.select((F.median if fn == "median" else F.avg)(col)).scalar()
+    glob = (exact_medians(filled, [], {col: col}) if fn == "median" else filled.select(F.avg(col))).scalar()
     return filled.withColumn(col, F.coalesce(F.col(col), glob))
 
 
@@ -129,16 +133,17 @@ def group_stats(df: DataFrame, group: str, col: str, digits: int = 2,
                 dropna_keys: bool = True) -> DataFrame:
     """AGG11: mean/median/min/max per group, rounded, sorted by mean desc.
 
-    ``median`` is exact (interpolated, as pandas); null keys dropped as in
-    ``groupby``.
+    ``median`` is exact (interpolated, as pandas) and holds no group's values
+    together; null keys dropped as in ``groupby``.
     """
     from tessera.functions.numeric import round_money
     d = df.filter(F.col(group).isNotNull()) if dropna_keys else df
+    medians = exact_medians(d, [group], {"_median": col}).withColumnRenamed(group, "_g")
     return d.groupBy(group).agg(
         round_money(F.avg(col), digits).alias("sou_mig"),
-        round_money(F.median(col), digits).alias("mediana"),
         round_money(F.min(col), digits).alias("minim"),
-        round_money(F.max(col), digits).alias("maxim")).orderBy(F.desc("sou_mig"))
+        round_money(F.max(col), digits).alias("maxim")).join(medians, F.col(group).eqNullSafe(F.col("_g"))).select(
+        group, "sou_mig", round_money(F.col("_median"), digits).alias("mediana"), "minim", "maxim").orderBy(F.desc("sou_mig"))
 
 
 def share_of_rows(df: DataFrame, group: str) -> DataFrame:

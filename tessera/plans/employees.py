@@ -4,9 +4,8 @@
 Every step is a pure ``DataFrame -> DataFrame`` function.  Statistics used
 for imputation (group medians/means, global medians) are aggregates joined
 back or scalar subqueries — each is one partial+final aggregate, never a
-window that buffers a whole group.  ``median`` is exact: the aggregate keeps
-a value→count map, bounded by the number of *distinct* values, e.g. salary
-cents in a fixed range.
+window that buffers a whole group.  Medians are exact and found by refining
+histograms (``operators.order_stats``), so no task holds a group's values.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 from tessera.functions.dates import age_in_year, date_from_parts
 from tessera.functions.numeric import clip_lower, clip_upper, round_money
 from tessera.functions.text import fix_mojibake, parse_amount_text
+from tessera.operators.order_stats import exact_medians
 from tessera.operators.quality import resolve_key_conflicts
 from tessera.operators.relational import transform_agg
 from tessera.session import cut_lineage as _cut_lineage
@@ -59,13 +59,14 @@ DEFAULT_POLICY = {
 STAT_DIGITS = 6  # imputed statistics are kept to 1e-6 (far below a cent)
 
 
-def _median(c: str | Column) -> Column:
-    """Exact (interpolated) median.
+def _medians(df: DataFrame, by: Sequence[str], values: Mapping[str, str | Column]) -> DataFrame:
+    """Exact (interpolated) medians per group.
 
-    Rounded to ``STAT_DIGITS`` so the value does not depend on the engine's
+    Rounded to ``STAT_DIGITS`` so the value does not depend on the
     interpolation formula (``(a+b)/2`` vs ``a+(b-a)/2`` differ in the last bit).
     """
-    return F.round(F.median(c), STAT_DIGITS)
+    found = exact_medians(df, by, values)
+    return found.select(*by, *[F.round(v, STAT_DIGITS).alias(v) for v in values])
 
 
 # ------------------------------------------------------------------ CLN1 / CLN2 / CLN4
@@ -112,11 +113,10 @@ def clean_salary(df: DataFrame, group: str = "grup_professional",
     else:
         s = parse_amount_text(F.col("salari_mensual"), legacy_order)
         d = df.withColumn("salari_mensual", F.when((s > 0) & (s < 100), s * 100).otherwise(s))
-    g = d.filter(F.col(group).isNotNull()).groupBy(F.col(group).alias("_g")) \
-        .agg(_median("salari_mensual").alias("_gm"))
+    g = _medians(d.filter(F.col(group).isNotNull()), [group], {"_gm": "salari_mensual"}).withColumnRenamed(group, "_g")
     d = d.join(g, F.col(group) == F.col("_g"), "left") \
         .withColumn("salari_mensual", F.coalesce("salari_mensual", "_gm")).drop("_g", "_gm")
-    glob = d.select(_median("salari_mensual")).scalar()
+    glob = _medians(d, [], {"m": "salari_mensual"}).scalar()
     return d.withColumn("salari_mensual", F.coalesce(F.col("salari_mensual"), glob))
 
 
@@ -148,7 +148,7 @@ def children_fill(d: DataFrame, med: Column) -> DataFrame:
 def children_rules(df: DataFrame) -> DataFrame:
     """CLN10: ordered rules; the median is taken after rules 1-3."""
     d = children_flags(df)
-    med = d.select(_median(F.when(F.col("nombre_fills") > 0, F.col("nombre_fills")))).scalar()
+    med = _medians(d, [], {"m": F.when(F.col("nombre_fills") > 0, F.col("nombre_fills"))}).scalar()
     return children_fill(d, med)
 
 
@@ -178,12 +178,11 @@ def car_fill(d: DataFrame, med_km: Column, med_cons: Column) -> DataFrame:
 
 
 def _positive_medians(d: DataFrame) -> Column:
-    """One aggregate, evaluated once: medians of positive children counts,
-    km and consumption (after the row-wise rules)."""
+    """Evaluated once: medians of positive children counts, km and
+    consumption (after the row-wise rules)."""
     pos = lambda c: F.when(F.col(c) > 0, F.col(c))
-    return d.select(F.struct(_median(pos("nombre_fills")).alias("n"),
-                             _median(pos("km_anuals")).alias("km"),
-                             _median(pos("consum_mitja_l_100km")).alias("cons"))).scalar()
+    names = {"n": "nombre_fills", "km": "km_anuals", "cons": "consum_mitja_l_100km"}
+    return _medians(d, [], {k: pos(c) for k, c in names.items()}).select(F.struct(*names)).scalar()
 
 
 def car_rules(df: DataFrame) -> DataFrame:
@@ -359,8 +358,9 @@ def to_long(df: DataFrame, metrics: Sequence[str] = METRICS) -> DataFrame:
 def group_summary(df: DataFrame, group: str = "grup_professional") -> DataFrame:
     """PIP31/AGG12: workers (non-null DNI), mean salary (2 dp), mean age and
     median age (the task text asks the median, the code took the mean)."""
-    return df.filter(F.col(group).isNotNull()).groupBy(group).agg(
+    d = df.filter(F.col(group).isNotNull())
+    medians = exact_medians(d, [group], {"edad_mediana": "edad"}).withColumnRenamed(group, "_g")
+    return d.groupBy(group).agg(
         F.count("dni").alias("nombre_trabajador"),
         round_money(F.avg("salari_mensual"), 2).alias("salari_mig"),
-        F.avg("edad").alias("edad_media"),
-        F.median("edad").alias("edad_mediana"))
+        F.avg("edad").alias("edad_media")).join(medians, F.col(group) == F.col("_g")).drop("_g")
