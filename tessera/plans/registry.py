@@ -419,6 +419,19 @@ def q_ytd(spark, d):
     return R.year_to_date(_mv(spark, d))
 
 
+_LAST = 'OVER (ORDER BY "timestamp", transaction_id)'
+
+
+@query("transaction_changes", _V(t=M.TRANSACTIONS) + f"""
+SELECT transaction_id, "timestamp", CAST(amount AS DOUBLE) AS amount, CAST(lag(amount) {_LAST} AS DOUBLE) AS previous_amount,
+ round((CAST(amount AS DOUBLE) - CAST(lag(amount) {_LAST} AS DOUBLE)) / nullif(CAST(lag(amount) {_LAST} AS DOUBLE), 0) * 100, 2) AS diff_percent,
+ CAST(sum(amount) {_LAST[:-1]} ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_total,
+ CAST(sum(amount) OVER (PARTITION BY year("timestamp") ORDER BY "timestamp", transaction_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS year_total
+FROM t""")
+def q_changes(spark, d):
+    return R.transaction_changes(src.transactions(_t(spark, d), False))
+
+
 @query("third_purchase", _V(r=_RECENT, u=M.USERS) + f"""
 , c AS (SELECT u.user_id, u.name || ' ' || u.surname AS nom_complet, u.email, t.amount AS import_3a_compra,
    {M.mean_money("t.amount", ' OVER (PARTITION BY u.user_id ORDER BY t."timestamp")')} AS compra_media,
@@ -501,6 +514,28 @@ def q_candidate_rejects(spark, d):
     return SC.score_candidates(SI.candidates(_t(spark, d)))[1]
 
 
+@query("candidate_report", "WITH " + _CAND + """
+SELECT *, row_number() OVER (ORDER BY puntuacion_total DESC, ord) AS rank FROM (
+SELECT *, CAST("años_experiencia" * 1.5 + catalan + excel + estudios AS DOUBLE) AS puntuacion_total,
+  CASE WHEN "años_experiencia" * 1.5 + catalan + excel + estudios >= 12 THEN 'prioridad alta'
+       WHEN "años_experiencia" * 1.5 + catalan + excel + estudios >= 8 THEN 'candidato_adecuado'
+       ELSE 'no prioritario' END AS clasificacion
+FROM cn WHERE catalan BETWEEN 0 AND 3 AND excel BETWEEN 0 AND 3 AND estudios BETWEEN 0 AND 3)""")
+def q_candidate_report(spark, d):
+    return SC.candidate_report(SC.score_candidates(SI.candidates(_t(spark, d)))[0])
+
+
+@query("candidate_by_name", "WITH " + _CAND + """
+SELECT *, CAST("años_experiencia" * 1.5 + catalan + excel + estudios AS DOUBLE) AS puntuacion_total,
+  CASE WHEN "años_experiencia" * 1.5 + catalan + excel + estudios >= 12 THEN 'prioridad alta'
+       WHEN "años_experiencia" * 1.5 + catalan + excel + estudios >= 8 THEN 'candidato_adecuado'
+       ELSE 'no prioritario' END AS clasificacion
+FROM cn WHERE catalan BETWEEN 0 AND 3 AND excel BETWEEN 0 AND 3 AND estudios BETWEEN 0 AND 3
+  AND nombre_completo = 'customer#000000010'""")
+def q_candidate_by_name(spark, d):
+    return SC.find_candidate(SC.score_candidates(SI.candidates(_t(spark, d)))[0], " Customer#000000010 ")
+
+
 _CART = """WITH last AS (SELECT user_id, event_type FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
 cl AS (SELECT user_id AS id_client, 'user_' || CAST(user_id AS VARCHAR) AS nom,
@@ -553,7 +588,7 @@ _SYM = {"view": "tos", "click": " Fatiga", "signup": "dolor cabeza ", "error": "
 _W = {"fiebre_alta": 3, "dificultad_respirar": 5, "dolor_pecho": 4, "tos": 1, "fatiga": 1, "dolor_cabeza": 1}
 
 
-@query("symptom_triage", """WITH rec AS (SELECT event_id AS ord, 'user_' || CAST(user_id AS VARCHAR) || '|'
+_TRIAGE = """WITH rec AS (SELECT event_id AS ord, 'user_' || CAST(user_id AS VARCHAR) || '|'
   || CAST(18 + (user_id * 7) % 60 AS VARCHAR) || '|'
   || CASE event_type """ + " ".join(f"WHEN {S.sq(k)} THEN {S.sq(v)}" for k, v in _SYM.items()) + """ END
   || CASE WHEN value > 15 THEN ', dolor_pecho' ELSE '' END AS record FROM events),
@@ -562,12 +597,21 @@ q AS (SELECT ord, record, parts[1] AS nom, parts[2] AS edad,
   list_transform(string_split(parts[3], ','), lambda s: """ + S.norm("s") + """) AS sintomas FROM p)
 SELECT ord, record, nom, edad, array_to_string(sintomas, ',') AS sintomas,
   CAST(list_sum(list_transform(sintomas, lambda s: CASE s """ + " ".join(
-    f"WHEN {S.sq(k)} THEN {v}" for k, v in _W.items()) + """ END)) AS BIGINT) AS riesgo_total FROM q""")
+    f"WHEN {S.sq(k)} THEN {v}" for k, v in _W.items()) + """ END)) AS BIGINT) AS riesgo_total FROM q"""
+
+
+@query("symptom_triage", _TRIAGE)
 def q_triage(spark, d):
     out = SC.triage(SI.triage_records(_t(spark, d)))
     return out.withColumn("sintomas", F.array_join("sintomas", ","))
 
 
+@query("triage_report", "SELECT *, row_number() OVER (ORDER BY riesgo_total DESC, ord) AS rank FROM (" + _TRIAGE + ")")
+def q_triage_report(spark, d):
+    out = SC.triage_report(SI.triage_records(_t(spark, d)))
+    return out.withColumn("sintomas", F.array_join("sintomas", ","))
+
+
 _INS = """WITH cl AS (SELECT c_custkey AS ord, c_name AS nombre, CAST(18 + (c_custkey * 7) % 60 AS INTEGER) AS edad,
   CAST(c_custkey % 4 AS INTEGER) AS codigo FROM customer),
 pr AS (SELECT *, CASE codigo WHEN 0 THEN 'Baix risc' WHEN 1 THEN 'Risc mitjà' WHEN 2 THEN 'Risc alt'
@@ -584,6 +628,16 @@ def q_insurance(spark, d):
     return SC.insurance_prices(SI.insurance_clients(_t(spark, d)))
 
 
+@query("insurance_by_fraud", _INS + "SELECT *, row_number() OVER (ORDER BY probabilidad_fraude DESC, ord) AS rank FROM fin")
+def q_insurance_by_fraud(spark, d):
+    return SC.insurance_ranking(SC.insurance_prices(SI.insurance_clients(_t(spark, d))), "probabilidad_fraude")
+
+
+@query("insurance_by_price", _INS + "SELECT *, row_number() OVER (ORDER BY precio_final DESC, ord) AS rank FROM fin")
+def q_insurance_by_price(spark, d):
+    return SC.insurance_ranking(SC.insurance_prices(SI.insurance_clients(_t(spark, d))), "precio_final")
+
+
 @query("insurance_answers", _INS + """
 (SELECT 'most_fraud' AS question, nombre, ord FROM fin ORDER BY probabilidad_fraude DESC, ord LIMIT 1)
 UNION ALL (SELECT 'highest_price', nombre, ord FROM fin ORDER BY precio_final DESC, ord LIMIT 1)

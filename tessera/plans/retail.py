@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tessera.functions.arrays import id_set_text
 from tessera.functions.dates import reverse_date_text
 from tessera.functions.numeric import calculate_tax, key_day_offset, pct_change
+from tessera.operators.ordinals import in_range_order
+from tessera.operators.scans import lag_of, running_sum_of
 
 
 def _accepted(t: DataFrame) -> DataFrame:
@@ -359,6 +361,21 @@ def year_to_date(mv: DataFrame) -> DataFrame:
                       .alias("Vendes_Acumulades_YTD")).orderBy("Data")
 
 
+def transaction_changes(transactions: DataFrame) -> DataFrame:
+    """WIN3/WIN4/MTH4 over every transaction, not only over days: the change against the previous one,
+    the running total, and the running total of the year.  One order serves all three, and no
+    window is without partitions (``operators.scans``)."""
+    t = transactions.select("transaction_id", "timestamp", "amount", F.year("timestamp").alias("_year"))
+    lagged = lag_of(in_range_order(t, ["timestamp", "transaction_id"], "changes"), {"previous_amount": "amount"})
+    total = running_sum_of(lagged, "amount", "running_total")
+    yearly = running_sum_of(total, "amount", "year_total", by="_year")  # a year's rows follow each other
+    before = F.col("previous_amount").cast("double")
+    return yearly.select(
+        "transaction_id", "timestamp", F.col("amount").cast("double").alias("amount"), before.alias("previous_amount"),
+        F.round(F.try_divide(F.col("amount").cast("double") - before, F.nullif(before, F.lit(0.0))) * 100, 2).alias("diff_percent"),
+        F.col("running_total").cast("double").alias("running_total"), F.col("year_total").cast("double").alias("year_total"))
+
+
 def third_purchase(users: DataFrame, transactions: DataFrame, nth: int = 3) -> DataFrame:
     """PIP19/WIN2/WIN5: each user's ``nth`` accepted purchase and the running
     mean up to it (default RANGE frame: purchases at the same instant count).

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import normalise_key, split_list
+from tessera.operators.ordinals import stable_rank
 
 # ------------------------------------------------------------------ fixed values
 # Candidate score bands (score >= 12, 8 <= score < 12, below 8).
@@ -42,6 +43,15 @@ INSURANCE_LEVELS = {
 }
 
 
+def _looked_up(d: dict, key: Column, value_index: int | None = None, strict: bool = False) -> Column:
+    """JN13: the key's entry; a miss is NULL or, ``strict``, fails the job as ``dict[key]`` does."""
+    value = F.try_element_at(_map(d, value_index), key)
+    if not strict:
+        return value
+    missing = F.raise_error(F.concat(F.lit("unmapped key: "), F.coalesce(key.cast("string"), F.lit("NULL"))))
+    return F.when(value.isNull(), missing).otherwise(value)
+
+
 def _map(d: dict, value_index: int | None = None) -> Column:
     kv = []
     for k, v in d.items():
@@ -72,39 +82,52 @@ def score_candidates(df: DataFrame, max_candidates: int | None = None, ord_col:
     return scored, d.filter(~ok)
 
 
+def candidate_report(scored: DataFrame, ord_col: str = "ord") -> DataFrame:
+    """PIP22/SRT5: the scored candidates with their ``rank``, best first, ties in input order."""
+    return stable_rank(scored, "puntuacion_total", ord_col)
+
+
 def find_candidate(scored: DataFrame, name: str) -> DataFrame:
     """FLT13: exact lookup after normalising the typed name."""
     return scored.filter(F.col("nombre_completo") == normalise_key(F.lit(name)))
 
 
 # ------------------------------------------------------------------ PIP23
-def cart_risk(clients: DataFrame) -> DataFrame:
+def cart_risk(clients: DataFrame, strict: bool = False) -> DataFrame:
     """PIP23: segment + code factor × age factor → ``risc_final`` (2 dp).
 
-    Unknown codes/age groups give NULL here; ``relational.check_no_misses``
-    is the strict (KeyError) mode.
+    Unknown codes/age groups give NULL; ``strict`` fails on the first one.
     """
     code = F.col("codi_comportament")
     return clients.withColumns({
-        "segment": F.element_at(_map(BEHAVIOUR_CODES, 0), code),
-        "factor_codi": F.element_at(_map(BEHAVIOUR_CODES, 1), code),
-        "factor_edad": F.element_at(_map(AGE_GROUP_FACTORS), F.col("grup_edat")),
+        "segment": _looked_up(BEHAVIOUR_CODES, code, 0, strict),
+        "factor_codi": _looked_up(BEHAVIOUR_CODES, code, 1, strict),
+        "factor_edad": _looked_up(AGE_GROUP_FACTORS, F.col("grup_edat"), None, strict),
     }).withColumn("risc_final", F.round(F.col("factor_codi") * F.col("factor_edad"), 2))
 
 
-def cart_extremes(risk: DataFrame, ord_col: str = "id_client") -> DataFrame:
-    """PIP23 answers 1, 4 and the lowest: ``(question, id_client, risc_final)``.
+def _answers(df: DataFrame, firsts: dict[str, Column]) -> DataFrame:
+    """(question, fields of the answer) of several one-row answers, all from one aggregate."""
+    one = df.agg(*[a.alias(f"_{i}") for i, a in enumerate(firsts.values())])
+    rows = F.array(*[F.struct(F.lit(q).alias("question"), F.col(f"_{i}").alias("answer")) for i, q in enumerate(firsts)])
+    return one.select(F.explode(rows).alias("r")).where("r.answer is not null").select("r.question", "r.answer.*")
 
-    Each is a global top-1 (``TakeOrderedAndProject``: a k=1 heap per task),
-    first on ties by ordinal as Python's ``max``/``min``.
-    """
-    def top(df, asc, q):
-        o = F.col("risc_final").asc() if asc else F.col("risc_final").desc()
-        return df.orderBy(o, F.col(ord_col)).limit(1).select(
-            F.lit(q).alias("question"), F.col(ord_col).alias("id_client"), "risc_final")
-    return top(risk, False, "highest_risk") \
-        .unionByName(top(risk, True, "lowest_risk")) \
-        .unionByName(top(risk.filter(F.col("codi_comportament") >= 3), False, "most_profitable"))
+
+def _first(row: Column, score: Column, ord_col: str, lowest: bool = False, where: Column | None = None) -> Column:
+    """AGG21: the row of the greatest (lowest) score, first in input order on ties; NULL scores come last."""
+    order = F.struct(score if lowest else -score, F.col(ord_col))
+    keep = score.isNotNull() if where is None else score.isNotNull() & where
+    return F.min_by(F.when(keep, row), F.when(keep, order))
+
+
+def cart_extremes(risk: DataFrame, ord_col: str = "id_client") -> DataFrame:
+    """PIP23 answers 1, 4 and the lowest: ``(question, id_client, risc_final)``, one aggregate,
+    first on ties by ordinal as Python's ``max``/``min``."""
+    score, row = F.col("risc_final"), F.struct(F.col(ord_col).alias("id_client"), "risc_final")
+    return _answers(risk, {
+        "highest_risk": _first(row, score, ord_col),
+        "lowest_risk": _first(row, score, ord_col, lowest=True),
+        "most_profitable": _first(row, score, ord_col, where=F.col("codi_comportament") >= 3)})
 
 
 def not_worth_investing(risk: DataFrame, max_code: int = 1) -> DataFrame:
@@ -121,16 +144,21 @@ def parse_patient(record: Column) -> Column:
                     syms.alias("sintomas"))
 
 
-def triage(records: DataFrame, record_col: str = "record") -> DataFrame:
-    """PIP24: parse, normalise, weigh (sum over the record's own symptom list
-    — AGG22 with ``aggregate`` over a short array), rank by risk."""
+def triage(records: DataFrame, record_col: str = "record", strict: bool = False) -> DataFrame:
+    """PIP24: parse, normalise and weigh (sum over the record's own symptom list
+    — AGG22 with ``aggregate`` over a short array).  An unknown symptom makes
+    the sum NULL or, ``strict``, fails the job."""
     p = records.withColumn("_p", parse_patient(F.col(record_col))).select("*", "_p.*").drop("_p")
-    w = _map(SYMPTOM_WEIGHTS)
     total = F.aggregate(F.col("sintomas"), F.lit(0).cast("bigint"),
-                        lambda acc, s: acc + F.element_at(w, s).cast("bigint"))
+                        lambda acc, s: acc + _looked_up(SYMPTOM_WEIGHTS, s, None, strict).cast("bigint"))
     return p.withColumn("riesgo_total", total)
 
 
+def triage_report(records: DataFrame, ord_col: str = "ord") -> DataFrame:
+    """PIP24/SRT5: every patient with their ``rank`` by risk, ties in input order; an unknown symptom fails."""
+    return stable_rank(triage(records, strict=True), "riesgo_total", ord_col)
+
+
 # ------------------------------------------------------------------ PIP25
 def insurance_prices(clients: DataFrame) -> DataFrame:
     """PIP25: category, base price, fraud probability and
@@ -143,12 +171,15 @@ def insurance_prices(clients: DataFrame) -> DataFrame:
     }).withColumn("precio_final", F.col("precio_base") * (1 + F.col("edad") / 100))
 
 
+def insurance_ranking(priced: DataFrame, by: str, ord_col: str = "ord") -> DataFrame:
+    """PIP25/SRT5: every client with their ``rank`` by ``probabilidad_fraude`` or ``precio_final``, highest first."""
+    return stable_rank(priced, by, ord_col)
+
+
 def insurance_answers(priced: DataFrame, ord_col: str = "ord") -> DataFrame:
     """PIP25: first of each ranking (fraud desc, price desc) and the manual
-    review pick (= first by fraud), as ``(question, nombre)``."""
-    def first(o, q):
-        return priced.orderBy(F.col(o).desc(), F.col(ord_col)).limit(1).select(
-            F.lit(q).alias("question"), "nombre", F.col(ord_col).alias("ord"))
-    return first("probabilidad_fraude", "most_fraud") \
-        .unionByName(first("precio_final", "highest_price")) \
-        .unionByName(first("probabilidad_fraude", "review_first"))
+    review pick (= first by fraud), as ``(question, nombre, ord)``, one aggregate."""
+    row = F.struct("nombre", F.col(ord_col).alias("ord"))
+    fraud = _first(row, F.col("probabilidad_fraude"), ord_col)
+    return _answers(priced, {"most_fraud": fraud, "highest_price": _first(row, F.col("precio_final"), ord_col),
+                             "review_first": fraud})
