@@ -12,7 +12,8 @@ split together, one numpy pass a round.
 What bounds the work: words are counted first, and a bit map of fixed size names
 the words that may be frequent; any other ends a suffix.  Equal
 suffixes of a chunk are one row with a weight before they are routed, and the suffixes of a
-chunk and a bucket travel as one block.  A bucket over ``bucket_rows`` is dealt again
+chunk and a bucket travel as one block.  A block names its words by their place in a table of the
+``MOST_TOP`` most frequent words, which every task has, and the others by their codes.  A bucket over ``bucket_rows`` is dealt again
 by more bits of the same hash, and one that is still too large (one pair of words) by
 its suffixes' further words: then counts of two and three words are sums over its shares.
 
@@ -39,15 +40,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import saved, slices, text_bytes
 
 DEPTH = 4
-CHUNK_BYTES, BUCKET_ROWS, MOST_BUCKETS = 12 << 20, 1_500_000, 4096
+CHUNK_BYTES, BUCKET_ROWS, MOST_BUCKETS = 6 << 20, 1_000_000, 4096
 #: The bit map of frequent words has at most so many bits (16 MB); it is sent to every task.
 MOST_BITS = 1 << 27
+#: The table of the most frequent words has at most so many codes (8 MB); it is sent to every task.
+MOST_TOP = 1 << 20
 _CODES = [f"w{k}" for k in range(1, DEPTH + 1)]
 #: ``[.,;:!?\x0A-\x0D]`` end a piece, tabs part words.
 _PIECES = bytes(0x0A if b in b".,;:!?\n\x0b\x0c\r" else 0x20 if b == 0x09 else b for b in range(256))
@@ -84,8 +88,8 @@ def _words(texts: dict[str, list[bytes]]) -> tuple[list[tuple[str, pa.Array]], n
         whole = b"\n".join(parts).replace(b"\n", b" \n ")
         tokens = pc.split_pattern(pa.array([whole], pa.large_binary()), b" ").values.dictionary_encode()
         words, at = tokens.dictionary, tokens.indices.to_numpy()
-        plain = np.array([w != b"" and w != b"\n" for w in words.to_pylist()], bool)
-        breaks = np.array([w == b"\n" for w in words.to_pylist()], bool)
+        plain, breaks = (np.array(pc.fill_null(x, False)) for x in (
+            pc.and_(pc.not_equal(words, b""), pc.not_equal(words, b"\n")), pc.equal(words, b"\n")))
         number = np.where(plain, np.cumsum(plain) - 1 + base, np.where(breaks, -1, -2)).astype(np.int32)[at]
         ids += [number[number > -2], np.array([-1], np.int32)]
         names.append((lang, words.filter(pa.array(plain))))
@@ -125,34 +129,53 @@ def _mixed(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def pack(codes: np.ndarray, weights: np.ndarray) -> bytes:
-    """Rows of ``DEPTH`` codes (sorted, so that they compress) and weights."""
-    known, at = np.unique(codes, return_inverse=True)
-    body = b"".join([np.array([len(known), len(codes)], "<i8").tobytes(), known.astype("<u8").tobytes(),
-                     np.ascontiguousarray(at.reshape(codes.shape).T.astype("<i4")).tobytes(), weights.astype("<i8").tobytes()])
+def in_top(codes: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """Place of each code in the sorted table ``top``, -1 for others."""
+    at = np.minimum(np.searchsorted(top, codes), len(top) - 1)
+    return np.where(top[at] == codes, at, -1) if len(top) else np.full(len(codes), -1)
+
+
+def pack(rows: np.ndarray, weights: np.ndarray, codes: np.ndarray, places: np.ndarray) -> bytes:
+    """Rows of ``DEPTH`` places in ``codes`` (in order, so that they compress) and weights; only codes in use are kept.
+
+    ``places`` are the codes' places in the table of frequent words, ascending, then -1.
+    """
+    used = np.zeros(len(codes), bool)
+    used[rows.reshape(-1)] = True
+    number = (np.cumsum(used) - 1).astype("<i4")
+    known, places = codes[used], places[used]
+    n_top = int((places >= 0).sum())
+    steps = np.diff(places[:n_top], prepend=0).astype("<i4")
+    body = b"".join([np.array([n_top, len(known) - n_top, len(rows)], "<i8").tobytes(), steps.tobytes(), known[n_top:].astype("<u8").tobytes(),
+                     np.ascontiguousarray(number[rows].T).tobytes(), weights.astype("<i8").tobytes()])
     return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
 
-def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+def unpack(block: bytes, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, weights, codes, places) as packed."""
     body = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
-    n_known, n = np.frombuffer(body, "<i8", 2)
-    known = np.frombuffer(body, "<u8", n_known, 16)
-    at = np.frombuffer(body, "<i4", DEPTH * n, 16 + 8 * n_known).reshape(DEPTH, n)
-    return known[at].T, np.frombuffer(body, "<i8", n, 16 + 8 * n_known + 4 * DEPTH * n)
+    n_top, n_rest, n = np.frombuffer(body, "<i8", 3).tolist()
+    places = np.cumsum(np.frombuffer(body, "<i4", n_top, 24), dtype=np.int64)
+    codes = np.concatenate([top[places], np.frombuffer(body, "<u8", n_rest, 24 + 4 * n_top)])
+    at = 24 + 4 * n_top + 8 * n_rest
+    rows = np.frombuffer(body, "<i4", DEPTH * n, at).reshape(DEPTH, n).T
+    return rows, np.frombuffer(body, "<i8", n, at + 4 * DEPTH * n), codes, np.append(places, np.full(n_rest, -1))
 
 
 _BLOCK = "bucket bigint, `share` bigint, n_rows bigint, block binary"
 
 
-def _blocks(bucket: np.ndarray, share: np.ndarray, codes: np.ndarray, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each bucket and share."""
-    order = np.lexsort((codes[:, 3], codes[:, 2], codes[:, 1], codes[:, 0], share, bucket))
-    bucket, share, codes, weights = bucket[order], share[order], codes[order], weights[order]
-    cuts = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (share[1:] != share[:-1])]))
-    for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([bucket[a]], pa.int64()), pa.array([share[a]], pa.int64()), pa.array([b - a], pa.int64()),
-             pa.array([pack(codes[a:b], weights[a:b])], pa.binary())], ["bucket", "share", "n_rows", "block"])
+def _blocks(group: np.ndarray, names: np.ndarray, rows: np.ndarray, weights: np.ndarray, codes: np.ndarray,
+            places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each group of suffixes; ``names`` are the (bucket, share) of the groups' numbers."""
+    order = np.argsort(group.astype(np.int16 if len(names) < 1 << 15 else np.int64), kind="stable")
+    ends = np.cumsum(np.bincount(group, minlength=len(names)))
+    for (bucket, share), start, end in zip(names.tolist(), np.append(0, ends[:-1]).tolist(), ends.tolist()):
+        if end > start:
+            at = order[start:end]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bucket], pa.int64()), pa.array([share], pa.int64()), pa.array([end - start], pa.int64()),
+                 pa.array([pack(rows[at], weights[at], codes, places)], pa.binary())], ["bucket", "share", "n_rows", "block"])
 
 
 def suffixes(ids: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,12 +192,15 @@ def suffixes(ids: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     tails, second = np.unique(second, return_inverse=True)
     both, n = np.unique(first.astype(np.int64) * len(tails) + second, return_counts=True)
     head, tail = heads[both // max(1, len(tails))], tails[both % max(1, len(tails))]
-    return np.stack([head // wide, head % wide - 1, tail // wide, tail % wide - 1], 1), n
+    rows = np.empty((len(n), DEPTH), np.int32)
+    rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3] = head // wide, head % wide - 1, tail // wide, tail % wide - 1
+    return rows, n
 
 
-def _route(salt: str, bits: bytes, buckets: int, chunk_bytes: int):
+def _route(salt: str, bits: Broadcast, top: Broadcast, buckets: int, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = np.frombuffer(bits, np.uint8)
+        frequent, table = np.frombuffer(bits.value, np.uint8), np.frombuffer(top.value, np.uint64)
+        every = np.stack([np.arange(buckets), np.zeros(buckets, np.int64)], 1)
         for texts in _chunks(batches, chunk_bytes):
             names, ids = _words(texts)
             codes = np.array([_code(salt, lang, w) for lang, words in names for w in words.to_pylist()], np.uint64)
@@ -182,29 +208,37 @@ def _route(salt: str, bits: bytes, buckets: int, chunk_bytes: int):
             kept = (frequent[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
             if not kept.any():
                 continue
-            number = np.append(np.where(kept, np.cumsum(kept) - 1, -1), -1).astype(np.int32)[ids]
-            codes = np.append(codes[kept], np.uint64(0))  # 0 for none, also at place -1
+            at = in_top(codes, table)
+            # Words of the table come first, in its order, then the others; the last is 0, for none.
+            order = np.concatenate([np.flatnonzero(kept & (at >= 0))[np.argsort(at[kept & (at >= 0)])], np.flatnonzero(kept & (at < 0))])
+            number = np.full(len(codes) + 1, -1, np.int32)
+            number[order] = np.arange(len(order), dtype=np.int32)
+            number, codes, places = number[ids], np.append(codes[order], np.uint64(0)), np.append(at[order], -1)
             rows, n = suffixes(number, len(codes))
             if len(rows):
-                rows = codes[rows]
-                bucket = (_mixed(rows[:, 0], rows[:, 1]) % np.uint64(buckets)).astype(np.int64)
-                yield from _blocks(bucket, np.zeros(len(rows), np.int64), rows, n)
+                rows[rows < 0] = len(codes) - 1
+                bucket = (_mixed(codes[rows[:, 0]], codes[rows[:, 1]]) % np.uint64(buckets)).astype(np.int64)
+                yield from _blocks(bucket, every, rows, n, codes, places)
     return run
 
 
-def _dealt_again(buckets: int, shares: dict[int, int], by_tail: bool):
+def _dealt_again(buckets: int, shares: dict[int, int], by_tail: bool, top: Broadcast):
     """Blocks of buckets that are too large, parted by more bits of the leading words or by the further words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(top.value, np.uint64)
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                codes, weights = unpack(row["block"])
-                n = np.uint64(shares[row["bucket"] * MOST_BUCKETS + row["share"] if by_tail else row["bucket"]])
+                rows, weights, codes, places = unpack(row["block"], table)
+                n = shares[row["bucket"] * MOST_BUCKETS + row["share"] if by_tail else row["bucket"]]
                 if by_tail:
-                    own = row["share"] + MOST_BUCKETS * (1 + (_mixed(codes[:, 2], codes[:, 3]) % n).astype(np.int64))
+                    own = _mixed(codes[rows[:, 2]], codes[rows[:, 3]]) % np.uint64(n)
+                    share = row["share"] + MOST_BUCKETS * (1 + np.arange(n))
                 else:
-                    own = (_mixed(codes[:, 0], codes[:, 1]) // np.uint64(buckets) % n).astype(np.int64)
-                yield from _blocks(np.full(len(codes), row["bucket"]), own, codes, weights)
+                    own = _mixed(codes[rows[:, 0]], codes[rows[:, 1]]) // np.uint64(buckets) % np.uint64(n)
+                    share = np.arange(n)
+                names = np.stack([np.full(n, row["bucket"]), share], 1)
+                yield from _blocks(own.astype(np.int64), names, rows, weights, codes, places)
     return run
 
 
@@ -249,15 +283,15 @@ def three_way(rows: np.ndarray, weights: np.ndarray, least: np.ndarray, none: in
 _FOUND = "size int, " + ", ".join(f"{c} bigint" for c in _CODES) + ", a bigint, whole boolean"
 
 
-def _sorted(least: int):
+def _sorted(least: int, top: Broadcast):
     """Frequent phrases of one bucket and share; those that other shares also hold count in part (not ``whole``)."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [unpack(b) for b in table["block"].to_pylist()]
-        codes = np.concatenate([c for c, _ in parts])
-        weights = np.concatenate([w for _, w in parts])
+        known = np.frombuffer(top.value, np.uint64)
+        parts = [unpack(b, known)[:3] for b in table["block"].to_pylist()]
+        words = np.unique(np.concatenate([c for _, _, c in parts]))
+        rows = np.concatenate([np.searchsorted(words, c).astype(np.int32)[r] for r, _, c in parts])
+        weights = np.concatenate([w for _, w, _ in parts])
         del parts
-        words, at = np.unique(codes, return_inverse=True)
-        rows = at.reshape(codes.shape).astype(np.int32)
         none = 0 if len(words) and words[0] == 0 else -1
         shared = key[1].as_py() >= MOST_BUCKETS  # dealt by further words
         limits = np.array([least, 1, 1, least] if shared else [least] * DEPTH)
@@ -267,7 +301,7 @@ def _sorted(least: int):
         for n, heads, sums in three_way(rows, weights, limits, none):
             if n == 1:
                 continue
-            found = codes[heads].copy()
+            found = words[rows[heads]]
             found[:, n:] = 0
             out.append(pa.table({"size": pa.array([n] * len(sums), pa.int32()),
                                  **{c: found[:, k].view(np.int64) for k, c in enumerate(_CODES)},
@@ -309,28 +343,35 @@ def frequent_bits(frequent: DataFrame) -> bytes:
     return bytes(out)
 
 
+def frequent_table(frequent: DataFrame) -> np.ndarray:
+    """Sorted codes of the ``MOST_TOP`` most frequent words."""
+    top = frequent.orderBy(F.desc("n"), "code").limit(MOST_TOP).select("code").toArrow()["code"].to_numpy()
+    return np.sort(top.view(np.uint64))
+
+
 def frequent_phrases(rows: DataFrame, frequent: DataFrame, salt: str, least: int, chunk_bytes: int = CHUNK_BYTES,
                      bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(size, w1..w4, a): every phrase of 2 to ``DEPTH`` words that occurs ``least`` times or more; 0 is no word."""
     buckets = int(min(MOST_BUCKETS, max(1, (frequent.agg(F.sum("n")).first()[0] or 0) // bucket_rows)))
-    bits = frequent_bits(frequent)
-    blocks = saved(rows.mapInArrow(_route(salt, bits, buckets, chunk_bytes), _BLOCK), "collocation-blocks")
+    spark = frequent.sparkSession.sparkContext
+    bits, top = spark.broadcast(frequent_bits(frequent)), spark.broadcast(frequent_table(frequent).tobytes())
+    blocks = saved(rows.mapInArrow(_route(salt, bits, top, buckets, chunk_bytes), _BLOCK), "collocation-blocks")
     # Buckets are few (MOST_BUCKETS) and so are those of their shares that are dealt again.
     held = {r["bucket"]: r["n"] for r in blocks.groupBy("bucket").agg(F.sum("n_rows").alias("n")).collect()}
     large = {b: min(MOST_BUCKETS - 1, -(-n // bucket_rows)) for b, n in held.items() if n > 2 * bucket_rows}
     if large:
         again = saved(blocks.where(F.col("bucket").isin(list(large))).mapInArrow(
-            _dealt_again(buckets, large, False), _BLOCK), "collocation-blocks")
+            _dealt_again(buckets, large, False, top), _BLOCK), "collocation-blocks")
         group = again.groupBy("bucket", "share").agg(F.sum("n_rows").alias("n")).where(F.col("n") > 2 * bucket_rows).collect()
         hot = {r["bucket"] * MOST_BUCKETS + r["share"]: -(-r["n"] // bucket_rows) for r in group}
         blocks = blocks.where(~F.col("bucket").isin(list(large)))
         if hot:
             name = F.col("bucket") * MOST_BUCKETS + F.col("share")
             tails = saved(again.where(name.isin(list(hot))).mapInArrow(
-                _dealt_again(buckets, hot, True), _BLOCK), "collocation-blocks")
+                _dealt_again(buckets, hot, True, top), _BLOCK), "collocation-blocks")
             again = again.where(~name.isin(list(hot))).unionByName(tails)
         blocks = blocks.unionByName(again)
-    found = saved(blocks.groupBy("bucket", "share").applyInArrow(_sorted(least), _FOUND), "collocation-found")
+    found = saved(blocks.groupBy("bucket", "share").applyInArrow(_sorted(least, top), _FOUND), "collocation-found")
     parts = found.where("not whole").groupBy("size", *_CODES).agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     return saved(found.where("whole").drop("whole").unionByName(parts), "collocation-phrases")
 

@@ -103,11 +103,17 @@ def test_quicksort():
     assert list(C.three_way(rows[:0], weights[:0], np.full(4, 1), 0)) == []
 
 
-def test_blocks_round_trip():
+@pytest.mark.parametrize("n_top", [0, 20, 40])
+def test_blocks_round_trip(n_top):
+    """Words of the table come first and travel as places, the others as codes."""
     rng = np.random.default_rng(2)
-    codes, weights = rng.integers(0, 2**63, (100, 4)).astype(np.uint64), rng.integers(1, 9, 100)
-    back, w = C.unpack(C.pack(codes, weights))
-    assert (back == codes).all() and (w == weights).all()
+    top = np.sort(rng.integers(0, 2**63, 40).astype(np.uint64))
+    codes = np.concatenate([top[:n_top], rng.integers(0, 2**63, 50 - n_top).astype(np.uint64), np.zeros(1, np.uint64)])
+    rows, weights = rng.integers(0, 51, (30, 4)).astype(np.int32), rng.integers(1, 9, 30)
+    places = C.in_top(codes, top)
+    assert (places >= 0).sum() == n_top
+    back, w, known, at = C.unpack(C.pack(rows, weights, codes, places), top)
+    assert (known[back] == codes[rows]).all() and (w == weights).all() and (at == C.in_top(known, top)).all()
 
 
 def test_codes_and_salt(spark, monkeypatch):
