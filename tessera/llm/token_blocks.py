@@ -15,8 +15,8 @@ The width is the smallest that holds ``PERCENTILE`` of the block's offsets;
 the others are patched from the exception list.  The block starts allow a
 reader to decode any range of ids without the rest.
 
-Spark writes the files (one per partition of the range-partitioned rows) with
-its own commit protocol, so a lost executor's part is written again, and reads
+Spark writes the files (``FILE_SEGMENTS`` segments each, partition after
+partition of the range-partitioned rows) with its own commit protocol, so a lost executor's part is written again, and reads
 them with its binary source; no path is opened by Python.
 
 Defined cases: null text is empty and still has its end id; rows that share an
@@ -27,6 +27,7 @@ text are ignored.
 
 from __future__ import annotations
 
+import array
 import functools
 import itertools
 import json
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +47,10 @@ from tessera.session import scratch_dir
 
 MAGIC = b"PFR1"
 BLOCK_IDS, SEGMENT_IDS, PERCENTILE = 512, 1 << 19, 0.9
-KEEP = 150_000
+#: Segments of one file (some 64 MB); a reader holds one file at a time.
+FILE_SEGMENTS = 64
+#: Chunks that a worker remembers (some 50 bytes each, end to end), and words of their own.
+KEEP, KEEP_WORDS = 1_000_000, 100_000
 _HEAD = struct.Struct("<4sIQIIQ")
 _BLOCK = np.dtype([("low", "<u4"), ("width", "u1"), ("zero", "u1"), ("patched", "<u2")])
 
@@ -185,17 +190,27 @@ class ChunkEncoder:
                          and split.get("invert") is True and not spec.get("truncation") and not spec.get("padding"))
         self.alphabet = byte_alphabet()
         self.words: dict[str, bytes] = {}
-        self.chunks: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.forget(0)
+
+    def forget(self, kept: int) -> None:
+        """Keep the ``kept`` chunks that came last: their bytes, the number of their ids, and the ids, end to end."""
+        if kept:
+            n = len(self.size) - kept
+            self.flat = self.flat[self.size[:n].sum():].copy()
+            self.chunks, self.size = pa.concat_arrays([self.chunks[n:]]), self.size[n:].copy()
+        else:
+            self.chunks, self.size, self.flat = pa.array([], pa.large_binary()), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array.array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
         known = self.words.get(word)
         if known is None:
             symbols = word if word.isascii() else "".join([self.alphabet[b] for b in word.encode("utf-8")])
-            known = self.words[word] = np.array([t.id for t in self.library.model.tokenize(symbols)], "<u4").tobytes()
+            if len(self.words) > KEEP_WORDS:
+                self.words = {}
+            known = self.words[word] = array.array("I", [t.id for t in self.library.model.tokenize(symbols)]).tobytes()
         return known
 
     def _chunk(self, chunk: bytes) -> bytes:
@@ -208,16 +223,31 @@ class ChunkEncoder:
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         if not self.by_chunk:
             return [np.frombuffer(self._whole(t.decode("utf-8")), "<u4") for t in texts]
-        split = [t.translate(_BLANK).split() for t in texts]
-        if len(self.chunks) > KEEP:
-            self.old, self.chunks = self.chunks, {}
-        if len(self.words) > KEEP:
-            self.words = {}
-        new = set().union(*split).difference(self.chunks)
-        for chunk in new:
-            self.chunks[chunk] = self.old.get(chunk) or self._chunk(chunk)
-        get = self.chunks.__getitem__
-        return [np.frombuffer(b"".join(map(get, chunks)), "<u4") for chunks in split]
+        whole = b" \n ".join([t.translate(_BLANK) for t in texts])  # no text holds a line feed any more
+        tokens = pc.split_pattern(pa.array([whole], pa.large_binary()), b" ").values.dictionary_encode()
+        at, chunks = tokens.indices.to_numpy(), tokens.dictionary
+        if len(self.size) > KEEP:
+            self.forget(KEEP // 2)
+        place = self._remember(chunks)
+        first = np.cumsum(self.size) - self.size
+        n = self.size[place][at]
+        ends = np.cumsum(n)
+        out = self.flat[np.arange(ends[-1]) + np.repeat(first[place][at] - (ends - n), n)]
+        border = pc.fill_null(pc.equal(chunks, b"\n"), False).to_numpy(zero_copy_only=False)[at]
+        return np.split(out, ends[border])[:len(texts)]
+
+    def _remember(self, chunks: pa.Array) -> np.ndarray:
+        """Places of distinct chunks among those remembered; new ones are encoded."""
+        place = pc.index_in(chunks, value_set=self.chunks)
+        missing = place.is_null()
+        new = chunks.filter(missing)
+        place = pc.fill_null(place, 0).to_numpy().astype(np.int64)
+        place[missing.to_numpy(zero_copy_only=False)] = len(self.size) + np.arange(len(new))
+        values = [b"" if c in (b"", b"\n") else self._chunk(c) for c in new.to_pylist()]
+        self.chunks = pa.concat_arrays([self.chunks, new])
+        self.size = np.concatenate([self.size, np.fromiter([len(v) // 4 for v in values], np.int64, len(values))])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(values), "<u4")])
+        return place
 
 
 @functools.lru_cache(maxsize=2)
@@ -256,8 +286,10 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int | None =
         if names:
             yield flush()
 
-    # A row of the text writer is its bytes and 0x0A, which closes the segment.
-    ordered.mapInArrow(run, "segment binary").select(F.col("segment").cast("string").alias("value")).write.text(path)
+    # A row of the text writer is its bytes and 0x0A, which closes the segment.  The cast leaves
+    # bytes as they are (Spark's strings are bytes; nothing checks that they are UTF-8).
+    (ordered.mapInArrow(run, "segment binary").select(F.col("segment").cast("string").alias("value"))
+     .write.option("maxRecordsPerFile", FILE_SEGMENTS).text(path))
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
