@@ -1,4 +1,4 @@
-"""Small cleaning/filter helpers (CLN3, FLT4, FLT8, FLT10, SRT6, AGG13, AGG16, MTH2)."""
+"""Small cleaning/filter helpers (CLN3, FLT4, FLT8, FLT10, SRT6, AGG16)."""
 
 from __future__ import annotations
 
@@ -41,14 +41,3 @@ def distinct_values(df: DataFrame, c: str, dropna: bool = True) -> DataFrame:
     """AGG16: distinct values (``dropna().unique()``)."""
     d = df.select(c)
     return (d.dropna() if dropna else d).distinct()
-
-
-def median_where(c: str, cond: Column) -> Column:
-    """AGG13: median of the values meeting ``cond`` (e.g. positive only)."""
-    v = F.when(cond, F.col(c))
-    return F.median(v)
-
-
-def py_round(c: Column, digits: int = 2) -> Column:
-    """MTH2: Python/NumPy rounding of exact ties is half-to-even."""
-    return F.bround(c, digits)

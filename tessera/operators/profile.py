@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.order_stats import exact_quantiles
+from tessera.session import cut_lineage
 
 _NUM = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -93,6 +94,11 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return out
 
 
+def sample_rows(df: DataFrame, ord_col: str, n: int = 5) -> DataFrame:
+    """AGG20/PRF2: the first ``n`` rows in input order (``head``)."""
+    return df.orderBy(ord_col).limit(n)
+
+
 def shape_report(df: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """AGG20: rows, columns and (optionally) rows removed against ``before``,
     as ``(metric, value)`` rows."""
@@ -120,36 +126,80 @@ def exploration_report(df: DataFrame, key: str | None = None) -> DataFrame:
     return shape.select("metric", none.alias("column"), "value", none.alias("text")).unionByName(column_report(df))
 
 
+TRACKED = 8192  # items that the sketch of a column follows
+
+
+def sketch_error(n: int, tracked: int = TRACKED) -> float:
+    """A value that occurs more often than this is among the sketch's items, whatever the rest (n rows).
+
+    The frequent-items sketch keeps a map of the next power of two above
+    tracked / 0.75 and errs by at most 3.5 rows in so many.
+    """
+    width = 1 << (int(tracked / 0.75) - 1).bit_length()
+    return 3.5 * n / width
+
+
+def frequent_values(df: DataFrame, cols: Sequence[str], top: int, tracked: int = TRACKED) -> DataFrame:
+    """AGG14/PRF1: ``(column, bucket, freq)`` of the ``top`` most frequent values of each text column, NULL as 'nan',
+    ties by value.  Exact.
+
+    One aggregate sketches all columns in bounded memory; its items are counted
+    again exactly.  Where the ``top``-th of them occurs more often than the sketch can have
+    overlooked, no other value can be among the top; the other columns
+    (nearly all values differ) are counted in full.
+    """
+    text = {c: F.coalesce(F.col(_q(c)).cast("string"), F.lit("nan")) for c in cols}
+    found = df.agg(F.count("*").alias("n"), *[
+        F.call_function("approx_top_k", text[c], F.lit(tracked), F.lit(tracked)).alias(f"k{i}") for i, c in enumerate(cols)]).first()  # bounded by ``tracked``
+    least = sketch_error(found["n"], tracked)
+    items = [(c, r["item"]) for i, c in enumerate(cols) for r in found[f"k{i}"] or () if r["count"] > 0]
+    spark = df.sparkSession
+    long = df.select(*[text[c].alias(c) for c in cols]).unpivot([], [F.col(_q(c)) for c in cols], "column", "bucket")
+    order = Window.partitionBy("column").orderBy(F.desc("freq"), "bucket")
+
+    def best(counts: DataFrame) -> DataFrame:
+        return counts.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= top)
+
+    named = spark.createDataFrame(items, "c string, v string")
+    known = best(long.join(F.broadcast(named), (F.col("column") == F.col("c")) & (F.col("bucket") == F.col("v")))
+                 .groupBy("column", "bucket").agg(F.count("*").alias("freq")))
+    rows = cut_lineage(known, "frequent")
+    last = {r["column"]: (r["n"], r["least"], r["all"]) for r in rows.groupBy("column").agg(
+        F.count("*").alias("n"), F.min("freq").alias("least"), F.sum("freq").alias("all")).collect()}  # one row per column
+    # Proven: enough values above the error, or the values counted are all there are.
+    counted = {c: sum(1 for k, _ in items if k == c) for c in cols}
+    proven = [c for c in cols if c in last and ((last[c][0] >= top and last[c][1] > least)
+                                                or (counted[c] <= top and last[c][2] == found["n"]))]
+    open_ = [c for c in cols if c not in proven]
+    out = rows.where(F.col("column").isin(proven)).select("column", "bucket", "freq")
+    if open_:
+        full = long.where(F.col("column").isin(open_)).groupBy("column", "bucket").agg(F.count("*").alias("freq"))
+        out = out.unionByName(best(full).select("column", "bucket", "freq"))
+    return out
+
+
 def profile_table(df: DataFrame, top: int = 10, bins: int = 10) -> DataFrame:
     """PRF1 re-aimed: a profile table ``(column, kind, bucket, freq)``.
 
     date/timestamp → top years; numeric → fixed-width histogram between the
     column's min and max; anything else → top values as text (NULL → 'nan').
     One unpivot per kind (all columns of a kind in one pass), then one
-    aggregate per kind; top-k per column with a rank window over the small
-    per-value count table.
+    aggregate per kind; the top values come from ``frequent_values``.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     dates = [c for c, t in fields.items() if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType))]
     nums = [c for c, t in fields.items() if isinstance(t, _NUM)]
     texts = [c for c in df.columns if c not in dates and c not in nums]
     parts = []
-    w = lambda: __import__("pyspark.sql", fromlist=["Window"]).Window
-
-    def top_k(long: DataFrame, kind: str) -> DataFrame:
-        cnt = long.groupBy("column", "bucket").agg(F.count("*").alias("freq"))
-        r = F.row_number().over(w().partitionBy("column").orderBy(F.desc("freq"), "bucket"))
-        return cnt.withColumn("_r", r).filter(F.col("_r") <= top).drop("_r") \
-            .withColumn("kind", F.lit(kind))
 
     if dates:
         long = df.select(*[F.year(_q(c)).cast("string").alias(c) for c in dates]) \
             .unpivot([], dates, "column", "bucket").filter(F.col("bucket").isNotNull())
-        parts.append(top_k(long, "year"))
+        counts = long.groupBy("column", "bucket").agg(F.count("*").alias("freq"))  # one row per year
+        place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("freq"), "bucket"))
+        parts.append(counts.withColumn("_r", place).where(F.col("_r") <= top).withColumn("kind", F.lit("year")))
     if texts:
-        long = df.select(*[F.coalesce(F.col(_q(c)).cast("string"), F.lit("nan")).alias(c) for c in texts]) \
-            .unpivot([], texts, "column", "bucket")
-        parts.append(top_k(long, "top_value"))
+        parts.append(frequent_values(df, texts, top).withColumn("kind", F.lit("top_value")))
     if nums:
         stats = df.agg(*[F.min(_q(c)).cast("double").alias(f"lo_{i}") for i, c in enumerate(nums)],
                        *[F.max(_q(c)).cast("double").alias(f"hi_{i}") for i, c in enumerate(nums)])

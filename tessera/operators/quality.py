@@ -11,8 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.relational import keep_first
-
 
 def primary_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """DQ1: key values that repeat, plus rows with a NULL key part.
@@ -42,17 +40,6 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return child.filter(F.col(fk).isNotNull()).join(p, F.col(fk) == F.col("_pk"), "left_anti")
 
 
-def orphan_counts(child: DataFrame, fks: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """DQ3: ``(fk, orphan_rows)`` for several foreign keys of one table, which is read once."""
-    joined, hits = child.select(*fks), {}
-    for i, (fk, (parent, pk)) in enumerate(fks.items()):
-        keys = parent.select(F.col(pk).alias(f"_pk{i}")).distinct()
-        joined = joined.join(keys, F.col(fk) == F.col(f"_pk{i}"), "left")
-        hits[fk] = F.count_if(F.col(fk).isNotNull() & F.col(f"_pk{i}").isNull())
-    one = joined.agg(*[n.alias(fk) for fk, n in hits.items()])
-    return one.unpivot([], list(fks), "fk", "orphan_rows")
-
-
 def apply_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """DQ4: declared column defaults applied at ingest (``coalesce``)."""
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
@@ -65,23 +52,18 @@ def resolve_key_conflicts(df: DataFrame, key: str, identity: Sequence[str], ord_
 
     Conflicts are *derived* (groups whose identity columns take more than one
     value) instead of listed by hand.  Returns ``(kept, dropped)``;
-    ``dropped`` carries a ``reason``.  Two partial aggregates and joins on the
-    key — no group is materialised in one task.  NULL keys are kept apart
-    (never merged with each other).
+    ``dropped`` carries a ``reason``.  No group is materialised in one task.
+    NULL keys are kept apart (never merged with each other); ``ord_col`` is
+    unique.
     """
     ident = F.struct(*[F.col(c) for c in identity])
-    # a key conflicts when its rows do not all carry the same identity, i.e.
-    # the smallest and largest identity differ: two partial aggregates (one
-    # shuffle, a hot key collapses map-side), no distinct-count expansion
+    # A key conflicts when its rows do not all carry the same identity, i.e.
+    # the smallest and largest differ: one partial aggregate (a hot key
+    # collapses map-side) and one join, which both results are filters of.
     g = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
-        F.min(ident).alias("_lo"), F.max(ident).alias("_hi"))
-    bad = g.filter(~F.col("_lo").eqNullSafe(F.col("_hi"))).select("_k")
-    conflict = df.join(bad, F.col(key) == F.col("_k"), "left_semi")
-    clean = df.join(bad, F.col(key) == F.col("_k"), "left_anti")
-    with_key = keep_first(clean.filter(F.col(key).isNotNull()), [key], ord_col)
-    kept = with_key.unionByName(clean.filter(F.col(key).isNull()))
-    dups = clean.filter(F.col(key).isNotNull()).join(
-        with_key.select(F.col(ord_col).alias("_o")), F.col(ord_col) == F.col("_o"), "left_anti")
-    dropped = conflict.withColumn("reason", F.lit("conflicting_identity")) \
-        .unionByName(dups.withColumn("reason", F.lit("resubmitted_duplicate")))
-    return kept, dropped
+        F.min(ident).alias("_lo"), F.max(ident).alias("_hi"), F.min(ord_col).alias("_first"))
+    told = g.select("_k", "_first", (~F.col("_lo").eqNullSafe(F.col("_hi"))).alias("_bad"))
+    reason = (F.when(F.col("_bad"), F.lit("conflicting_identity"))
+              .when(F.col(ord_col) > F.col("_first"), F.lit("resubmitted_duplicate")))
+    marked = df.join(told, F.col(key) == F.col("_k"), "left").withColumn("reason", reason).drop("_k", "_first", "_bad")
+    return marked.filter(F.col("reason").isNull()).drop("reason"), marked.filter(F.col("reason").isNotNull())

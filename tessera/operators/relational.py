@@ -189,13 +189,8 @@ def stable_rank_desc(df: DataFrame, score: str, ord_col: str) -> DataFrame:
 
 def dedupe_column_names(df: DataFrame) -> DataFrame:
     """SET3/CLN2: strip column names, keep the first of duplicated names."""
-    seen: set[str] = set()
-    cols = []
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])  # names that repeat cannot be asked for
+    first: dict[str, int] = {}
     for i, name in enumerate(df.columns):
-        clean = name.strip()
-        if clean in seen:
-            continue
-        seen.add(clean)
-        cols.append(F.col(f"`{name}`") if df.columns.count(name) == 1 else df[i])
-        cols[-1] = cols[-1].alias(clean)
-    return df.select(*cols)
+        first.setdefault(name.strip(), i)
+    return plain.select(*[F.col(f"_{i}").alias(name) for name, i in first.items()])

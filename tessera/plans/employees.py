@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tessera.functions.dates import age_in_year, date_from_parts
 from tessera.functions.numeric import clip_lower, clip_upper, round_money
 from tessera.functions.text import fix_mojibake, parse_amount_text
+from tessera.operators.clean import drop_unrecoverable
 from tessera.operators.order_stats import exact_medians
 from tessera.operators.quality import resolve_key_conflicts
 from tessera.operators.relational import transform_agg
@@ -71,15 +72,23 @@ def _medians(df: DataFrame, by: Sequence[str], values: Mapping[str, str | Column
 
 # ------------------------------------------------------------------ CLN1 / CLN2 / CLN4
 def promote_header(raw: DataFrame, header_row: int, ord_col: str = "_ord") -> DataFrame:
-    """CLN1: use the row at position ``header_row`` as column names, drop
-    it and the rows before it.  Only that one row reaches the driver."""
-    data_cols = [c for c in raw.columns if c != ord_col]
-    w_rows = raw.orderBy(ord_col).limit(header_row + 1).collect()
-    head = w_rows[header_row]
-    cutoff = head[ord_col]
-    names = [(head[c] if head[c] is not None else f"_blank{i}") for i, c in enumerate(data_cols)]
-    body = raw.filter(F.col(ord_col) > cutoff)
-    return body.select(F.col(ord_col), *[F.col(c).alias(n) for c, n in zip(data_cols, names)])
+    """CLN1/CLN2/SET3: use the row at place ``header_row`` as column names, drop
+    it and the rows before it.
+
+    Names are stripped; columns with a blank name and repetitions of a name are
+    dropped (the first stays).  Only the header row reaches the driver.
+    """
+    data = [c for c in raw.columns if c != ord_col]
+    head = raw.filter(F.col(ord_col) == header_row).first()
+    if head is None:
+        raise ValueError(f"no row {header_row}")
+    names: dict[str, str] = {}
+    for c in data:
+        name = (head[c] or "").strip()
+        if name and name not in names:
+            names[name] = c
+    body = raw.filter(F.col(ord_col) > header_row)
+    return body.select(ord_col, *[F.col(c).alias(n) for n, c in names.items()])
 
 
 def canonical_names(df: DataFrame, renames: Mapping[str, str] = RENAMES,
@@ -214,6 +223,16 @@ def birth_date(df: DataFrame) -> DataFrame:
         .drop("dia_naixement", "mes_naixement", "any_naixement")
 
 
+REQUIRED = ("Nom", "Cognoms", "DNI", "Ciutat")
+
+
+def clean_raw_employees(raw: DataFrame, header_row: int = 2, ord_col: str = "_ord") -> tuple[DataFrame, DataFrame]:
+    """PIP26 from the sheet as it is delivered: leading rows, blank and repeated
+    columns (CLN1, CLN2, SET3), a damaged column name (CLN4) and empty rows (CLN3)."""
+    sheet = drop_unrecoverable(promote_header(raw, header_row, ord_col), REQUIRED)
+    return clean_employees(sheet.withColumnRenamed(ord_col, "_ord"))
+
+
 def clean_employees(sheet: DataFrame, legacy_order: bool = False,
                     cut_lineage: bool = True) -> tuple[DataFrame, DataFrame]:
     """PIP26 end to end.  Returns ``(clean, dropped)``.
@@ -260,15 +279,42 @@ def salary_gender_country(clean: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ PIP28 / PIP29
-def load_policy(spark: SparkSession, path: str) -> dict:
-    """SRC10 + MAP1: read the JSON policy document (one row) into a dict."""
-    from tessera.sources.files import read_policy
-    row = read_policy(spark, path).first()
-    return row.asDict(recursive=True)
+class _Rules:
+    """The policy's figures as columns: literals of a mapping, or looked up in a VARIANT document.
 
+    The document stays a one-row frame (MAP1): its single figures are one
+    scalar subquery, and the increments by group are unpacked to rows and joined.
+    """
 
-def _lit_map(d: Mapping[str, float]) -> Column:
-    return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.lit(float(v)))])
+    SINGLE = {"has_children": ("children_adjustment", "has_children"), "no_children": ("children_adjustment", "no_children"),
+              "age_18": ("age_adjustment", "18-29"), "age_30": ("age_adjustment", "30-44"), "age_45": ("age_adjustment", "45-59"),
+              "age_60": ("age_adjustment", "60+"), "cost_high": ("cost_of_living_adjustment", "high"),
+              "cost_medium": ("cost_of_living_adjustment", "medium"), "cost_low": ("cost_of_living_adjustment", "low"),
+              "transport_low": ("transport_adjustment", "low"), "transport_medium": ("transport_adjustment", "medium"),
+              "transport_high": ("transport_adjustment", "high"), "cap": ("rules", "max_total_increment_percent"),
+              "floor": ("rules", "min_salary_threshold")}
+
+    def __init__(self, policy: Mapping | DataFrame):
+        self.policy = policy
+        if isinstance(policy, DataFrame):
+            figures = [F.try_variant_get("policy", f"$['{a}']['{b}']", "double").alias(n) for n, (a, b) in self.SINGLE.items()]
+            self.figures = policy.select(F.struct(*figures)).scalar()
+
+    def __getitem__(self, name: str) -> Column:
+        if isinstance(self.policy, DataFrame):
+            return self.figures.getField(name)
+        part, key = self.SINGLE[name]
+        return F.lit(float(self.policy[part][key]))
+
+    def with_base(self, df: DataFrame, group: str, out: str) -> DataFrame:
+        """``df`` plus the group's increment, NULL for other groups."""
+        if isinstance(self.policy, DataFrame):
+            groups = F.try_variant_get("policy", "$['base_increment_by_group']", "map<string,double>")
+            rows = self.policy.select(F.explode(groups).alias("_group", out))
+            return df.join(rows, F.col(group) == F.col("_group"), "left").drop("_group")
+        base = self.policy["base_increment_by_group"]
+        m = F.create_map(*[x for k, v in base.items() for x in (F.lit(k), F.lit(float(v)))])
+        return df.withColumn(out, F.try_element_at(m, F.col(group)))
 
 
 def enrich_with_city(clean: DataFrame, cities: DataFrame) -> DataFrame:
@@ -276,7 +322,7 @@ def enrich_with_city(clean: DataFrame, cities: DataFrame) -> DataFrame:
     return clean.join(cities, clean.ciutat == cities.Ciutat, "left").drop("Ciutat", "País")
 
 
-def apply_salary_policy(enriched: DataFrame, policy: Mapping = DEFAULT_POLICY,
+def apply_salary_policy(enriched: DataFrame, policy: Mapping | DataFrame = DEFAULT_POLICY,
                         ref_year: int = REFERENCE_YEAR, close_gap: bool = False) -> DataFrame:
     """PIP28: base + children + age + cost of living + transport → capped %
     → new salary with a floor.
@@ -286,42 +332,38 @@ def apply_salary_policy(enriched: DataFrame, policy: Mapping = DEFAULT_POLICY,
     over-60 adjustment); cost band from temperature (<12 high, ≤16 medium, else
     low; unknown medium); transport from km (unknown or 0 low, >30000 high,
     else medium).  An unmapped group leaves the total, the percentage and
-    the new salary NULL (not the floor).
+    the new salary NULL (not the floor).  ``policy`` is a mapping, or the
+    one-row frame of ``sources.files.read_policy``.
     """
-    p = policy
+    p = _Rules(policy)
     age = age_in_year(F.col("data_naixement"), ref_year)
-    aa = p["age_adjustment"]
     age_inc = (F.when(age.isNull(), F.lit(0.0))
-               .when(age.between(18, 29), F.lit(float(aa["18-29"])))
-               .when(age.between(30, 44), F.lit(float(aa["30-44"])))
-               .when(age.between(45, 59), F.lit(float(aa["45-59"])))
-               .when(age >= 60 if close_gap else age > 60, F.lit(float(aa["60+"]))).otherwise(F.lit(0.0)))
+               .when(age.between(18, 29), p["age_18"])
+               .when(age.between(30, 44), p["age_30"])
+               .when(age.between(45, 59), p["age_45"])
+               .when(age >= 60 if close_gap else age > 60, p["age_60"]).otherwise(F.lit(0.0)))
     temp = F.col("temperatura_mitjana_ciutat")
     cost_band = (F.when(temp.isNull(), F.lit("medium")).when(temp < 12, F.lit("high"))
                  .when(temp <= 16, F.lit("medium")).otherwise(F.lit("low")))
     km = F.col("km_anuals")
-    ta = p["transport_adjustment"]
-    transport = (F.when(km.isNull() | (km == 0), F.lit(float(ta["low"])))
-                 .when(km > 30000, F.lit(float(ta["high"]))).otherwise(F.lit(float(ta["medium"]))))
-    ch = p["children_adjustment"]
-    d = enriched.withColumns({
-        "incremento_base": F.try_element_at(_lit_map(p["base_increment_by_group"]), F.col("grup_professional")),
-        "incremento_hijo": F.when(F.col("nombre_fills") > 0, F.lit(float(ch["has_children"])))
-        .otherwise(F.lit(float(ch["no_children"]))),
+    transport = (F.when(km.isNull() | (km == 0), p["transport_low"])
+                 .when(km > 30000, p["transport_high"]).otherwise(p["transport_medium"]))
+    d = p.with_base(enriched, "grup_professional", "incremento_base").withColumns({
+        "incremento_hijo": F.when(F.col("nombre_fills") > 0, p["has_children"]).otherwise(p["no_children"]),
         "edad": age,
         "incremento_edad": age_inc,
         "coste_de_vida": cost_band,
         "incremento_transporte": transport,
     })
-    d = d.withColumn("inc_cost_vida", F.try_element_at(_lit_map(p["cost_of_living_adjustment"]), F.col("coste_de_vida")))
+    band = F.col("coste_de_vida")
+    d = d.withColumn("inc_cost_vida", F.when(band == "high", p["cost_high"]).when(band == "medium", p["cost_medium"]).otherwise(p["cost_low"]))
     total = (F.col("incremento_base") + F.col("incremento_hijo") + F.col("incremento_edad")
              + F.col("incremento_transporte") + F.col("inc_cost_vida"))
-    rules = p["rules"]
     d = d.withColumn("incremento_total", total) \
-         .withColumn("inc_total_porcentaje", clip_upper(F.col("incremento_total"), float(rules["max_total_increment_percent"])))
+         .withColumn("inc_total_porcentaje", clip_upper(F.col("incremento_total"), p["cap"]))
     new = F.col("salari_mensual") * (1 + F.col("inc_total_porcentaje") / 100)
     # money rounded half-up on the decimal value (not on the binary double)
-    floored = clip_lower(new, float(rules["min_salary_threshold"]))
+    floored = clip_lower(new, p["floor"])
     return d.withColumn("nou_salari", F.round(floored.cast("decimal(20,6)"), 2).cast("double"))
 
 

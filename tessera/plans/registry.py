@@ -270,11 +270,6 @@ def _baskets(spark, d) -> DataFrame:
         F.col("l_shipdate").alias("timestamp"))
 
 
-def _silver_baskets(spark, d) -> DataFrame:
-    from tessera.functions.arrays import id_list
-    return _baskets(spark, d).withColumn("product_ids", id_list(F.col("product_ids")))
-
-
 @query("basket_membership", _V(t=_BASKET_SQL, p=M.PRODUCTS) + """
 SELECT p.product_id AS id, p.name AS product_name, count(*) AS veces_vendido
 FROM (SELECT unnest(list_distinct(string_split(replace(product_ids, ' ', ''), ','))) AS m FROM t) x
@@ -288,7 +283,7 @@ SELECT p.product_id, p.name, p.price, p.colour, count(f.k) AS total_sold
 FROM p LEFT JOIN (SELECT TRY_CAST(unnest(string_split(product_ids, ', ')) AS BIGINT) AS k FROM t) f ON p.product_id = f.k
 GROUP BY p.product_id, p.name, p.price, p.colour""")
 def q_basket_ranking(spark, d):
-    return R.product_sales_ranking(src.products_silver(src.products(_t(spark, d))), _silver_baskets(spark, d))
+    return R.product_sales_ranking(src.products_silver(src.products(_t(spark, d))), _baskets(spark, d))
 
 
 _BASKET_FLAT = _V(t=_BASKET_SQL, p=M.SILVER_PRODUCTS) + """
@@ -301,7 +296,7 @@ _BASKET_FLAT = _V(t=_BASKET_SQL, p=M.SILVER_PRODUCTS) + """
 
 @query("basket_flat_sales", _BASKET_FLAT + "SELECT * FROM f")
 def q_basket_flat(spark, d):
-    return R.flat_sales(_silver_baskets(spark, d), src.products_silver(src.products(_t(spark, d))))
+    return R.flat_sales(_baskets(spark, d), src.products_silver(src.products(_t(spark, d))))
 
 
 @query("basket_top_products", _BASKET_FLAT + """
@@ -458,7 +453,7 @@ _FLAT = _V(r=_RECENT, p=M.SILVER_PRODUCTS) + """
 def _flat(spark, d):
     t = _t(spark, d)
     recent = R.redate(src.transactions_silver(src.transactions_raw_without_products(t)), AS_OF)
-    return R.flat_sales_lines(recent, src.transaction_lines(t), src.products_silver(src.products(t)))
+    return R.flat_sales_lines(recent, src.line_products(t), src.products_silver(src.products(t)))
 
 
 @query("flat_sales", _FLAT + "SELECT * FROM f")
@@ -536,6 +531,13 @@ def q_candidate_by_name(spark, d):
     return SC.find_candidate(SC.score_candidates(SI.candidates(_t(spark, d)))[0], " Customer#000000010 ")
 
 
+#: Every product of the two factors, rounded by Python.
+_RISKS = "CASE " + " ".join(
+    f"WHEN codi_comportament = {code} AND grup_edat = '{ages}' THEN {round(a * b, 2)!r}::DOUBLE"
+    for code, a in enumerate((0.10, 0.25, 0.50, 0.75, 0.90))
+    for ages, b in (("18-25", 1.20), ("26-40", 1.0), ("41-60", 0.85), ("60+", 0.70))) + " END"
+
+
 _CART = """WITH last AS (SELECT user_id, event_type FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
 cl AS (SELECT user_id AS id_client, 'user_' || CAST(user_id AS VARCHAR) AS nom,
@@ -552,7 +554,7 @@ risk AS (SELECT *,
     WHEN 3 THEN 0.75::DOUBLE WHEN 4 THEN 0.90::DOUBLE END AS factor_codi,
   CASE grup_edat WHEN '18-25' THEN 1.20::DOUBLE WHEN '26-40' THEN 1.0::DOUBLE WHEN '41-60' THEN 0.85::DOUBLE
     WHEN '60+' THEN 0.70::DOUBLE END AS factor_edad FROM cl),
-rk AS (SELECT *, round(factor_codi * factor_edad, 2) AS risc_final FROM risk)
+rk AS (SELECT *, """ + _RISKS + """ AS risc_final FROM risk)
 """
 
 
@@ -648,6 +650,7 @@ def q_insurance_answers(spark, d):
 
 # ================================================================== employees (PIP26-PIP31)
 from tessera.operators import quality as Q  # noqa: E402
+from tessera.operators.key_bitmaps import key_report, orphan_rows  # noqa: E402
 from tessera.plans import employees as E  # noqa: E402
 from tessera.sources import survey as SV  # noqa: E402
 
@@ -769,15 +772,50 @@ def q_group_summary(spark, d):
     return E.group_summary(_priced(spark, d))
 
 
+_EXPORTED = """
+, labels AS (SELECT label, replace(label, ' ', '') AS base, row_number() OVER (PARTITION BY replace(label, ' ', '') ORDER BY label) AS n
+  FROM (SELECT DISTINCT label FROM spaced))
+SELECT 'dades_' || base || CASE WHEN n > 1 THEN '_' || n ELSE '' END AS file, s.label AS grup_professional, dni, nom, salari_mensual, nou_salari
+FROM spaced s JOIN labels l ON s.label = l.label"""
+
+
+def _spaced(df):
+    """Every third label is written with a blank, so that labels differ by blanks only."""
+    label = F.col("grup_professional")
+    odd = F.pmod(F.substring("dni", 1, 8).cast("bigint"), F.lit(3)) == 0
+    return df.withColumn("grup_professional", F.when(odd, F.concat(F.substring(label, 1, 2), F.lit(" "), F.substring(label, 3, 99))).otherwise(label))
+
+
 @query("group_export", _PRICED + """
-SELECT 'dades_' || replace(grup_professional, ' ', '') AS file, count(*) AS "rows"
-FROM priced WHERE grup_professional IS NOT NULL GROUP BY 1""")
+, spaced AS (SELECT *, CASE WHEN CAST(substr(dni, 1, 8) AS BIGINT) % 3 = 0 THEN substr(grup_professional, 1, 2) || ' ' || substr(grup_professional, 3)
+  ELSE grup_professional END AS label FROM priced WHERE grup_professional IS NOT NULL)""" + _EXPORTED)
 def q_group_export(spark, d):
+    """Every exported row as its file holds it, with the folder's name."""
     from tessera.sinks.writers import export_per_group
     path = scratch_dir(spark, "group_export")
-    export_per_group(E.features(_priced(spark, d)).drop("data_naixement"), "grup_professional", path)
+    export_per_group(E.features(_spaced(_priced(spark, d))).drop("data_naixement"), "grup_professional", path)
     back = spark.read.option("header", True).csv(path)
-    return back.groupBy(F.col("_file").alias("file")).agg(F.count("*").alias("rows"))
+    return back.select(F.col("_file").alias("file"), "grup_professional", "dni", "nom",
+                       F.col("salari_mensual").cast("double").alias("salari_mensual"), F.col("nou_salari").cast("double").alias("nou_salari"))
+
+
+@query("bundle_export", _PRICED + """
+SELECT 'resumen_agregado' AS part, grup_professional AS grup, count(dni) AS n,
+  CAST(round(CAST(avg(salari_mensual) AS DECIMAL(20,6)), 2) AS DOUBLE) AS salari
+FROM priced WHERE grup_professional IS NOT NULL GROUP BY grup_professional
+UNION ALL SELECT 'grups', grup_professional, 1, nou_salari FROM priced WHERE grup_professional IS NOT NULL""")
+def q_bundle_export(spark, d):
+    """SNK7/SNK8/PIP31: the summary file and the groups of one deliverable, as they are read back."""
+    from tessera.sinks.writers import export_bundle
+    priced = _priced(spark, d)
+    root = export_bundle(E.group_summary(priced), priced.select("dni", "grup_professional", "nou_salari"), "grup_professional",
+                         scratch_dir(spark, "bundle"))
+    summary = spark.read.option("header", True).csv(f"{root}/resumen_agregado")
+    groups = spark.read.option("header", True).csv(f"{root}/grups")
+    one = F.lit(1).cast("bigint")
+    return summary.select(F.lit("resumen_agregado").alias("part"), F.col("grup_professional").alias("grup"),
+                          F.col("nombre_trabajador").cast("bigint").alias("n"), F.col("salari_mig").cast("double").alias("salari")).unionByName(
+        groups.select(F.lit("grups").alias("part"), "grup", one.alias("n"), F.col("nou_salari").cast("double").alias("salari")))
 
 
 @query("null_report", _PRICED + """
@@ -829,7 +867,21 @@ def q_hist(spark, d):
     return histogram(_clean(spark, d), "salari_mensual", 10)
 
 
-@query("employee_profile")
+def _profiled(dates, nums, texts, top=10, bins=10) -> str:
+    """The profile table in SQL: top years, histograms, top values."""
+    parts = [f"""(SELECT '{c}' AS "column", 'year' AS kind, CAST(year({c}) AS VARCHAR) AS bucket, count(*) AS freq FROM clean
+      WHERE {c} IS NOT NULL GROUP BY 3 ORDER BY freq DESC, bucket LIMIT {top})""" for c in dates]
+    parts += [f"""(SELECT '{c}', 'top_value', coalesce(CAST({c} AS VARCHAR), 'nan') AS bucket, count(*) AS freq FROM clean
+      GROUP BY 3 ORDER BY freq DESC, bucket LIMIT {top})""" for c in texts]
+    parts += [f"""(SELECT '{c}', 'histogram', printf('%02d', CAST(least(coalesce(floor((v - lo) / nullif((hi - lo) / {bins}, 0)), 0), {bins - 1}) AS INTEGER)),
+      count(*) FROM (SELECT CAST({c} AS DOUBLE) AS v FROM clean WHERE {c} IS NOT NULL),
+      (SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM clean) GROUP BY 3)""" for c in nums]
+    return " UNION ALL ".join(parts)
+
+
+@query("employee_profile", "WITH " + S.CLEAN + "\n" + _profiled(
+    ["data_naixement"], ["salari_mensual", "nombre_fills", "km_anuals", "consum_mitja_l_100km", "temperatura_mitjana_ciutat"],
+    ["nom", "cognoms", "dni", "pais_origen", "ciutat", "genere", "grup_professional", "te_cotxe"]))
 def q_profile(spark, d):
     from tessera.operators.profile import profile_table
     return profile_table(_clean(spark, d).drop("_ord"))
@@ -923,9 +975,9 @@ _NN = ("business_id", "product_ids", "amount", "declined", "user_id")
        + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in _NN)
        + " FROM t) UNPIVOT INCLUDE NULLS (nulls FOR \"column\" IN (" + ", ".join(_NN) + "))")
 def q_dq_nn(spark, d):
-    # the list is NULL exactly where the order has no line: the line aggregate tells, no list is built
-    t = src.transactions(_t(spark, d), False)
-    return Q.not_null_violations(t.withColumn("product_ids", F.col("business_id").cast("string")), list(_NN))
+    # the list is NULL where the order has no part key: their count tells, no list is built
+    t = src.product_counts(_t(spark, d))
+    return Q.not_null_violations(t.withColumn("product_ids", F.when(F.col("n_products") > 0, F.lit(""))), list(_NN))
 
 
 @query("dq_transaction_orphans", _V(t=M.TRANSACTIONS, c=M.COMPANIES, u=M.USERS, k=M.CARDS) + """
@@ -935,10 +987,22 @@ UNION ALL SELECT 'user_id', count(*) FROM t WHERE user_id IS NOT NULL AND user_i
 UNION ALL SELECT 'card_id', count(*) FROM t WHERE card_id IS NOT NULL AND card_id NOT IN (SELECT card_id FROM k)""")
 def q_dq_orphans(spark, d):
     t = _t(spark, d)
-    return Q.orphan_counts(src.transactions(t, False), {
-        "business_id": (src.companies(t), "company_id"),
-        "user_id": (src.users(t), "user_id"),
-        "card_id": (src.cards(t), "card_id")})
+    return orphan_rows(src.transactions(t, False), _foreign_keys(t))
+
+
+def _foreign_keys(t):
+    return {"business_id": (src.companies(t), "company_id"), "user_id": (src.users(t), "user_id"),
+            "card_id": (src.cards(t), "card_id")}
+
+
+@query("dq_transaction_keys", _V(t=M.TRANSACTIONS, c=M.COMPANIES, u=M.USERS, k=M.CARDS) + """
+SELECT 'business_id' AS fk, count(DISTINCT business_id) AS distinct_keys,
+  count(DISTINCT business_id) FILTER (WHERE business_id NOT IN (SELECT company_id FROM c)) AS orphan_keys FROM t
+UNION ALL SELECT 'user_id', count(DISTINCT user_id), count(DISTINCT user_id) FILTER (WHERE user_id NOT IN (SELECT user_id FROM u)) FROM t
+UNION ALL SELECT 'card_id', count(DISTINCT card_id), count(DISTINCT card_id) FILTER (WHERE card_id NOT IN (SELECT card_id FROM k)) FROM t""")
+def q_dq_keys(spark, d):
+    t = _t(spark, d)
+    return key_report(src.transactions(t, False), _foreign_keys(t))
 
 
 # ================================================================== SNK4 streaming refresh
@@ -951,3 +1015,6 @@ def q_streamed(spark, d):
     table, ck = scratch_dir(spark, "mv_daily_sales"), scratch_dir(spark, "mv_daily_sales_ckpt")
     refresh_daily_sales(spark, fact, table, ck, schema)
     return R.daily_sales_report(spark.read.parquet(table))
+
+
+from tessera.plans import registry_tables  # noqa: E402, F401  (registers its queries here)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import id_set_text
+from tessera.functions.arrays import id_items, id_set_text
 from tessera.functions.dates import reverse_date_text
 from tessera.functions.numeric import calculate_tax, key_day_offset, pct_change
 from tessera.operators.ordinals import in_range_order
@@ -233,8 +233,8 @@ def product_sales_membership(transactions: DataFrame, products: DataFrame) -> Da
 def product_sales_ranking(products_silver: DataFrame, transactions_silver: DataFrame) -> DataFrame:
     """PIP10b/JN3/JN10: every product with its unnested sale count, zeros kept
     (left join + ``COUNT(right key)``); repeats within a transaction count."""
-    flat = transactions_silver.select(F.explode("product_ids").alias("id_aplanado")) \
-        .groupBy("id_aplanado").agg(F.count("id_aplanado").alias("_n"))  # pre-aggregated per id
+    flat = transactions_silver.select(id_items(transactions_silver, "product_ids").alias("_item")) \
+        .select(F.col("_item").try_cast("bigint").alias("id_aplanado")).groupBy("id_aplanado").agg(F.count("id_aplanado").alias("_n"))  # pre-aggregated per id
     p = products_silver
     return p.join(flat, p.product_id == flat.id_aplanado, "left") \
         .groupBy("product_id", "name", "price", "colour") \
@@ -269,8 +269,9 @@ def flat_sales_lines(transactions_silver: DataFrame, lines: DataFrame, products_
     if accepted_only:
         t = t.filter(F.col("declined") == "0")
     t = t.select("transaction_id", "timestamp", F.col("amount").alias("total_ticket"))
-    ln = lines.select(F.col("transaction_id").cast("string").alias("_t"), F.col("product_id").alias("product_sku"))
-    flat = t.join(ln, t.transaction_id == ln._t).drop("_t")
+    # the large side keeps its numeric key; the text key of the transactions is read as a number
+    ln = lines.select(F.col("transaction_id").alias("_t"), F.col("product_id").alias("product_sku"))
+    flat = t.join(ln, t.transaction_id.try_cast("bigint") == ln._t).drop("_t")
     p = products_silver
     cols = ["transaction_id", "timestamp", "total_ticket", "product_sku",
             p.name.alias("product_name"), p.price.alias("product_price")]
@@ -404,12 +405,13 @@ def third_purchase(users: DataFrame, transactions: DataFrame, nth: int = 3) -> D
 # ---------------------------------------------------------------- PIP20 / PIP21
 def flat_sales(transactions_silver: DataFrame, products_silver: DataFrame,
                accepted_only: bool = True, with_tax: bool = True) -> DataFrame:
-    """PIP20/JN11/UDF1: one row per (transaction, product occurrence)."""
+    """PIP20/JN11/UDF1: one row per (transaction, product occurrence); the list is an array or text."""
     t = transactions_silver
     if accepted_only:
         t = t.filter(F.col("declined") == "0")
     flat = t.select("transaction_id", "timestamp", F.col("amount").alias("total_ticket"),
-                    F.explode("product_ids").alias("product_sku"))
+                    id_items(t, "product_ids").alias("_item")) \
+        .withColumn("product_sku", F.col("_item").try_cast("bigint")).drop("_item")
     p = products_silver
     cols = ["transaction_id", "timestamp", "total_ticket", "product_sku",
             p.name.alias("product_name"), p.price.alias("product_price")]

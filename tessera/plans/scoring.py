@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.rounding import py_round
 from tessera.functions.text import normalise_key, split_list
 from tessera.operators.ordinals import stable_rank
 
@@ -94,7 +95,7 @@ def find_candidate(scored: DataFrame, name: str) -> DataFrame:
 
 # ------------------------------------------------------------------ PIP23
 def cart_risk(clients: DataFrame, strict: bool = False) -> DataFrame:
-    """PIP23: segment + code factor × age factor → ``risc_final`` (2 dp).
+    """PIP23: segment + code factor × age factor → ``risc_final`` (2 dp, rounded as Python does).
 
     Unknown codes/age groups give NULL; ``strict`` fails on the first one.
     """
@@ -103,7 +104,7 @@ def cart_risk(clients: DataFrame, strict: bool = False) -> DataFrame:
         "segment": _looked_up(BEHAVIOUR_CODES, code, 0, strict),
         "factor_codi": _looked_up(BEHAVIOUR_CODES, code, 1, strict),
         "factor_edad": _looked_up(AGE_GROUP_FACTORS, F.col("grup_edat"), None, strict),
-    }).withColumn("risc_final", F.round(F.col("factor_codi") * F.col("factor_edad"), 2))
+    }).withColumn("risc_final", py_round(F.col("factor_codi") * F.col("factor_edad"), 2))
 
 
 def _answers(df: DataFrame, firsts: dict[str, Column]) -> DataFrame:

@@ -6,7 +6,7 @@ folder, typically under ``spark.checkpoint.dir`` (see ``session.scratch_dir``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import label_no_spaces
@@ -46,15 +46,27 @@ def refresh_daily_partitions(daily: DataFrame, path: str, date_col: str = "fecha
     return path
 
 
+def group_files(df: DataFrame, group: str, prefix: str = "dades_") -> DataFrame:
+    """``(_label, _file)``: the folder of every label, its blanks removed.
+
+    Labels that differ by blanks only would share a folder, so all but the
+    first of them (in label order) get a number.
+    """
+    base = F.concat(F.lit(prefix), label_no_spaces(F.col("_label")))
+    labels = df.select(F.col(group).cast("string").alias("_label")).where("_label is not null").distinct().withColumn("_base", base)
+    place = F.row_number().over(Window.partitionBy("_base").orderBy("_label"))
+    return labels.withColumn("_n", place).select(
+        "_label", F.when(F.col("_n") == 1, F.col("_base")).otherwise(F.concat("_base", F.lit("_"), F.col("_n").cast("string"))).alias("_file"))
+
+
 def export_per_group(df: DataFrame, group: str, path: str, prefix: str = "dades_") -> str:
-    """SNK6: one CSV per group in one pass (``partitionBy``).
+    """SNK6: one folder of CSV per group in one pass (``partitionBy``).
 
     Rows with a NULL group are dropped first.  ``partitionBy`` takes the
     column out of the files, so a copy under the original name is kept and
-    the directory name is the label without blanks (``dades_<label>``).
+    the folder name comes from ``group_files``.
     """
-    d = df.filter(F.col(group).isNotNull()) \
-        .withColumn("_file", F.concat(F.lit(prefix), label_no_spaces(F.col(group))))
+    d = df.join(group_files(df, group, prefix), F.col(group).cast("string") == F.col("_label")).drop("_label")
     # rebalance: a large group becomes several files, none waits for one task
     (d.hint("rebalance", F.col("_file")).write.mode("overwrite").option("header", True)
      .partitionBy("_file").csv(path))

@@ -1,4 +1,4 @@
-"""File sources (SRC1-SRC10, SRC13).
+"""File sources (SRC1-SRC7, SRC9, SRC10, SRC13).
 
 All readers are plain ``DataFrameReader`` calls with an explicit schema where
 the reference declares one, so no inference pass is made over large inputs.
@@ -24,7 +24,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], *,
                    schema: T.StructType | str | None = None, sep: str = ",",
                    header: bool = True, quote: str | None = '"',
                    line_sep: str | None = None, encoding: str | None = None,
-                   infer_schema: bool = False) -> DataFrame:
+                   infer_schema: bool = False, corrupt_column: str | None = None) -> DataFrame:
     """SRC1/SRC2/SRC3/SRC5/SRC6/SRC7/SRC9: delimited text.
 
     ``paths`` may list several files (SRC7, appended into one frame).
@@ -32,8 +32,11 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], *,
     ``schema`` the columns are positional, as in ``LOAD DATA``.
     ``encoding`` covers legacy code pages such as ISO-8859-1 (SRC9).
     ``infer_schema`` (SRC5) costs an extra pass; prefer a schema at scale.
+    ``corrupt_column`` of the schema takes the text of lines that do not fit.
     """
     r = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+    if corrupt_column is not None:
+        r = r.option("columnNameOfCorruptRecord", corrupt_column)
     if quote is not None:
         r = r.option("quote", quote)
     if line_sep is not None:
@@ -64,37 +67,9 @@ def read_cards_csv(spark: SparkSession, path: str, **kw) -> DataFrame:
          "user_id": F.col("user_id").try_cast("int")}, **kw)
 
 
-def read_headerless_with_ordinal(spark: SparkSession, path: str, n_cols: int,
-                                 sep: str = ",", encoding: str | None = None) -> DataFrame:
-    """SRC8 helper: a sheet exported as one CSV file, read without header and
-    with an ingest ordinal ``_ord`` so row positions survive distribution.
-
-    The ordinal comes from ``monotonically_increasing_id`` which is increasing
-    in file order for a single file; CLN1 then promotes a row to header.
-    """
-    schema = all_string_schema([f"_c{i}" for i in range(n_cols)])
-    df = read_delimited(spark, path, schema=schema, sep=sep, header=False,
-                        encoding=encoding)
-    return df.withColumn("_ord", F.monotonically_increasing_id())
-
-
-POLICY_SCHEMA = T.StructType([
-    T.StructField("base_increment_by_group", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("children_adjustment", T.StructType([
-        T.StructField("has_children", T.DoubleType()),
-        T.StructField("no_children", T.DoubleType())])),
-    T.StructField("age_adjustment", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("cost_of_living_adjustment", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("transport_adjustment", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("rules", T.StructType([
-        T.StructField("max_total_increment_percent", T.DoubleType()),
-        T.StructField("min_salary_threshold", T.DoubleType())])),
-])
-
-
 def read_policy(spark: SparkSession, path: str) -> DataFrame:
-    """SRC10: nested JSON rules document → one-row DataFrame (MAP1 access)."""
-    return spark.read.schema(POLICY_SCHEMA).option("multiLine", True).json(path)
+    """SRC10: nested JSON rules document → one row ``policy`` VARIANT (MAP1: ``try_variant_get``)."""
+    return spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("policy"))
 
 
 def read_distance_matrix(spark: SparkSession, path: str, key_col: str | None = None,

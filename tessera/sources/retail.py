@@ -47,19 +47,30 @@ def companies(t: Tables) -> DataFrame:
 
 
 def order_lines(t: Tables, with_products: bool = True) -> DataFrame:
-    """Per order: business (lowest supplier key) and the sorted part list.
+    """Per order: business (lowest supplier key), the number of its part keys and their sorted list.
 
     The list is bounded by the lines of one order; it is the transaction's
-    own ``product_ids`` field, not a collected group of many rows.
+    own ``product_ids`` field, not a collected group of many rows.  An order
+    without a part key has no list (NULL).
     """
-    aggs = [F.min("l_suppkey").alias("business_id")]
+    aggs = [F.min("l_suppkey").alias("business_id"), F.count("l_partkey").alias("n_products")]
     if with_products:
-        aggs.append(F.array_join(
-            F.transform(F.sort_array(F.collect_list("l_partkey")), lambda x: x.cast("string")),
-            ", ").alias("product_ids"))
+        listed = F.array_join(
+            F.transform(F.sort_array(F.collect_list("l_partkey")), lambda x: x.cast("string")), ", ")
+        aggs.append(F.when(F.count("l_partkey") > 0, listed).alias("product_ids"))
     return t.lineitem.groupBy("l_orderkey").agg(*aggs)
 
 
+def line_products(t: Tables) -> DataFrame:
+    """(transaction, product occurrence) of every order line, for joins that look up the order anyway."""
+    return t.lineitem.select(F.col("l_orderkey").alias("transaction_id"), F.col("l_partkey").alias("product_id"))
+
+
+def product_counts(t: Tables) -> DataFrame:
+    """Transactions with ``n_products`` instead of the list: the list is NULL exactly where it is NULL or 0."""
+    return _transactions(t, False, "n_products")
+
+
 def transaction_lines(t: Tables) -> DataFrame:
     """The unnested form of ``product_ids``: one row per (transaction,
     product occurrence), i.e. the order lines of existing orders.
@@ -67,8 +78,7 @@ def transaction_lines(t: Tables) -> DataFrame:
     Queries that only unnest the list read this directly, so no per-order
     list is ever collected (a hot order stays spread over tasks).
     """
-    li = t.lineitem.select(F.col("l_orderkey").alias("transaction_id"),
-                           F.col("l_partkey").alias("product_id"))
+    li = line_products(t)
     o = t.orders.select(F.col("o_orderkey").alias("_o"))
     return li.join(o, li.transaction_id == o._o, "left_semi")
 
@@ -80,6 +90,10 @@ def transactions(t: Tables, with_products: bool = True) -> DataFrame:
     declined boolean (status 'F'), product_ids text ``'3, 5, 5'``, user_id.
     Orders without lines keep NULL business and products.
     """
+    return _transactions(t, with_products, *(["product_ids"] if with_products else []))
+
+
+def _transactions(t: Tables, with_products: bool, *more: str) -> DataFrame:
     o = t.orders
     lines = order_lines(t, with_products)
     cols = [o.o_orderkey.alias("transaction_id"),
@@ -88,8 +102,7 @@ def transactions(t: Tables, with_products: bool = True) -> DataFrame:
             o.o_orderdate.alias("timestamp"),
             o.o_totalprice.cast("decimal(12,2)").alias("amount"),
             (o.o_orderstatus == F.lit("F")).alias("declined")]
-    if with_products:
-        cols.append(F.col("product_ids"))
+    cols += [F.col(c) for c in more]
     cols.append(o.o_custkey.alias("user_id"))
     return o.join(lines, o.o_orderkey == lines.l_orderkey, "left").select(*cols)
 

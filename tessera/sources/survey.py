@@ -101,3 +101,30 @@ def city_context(t: Tables) -> DataFrame:
         F.col("n_name").alias("Ciutat"), F.col("r_name").alias("País"),
         (F.lit(50) + _m(k * 13, 50)).cast("double").alias("Cost_vida_index"),
         _m(k * 7, 10).cast("double").alias("Transport_public_score"))
+
+
+#: The sheet as delivered: a blank first column, a column whose name is damaged, and a repeated one.
+RAW_NAMES = ("", *SHEET_COLUMNS[:13], "CÃ rrec", *SHEET_COLUMNS[13:], "Nom")
+HEADER_ROW = 2
+
+
+def raw_sheet(t: Tables) -> DataFrame:
+    """``_place`` and text columns ``c0..``: two leading rows, the header, the rows, and an empty row after every 50th."""
+    sheet = survey_sheet(t)
+    n = len(RAW_NAMES)
+    values = {name: F.col(f"`{name}`") for name in SHEET_COLUMNS}
+    values |= {"": F.lit(None).cast("string"), "CÃ rrec": F.concat(F.lit("Nivell "), _s(_m(F.col("_ord"), 4)))}
+    body = sheet.select((F.col("_ord") * 2 + 10).alias("_place"), *[values[name].alias(f"c{i}") for i, name in enumerate(RAW_NAMES)])
+    empty = body.where(_m(F.col("_place"), 50) == 0).select(
+        (F.col("_place") + 1).alias("_place"), *[F.lit(None).cast("string").alias(f"c{i}") for i in range(n)])
+    lead = [(0, "Enquesta", *[None] * (n - 1)), (1, None, "any", *[None] * (n - 2)), (2, *[name or None for name in RAW_NAMES])]
+    head = t.spark.createDataFrame(lead, "_place bigint, " + ", ".join(f"c{i} string" for i in range(n)))
+    return head.unionByName(body).unionByName(empty)
+
+
+def write_raw_sheet(t: Tables, path: str, files: int = 4) -> str:
+    """The sheet as several headerless CSV files, whose names sort as their rows do."""
+    raw = raw_sheet(t)
+    (raw.repartitionByRange(files, "_place").sortWithinPartitions("_place").drop("_place")
+     .write.option("header", False).csv(path))
+    return path

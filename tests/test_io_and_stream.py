@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.routes import greedy_routes
+from tessera.sources.quarantine import read_with_ordinal
 from tessera.operators.reshape import matrix_to_edges
 from tessera.plans import employees as E
 from tessera.plans import retail as R
@@ -45,7 +46,7 @@ def test_cards_expiry_transform(spark, tmp_out):  # SRC4
 def test_header_promotion_and_damaged_name(spark, tmp_out):  # SRC8, CLN1, CLN2, CLN4
     text = (",,\n,,\n,Nom,Grup Professional,CÃ\xa0rrec\n,Ana,A,Cap\n,Joan,B,Tec\n")
     p = _write(f"{tmp_out}/sheet.csv", text)
-    raw = S.read_headerless_with_ordinal(spark, p, 4)
+    raw = read_with_ordinal(spark, p, 4)
     promoted = E.promote_header(raw, 2)
     clean = E.canonical_names(promoted)
     assert clean.columns == ["_ord", "nom", "grup_professional", "càrrec"]
@@ -54,9 +55,12 @@ def test_header_promotion_and_damaged_name(spark, tmp_out):  # SRC8, CLN1, CLN2,
 
 def test_policy_json(spark, tmp_out):  # SRC10, MAP1
     p = _write(f"{tmp_out}/policy.json", json.dumps(E.DEFAULT_POLICY, indent=2))
-    pol = E.load_policy(spark, p)
-    assert pol["rules"]["max_total_increment_percent"] == 15.0
-    assert pol["base_increment_by_group"]["BUILDING"] == 10.0
+    policy = S.read_policy(spark, p)
+    rows = [("BUILDING", 1000.0, 0.0, dt.date(1990, 6, 1), 14.0, 100.0), ("other", 700.0, 2.0, None, 11.0, 40000.0), (None, None, 1.0, None, None, 0.0)]
+    df = spark.createDataFrame(rows, "grup_professional string, salari_mensual double, nombre_fills double, data_naixement date, "
+                                     "temperatura_mitjana_ciutat double, km_anuals double")
+    by_document, by_mapping = E.apply_salary_policy(df, policy), E.apply_salary_policy(df, E.DEFAULT_POLICY)
+    assert by_document.columns == by_mapping.columns and sorted(by_document.collect(), key=repr) == sorted(by_mapping.collect(), key=repr)
 
 
 def test_policy_bands(spark):  # PIP28 edges
