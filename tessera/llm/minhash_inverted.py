@@ -4,26 +4,31 @@ A document's set is its distinct word shingles; its signature has ``COORDINATES`
 minima.  Documents of equal sets form a class, and only classes are joined.
 Each class is posted under its (coordinate, value) pairs.  Two sets as similar
 as asked agree in at least ``threshold`` coordinates (but for a chance below
-``MISS``), so they meet under one of each class's rarest
-``COORDINATES - threshold + 1`` pairs: only this prefix is posted, and pairs
-that one class holds alone fill it first and post nothing.  Long lists (common
-values) are skipped as prefixes end before them; a list over ``TILE`` members
-is cut into tiles by hash and pairs of tiles, each a group of bounded size.
-
-In a list, members are compared by counting equal coordinates.  First each
-class keeps its best smaller partner; these pairs are confirmed on the full
-sets and joined to parts.  Then a class that agrees enough with any member of
-another part asks that whole part (the smaller part asks): its full set is held
-against all the part's sets by one count over their shingles, and one link
-joins the two.  So a group of copies is never expanded into its pairs, and no
-two parts that a link joins stay apart.
+``MISS``), so, in any one order of all pairs, they meet under one of each class's
+first ``COORDINATES - threshold + 1`` pairs: only this prefix is posted.  The order
+puts pairs that are frequent in a sample of classes last and is the hash of the pair
+otherwise; the sample bears on cost alone.  Only (pair, class) is shuffled; a
+pair that one class posts is dropped, and the signatures are looked up for what is left.
+
+In a list, collisions are counted by merging the members' signatures a run of
+coordinates at a time; a pair of members that can no longer reach the threshold is
+skipped.  A long list is cut into tiles by hash and pairs of tiles, each a
+group of bounded members and shingles.  First each class keeps its best smaller
+partner; these are confirmed on the full sets and joined to parts.  Then the members of a
+list that agree enough with a member of another part are marked, a row for each
+marked member, not for each pair; their texts are fetched, and inside the group
+their full sets are held against each other by counting over shingles.  Members
+whose parts are joined already are not compared, so a group sends fewer links than it has members.
+A group of copies is never expanded into its pairs, and no two parts
+that a link joins stay apart.
 
 Defined cases: null, empty or white-space texts have an empty set, link with
 nothing and are kept; texts of fewer words than a shingle have one shingle, the
 whole sequence; ties go to the smallest id; rows without id link with nothing,
 are kept, and have no component; rows that share an id but not the text each
-follow their own text's class, and classes whose smallest id is the same count
-as one.  Extra columns are ignored by ``near_duplicates`` and kept by ``deduplicate``.
+follow their own text's set.  Extra columns are ignored by ``near_duplicates`` and
+kept by ``deduplicate``, which keeps one row of every component (the smallest id,
+then the smallest hash of the text) and rows without words or id as they are.
 """
 
 from __future__ import annotations
@@ -34,13 +39,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import blank_words, saved, slices, text_bytes
 from tessera.llm.components import components
 
-COORDINATES, MISS, TILE = 48, 1e-6, 1024
+COORDINATES, MISS = 48, 1e-6
+#: Members and shingles of a tile, at about the most.
+TILE, TILE_SHINGLES = 1024, 1 << 20
+#: One class in so many is sampled for frequent pairs, of which at most so many are told to all tasks (8 bytes each).
+SAMPLED, MOST_FREQUENT = 32, 200_000
+#: Coordinates that are merged before a pair of members may be skipped.
+MERGED = 16
 #: Up to this many ids (8 bytes each) are broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 _RNG = np.random.default_rng(5)
@@ -80,7 +92,7 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     return out
 
 
-_ROWS = "id bigint, n bigint, set_a bigint, set_b bigint, signature array<int>, marks binary"
+_ROWS = "id bigint, text_hash bigint, n bigint, set_a bigint, set_b bigint, signature array<int>, marks binary"
 
 
 def _signatures(size: int, coordinates: int):
@@ -96,34 +108,98 @@ def _signatures(size: int, coordinates: int):
             marks = [None if k is None else k.astype(np.uint8).tobytes() for k in keys]
             sides = np.frombuffer(b"".join(digest), "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n, pa.int64()), pa.array(sides[:, 0]), pa.array(sides[:, 1]),
-                 pa.array(keys, pa.list_(pa.int32())), pa.array(marks, pa.binary())], ["id", "n", "set_a", "set_b", "signature", "marks"])
+                [batch.column("id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(sides[:, 0]), pa.array(sides[:, 1]),
+                 pa.array(keys, pa.list_(pa.int32())), pa.array(marks, pa.binary())],
+                ["id", "text_hash", "n", "set_a", "set_b", "signature", "marks"])
     return run
 
 
-def _posted(classes: DataFrame, prefix: int, coordinates: int) -> DataFrame:
-    """class, n, marks, lists<struct<members, key>> of the classes that post pairs others post, too."""
+# ------------------------------------------------------------------ posting
+def pair_keys(signatures: np.ndarray) -> np.ndarray:
+    """(coordinate, value) of every minimum as one number."""
+    at = np.arange(signatures.shape[1], dtype=np.uint64) << np.uint64(32)
+    return at | signatures.astype(np.int32).view(np.uint32).astype(np.uint64)
+
+
+def prefixes(keys: np.ndarray, frequent: np.ndarray, levels: np.ndarray, prefix: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``prefix`` keys of every row in the order of (frequency in the sample, hash), and whether each is frequent."""
+    level = np.zeros(keys.shape, np.uint64)
+    if len(frequent):
+        place = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
+        level = np.where(frequent[place] == keys, levels[place], 0).astype(np.uint64)
+    mixed = keys * _STEP
+    mixed ^= mixed >> np.uint64(29)
+    order = np.argsort((level << np.uint64(56)) | (mixed >> np.uint64(8)), axis=1, kind="stable")[:, :prefix]
+    return np.take_along_axis(keys, order, 1), np.take_along_axis(level, order, 1) > 0
+
+
+def _post(prefix: int, frequent: Broadcast):
+    """(key, class, frequent) of every class's prefix."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(frequent.value, np.uint64).reshape(2, -1)
+        for batch in batches:
+            if batch.num_rows:
+                signatures = batch.column("signature").flatten().to_numpy().reshape(batch.num_rows, -1)
+                keys, often = prefixes(pair_keys(signatures), table[0], table[1], prefix)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column("class").to_numpy(), keys.shape[1])),
+                     pa.array(often.reshape(-1))], ["key", "class", "often"])
+    return run
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key, those whose key stands more than once."""
+    last: pa.RecordBatch | None = None  # the last row so far, and whether its key stood before it
+    stood = False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        whole = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks().to_batches()[0]
+        key = whole.column("key").to_numpy()
+        same = key[1:] == key[:-1]
+        before = np.concatenate([[stood if last is not None else False], same])
+        keep = before | np.concatenate([same, [False]])
+        yield whole.slice(0, whole.num_rows - 1).filter(pa.array(keep[:-1]))
+        last, stood = whole.slice(whole.num_rows - 1), bool(before[-1])
+    if last is not None and stood:
+        yield last
+
+
+def frequent_pairs(classes: DataFrame) -> np.ndarray:
+    """Two rows: the pairs that several sampled classes have, sorted, and the bit length of their counts."""
+    drawn = classes.where(F.pmod(F.xxhash64("set_a", "set_b"), F.lit(SAMPLED)) == 0)
     key = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    each = classes.select("class", F.posexplode("signature")).select("class", key.alias("key"))
-    shared = each.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    held = each.join(shared, "key").groupBy("class").agg(
-        F.sort_array(F.collect_list(F.struct("members", "key"))).alias("held"))  # at most one per coordinate
-    # Pairs held alone come first in the order of rarity; what they leave of the prefix is posted.
-    room = F.lit(prefix - coordinates) + F.size("held")
-    held = held.where(room > 0).select("class", F.slice("held", F.lit(1), room).alias("lists"))
-    return classes.select("class", "n", "marks").join(held, "class")
+    counted = drawn.select(F.posexplode("signature")).groupBy(key.alias("key")).agg(F.count("*").alias("n")).where("n > 1")
+    top = counted.orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).toArrow()
+    keys, n = top["key"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    order = np.argsort(keys)
+    return np.stack([keys[order], np.frexp(n[order].astype(float))[1].astype(np.uint64)])
+
+
+def _posted(classes: DataFrame, prefix: int) -> DataFrame:
+    """(key, tiles, class, n, marks): a row for each list that a class shares with another."""
+    frequent = classes.sparkSession.sparkContext.broadcast(frequent_pairs(classes).tobytes())
+    rows = saved(classes.select("class", "signature").mapInArrow(_post(prefix, frequent), "key bigint, `class` bigint, often boolean"), "minhash-keys")
+    seldom = rows.where("not often").select("key", "class").repartition("key").sortWithinPartitions("key").mapInArrow(
+        _shared, "key bigint, `class` bigint")
+    often = rows.where("often").select("key", "class")  # long lists: not brought together here
+    found = saved(seldom.unionByName(often).join(classes.select("class", "n"), "class"), "minhash-shared")
+    lists = found.groupBy("key").agg(F.count("*").alias("members"), F.sum("n").alias("shingles")).where("members > 1").select(
+        F.col("key").alias("_key"), F.greatest(F.ceil(F.col("members") / TILE), F.ceil(F.col("shingles") / TILE_SHINGLES)).cast("int").alias("tiles"))
+    return found.join(lists, F.col("key") == F.col("_key")).select("key", "tiles", "class").join(
+        classes.select("class", "n", "marks"), "class")
+
+
+_GROUP = ["key", "left", "right"]
 
 
 def _lists(posted: DataFrame) -> DataFrame:
     """Members of each list or pair of its tiles, sorted so that a group is consecutive."""
-    tiles = F.ceil(F.col("list.members") / TILE).cast("int")
-    rows = (posted.withColumn("list", F.explode("lists"))
-            .withColumn("tile", F.pmod(F.xxhash64("class"), tiles).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1))))
-    group = ["key", "left", "right"]
-    return (rows.select(F.col("list.key").alias("key"), F.least("tile", "other").alias("left"),
-                        F.greatest("tile", "other").alias("right"), "tile", "class", "part", "size", "n", "marks")
-            .repartition(*group).sortWithinPartitions(*group, "class"))
+    rows = (posted.withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))))
+    return (rows.select("key", F.least("tile", "other").alias("left"), F.greatest("tile", "other").alias("right"), "tile",
+                        "class", "part", "n", "marks")
+            .repartition(*_GROUP).sortWithinPartitions(*_GROUP, "class"))
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
@@ -131,7 +207,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nd
     held: list[pa.RecordBatch] = []
 
     def arrays(table: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        cols = {c: table[c].to_numpy() for c in ("key", "left", "right", "tile", "class", "part", "size", "n")}
+        cols = {c: table[c].to_numpy() for c in ("key", "left", "right", "tile", "class", "part", "n")}
         cols["marks"] = np.frombuffer(b"".join(table["marks"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
         new = np.concatenate([[True], (cols["key"][1:] != cols["key"][:-1]) | (cols["left"][1:] != cols["left"][:-1])
                               | (cols["right"][1:] != cols["right"][:-1])])
@@ -151,6 +227,20 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.nd
         yield arrays(pa.Table.from_batches(held))
 
 
+def collisions(marks: np.ndarray, low: np.ndarray, high: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which pairs, their equal coordinates) of the row pairs that agree in ``threshold`` coordinates at least.
+
+    Coordinates are merged ``MERGED`` at a time, and pairs that the rest cannot bring there are skipped.
+    """
+    at, same, width = np.arange(len(low)), np.zeros(len(low), np.int64), marks.shape[1]
+    for first in range(0, width, MERGED):
+        cols = slice(first, min(first + MERGED, width))
+        same = same + (marks[low[at], cols] == marks[high[at], cols]).sum(1)
+        alive = same + (width - cols.stop) >= threshold
+        at, same = at[alive], same[alive]
+    return at, same
+
+
 def _agreements(cols: dict[str, np.ndarray], number: np.ndarray, threshold: int,
                 percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row of the smaller class, row of the greater, equal coordinates) of a group's members at or above the threshold.
@@ -165,10 +255,9 @@ def _agreements(cols: dict[str, np.ndarray], number: np.ndarray, threshold: int,
                 & (100 * np.minimum(n_low, n_high) >= percent * np.maximum(n_low, n_high))
                 & (cols["class"][low] != cols["class"][high]) & (cols["part"][low] != cols["part"][high]))
         low, high = low[fits], high[fits]
-        same = (cols["marks"][low] == cols["marks"][high]).sum(1)
-        enough = same >= threshold
-        if enough.any():
-            yield low[enough], high[enough], same[enough]
+        at, same = collisions(cols["marks"], low, high, threshold)
+        if len(at):
+            yield low[at], high[at], same
 
 
 def _best(threshold: int, percent: int):
@@ -184,100 +273,91 @@ def _best(threshold: int, percent: int):
     return run
 
 
-def _across(threshold: int, percent: int):
-    """(class, parts): the other, larger parts (equal sizes: smaller id) with a member that the class agrees with enough."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+_MARKED = "key bigint, `left` int, `right` int, tile int, `class` bigint, part bigint"
 
-        def flush() -> pa.RecordBatch:
-            asked, of = np.unique(np.concatenate(held, axis=1), axis=1)
-            held.clear()
-            names, start = np.unique(asked, return_index=True)
-            cuts = pa.array(np.append(start, len(asked)).astype(np.int32))
-            return pa.RecordBatch.from_arrays([pa.array(names), pa.ListArray.from_arrays(cuts, pa.array(of))], ["class", "parts"])
 
+def _marked(threshold: int, percent: int):
+    """The members of each group that agree enough with a member of another part; a row for each, not for each pair."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols, number in _groups(batches):
-            part, size = cols["part"], cols["size"]
+            told = np.zeros(len(number), bool)
             for low, high, _ in _agreements(cols, number, threshold, percent):
-                swap = (size[low] < size[high]) | ((size[low] == size[high]) & (part[low] > part[high]))
-                held.append(np.unique(np.stack([cols["class"][np.where(swap, low, high)], part[np.where(swap, high, low)]]), axis=1))
-                if sum(h.shape[1] for h in held) > 500_000:
-                    yield flush()
-        if held:
-            yield flush()
+                told[low] = told[high] = True
+            if told.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cols[c][told], t) for c, t in (("key", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("tile", pa.int32()),
+                                                             ("class", pa.int64()), ("part", pa.int64()))],
+                    ["key", "left", "right", "tile", "class", "part"])
     return run
 
 
-def _linked_member(members: list[tuple[int, np.ndarray]], asked: list[tuple[int, np.ndarray]],
-                   percent: int) -> Iterator[tuple[int, int]]:
-    """For each asked class, one member whose full set is as similar as asked, if there is any.
+def links_between(members: list[tuple[int, int, int, np.ndarray]], one_tile: bool, percent: int) -> Iterator[tuple[int, int]]:
+    """Links (class, class) that join the parts of some members (class, part, tile, set) as far as any link does.
 
-    Intersections with all members come from one count over the members' shingles.
+    A member is held against all others at once by counting over shared shingles;
+    parts that a link has joined are not compared again.
     """
-    if not members or not asked:
+    root: dict[int, int] = {}
+
+    def top(p: int) -> int:
+        while root.setdefault(p, p) != p:
+            root[p] = p = root[root[p]]
+        return p
+
+    if len(members) < 2:
         return
-    sizes = np.array([len(h) for _, h in members])
-    every, number = np.unique(np.concatenate([h for _, h in members]), return_inverse=True)
+    sizes = np.array([len(m[3]) for m in members])
+    every, number = np.unique(np.concatenate([m[3] for m in members]), return_inverse=True)
     owner = np.repeat(np.arange(len(members)), sizes)[np.argsort(number, kind="stable")]
     ends = np.cumsum(np.bincount(number))
-    for name, hashes in asked:
-        at = np.minimum(np.searchsorted(every, hashes), len(every) - 1)
-        at = at[every[at] == hashes]
-        n = ends[at] - np.where(at > 0, ends[at - 1], 0)
-        both = np.bincount(owner[np.arange(n.sum()) + np.repeat(ends[at] - np.cumsum(n), n)], minlength=len(members))
-        found = np.flatnonzero(100 * both >= percent * (sizes + len(hashes) - both))
-        if len(found):
-            yield name, members[found[0]][0]
-
-
-def _meet(shingle: int, percent: int):
-    """Links between asked classes and the members of the part they ask for, group by group."""
+    starts = ends - np.bincount(number)
+    first = np.cumsum(sizes) - sizes
+    tiles = np.array([m[2] for m in members])
+    for k, (name, part, tile, hashes) in enumerate(members):
+        open_ = np.array([top(m[1]) for m in members]) != top(part)
+        open_ &= (100 * np.minimum(sizes, len(hashes)) >= percent * np.maximum(sizes, len(hashes)))
+        if not one_tile:
+            open_ &= tiles != tile
+        open_[:k + 1] = False
+        if not open_.any():
+            continue
+        at = number[first[k]:first[k] + len(hashes)]
+        n = ends[at] - starts[at]
+        both = np.bincount(owner[np.arange(n.sum()) + np.repeat(starts[at] - (np.cumsum(n) - n), n)], minlength=len(members))
+        for other in np.flatnonzero(open_ & (100 * both >= percent * (sizes + len(hashes) - both))).tolist():
+            a, b = top(part), top(members[other][1])
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                yield name, members[other][0]
+
+
+def _verified(shingle: int, percent: int):
+    """Links between the marked members of each group, on their full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, members, asked = None, [], []
+        group, members = None, []
 
         def links() -> list[pa.RecordBatch]:
-            found = list(_linked_member(members, asked, percent))
+            found = list(links_between(members, group is None or group[1] == group[2], percent))
             return [pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])] if found else []
 
         for batch in slices(batches, "text", 2 << 20):
-            keys = zip(*[batch.column(c).to_pylist() for c in ("part", "tile", "ask_tile")])
-            for key, asks, name, text in zip(keys, batch.column("asks").to_pylist(), batch.column("class").to_pylist(),
-                                             text_bytes(batch.column("text"))):
+            rows = zip(*[batch.column(c).to_pylist() for c in ("key", "left", "right", "class", "part", "tile")], text_bytes(batch.column("text")))
+            for *key, name, part, tile, text in rows:
                 if key != group:
                     yield from links()
-                    group, members, asked = key, [], []
-                (asked if asks else members).append((name, shingle_hashes(text, shingle)))
+                    group, members = key, []
+                members.append((name, part, tile, shingle_hashes(text, shingle)))
         yield from links()
     return run
 
 
-def _texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """(class, text) of the classes named in ``ids``, each once."""
-    ids = saved(ids.distinct(), "minhash-ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return saved(rows.join(ids, F.col("id") == F.col("class")).select("class", "text").dropDuplicates(), "minhash-texts")
-
-
-def _met(asks: DataFrame, parted: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(a, b): one link for each (class, part) of ``asks`` that has any; parts and asks are cut into tiles."""
-    targets = asks.groupBy("part").agg(F.ceil(F.count("*") / TILE).cast("int").alias("ask_tiles"))
-    members = parted.select("part", "class", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")).join(targets, "part")
-    tiles = members.groupBy("part").agg(F.first("tiles").alias("tiles"), F.first("ask_tiles").alias("ask_tiles"))
-
-    def every(n):
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    def own(n):
-        return F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
-
-    here = (members.withColumn("tile", own("tiles")).withColumn("ask_tile", every("ask_tiles"))
-            .select("part", "tile", "ask_tile", F.lit(False).alias("asks"), "class"))
-    there = (asks.join(tiles, "part").withColumn("ask_tile", own("ask_tiles")).withColumn("tile", every("tiles"))
-             .select("part", "tile", "ask_tile", F.lit(True).alias("asks"), "class"))
-    group = ["part", "tile", "ask_tile"]
-    return (here.unionByName(there).join(texts, "class").repartition(*group).sortWithinPartitions(*group)
-            .mapInArrow(_meet(shingle, percent), "a bigint, b bigint"))
+def _texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(class, text) of the classes named in ``wanted``, each once: a row of the class's smallest id and text hash."""
+    named = saved(wanted.distinct().join(classes.select("class", "least_id", "least_text"), "class"), "minhash-ids")
+    if named.count() <= BROADCAST_IDS:
+        named = F.broadcast(named)
+    same = (F.col("id") == F.col("least_id")) & (F.col("text_hash") == F.col("least_text"))
+    return saved(rows.join(named, same).select("class", "text").dropDuplicates(["class"]), "minhash-texts")
 
 
 def _similar(size: int, percent: int):
@@ -302,62 +382,68 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
             .mapInArrow(_similar(size, percent), "a bigint, b bigint"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-                    percent: int = 80, coordinates: int = COORDINATES) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row; sets are linked at ``percent`` % Jaccard similarity."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, coordinates: int) -> DataFrame:
+    """(id, text_hash, n, component, component_id) of every row; ``component`` is NULL without id or words."""
     threshold = match_threshold(coordinates, percent / 100, MISS)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     signed = saved(rows.mapInArrow(_signatures(shingle, coordinates), _ROWS), "minhash-signatures")
+    # A class has a number of its own: rows that share an id may be of several classes.
     classes = saved(signed.where("n > 0 and id is not null").groupBy("n", "set_a", "set_b")
-                    .agg(F.min("id").alias("class"), F.min("signature").alias("signature"), F.min("marks").alias("marks")), "minhash-classes")
-    posted = saved(_posted(classes, coordinates - threshold + 1, coordinates), "minhash-posted")
+                    .agg(F.min(F.struct("id", "text_hash")).alias("least"), F.min("signature").alias("signature"), F.min("marks").alias("marks"))
+                    .select("n", "set_a", "set_b", F.col("least.id").alias("least_id"), F.col("least.text_hash").alias("least_text"),
+                            "signature", "marks", F.monotonically_increasing_id().alias("class")), "minhash-classes")
+    posted = saved(_posted(classes, coordinates - threshold + 1), "minhash-posted")
 
-    alone = posted.withColumns({"part": F.col("class"), "size": F.lit(1).cast("long")})
-    best = saved(_lists(alone).mapInArrow(_best(threshold, percent), "a bigint, b bigint, same bigint")
+    best = saved(_lists(posted.withColumn("part", F.col("class"))).mapInArrow(_best(threshold, percent), "a bigint, b bigint, same bigint")
                  .groupBy("a").agg(F.max(F.struct("same", (-F.col("b")).alias("b"))).alias("best"))
                  .select("a", (-F.col("best.b")).alias("b")), "minhash-best")
-    texts = _texts(rows, best.select(F.col("a").alias("class")).union(best.select("b")))
+    texts = _texts(rows, classes, best.select(F.col("a").alias("class")).union(best.select("b")))
     linked = saved(_confirmed(best, texts, shingle, percent), "minhash-linked")
-    part = saved(posted.select("class").join(components(linked), F.col("class") == F.col("node"), "left").select(
+    part = saved(posted.select("class").distinct().join(components(linked), F.col("class") == F.col("node"), "left").select(
         "class", F.coalesce("component", "class").alias("part")), "minhash-parts")
-    sizes = part.groupBy("part").agg(F.count("*").alias("size"))
-    parted = saved(posted.join(part.join(sizes, "part"), "class"), "minhash-parted")
-    asks = saved(_lists(parted).mapInArrow(_across(threshold, percent), "`class` bigint, parts array<bigint>")
-                 .groupBy("class").agg(F.array_distinct(F.flatten(F.collect_list("parts"))).alias("parts"))
-                 .select("class", F.explode("parts").alias("part")), "minhash-asks")
-    texts = _texts(rows, asks.select("class").union(
-        part.join(asks.select("part").distinct(), "part", "left_semi").select("class")))
+    marked = saved(_lists(posted.join(part, "class")).mapInArrow(_marked(threshold, percent), _MARKED), "minhash-marked")
+    texts = _texts(rows, classes, marked.select("class"))
+    found = (marked.join(texts, "class").repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+             .mapInArrow(_verified(shingle, percent), "a bigint, b bigint"))
     # Only parts are joined now: a graph of the few parts between which a link was found.
     of_a, of_b = (part.select(F.col("class").alias(c), F.col("part").alias(f"part_{c}")) for c in "ab")
-    joined = components(_met(asks, parted, texts, shingle, percent).join(of_a, "a").join(of_b, "b")
+    joined = components(saved(found, "minhash-across").join(of_a, "a").join(of_b, "b")
                         .select(F.col("part_a").alias("a"), F.col("part_b").alias("b")))
     whole = part.join(joined, F.col("part") == F.col("node"), "left").select(
         F.col("class").alias("node"), F.coalesce("component", "part").alias("component"))
-    return labelled(signed, classes, whole, id_col)
+    of_class = saved(classes.select("n", "set_a", "set_b", "class", "least_id").join(whole, F.col("class") == F.col("node"), "left")
+                     .select("n", "set_a", "set_b", "least_id", F.coalesce("component", "class").alias("component")), "minhash-components")
+    names = of_class.groupBy(F.col("component").alias("_c")).agg(F.min("least_id").alias("component_id"))
+    named = of_class.join(names, F.col("component") == F.col("_c")).select(
+        F.col("n").alias("c_n"), F.col("set_a").alias("c_a"), F.col("set_b").alias("c_b"), "component", "component_id")
+    same = (F.col("set_a") == F.col("c_a")) & (F.col("set_b") == F.col("c_b")) & (F.col("n") == F.col("c_n")) & F.col("id").isNotNull()
+    return signed.select("id", "text_hash", "n", "set_a", "set_b").join(named, same, "left").select(
+        "id", "text_hash", "n", "component", "component_id")
 
 
-def labelled(signed: DataFrame, classes: DataFrame, parts: DataFrame, id_col: str) -> DataFrame:
-    """Every row with its class's component."""
-    of_class = (classes.select("n", "set_a", "set_b", "class")
-                .join(parts, F.col("class") == F.col("node"), "left")
-                .select(F.col("n").alias("c_n"), F.col("set_a").alias("c_a"), F.col("set_b").alias("c_b"),
-                        F.coalesce("component", "class").alias("component")))
-    same = (F.col("set_a") == F.col("c_a")) & (F.col("set_b") == F.col("c_b")) & (F.col("n") == F.col("c_n"))
-    component: Column = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return (signed.select("id", "n", "set_a", "set_b").join(of_class, same, "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                    F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                    percent: int = 80, coordinates: int = COORDINATES) -> DataFrame:
+    """(id, n_shingles, component_id, kept) for every row; sets are linked at ``percent`` % Jaccard similarity."""
+    component = F.coalesce("component_id", "id")
+    return _grouped(docs, id_col, text_col, shingle, percent, coordinates).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                 percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, unchanged, of one document per group; of rows that share an id, one."""
-    found = saved(near_duplicates(docs, id_col, text_col, shingle, percent).select(F.col(id_col).alias("__id"), "kept"),
-                  "minhash-kept")
-    gone = found.where(~F.col("kept")).select("__id").distinct()
-    kept = docs.join(gone, docs[id_col].cast("long") == F.col("__id"), "left_anti")
-    repeated = found.where("__id is not null").groupBy("__id").count().where("count > 1").limit(1).count()
-    if repeated:
-        # Rows without id stay as they are.
-        kept = kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
-    return kept
+    """The rows of ``docs``, unchanged: one of every component, and those without words or id."""
+    found = saved(_grouped(docs, id_col, text_col, shingle, percent, COORDINATES), "minhash-kept").where("component is not null")
+    first = found.groupBy(F.col("component").alias("_c")).agg(F.min(F.struct("id", "text_hash")).alias("first"), F.count("*").alias("rows"))
+    told = found.join(first, F.col("component") == F.col("_c"))
+    stays = F.struct("id", "text_hash") == F.col("first")
+    gone = told.where(~stays).select(F.col("id").alias("__id"), F.col("text_hash").alias("__text")).distinct()
+    kept = docs.join(gone, (docs[id_col].cast("long") == F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__text")), "left_anti")
+    repeated = saved(told.where(stays & (F.col("rows") > 1)).groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__text")).count()
+                     .where("count > 1").select("__id", "__text"), "minhash-repeated")
+    if repeated.isEmpty():
+        return kept
+    # Rows of one id and one text: any of them stays.
+    same = (kept[id_col].cast("long") == F.col("__id")) & (F.xxhash64(kept[text_col]) == F.col("__text"))
+    once = kept.join(repeated, same, "left_semi")
+    return kept.join(repeated, same, "left_anti").unionByName(once.dropDuplicates([id_col, text_col]))

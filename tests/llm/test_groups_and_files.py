@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tests.llm.conftest import rows
+from tests.llm.conftest import PROSE, rows
 from tessera.llm import (
     components,
     line_crf,
@@ -99,6 +99,55 @@ def test_near_duplicates_of_awkward_rows(awkward, nothing):
     assert sorted(i for i in ids if i is not None) == sorted(r[0] for r in named if r[3]) and ids.count(None) == 2
 
 
+def test_deduplicate_loses_no_text(spark):
+    """Rows that share an id but not the text: each text that resembles nothing stays."""
+    more = PROSE + " again"
+    docs = [(1, PROSE), (2, more), (2, "a text of its own that is like nothing else here"), (3, "lone words of three"), (3, "lone words of three"),
+            (3, "something else entirely under the same number")]
+    kept = minhash_inverted.deduplicate(spark.createDataFrame(docs, "doc_id bigint, text string"), shingle=2)
+    assert sorted(map(tuple, kept.collect())) == sorted({docs[0], docs[2], docs[3], docs[5]})
+
+
+def test_links_between_equal_brute_force():
+    rng = np.random.default_rng(6)
+    for one_tile in (True, False):
+        for _ in range(20):
+            base = [rng.integers(0, 60, 40) for _ in range(3)]
+            sets = [np.unique(np.concatenate([base[k % 3][:rng.integers(25, 40)], rng.integers(0, 300, rng.integers(0, 8))])).astype(np.uint64) for k in range(14)]
+            members = [(100 + k, int(rng.integers(0, 8)), k % 2, s) for k, s in enumerate(sets)]
+            edges = [(a[1], b[1]) for a, b in itertools.combinations(members, 2) if (one_tile or a[2] != b[2])
+                     and 100 * len(np.intersect1d(a[3], b[3])) >= 60 * len(np.union1d(a[3], b[3]))]
+            part = {m[0]: m[1] for m in members}
+            got = [(part[a], part[b]) for a, b in minhash_inverted.links_between(members, one_tile, 60)]
+            parts = set(part.values())
+            assert least(parts, got) == least(parts, edges) and len(got) < len(parts)
+
+
+def test_shared_keys_over_batches():
+    keys = [1, 2, 2, 3, 4, 4, 4, 4, 5, 6, 6]
+    for size in (1, 2, 3, 11):
+        batches = [pa.RecordBatch.from_arrays([pa.array(keys[i:i + size]), pa.array(range(i, min(i + size, 11)))], ["key", "class"])
+                   for i in range(0, 11, size)]
+        got = [r["class"] for b in minhash_inverted._shared(iter(batches)) for r in b.to_pylist()]
+        assert got == [1, 2, 4, 5, 6, 7, 9, 10]
+
+
+def test_collisions_skip_nothing():
+    rng = np.random.default_rng(8)
+    marks = rng.integers(0, 2, (60, 48)).astype(np.uint8)
+    low, high = np.array(list(itertools.combinations(range(60), 2))).T
+    same = (marks[low] == marks[high]).sum(1)
+    at, n = minhash_inverted.collisions(marks, low, high, 27)
+    assert np.array_equal(at, np.flatnonzero(same >= 27)) and np.array_equal(n, same[same >= 27])
+
+
+def test_link_recall(spark):
+    """Exact links of all pairs of a thousand documents: every one is found."""
+    sf = "/root/testdata/sf0.01"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    assert {tuple(r) for r in QUERIES["op5_minhash_inverted"](spark, sf).collect()} == brute_groups(docs, 2, 80)
+
+
 # ------------------------------------------------------------------ 4
 def brute_vectors(data):
     good = [i for i, (n, v, lab) in enumerate(data) if n is not None and lab is not None and v and None not in v
