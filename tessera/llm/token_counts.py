@@ -17,9 +17,11 @@ What is stored per text, ``prefix``, has one byte for each code point: the
 change of the count at that point, plus 128.  Running sums give the count of
 every prefix, hence the longest prefix within a budget, without encoding.
 
-Chunks that hold special-token strings, characters that normalisation changes
-or lower-casing that changes lengths are counted prefix by prefix with the
-library itself.  Null counts as empty; empty texts have 0 tokens and an empty
+A chunk that holds special-token strings, characters that normalisation changes
+or lower-casing that changes lengths is cut where one unit surely ends and the next
+begins, far from such characters; only the stretches that hold one are
+counted prefix by prefix with the library itself.  ``stored`` writes the tables, and
+``within_budget`` answers truncation questions from them as a column.  Null counts as empty; empty texts have 0 tokens and an empty
 prefix table.  Rows are independent: repeated rows give repeated results.
 """
 
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import slices, text_bytes
@@ -56,6 +58,17 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(shown) else chr(256 + rest.index(b)) for b in range(256)]
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def kind_of(c: str) -> str:
+    """L, N, S (white space) or O for a character that stays one character whatever stands beside it, else nothing."""
+    if c in "'<|>" or len(low := c.lower()) != 1 or not unicodedata.is_normalized("NFC", c + low) or unicodedata.normalize("NFC", c) != c:
+        return ""
+    group = unicodedata.category(c)
+    if group[0] in "MC" or "\u1100" <= c <= "\u11ff" or "\ua960" <= c <= "\ua97f" or "\ud7b0" <= c <= "\ud7ff":
+        return ""  # marks and parts of syllables may join what stands before; what control characters are is not sure
+    return {"L": "L", "N": "N", "Z": "S"}.get(group[0], "O")
+
+
 class PrefixCounter:
     """Counts for one vocabulary file (BPE, word ends, lower case, byte level)."""
 
@@ -85,6 +98,7 @@ class PrefixCounter:
         self.allowed: dict[int, bool] = {}
         self.alphabet = byte_alphabet()
         self.words: dict[str, bytes | list[int]] = {}
+        self.odd: dict[str, list[int]] = {}
         self.chunks: dict[bytes, bytes] = {b"": b""}
         self.old: dict[bytes, bytes] = {}
 
@@ -117,7 +131,7 @@ class PrefixCounter:
         ending, allowed, follows = self.ending, self.allowed, self.follows
         coded = []
         for word in words:
-            if word.isascii():
+            if word.isascii() and word.isprintable():
                 coded.append((word, word))
             else:
                 coded.append(("".join([self.alphabet[b] for b in word.encode("utf-8")]), word))
@@ -180,6 +194,34 @@ class PrefixCounter:
             return [(0, body), (len(body), low[len(body):])] if len(body) < len(low) else [(0, body)]
         return [(m.start(), m[0]) for m in _UNITS.finditer(low)]
 
+    def stretches(self, chunk: str) -> list[str]:
+        """A chunk cut between plain characters of different kinds (letters, numbers, others) and between numbers.
+
+        Nothing that normalisation, contractions or special strings do reaches over such a cut.
+        """
+        bare = [kind_of(c) for c in chunk]
+        held = set()
+        for m in self.special.finditer(chunk):
+            held.update(range(m.start() + 1, m.end()))
+        cuts = [i for i in range(1, len(chunk)) if bare[i - 1] and bare[i] and (bare[i - 1] != bare[i] or bare[i] == "N") and i not in held]
+        return [chunk[a:b] for a, b in itertools.pairwise([0, *cuts, len(chunk)])]
+
+    def odd_counts(self, chunk: str) -> list[int]:
+        """Counts of a chunk that ``units`` cannot part: stretch by stretch, those with an odd character by the library."""
+        out: list[int] = []
+        for stretch in self.stretches(chunk):
+            base = out[-1] if out else 0
+            own = self.odd.get(stretch)
+            if own is None:
+                units = self.units(stretch)
+                own = self.counts(len(stretch), units) if units is not None else [
+                    len(self.library.encode(stretch[:i], add_special_tokens=False).ids) for i in range(1, len(stretch) + 1)]
+                if len(self.odd) > KEEP:
+                    self.odd.clear()
+                self.odd[stretch] = own
+            out += [base + c for c in own]
+        return out
+
     def counts(self, size: int, units: list[tuple[int, str]]) -> list[int]:
         """Token count of every code point's prefix of a chunk without ASCII white space."""
         out: list[int] = []
@@ -203,8 +245,7 @@ class PrefixCounter:
         self.learn({u for units in split.values() for _, u in units or ()}.difference(self.words))
         for chunk, units in split.items():
             text = chunk.decode("utf-8")
-            counts = self.counts(len(text), units) if units is not None else [
-                len(self.library.encode(text[:i], add_special_tokens=False).ids) for i in range(1, len(text) + 1)]
+            counts = self.counts(len(text), units) if units is not None else self.odd_counts(text)
             self.chunks[chunk] = bytes([b - a + _BIAS for a, b in zip([0, *counts], counts)])
 
     def tables(self, texts: list[bytes]) -> list[bytes]:
@@ -257,3 +298,25 @@ def prefix_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     kind = rows.schema["id"].dataType.simpleString()
     return (rows.mapInArrow(run, f"id {kind}, n_bytes bigint, n_tokens bigint, prefix binary")
             .withColumnRenamed("id", id_col))
+
+
+def stored(docs: DataFrame, vocabulary: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Write the prefix tables below ``path`` and read them back; later questions need neither texts nor vocabulary."""
+    prefix_counts(docs, vocabulary, id_col, text_col).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def within_budget(tables: DataFrame, budget: Column) -> DataFrame:
+    """``tables`` plus ``n_chars``: the most code points of the text whose prefix has at most ``budget`` tokens.
+
+    NULL for a NULL budget.  ``substring(text, 1, n_chars)`` is the text cut to the budget.
+    """
+    asked = tables.withColumn("n_chars", budget.cast("long"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "prefix"):
+            got = [None if b is None else longest_within(p, b)
+                   for p, b in zip(batch.column("prefix").to_pylist(), batch.column("n_chars").to_pylist())]
+            yield batch.set_column(batch.schema.get_field_index("n_chars"), "n_chars", pa.array(got, pa.int64()))
+
+    return asked.mapInArrow(run, asked.schema)
