@@ -7,21 +7,23 @@ only their counts are summed).
 
 1. Documents are packed into chunks of about ``CHUNK_TOKENS`` tokens: a chunk's
    distinct words in order of frequency, and its tokens as numbers of these.
-2. Each chunk sends its sorted distinct keys with training counts to key
+2. Each chunk sends its sorted distinct n-grams of every level with training counts to key
    ranges (uniform, as keys are hashes, so no word is hot; counts are summed in
-   the chunk first).  A range adds them up, stores its part of the count table
-   (partitioned by level and range), and answers each chunk with totals in the
-   order asked, and with whether this chunk owns the key.
-3. Counts of counts give the Good-Turing discounts: with ``n_r`` keys seen
+   the chunk first).  A range adds them up.  It stores its part of the count table, a row of
+   the table partitioned by level, and, beside it, the answers that scoring reads: for each chunk
+   the totals in the order asked, and whether this chunk owns the key.
+3. Counts of counts give the Good-Turing discounts of each level: with ``n_r`` keys seen
    ``r`` times, r* = (r + 1) n_{r+1} / n_r up to ``K``, corrected so that larger
    counts lose only the small ``beta`` each; every history thus keeps some mass.
-4. Each chunk evaluates its tokens: P(w | h) = c*(h, w) / c(h) if the pair was
-   seen, else alpha(h) P(w); P(w) = c*(w) / N, else the mass left over, which
-   stands for one unseen word.  A history's weight is exactly the mass its
-   discounts leave over the unigram mass of what did not follow it:
-   alpha(h) = (sum of c - c*) / c(h) / (1 - sum of P(w) over seen w).
-   Owners of pairs add both sums up by history; only texts with unseen pairs
-   wait for alpha.
+4. Each chunk evaluates its tokens recursively: P(w | h) = c*(h, w) / c(h) if the n-gram was
+   seen, else alpha(h) P(w | h without its first word), or the latter alone if h was not
+   seen; P(w) = c*(w) / N, else the mass left over, which stands for one unseen word.
+   A history's weight is exactly the mass its discounts leave over the lower level's mass
+   of what did not follow it: alpha(h) = (sum of c - c*) / c(h) / (1 - sum of P(w | shorter h)
+   over seen w).  What followed h was seen after the shorter history, too, so these are plain
+   ratios of counts that the chunk has.  Owners of n-grams add both sums up by history;
+   only texts with unseen n-grams wait for alpha.  Contexts end at a text's start: its first
+   word has the start as its history, the second the start and the first.
 
 Defined cases: null and empty texts are one end token; a null id counts as the
 empty text for the fold; every row is scored, repeated rows alike; without
@@ -42,8 +44,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import blank_words, slices, text_bytes
 from tessera.session import scratch_dir
 
-KEY_BITS, K = 56, 5
-CHUNK_TOKENS, CHUNK_DOCS = 2_000_000, 1 << 16
+KEY_BITS, K, ORDER = 56, 5, 3
+CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 1 << 16
 #: Keys that one range adds up in memory, about.
 RANGE_KEYS = 3_000_000
 _PLANES = KEY_BITS // 8
@@ -126,25 +128,41 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Chunk:
-    """A chunk's tokens, its distinct pairs in key order, and which documents they come from."""
+    """A chunk's tokens, its distinct n-grams of each level in key order, and which documents they come from.
 
-    def __init__(self, row: dict):
+    An n-gram of a token is the token after the (n-1)-gram of the token before; a text's first token comes after START.
+    """
+
+    def __init__(self, row: dict, order: int):
         self.words, self.tokens = unpack(row["words"], _PLANES), unpack(row["tokens"], 4).astype(np.int64)
         self.sizes, self.train = np.array(row["sizes"], np.int64), np.array(row["train"], bool)
         ends = np.cumsum(self.sizes)
         self.starts = ends - self.sizes
         self.trained = np.repeat(self.train, self.sizes)  # by token
+        self.by_key = np.argsort(self.words)  # words in key order
         word = self.words[self.tokens]
         before = np.roll(word, 1)
         before[self.starts] = START
-        self.pairs, self.first, self.pair = np.unique(pair_keys(before, word), return_index=True, return_inverse=True)
-        self.by_key = np.argsort(self.words)  # words in key order
+        #: By level from 2 on: sorted keys, a token of each, each token's place (-1 where the text is too short).
+        self.keys: dict[int, np.ndarray] = {}
+        self.first: dict[int, np.ndarray] = {}
+        self.at: dict[int, np.ndarray] = {}
+        known = np.ones(len(word), bool)
+        for level in range(2, order + 1):
+            if level > 2:
+                known[np.minimum(self.starts + level - 3, ends - 1)] = False  # no token so far back
+                before = np.roll(now, 1)
+            now = pair_keys(before, word)
+            tokens = np.flatnonzero(known)
+            self.keys[level], first, place = np.unique(now[tokens], return_index=True, return_inverse=True)
+            self.first[level] = tokens[first]
+            self.at[level] = np.full(len(word), -1, np.int32)
+            self.at[level][tokens] = place
 
     def counts(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted keys of a level, how often training texts hold each, and how often others do."""
-        keys, each = (self.words[self.by_key], self.tokens) if level == 1 else (self.pairs, self.pair)
-        train = np.bincount(each[self.trained], minlength=len(keys))
-        held = np.bincount(each[~self.trained], minlength=len(keys))
+        keys, each = (self.words[self.by_key], self.tokens) if level == 1 else (self.keys[level], self.at[level])
+        train, held = (np.bincount(each[side & (each >= 0)], minlength=len(keys)) for side in (self.trained, ~self.trained))
         return (keys, train[self.by_key], held[self.by_key]) if level == 1 else (keys, train, held)
 
 
@@ -162,12 +180,14 @@ def _ask(ranges: dict[int, int]):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                chunk = Chunk(row)
+                chunk = Chunk(row, max(ranges))
                 for level, parts in ranges.items():
                     keys, train, held = chunk.counts(level)
                     ends = _range_ends(keys, parts)
                     out = [(level, p, row["chunk"], pack_sorted(keys[a:b]), pack(train[a:b], 4), pack(held[a:b] > 0, 1))
                            for p, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
+                    if not out:  # no text is that long
+                        continue
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
                         ["level", "part", "chunk", "keys", "train", "held"])
@@ -227,76 +247,107 @@ class Discount:
 
 
 _SCORED = ("kind string, `row` bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-           "base_score double, score double, word bigint, uses bigint, left double, mass double")
-
-
-def _evaluate(one: Discount, two: Discount, n_docs: int):
-    """Texts' sums, histories' sums over owned pairs, and the histories that texts back off from."""
-    words_total, n_words = max(one.total, 1), one.types
+           "base_score double, score double, level int, history bigint, uses bigint, left double, mass double")
+_SCHEMA = pa.schema([("kind", pa.string()), ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
+                     ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
+                     ("level", pa.int32()), ("history", pa.int64()), ("uses", pa.int64()), ("left", pa.float64()), ("mass", pa.float64())])
+
+
+def _answered(chunk: Chunk, answers: pa.Table, order: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """(training count, flags) of every key of the chunk, by level; words in the order of their numbers."""
+    got = {level: ([], []) for level in range(1, order + 1)}
+    for a in answers.select(["level", "part", "counts", "flags"]).sort_by([("level", "ascending"), ("part", "ascending")]).to_pylist():
+        got[a["level"]][0].append(unpack(a["counts"], 5))
+        got[a["level"]][1].append(unpack(a["flags"], 1))
+    none = [np.zeros(0, np.uint64)]
+    out = {level: tuple(np.concatenate(x or none).astype(np.int64) for x in both) for level, both in got.items()}
+    words = []
+    for values in out[1]:
+        place = np.zeros(len(chunk.words), np.int64)
+        place[chunk.by_key] = values
+        words.append(place)
+    out[1] = tuple(words)
+    return out
+
+
+def _evaluate(discounts: dict[int, Discount], n_docs: int):
+    """Texts' sums, histories' sums over owned n-grams, and the histories that texts back off from."""
+    order, one = max(discounts), discounts[1]
+    words_total = max(one.total, 1)
     unseen = np.log10(one.left / words_total) if one.total else 0.0
 
     def run(key: tuple, states: pa.Table, answers: pa.Table) -> pa.Table:
         row = states.to_pylist()[0]
-        chunk = Chunk(row)
-        got = {1: ([], []), 2: ([], [])}
-        for a in answers.select(["level", "part", "counts", "flags"]).sort_by([("level", "ascending"), ("part", "ascending")]).to_pylist():
-            got[a["level"]][0].append(unpack(a["counts"], 5))
-            got[a["level"]][1].append(unpack(a["flags"], 1))
-        count, flag = np.zeros(len(chunk.words), np.int64), np.zeros(len(chunk.words), np.int64)
-        count[chunk.by_key] = np.concatenate(got[1][0]).astype(np.int64)
-        flag[chunk.by_key] = np.concatenate(got[1][1]).astype(np.int64)
-        pair_count, pair_flag = np.concatenate(got[2][0]).astype(np.int64), np.concatenate(got[2][1]).astype(np.int64)
+        chunk = Chunk(row, order)
+        known = _answered(chunk, answers, order)
+        count, flag = known[1]
+        before = np.roll(chunk.tokens, 1)
+        before[chunk.starts] = len(chunk.words)  # START
         with np.errstate(divide="ignore"):
             single = np.where(count > 0, np.log10(one(count) / words_total), unseen)  # log10 P(w)
-            history = np.append(np.log10(count), np.log10(max(n_docs, 1)))  # log10 c(h); the last is the start
-            kept = np.log10(two(pair_count))
-        base = np.log10((count + 1) / (one.total + n_words + 1))
-        before = np.roll(chunk.tokens, 1)
-        before[chunk.starts] = len(chunk.words)
-        seen = pair_count[chunk.pair] > 0
-        score = single[chunk.tokens]
-        score[seen] = kept[chunk.pair[seen]] - history[before[seen]]
+        base = np.log10((count + 1) / (one.total + one.types + 1))
         n = len(chunk.sizes)
         rows = np.int64(row["chunk"]) * CHUNK_DOCS * 2 + np.arange(n)
-        total = np.add.reduceat(score, chunk.starts)
+        text = np.repeat(np.arange(n), chunk.sizes)
+        # Of the level below: log10 P of each token where nothing is pending, and the history of each token with its count.
+        below = single[chunk.tokens]
+        # Histories of level 2 are words; those of higher levels are the n-grams of the token before.
+        names = np.append(chunk.words, np.uint64(START)).view(np.int64)
+        history, size, wanted = before, np.append(count, n_docs), np.append(flag & 2 > 0, True)
+        out, seen = [], {}
+        score = below.copy()
+        for level in range(2, order + 1):
+            counts, flags = known[level]
+            at = chunk.at[level]
+            has = at >= 0  # the text reaches so far back
+            c = np.where(has, counts[at] if len(counts) else 0, 0)
+            seen[level] = c > 0
+            with np.errstate(divide="ignore", invalid="ignore"):
+                kept = np.log10(discounts[level](c)) - np.log10(size[history])
+            # Mass left by discounts, and the lower level's mass of what followed, over n-grams this chunk owns.
+            first = chunk.first[level]
+            token = first[(counts > 0) & (flags & 1 == 1)]
+            token = token[wanted[history[token]]]  # histories of held-out texts; no other backs off
+            own, place = np.unique(history[token], return_inverse=True)
+            left = np.bincount(place, c[token] - discounts[level](c[token]), len(own))
+            mass = np.bincount(place, 10.0 ** below[token], len(own))
+            out.append(pa.table({"kind": pa.array(["history"] * len(own)), "level": pa.array([level] * len(own), pa.int32()),
+                                 "history": names[own], "uses": size[own], "left": left.astype(float), "mass": mass.astype(float)}))
+            # Tokens that back off from a known history: its weight is applied later.
+            off = has & ~seen[level] & (size[history] > 0)
+            for higher in range(level + 1, order + 1):  # unless a longer n-gram was seen
+                later = chunk.at[higher]
+                off &= ~((later >= 0) & (known[higher][0][later] > 0)) if len(known[higher][0]) else True
+            off = np.flatnonzero(off)
+            both, uses = np.unique(text[off].astype(np.int64) * len(names) + history[off], return_counts=True)
+            out.append(pa.table({"kind": pa.array(["back"] * len(both)), "row": rows[both // len(names)],
+                                 "level": pa.array([level] * len(both), pa.int32()), "history": names[both % len(names)], "uses": uses}))
+            score = np.where(seen[level], kept, score)
+            below = kept  # read only where the n-gram was seen, as it is inside every longer one that was
+            if level < order:
+                names, size, wanted = chunk.keys[level].view(np.int64), counts, flags & 2 > 0
+                history = np.roll(at, 1)
         texts = pa.table({
             "kind": pa.array(["text"] * n), "row": rows, "doc_id": pa.array(row["ids"], pa.int64()), "held_out": ~chunk.train,
             "n_tokens": chunk.sizes, "n_known": np.add.reduceat((count > 0)[chunk.tokens].astype(np.int64), chunk.starts),
-            "base_score": np.add.reduceat(base[chunk.tokens], chunk.starts), "score": total})
-        # Histories: mass left by discounts, and unigram mass of what followed, over pairs this chunk owns.
-        token = chunk.first[(pair_count > 0) & (pair_flag & 1 == 1)]
-        wanted = np.append(flag & 2 > 0, True)  # words of held-out texts; no other backs off
-        token = token[wanted[before[token]]]
-        c = pair_count[chunk.pair[token]]
-        names = np.append(chunk.words, np.uint64(START)).view(np.int64)
-        width = len(names)
-        left = np.bincount(before[token], c - two(c), width)
-        mass = np.bincount(before[token], 10.0 ** single[chunk.tokens[token]], width)
-        h = np.flatnonzero(mass > 0)
-        size = np.append(count, n_docs)
-        histories = pa.table({"kind": pa.array(["history"] * len(h)), "word": names[h], "uses": size[h], "left": left[h], "mass": mass[h]})
-        # Tokens that back off from a known history: its weight is applied later.
-        off = np.flatnonzero(~seen & (size[before] > 0))
-        text = np.searchsorted(chunk.starts, off, side="right") - 1
-        both, uses = np.unique(text * width + before[off], return_counts=True)
-        backs = pa.table({"kind": pa.array(["back"] * len(both)), "row": rows[both // width], "word": names[both % width], "uses": uses})
-        schema = pa.schema([("kind", pa.string()), ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
-                            ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
-                            ("word", pa.int64()), ("uses", pa.int64()), ("left", pa.float64()), ("mass", pa.float64())])
-        return pa.concat_tables([t.select([c for c in schema.names if c in t.schema.names]) for t in (texts, histories, backs)],
-                                promote_options="default").select(schema.names).cast(schema)
+            "base_score": np.add.reduceat(base[chunk.tokens], chunk.starts), "score": np.add.reduceat(score, chunk.starts)})
+        tables = [t.select([c for c in _SCHEMA.names if c in t.schema.names]) for t in (texts, *out)]
+        return pa.concat_tables(tables, promote_options="default").select(_SCHEMA.names).cast(_SCHEMA)
     return run
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Write by kind, so that a reader of one kind opens only its files."""
+def _stored(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write by kind (and level), so that a reader of one opens only its files."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.partitionBy("kind").parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scores of every row of ``docs``; the model learns from those where the column ``train`` is true."""
+def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
+    """Scores of every row of ``docs`` with n-grams of up to ``order`` words; the model learns from those where
+    the column ``train`` is true."""
+    if order < 2:
+        raise ValueError("an order of 2 at least")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), train.alias("train"), F.col(text_col).alias("text"))
     path = scratch_dir(spark, "llm-katz-chunks")
@@ -306,21 +357,21 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce(F.sum("n_tokens"), F.lit(0)),
         F.coalesce(F.sum(F.size(F.filter("train", lambda t: t))), F.lit(0))).first()
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = {1: max(1, wide // 8, -(-tokens // (4 * RANGE_KEYS))), 2: max(wide, -(-tokens // RANGE_KEYS))}
+    ranges = {1: max(1, wide // 8, -(-tokens // (4 * RANGE_KEYS)))}
+    ranges |= {level: max(wide, -(-tokens // RANGE_KEYS)) for level in range(2, order + 1)}
     counted = _stored(chunks.mapInArrow(_ask(ranges), _ASKED).groupBy("level", "part").applyInArrow(_add_up, _COUNTED),
-                      "llm-katz-counts")
+                      "llm-katz-counts", "kind", "level")
     tally = {r["level"]: r["tally"] for r in counted.where("kind = 'tally'").groupBy("level").agg(
         F.array(*[F.sum(F.col("tally")[i]) for i in range(K + 3)]).alias("tally")).collect()}
-    empty = [0] * (K + 3)
-    one, two = Discount(tally.get(1, empty)), Discount(tally.get(2, empty))
+    discounts = {level: Discount(tally.get(level, [0] * (K + 3))) for level in ranges}
     answers = counted.where("kind = 'answer'").select("chunk", "level", "part", "counts", "flags")
     scored = _stored(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _evaluate(one, two, n_docs), _SCORED), "llm-katz-scores")
+        _evaluate(discounts, n_docs), _SCORED), "llm-katz-scores", "kind")
     weight = F.log10(F.sum("left") / F.max("uses") / (1 - F.sum("mass")))
-    alpha = scored.where("kind = 'history'").groupBy("word").agg(weight.alias("alpha"))
-    back = (scored.where("kind = 'back'").select("row", "word", "uses").join(alpha, "word")
+    alpha = scored.where("kind = 'history'").groupBy("level", "history").agg(weight.alias("alpha"))
+    back = (scored.where("kind = 'back'").select("row", "level", "history", "uses").join(alpha, ["level", "history"])
             .groupBy(F.col("row").alias("b_row")).agg(F.sum(F.col("uses") * F.col("alpha")).alias("back")))
     return (scored.where("kind = 'text'").join(back, F.col("row") == F.col("b_row"), "left")
             .select(F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known",
-                    F.lit(one.total).cast("long").alias("train_tokens"), "base_score",
+                    F.lit(discounts[1].total).cast("long").alias("train_tokens"), "base_score",
                     (F.col("score") + F.coalesce("back", F.lit(0.0))).alias("score")))

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -216,34 +217,59 @@ def test_op3(spark):
 
 
 # ------------------------------------------------------------------ 2
-def brute_katz(docs):
-    """Scores by dictionaries, with the operator's discounts."""
+def brute_katz(docs, order=katz.ORDER):
+    """Scores by dictionaries and plain recursion, with the operator's discounts."""
+    start = b""
     texts = [(d, (t or "").encode().lower().split() + [b"\n"], zlib.crc32(str("" if d is None else d).encode()) % 7 != 2) for d, t in docs]
-    one, two, n = Counter(), Counter(), 0
+
+    def grams(w, n):
+        w = [start] + w if n > 1 else w
+        return [tuple(w[i:i + n]) for i in range(len(w) - n + 1)]
+
+    counts = {n: Counter() for n in range(1, order + 1)}
+    docs_seen = 0
     for _, w, train in texts:
         if train:
-            one.update(w)
-            two.update(zip([b""] + w[:-1], w))
-            n += 1
+            docs_seen += 1
+            for n in counts:
+                counts[n].update(grams(w, n))
     tally = lambda c: [*(sum(v == r for v in c.values()) for r in range(1, katz.K + 2)), len(c), sum(c.values())]
-    d1, d2 = katz.Discount(tally(one)), katz.Discount(tally(two))
-    kept1 = {w: float(d1(np.array([c]))[0]) / d1.total for w, c in one.items()}
-    kept2 = {p: float(d2(np.array([c]))[0]) for p, c in two.items()}
-    size = {**one, b"": n}
-    left, mass = Counter(), Counter()
-    for (h, w), c in two.items():
-        left[h] += c - kept2[h, w]
-        mass[h] += kept1[w]
-    alpha = {h: left[h] / size[h] / (1 - mass[h]) for h in left}
-    rest = d1.left / d1.total if d1.total else 1.0
-    assert not one or math.isclose(sum(kept1.values()) + rest, 1)
-    for h in left:  # each history's probabilities sum to 1
-        assert math.isclose(sum(kept2[p] for p in two if p[0] == h) / size[h] + alpha[h] * (1 - mass[h]), 1) if len(left) < 200 else True
+    cut = {n: katz.Discount(tally(c)) for n, c in counts.items()}
+    kept = {n: {g: float(cut[n](np.array([c]))[0]) for g, c in counts[n].items()} for n in counts}
+    total = cut[1].total
+    rest = cut[1].left / total if total else 1.0
+
+    def size(h):
+        return docs_seen if h == (start,) else counts[len(h)].get(h, 0)
+
+    def p(w, h):
+        if not h:
+            return kept[1][(w,)] / total if (w,) in kept[1] else rest
+        if (*h, w) in kept[len(h) + 1]:
+            return kept[len(h) + 1][(*h, w)] / size(h)
+        lower = p(w, h[1:])
+        return alpha[h] * lower if size(h) else lower
+
+    followed = {}
+    for n in range(2, order + 1):
+        for g in counts[n]:
+            followed.setdefault(g[:-1], []).append(g[-1])
+    alpha = {}
+    for n in range(1, order):
+        for h in [h for h in followed if len(h) == n]:
+            left = sum(counts[n + 1][(*h, w)] - kept[n + 1][(*h, w)] for w in followed[h])
+            alpha[h] = left / size(h) / (1 - sum(p(w, h[1:]) for w in followed[h]))
+    if counts[1]:
+        assert math.isclose(sum(k for k in kept[1].values()) / total + rest, 1)
+        for h in random.Random(1).sample(sorted(followed), min(25, len(followed))):  # each history's probabilities sum to 1
+            every = sum(p(w, h) for (w,) in counts[1]) + p(b"never seen", h)
+            assert math.isclose(every, 1, rel_tol=1e-9), h
     out = []
     for d, w, train in texts:
-        base = sum(math.log10((one[x] + 1) / (d1.total + len(one) + 1)) for x in w)
-        score = sum(math.log10(kept2[h, x] / size[h] if (h, x) in two else alpha.get(h, 1.0) * kept1.get(x, rest)) for h, x in zip([b""] + w[:-1], w))
-        out.append((d, not train, len(w), sum(x in one for x in w), d1.total, base, score))
+        base = sum(math.log10((counts[1][(x,)] + 1) / (total + len(counts[1]) + 1)) for x in w)
+        whole = [start, *w]
+        score = sum(math.log10(p(whole[i], tuple(whole[max(0, i - order + 1):i]))) for i in range(1, len(whole)))
+        out.append((d, not train, len(w), sum((x,) in counts[1] for x in w), total, base, score))
     return out
 
 
@@ -254,8 +280,15 @@ def same_scores(got, want):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9, atol=1e-9)
 
 
-def test_op2(spark, monkeypatch):
-    monkeypatch.setattr(katz, "CHUNK_TOKENS", 5000)  # many chunks
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_katz_orders(spark, order):
+    rng = random.Random(order)
+    docs = [(i, " ".join(rng.choice("a b c d e f g of the".split()) for _ in range(rng.randint(0, 9)))) for i in range(120)]
+    got = katz.score(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), fold("doc_id", 7) != 2, order=order)
+    same_scores([tuple(r) for r in got.collect()], brute_katz(docs, order))
+
+
+def test_op2(spark):
     same_scores([tuple(r) for r in QUERIES["op2_katz_backoff"](spark, SF).collect()], brute_katz(documents(spark)))
 
 
