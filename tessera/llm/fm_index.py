@@ -13,10 +13,12 @@ occurrences are located by walking back to a sampled position; their spans are
 merged into removal spans per document.
 
 Test phrases are the windows of ``WINDOW`` consecutive words of each item (an
-item of fewer words, but not none, is one window).  Items are handled in
-blocks of about ``BLOCK_BYTES`` of text: each block is broadcast and one pass
-over the documents is made for it, so a larger benchmark needs more passes,
-not more memory.
+item of fewer words, but not none, is one window).  Repeated items are dropped,
+then items are dealt to blocks of about ``BLOCK_BYTES`` of text, whose windows are
+made by one task each and written as packed arrays.  One block at a time is
+broadcast and one pass over the documents is made for it; between passes the
+documents and what was found are written, and the block is given up.  So a larger
+benchmark needs more passes, not more memory, and the driver holds one packed block.
 
 Defined cases: null and empty texts have no words and are never hit; an item
 without words has no window; items that share an id count as one; a null item
@@ -27,6 +29,9 @@ get equal results; extra columns are ignored by ``contamination`` and kept by
 
 from __future__ import annotations
 
+import functools
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +40,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import plain_words, slices, text_bytes
+from tessera.llm.common import plain_words, saved, slices, text_bytes
 
 WINDOW, SAMPLE = 10, 16
 #: Text of test items that one pass handles, and of documents that one index holds.
@@ -64,6 +69,33 @@ class Phrases:
                         for n in np.unique(sizes)}
         self.shortest = int(sizes.min()) if len(sizes) else 0
 
+    def packed(self) -> bytes:
+        """The same as compressed bytes, to be written and broadcast."""
+        return zlib.compress(pickle.dumps((list(self.symbols), self.names, self.items, self.item_ends, self.by_size, self.shortest)), 1)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Phrases:
+        own = cls([], 1)
+        symbols, own.names, own.items, own.item_ends, own.by_size, own.shortest = pickle.loads(zlib.decompress(data))
+        own.symbols = {w: n for n, w in enumerate(symbols, 1)}
+        return own
+
+
+@functools.lru_cache(maxsize=1)
+def _phrases(data: bytes) -> Phrases:
+    """A worker keeps the block of the pass that it works on."""
+    return Phrases.unpacked(data)
+
+
+def packed_blocks(items: DataFrame, blocks: int, window: int) -> DataFrame:
+    """(block, phrases): every block's windows, each made by one task from about ``BLOCK_BYTES`` of distinct items."""
+    def build(table: pa.Table) -> pa.Table:
+        pairs = list(zip(table["item"].to_pylist(), text_bytes(table["text"])))
+        return pa.table({"block": table["block"][:1], "phrases": pa.array([Phrases(pairs, window).packed()], pa.binary())})
+
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)).cast("int"))
+    return dealt.groupBy("block").applyInArrow(build, "block int, phrases binary")
+
 
 # ------------------------------------------------------------------ index
 def suffix_order(text: np.ndarray) -> np.ndarray:
@@ -240,7 +272,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 def _pass(phrases: Broadcast, text_col: str, spans_col: str, items_col: str, words_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = phrases.value
+        own = _phrases(phrases.value)
         get = own.symbols.get
         for batch in slices(batches, text_col, SHARD_BYTES):
             docs = []
@@ -272,16 +304,21 @@ def search(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str,
     names = [f"{prefix}{c}" for c in ("n_words", "spans", "items")]
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
                              F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
+    items = saved(items.distinct(), "fm-items")  # copies of an item are one
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("item")), F.lit(0))).first()[0]
     blocks = -(-size // BLOCK_BYTES) or 1
+    packed = saved(packed_blocks(items, blocks, window), "fm-blocks")
     out = docs.withColumns({names[0]: F.lit(0).cast("long"),
                             names[1]: F.array().cast("array<struct<start:bigint,end:bigint>>"),
                             names[2]: F.array().cast("array<string>")})
-    for block in range(blocks):  # by hash: equal shares of the checked size
-        part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        own = docs.sparkSession.sparkContext.broadcast(
-            Phrases([(r["item"], r["text"].encode("utf-8")) for r in part.toLocalIterator()], window))
+    spark = docs.sparkSession
+    for block in range(blocks):
+        row = packed.where(F.col("block") == block).select("phrases").first()
+        own = spark.sparkContext.broadcast(bytes(row["phrases"]) if row else Phrases([], window).packed())
         out = out.mapInArrow(_pass(own, text_col, names[1], names[2], names[0]), out.schema)
+        if block < blocks - 1:
+            out = saved(out, "fm-pass")
+            own.destroy()
     return out
 
 
