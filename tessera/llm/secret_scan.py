@@ -70,6 +70,8 @@ _BODY_PIECES = [re.compile(p.pattern + rb"""|["'`][\x20\t]*+[+.,&\\]?[\x20\t]*+[
 _HEX_PIECES = [re.compile(rb"0[xX](?=[0-9a-fA-F]{2}(?![0-9a-fA-F]))|(?P<run>[0-9a-fA-F]{2})|[\s:,;\"'-]+|\\+[nrtx]")]
 #: Least digits of a key.
 _LEAST_BASE64, _LEAST_HEX = 40, 64
+#: Most bytes of a container's first three strings; digits that its strings' check looks at.
+_LONGEST_NAME, _LOOKED_AT = 1024, 1 << 13
 _INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
 
@@ -210,10 +212,39 @@ def _der_at(reader: _Reader) -> int | None:
         return None
     if reader.need(size) < (_LEAST_HEX if reader.hexadecimal else _LEAST_BASE64):
         return None
+    if not _fields_follow(reader, 2 + n, size):
+        return None
     data = reader.first(size)
     return reader.end(size) if data is not None and is_der_key(data) else None
 
 
+def _fields_follow(reader: _Reader, at: int, size: int) -> bool:
+    """Whether the first fields below a header can be a key's, read one header at a time.
+
+    A run of headers without keys is left after the few bytes that its first wrong field takes.
+    """
+    tags: list[int] = []
+    while at < size and len(tags) < 9:
+        head = reader.first(min(at + 6, size))
+        if head is None or len(head) < at + 2:
+            return False
+        tag, length, more = head[at], head[at + 1], 0
+        if length & 0x80:
+            more = length & 0x7F
+            if not 1 <= more <= 4 or len(head) < at + 2 + more:
+                return False
+            length = int.from_bytes(head[at + 2:at + 2 + more], "big")
+        tags.append(tag)
+        at += 2 + more + length
+        if at > size or tags[0] != _INTEGER:
+            return False
+        if len(tags) == 2 and tag == _OCTETS or len(tags) == 3 and tags[1] == _SEQUENCE:
+            return tag == _OCTETS
+        if len(tags) >= 2 and tag not in ((_INTEGER, _SEQUENCE) if len(tags) == 2 else (_INTEGER,)):
+            return False
+    return len(tags) == 9
+
+
 def _openssh_at(reader: _Reader) -> int | None:
     """End in the text of the whole container at its name."""
     at, size = 15, 0
@@ -229,23 +260,34 @@ def _openssh_at(reader: _Reader) -> int | None:
             if data is None:
                 return None
             size = int.from_bytes(data[at:], "big")
+            if more == 3 and size > _LONGEST_NAME:  # names of a cipher and a function, and the latter's options
+                return None
             at += 4 + size
     data = reader.first(at) if size else None  # the private part is never empty
     return reader.end(at) if data is not None and is_openssh_key(data) else None
 
 
-def _run_at(text: bytes, start: int, hexadecimal: bool) -> int | None:
-    """End of the unbroken run at a container's name, if its strings fit, whatever follows them."""
-    m = (_LONG_HEX if hexadecimal else _BASE64).match(text, start)
-    if m is None:
+def _run_at(text: bytes, start: int, hexadecimal: bool, ends: dict[bool, int]) -> int | None:
+    """End of the unbroken run at a container's name, if its strings fit, whatever follows them.
+
+    ``ends`` keeps the end of the last run, so that a run is walked once however many names it holds.
+    """
+    if ends.get(hexadecimal, 0) <= start:
+        m = (_LONG_HEX if hexadecimal else _BASE64).match(text, start)
+        if m is None:
+            return None
+        ends[hexadecimal] = m.end()
+    stop = ends[hexadecimal]
+    if stop - start < (_LEAST_HEX if hexadecimal else _LEAST_BASE64):
         return None
-    run = m[0][:len(m[0]) & ~1] if hexadecimal else m[0]
-    return start + len(run) if is_openssh_key(bytes.fromhex(run.decode()) if hexadecimal else _decoded(run)) else None
+    size = stop - start & ~1 if hexadecimal else stop - start
+    part = text[start:start + min(size, _LOOKED_AT)]
+    return start + size if is_openssh_key(bytes.fromhex(part.decode()) if hexadecimal else _decoded(part)) else None
 
 
 def _keys(text: bytes, start: int, stop: int, armoured: bool) -> list[tuple[int, int]]:
     """(start, end) of the keys at every header between ``start`` and ``stop``."""
-    out = []
+    out, ends = [], {}
     pieces = _BODY_PIECES if armoured else _PIECES
     for head, check, forms, hexadecimal in ((_BASE64_HEAD, _der_at, pieces, False), (_BASE64_SSH, _openssh_at, pieces, False),
                                             (_HEX_HEAD, _der_at, _HEX_PIECES, True), (_HEX_SSH, _openssh_at, _HEX_PIECES, True)):
@@ -254,7 +296,7 @@ def _keys(text: bytes, start: int, stop: int, armoured: bool) -> list[tuple[int,
             at = m.start()
             end = next((e for p in forms if (e := check(_Reader(text, at, stop, p, hexadecimal, armoured)))), None)
             if end is None and check is _openssh_at:
-                end = _run_at(text, at, hexadecimal)
+                end = _run_at(text, at, hexadecimal, ends)
             if end is not None:
                 out.append((at, end))
             m = head.search(text, end or at + 1, stop)
@@ -272,6 +314,9 @@ def _armoured(text: bytes) -> list[tuple[int, int]]:
     return out
 
 
+_JSON = json.JSONDecoder()
+
+
 def _json_object(part: bytes) -> dict | None:
     try:
         value = json.loads(_decoded(part))
@@ -281,12 +326,26 @@ def _json_object(part: bytes) -> dict | None:
 
 
 def _token_start(part: bytes) -> int | None:
-    """Where in ``part`` a header begins that names a signing algorithm and ends with the part."""
+    """Where in ``part`` a header begins that names a signing algorithm and ends with the part.
+
+    The part is decoded once for each of the four ways in which its digits can be grouped.
+    """
+    decoded: dict[int, str] = {}
     for m in _TOKEN_HEAD.finditer(part):
-        if len(part) - m.start() >= 8:
-            header = _json_object(part[m.start():])
+        at = m.start()
+        if len(part) - at < 8 or (len(part) - at) % 4 == 1:
+            continue
+        if at % 4 not in decoded:
+            decoded[at % 4] = _decoded(part[at % 4:]).decode("latin-1")  # a character a byte
+        text = decoded[at % 4]
+        try:
+            value, end = _JSON.raw_decode(text, at // 4 * 3)
+        except (ValueError, RecursionError):
+            continue
+        if isinstance(value, dict) and "alg" in value and not text[end:].strip(" \t\n\r"):
+            header = _json_object(part[at:])  # once more as UTF-8
             if header is not None and isinstance(header.get("alg"), str):
-                return m.start()
+                return at
     return None
 
 

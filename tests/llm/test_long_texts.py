@@ -57,3 +57,29 @@ def test_stored_tables_answer_budgets(spark, library, tmp_path):
     per_row = token_counts.within_budget(tables.join(docs.select("doc_id", "budget"), "doc_id"), F.col("budget"))
     assert {r.doc_id: r.n_chars for r in per_row.collect()}[0] == 0
     assert token_counts.within_budget(tables, F.lit(None)).where("n_chars is not null").count() == 0
+
+
+# ------------------------------------------------------------------ 8
+def test_hostile_long_texts_end():
+    """Half a million characters of headers without keys: seconds, and what stands among them is found."""
+    import base64
+
+    from tessera.llm import secret_scan
+
+    def der(tag, *parts):
+        body = b"".join(parts)
+        n = len(body)
+        size = bytes([n]) if n < 128 else b"\x82" + n.to_bytes(2, "big")
+        return bytes([tag]) + size + body
+
+    key = base64.b64encode(der(0x30, der(2, b"\0"), *[der(2, bytes([k] * 64)) for k in range(1, 9)])).decode()
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiJ4In0." + "s" * 20
+    began = time.perf_counter()
+    for unit in ("MIIEpAIBAAKCAQEA", "MIIEMIIE", "eyJhbGciOiJ", "b3BlbnNzaC1rZXktdjEAAAAABG5vbmU", "308204a40201000282", "6f70656e7373682d6b65792d763100"):
+        text = unit * (500_000 // len(unit))
+        assert [s["kind"] for s in secret_scan.spans(text.encode())] in ([], ["hex"])
+        mixed = f"{text}\n\n {key} \n{token} {text}"
+        assert {"key", "token"} <= {s["kind"] for s in secret_scan.spans(mixed.encode())}
+    heads = ".".join(["eyJhbGciOiJ" * 50] * 900)
+    secret_scan.spans(heads.encode())
+    assert time.perf_counter() - began < 120
