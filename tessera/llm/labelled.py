@@ -7,18 +7,23 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import fold
 
 
+#: Bytes of a class's texts in a sample, at most (a class's first text is taken whatever its size).
+MOST_BYTES = 24 << 20
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, held_out_of: int,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[int, int]]:
-    """(text, label, weight) of at most ``per_class`` documents of each class, and the class counts.
+    """(text, label, weight) of at most ``per_class`` documents and ``MOST_BYTES`` of text of each class, and the class counts.
 
     Only labels outside the held-out fold count; of several labels of one id
-    the largest does.  The sample is the ids of least hash, so it does not
+    the largest does, and of several texts of one id the least.  Labels without a document take places
+    in the sample, but no text.  The sample is the ids of least hash, so it does not
     depend on partitioning; ``weight`` restores the class shares.
     """
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label).isin(0, 1) & (fold(id_col, held_out_of) != 0))
@@ -34,6 +39,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(picked), F.col("id") == F.col("l_id"))  # at most per_class rows a class
             .groupBy("l_id", "label", "weight").agg(F.min("text").alias("text")))
+    # At most ``per_class`` rows a class: texts in the order of the ids' hashes until the class's bytes are used up.
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    before = F.sum(size).over(Window.partitionBy("label").orderBy(F.xxhash64("l_id"), "l_id").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("before", before).where(F.coalesce("before", F.lit(0)) + size <= F.greatest(F.lit(MOST_BYTES), size))
     return rows.select("text", "label", "weight"), counts
 
 

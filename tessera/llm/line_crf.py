@@ -21,6 +21,7 @@ independent; extra columns are ignored by ``score`` and kept by ``keep``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -198,26 +199,30 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
              "pair": np.zeros((2, 2)), "curve": np.zeros(2)}
     if not sample.num_rows:
         return model
-    sample = sample.sort_by([("label", "ascending"), ("text", "ascending")])
-    texts = text_bytes(sample["text"])
+    # The order of sums, and so their rounding, does not depend on partitioning.
+    sample = sample.sort_by([("label", "ascending"), ("digest", "ascending")])
+    n_texts = sample.num_rows
     label, weight = sample["label"].to_numpy(), sample["weight"].to_numpy()
     share = np.clip((weight * label).sum() / weight.sum(), 1e-3, 1 - 1e-3)
     if label.min() == label.max():
         return model | {"curve": np.array([np.log(share / (1 - share)), 0.0])}
-    lines = measures, length, per_text = measured(texts)
+    measures = np.frombuffer(b"".join(sample["measures"].to_pylist()), np.float32).reshape(-1, N_MEASURES)
+    length = np.frombuffer(b"".join(sample["lengths"].to_pylist()), np.int64)
+    per_text = sample["lines"].to_numpy()
+    lines = measures, length, per_text
     model["mean"] = measures.mean(0, dtype=np.float64).astype(np.float32)
     model["scale"] = (measures.std(0, dtype=np.float64) + 1e-3).astype(np.float32)
     features = neighbours((measures - model["mean"]) / model["scale"], per_text)
-    text = np.repeat(np.arange(len(texts)), per_text)
+    text = np.repeat(np.arange(n_texts), per_text)
     bad = 1.0 - label[text]
     # Every text weighs the same, whatever its number of lines.
     share_of_text = length / np.bincount(text, length)[text]
     p, adam = {"w": np.zeros(width)}, Adam(0.1)
     for _ in range(STEPS):
-        g = share_of_text * (sigmoid(_unary(features, p["w"])[:, 1]) - bad) / len(texts)
+        g = share_of_text * (sigmoid(_unary(features, p["w"])[:, 1]) - bad) / n_texts
         adam.step(p, {"w": g.astype(np.float32) @ features + 1e-5 * p["w"]})
     seen = _unary(features, p["w"])[:, 1]
-    worst = np.full(len(texts), -np.inf)
+    worst = np.full(n_texts, -np.inf)
     np.maximum.at(worst, text, seen)
     state = (bad == 1) & ((seen > 0) | (seen == worst[text]))
     chain = Chain(per_text)
@@ -239,9 +244,26 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
     return model | c
 
 
+def _sample_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the fit needs of each text: its lines' measures and lengths, without the text."""
+    for batch in slices(batches, "text", SLICE_BYTES):
+        if not batch.num_rows:
+            continue
+        texts = text_bytes(batch.column("text"))
+        measures, length, per_text = measured(texts)
+        ends = np.cumsum(per_text)
+        cuts = list(zip((ends - per_text).tolist(), ends.tolist()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([measures[a:b].astype(np.float32).tobytes() for a, b in cuts], pa.binary()),
+             pa.array([length[a:b].astype(np.int64).tobytes() for a, b in cuts], pa.binary()), pa.array(per_text, pa.int64()),
+             pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), batch.column("label"), batch.column("weight")],
+            ["measures", "lengths", "lines", "digest", "label", "weight"])
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out_of: int = 5) -> dict[str, np.ndarray]:
     rows, _ = labelled_sample(docs, labels, label, PER_CLASS, held_out_of)
-    return fitted(rows, fit)
+    return fitted(rows.mapInArrow(
+        _sample_lines, "measures binary, lengths binary, lines bigint, digest binary, label int, weight double"), fit)
 
 
 def _scores(model: dict[str, np.ndarray], text_col: str, keep_from: float | None):

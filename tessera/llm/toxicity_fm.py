@@ -21,6 +21,8 @@ are never inputs; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import io
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +36,8 @@ from tessera.llm.labelled import fitted, labelled_sample, sigmoid
 
 HASH_BITS, PIECE, LEAST, FACTORS = 31, 5, 3, 8
 PER_CLASS, STEPS, KEEP = 4000, 200, 300_000
+#: Bytes of a model that is sent to the executors, at most.
+MOST_MODEL = 256 << 20
 #: A batch of the fit: texts and terms at most; passes over the sample at least.
 BATCH, BATCH_TERMS, PASSES = 128, 1 << 20, 8
 #: Steps by array; a weight moves as far as its summed slopes exceed ``DOUBT`` times their spread, in each pass anew; start
@@ -162,6 +166,22 @@ class Scorer:
         return sigmoid(logits(self.model, np.array([t for f in found for t in f], np.int64), cuts)[0])
 
 
+def pack_model(model: dict[str, np.ndarray]) -> bytes:
+    """The model in single precision, as bytes."""
+    out = io.BytesIO()
+    np.savez(out, **{k: x.astype(np.int32 if k == "buckets" else np.float32) for k, x in model.items()})
+    if out.tell() > MOST_MODEL:
+        raise ValueError(f"a model of {out.tell()} bytes; {MOST_MODEL} may be sent")
+    return out.getvalue()
+
+
+@functools.lru_cache(maxsize=1)
+def _scorer(packed: bytes) -> Scorer:
+    """A worker keeps the scorer, and the words that it knows."""
+    with np.load(io.BytesIO(packed)) as arrays:
+        return Scorer(dict(arrays))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_out_of: int = 5) -> dict[str, np.ndarray]:
     rows, _ = labelled_sample(docs, labels, label, PER_CLASS, held_out_of)
     return fitted(rows.mapInArrow(_sample_terms, "terms array<int>, label int, weight double"), fit)
@@ -171,8 +191,11 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id",
     """(id, score) for every row."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
+    # Bounded by the sample's terms; a broadcast is sent to each executor once, not with every task.
+    packed = docs.sparkSession.sparkContext.broadcast(pack_model(model))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Scorer(model)
+        own = _scorer(packed.value)
         for batch in slices(batches, "text", 2 << 20):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(own.scores(text_bytes(batch.column("text"))))], ["id", "score"])
