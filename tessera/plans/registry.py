@@ -947,12 +947,13 @@ SELECT req_id, origin, destination, CASE WHEN status <> 'unknown city' THEN arra
   CASE WHEN status <> 'arrived' THEN status END AS error
 FROM walk WHERE status <> 'open'""")
 def q_routes(spark, d):
+    from tessera.functions.arrays import join_list
     from tessera.operators.routes import greedy_routes
     from tessera.sources.lanes import lane_edges, lane_keys, route_requests
     t = _t(spark, d)
     lanes = lane_keys(t)
     out = greedy_routes(route_requests(t, lanes), lane_edges(t, lanes))
-    return out.select("req_id", "origin", "destination", F.array_join("route", " -> ").alias("route"),
+    return out.select("req_id", "origin", "destination", join_list(F.col("route")).alias("route"),
                       "total_km", "steps", "error")
 
 

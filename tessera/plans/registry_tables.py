@@ -13,10 +13,12 @@ from pyspark.sql import types as T
 from tessera.operators import clean as C
 from tessera.operators import mutate as MU
 from tessera.operators import profile as P
+from tessera.operators import quality as Q
+from tessera.operators import relational as RL
+from tessera.operators import reshape as RS
 from tessera.operators.keyed_table import KeyedTable
 from tessera.operators.key_bitmaps import has_key, key_bitmaps
 from tessera.operators.ordinals import with_ordinal
-from tessera.operators.reshape import pivot_mean
 from tessera.operators.routes import edges_from_matrix
 from tessera.plans import employees as E
 from tessera.plans import oracle_model as M
@@ -150,7 +152,7 @@ def q_matrix(spark, d):
     from tessera.sources.lanes import ISLANDS, lane_edges
     t, path = _t(spark, d), scratch_dir(spark, "matrix")
     names = [r[0] for r in t.nation.select("n_name").distinct().orderBy("n_name").collect()]  # the matrix's own columns
-    wide = pivot_mean(lane_edges(t), "src", "dst", "km", names).withColumnRenamed("src", "ciutat")
+    wide = RS.pivot_mean(lane_edges(t), "src", "dst", "km", names).withColumnRenamed("src", "ciutat")
     wide.coalesce(1).write.option("header", True).csv(path)
     return edges_from_matrix(FI.read_distance_matrix(spark, path), exclude=list(ISLANDS))
 
@@ -310,4 +312,83 @@ SELECT genere, round(avg(salari_mensual) FILTER (WHERE pais_origen = 'AFRICA'),
 FROM clean GROUP BY genere""")
 def q_wide(spark, d):
     """RSH2: means in a wide table, one column per named country."""
-    return pivot_mean(_clean(spark, d), "genere", "pais_origen", "salari_mensual", ["AFRICA", "ASIA", "EUROPE"])
+    return RS.pivot_mean(_clean(spark, d), "genere", "pais_origen", "salari_mensual", ["AFRICA", "ASIA", "EUROPE"])
+
+
+# ------------------------------------------------------------------ DQ4, JN13-JN15, SET2, CLN8, AGG15, AGG21
+@query("defaults_at_ingest", _V(t=M.TRANSACTIONS) + """
+SELECT transaction_id, coalesce(business_id, -1) AS business_id, coalesce(CASE WHEN transaction_id % 7 = 0 THEN NULL ELSE declined END, false) AS declined FROM t""")
+def q_defaults(spark, d):
+    """DQ4: declared defaults where the input has no value."""
+    t = src.transactions(_t(spark, d), False)
+    holes = t.withColumn("declined", F.when(F.pmod("transaction_id", F.lit(7)) != 0, F.col("declined")))
+    return Q.apply_defaults(holes, {"business_id": -1, "declined": False}).select("transaction_id", "business_id", "declined")
+
+
+def _labels(spark):
+    return spark.createDataFrame(list(E.GENDER_MAP.items()), "code string, label string")
+
+
+@query("lookup_policies", "WITH " + S.SHEET + """, m(code, label) AS (VALUES """ + ", ".join(
+    f"('{k}', '{v}')" for k, v in E.GENDER_MAP.items()) + """)
+SELECT _ord, label AS mapped, coalesce(label, "Gènere") AS replaced, strict.name FROM sheet LEFT JOIN m ON "Gènere" = code
+JOIN (SELECT n_name AS city, r_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey) strict ON "Ciutat" = city""")
+def q_lookups(spark, d):
+    """JN13-JN15: a miss is an error for cities (there is none), NULL or the value itself for codes."""
+    t = _t(spark, d)
+    sheet = SV.survey_sheet(t).select("_ord", F.col("Gènere").alias("code"), F.col("Ciutat").alias("city"))
+    cities = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("city_name"), F.col("r_name").alias("name"))
+    labels = _labels(spark)
+    strict = RL.lookup(sheet, cities, "city", "city_name", "error")
+    mapped = RL.lookup(strict, labels.select(F.col("code").alias("k"), F.col("label").alias("mapped")), "code", "k", "null")
+    kept = RL.lookup(mapped.withColumn("replaced", F.col("code")), labels.select(F.col("code").alias("k"), "label"), "code", "k", "keep", keep_col="replaced")
+    return kept.select("_ord", "mapped", "replaced", "name")
+
+
+@query("lookup_misses", "WITH " + S.SHEET + """
+SELECT DISTINCT "Grup Professional" AS grup FROM sheet WHERE "Grup Professional" IS NULL OR "Grup Professional" NOT IN ("""
+       + ", ".join(f"'{k}'" for k in E.DEFAULT_POLICY["base_increment_by_group"]) + ")")
+def q_misses(spark, d):
+    """JN13: keys that a dictionary lookup would refuse."""
+    sheet = SV.survey_sheet(_t(spark, d)).select(F.col("Grup Professional").alias("grup"))
+    known = spark.createDataFrame([(k,) for k in E.DEFAULT_POLICY["base_increment_by_group"]], "k string")
+    return RL.find_misses(sheet, known, "grup", "k").distinct()
+
+
+@query("first_answers", "WITH " + S.SHEET + """
+SELECT _ord, "DNI" AS dni FROM sheet QUALIFY row_number() OVER (PARTITION BY "DNI" ORDER BY _ord) = 1""")
+def q_first(spark, d):
+    """SET2: the first row of every key."""
+    return RL.keep_first(SV.survey_sheet(_t(spark, d)).select("_ord", F.col("DNI").alias("dni")), ["dni"], "_ord")
+
+
+@query("filled_by_group", """WITH e AS (SELECT event_id, event_type, CASE WHEN user_id % 3 = 0 OR event_type = 'error' THEN NULL ELSE value END AS v FROM events),
+g AS (SELECT event_type AS t, median(v) AS m FROM e GROUP BY 1), f AS (SELECT event_id, event_type, coalesce(v, m) AS v FROM e LEFT JOIN g ON event_type = t)
+SELECT event_id, event_type, round(coalesce(v, (SELECT median(v) FROM f)), 6) AS v FROM f""")
+def q_filled(spark, d):
+    """CLN8: missing values take their group's median, then the median of what that gave."""
+    hole = (F.pmod("user_id", F.lit(3)) == 0) | (F.col("event_type") == "error")
+    e = _t(spark, d).events.select("event_id", "event_type", F.when(~hole, F.col("value")).alias("v"))
+    return RL.fill_from_group_then_global(e, "event_type", "v").withColumn("v", F.round("v", 6))
+
+
+@query("salary_margins_wide", "WITH " + S.CLEAN + """, c AS (
+SELECT CASE WHEN grouping(genere) = 1 THEN 'Mitjana_total' ELSE genere END AS genere,
+  CASE WHEN grouping(pais_origen) = 1 THEN 'Mitjana_total' ELSE pais_origen END AS pais,
+  CAST(round(CAST(avg(salari_mensual) AS DECIMAL(20,6)), 2) AS DOUBLE) AS mean
+FROM clean WHERE genere IS NOT NULL AND pais_origen IS NOT NULL GROUP BY CUBE (genere, pais_origen))
+SELECT genere, max(mean) FILTER (WHERE pais = 'ASIA') AS "ASIA", max(mean) FILTER (WHERE pais = 'EUROPE') AS "EUROPE",
+  max(mean) FILTER (WHERE pais = 'Mitjana_total') AS "Mitjana_total" FROM c GROUP BY genere""")
+def q_margins(spark, d):
+    """AGG15: the wide form, a margin row and a margin column."""
+    return RS.margins_wide(E.salary_gender_country(_clean(spark, d)), "genere", "pais_origen", ["ASIA", "EUROPE"])
+
+
+@query("largest_transactions", _V(t=M.TRANSACTIONS) + """
+(SELECT 'largest' AS which, transaction_id, CAST(amount AS DOUBLE) AS amount FROM t ORDER BY amount DESC, transaction_id LIMIT 1)
+UNION ALL (SELECT 'smallest', transaction_id, CAST(amount AS DOUBLE) FROM t ORDER BY amount, transaction_id LIMIT 1)""")
+def q_largest(spark, d):
+    """AGG21: the rows of the greatest and the least amount, first on ties."""
+    t = src.transactions(_t(spark, d), False).select("transaction_id", F.col("amount").cast("double").alias("amount"))
+    return RL.arg_max(t, "amount", "transaction_id").select(F.lit("largest").alias("which"), "*").unionByName(
+        RL.arg_max(t, "amount", "transaction_id", lowest=True).select(F.lit("smallest").alias("which"), "*"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import normalise_items
 from tessera.functions.rounding import py_round
 from tessera.functions.text import normalise_key, split_list
 from tessera.operators.ordinals import stable_rank
@@ -140,7 +141,7 @@ def not_worth_investing(risk: DataFrame, max_code: int = 1) -> DataFrame:
 def parse_patient(record: Column) -> Column:
     """CLN15: ``'name|age|sym, sym'`` → struct(nom, edad (text), sintomas)."""
     parts = split_list(record, "|")
-    syms = F.transform(split_list(parts.getItem(2), ","), normalise_key)
+    syms = normalise_items(split_list(parts.getItem(2), ","))
     return F.struct(parts.getItem(0).alias("nom"), parts.getItem(1).alias("edad"),
                     syms.alias("sintomas"))
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import id_list
 from tessera.functions.dates import mysql_short_date
+from tessera.functions.text import substr_from
 from tessera.sources.tables import Tables
 
 
@@ -197,5 +198,5 @@ def products(t: Tables) -> DataFrame:
 def products_silver(raw: DataFrame) -> DataFrame:
     """PIP11 (products): rename + ``SAFE_CAST(SUBSTR(warehouse_id, 4) AS INT64)``."""
     return raw.select(F.col("product_id"), F.col("name"), "price", "colour",
-                      F.substr(F.col("warehouse_id"), F.lit(4)).try_cast("bigint").alias("warehouse_id"),
+                      substr_from(F.col("warehouse_id"), 4).try_cast("bigint").alias("warehouse_id"),
                       "category", "brand")
