@@ -7,11 +7,13 @@ only their counts are summed).
 
 1. Documents are packed into chunks of about ``CHUNK_TOKENS`` tokens: a chunk's
    distinct words in order of frequency, and its tokens as numbers of these.
-2. Each chunk sends its sorted distinct n-grams of every level with training counts to key
+2. Level by level, each chunk sends its sorted distinct n-grams with training counts to key
    ranges (uniform, as keys are hashes, so no word is hot; counts are summed in
-   the chunk first).  A range adds them up.  It stores its part of the count table, a row of
-   the table partitioned by level, and, beside it, the answers that scoring reads: for each chunk
-   the totals in the order asked, and whether this chunk owns the key.
+   the chunk first).  A range adds them up.  It stores its part of the level's count table, a row
+   for each range, and, beside it, the answers that scoring reads: for each chunk
+   the totals in the order asked, and whether this chunk owns the key.  An n-gram is sent only if
+   both n-grams of the level below inside it are held by other chunks too, which a bit map
+   of fixed size tells: what one chunk holds alone is counted there, and its chunk is its table.
 3. Counts of counts give the Good-Turing discounts of each level: with ``n_r`` keys seen
    ``r`` times, r* = (r + 1) n_{r+1} / n_r up to ``K``, corrected so that larger
    counts lose only the small ``beta`` each; every history thus keeps some mass.
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,8 @@ from tessera.session import scratch_dir
 
 KEY_BITS, K, ORDER = 56, 5, 3
 CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 1 << 16
+#: Bits of the map of shared keys (8 MB, sent to every task); groups in which own keys' tallies are added up.
+MAP_BITS, OWN_GROUPS = 26, 64
 #: Keys that one range adds up in memory, about.
 RANGE_KEYS = 3_000_000
 _PLANES = KEY_BITS // 8
@@ -166,61 +170,120 @@ class Chunk:
         return (keys, train[self.by_key], held[self.by_key]) if level == 1 else (keys, train, held)
 
 
+    def asked(self, level: int, maps: dict[int, np.ndarray]) -> np.ndarray:
+        """Which keys of a level other chunks may hold too: those whose two n-grams of the level below are shared.
+
+        A bit of ``maps`` covers several keys, so some keys are asked for nothing; none is left out wrongly.
+        """
+        if level == 1:
+            return np.ones(len(self.words), bool)
+        below = self.asked(level - 1, maps)
+        keys = self.words[self.by_key] if level == 2 else self.keys[level - 1]
+        at = keys >> np.uint64(KEY_BITS - MAP_BITS)
+        shared = below & ((maps[level - 1][(at >> np.uint64(3)).astype(np.int64)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0)
+        if level == 2:
+            by_number = np.zeros(len(shared), bool)
+            by_number[self.by_key] = shared
+            token = by_number[self.tokens]
+        else:
+            place = self.at[level - 1]
+            token = (place >= 0) & shared[place]
+        before = np.roll(token, 1)
+        before[self.starts] = True  # START is everywhere
+        first = self.first[level]
+        return token[first] & before[first]
+
+
 def _range_ends(keys: np.ndarray, ranges: int) -> np.ndarray:
     """Where each of ``ranges`` equal parts of the key space begins in sorted keys, and the end."""
     bounds = (np.arange(ranges + 1, dtype=object) << KEY_BITS) // ranges
     return np.searchsorted(keys, bounds[:-1].astype(np.uint64)).tolist() + [len(keys)]
 
 
-_ASKED = "level int, part int, chunk bigint, keys binary, train binary, held binary"
+_ASKED = "part int, chunk bigint, keys binary, train binary, held binary, tally array<bigint>"
+_COUNTED = "kind string, level int, part int, chunk bigint, keys binary, counts binary, flags binary, tally array<bigint>"
+
+
+def _tally(counts: np.ndarray) -> list[int]:
+    """Keys seen 1 to K + 1 times, all keys seen, all occurrences."""
+    known = counts[counts > 0]
+    return [*np.bincount(np.minimum(known, K + 2), minlength=K + 3)[1:K + 2].tolist(), len(known), int(known.sum())]
+
+
+def _unpacked(maps: dict[int, Broadcast]) -> dict[int, np.ndarray]:
+    return {level: np.frombuffer(m.value, np.uint8) for level, m in maps.items()}
 
 
-def _ask(ranges: dict[int, int]):
+def _ask(level: int, parts: int, maps: dict[int, Broadcast]):
+    """Keys that other chunks may hold, by range; the others are this chunk's own, and only tallied."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _unpacked(maps)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                chunk = Chunk(row, max(ranges))
-                for level, parts in ranges.items():
-                    keys, train, held = chunk.counts(level)
-                    ends = _range_ends(keys, parts)
-                    out = [(level, p, row["chunk"], pack_sorted(keys[a:b]), pack(train[a:b], 4), pack(held[a:b] > 0, 1))
-                           for p, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
-                    if not out:  # no text is that long
-                        continue
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
-                        ["level", "part", "chunk", "keys", "train", "held"])
+                chunk = Chunk(row, level)
+                keys, train, held = chunk.counts(level)
+                asked = chunk.asked(level, known)
+                out = [(-1 - row["chunk"] % OWN_GROUPS, row["chunk"], None, None, None, _tally(train[~asked]))]
+                keys, train, held = keys[asked], train[asked], held[asked]
+                ends = _range_ends(keys, parts)
+                out += [(p, row["chunk"], pack_sorted(keys[a:b]), pack(train[a:b], 4), pack(held[a:b] > 0, 1), None)
+                        for p, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
+                types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                                 ["part", "chunk", "keys", "train", "held", "tally"])
     return run
 
 
-_COUNTED = "kind string, level int, part int, chunk bigint, keys binary, counts binary, flags binary, tally array<bigint>"
+def _add_up(level: int, parts: int):
+    """One range: its part of the count table, the answers to its chunks, counts of counts, and the map of shared keys."""
+    def run(table: pa.Table) -> pa.Table:
+        part = table["part"][0].as_py()
+        if part < 0:  # keys that chunks keep to themselves
+            tally = np.array(table["tally"].to_pylist(), np.int64).sum(0).tolist()
+            rows = [("tally", level, part, None, None, None, None, tally)]
+        else:
+            table = table.sort_by("chunk")  # the first chunk that holds a key owns it
+            keys = [unpack_sorted(x) for x in table["keys"].to_pylist()]
+            sizes = [len(k) for k in keys]
+            train = np.concatenate([unpack(x, 4) for x in table["train"].to_pylist()]).astype(np.int64)
+            held = np.concatenate([unpack(x, 1) for x in table["held"].to_pylist()]).astype(np.int64)
+            every, first, number, chunks = np.unique(np.concatenate(keys), return_index=True, return_inverse=True, return_counts=True)
+            total = np.bincount(number, train, len(every)).astype(np.int64)
+            outside = np.bincount(number, held, len(every)) > 0
+            owned = np.zeros(len(train), bool)
+            owned[first] = True
+            flags = owned + 2 * outside[number]
+            cuts = np.cumsum([0, *sizes]).tolist()
+            rows = [("answer", level, part, c, None, pack(total[number[a:b]], 5), pack(flags[a:b], 1), None)
+                    for c, a, b in zip(table["chunk"].to_pylist(), cuts, cuts[1:])]
+            seen = total > 0
+            rows.append(("table", level, part, None, pack_sorted(every[seen]), pack(total[seen], 5), None, None))
+            rows.append(("tally", level, part, None, None, None, None, _tally(total)))
+            first_bit, last_bit = _bits_of(part, parts)
+            bits = np.zeros(last_bit - first_bit + 1, bool)
+            bits[(every[chunks > 1] >> np.uint64(KEY_BITS - MAP_BITS)).astype(np.int64) - first_bit] = True
+            rows.append(("map", level, part, None, pa.compress(np.packbits(bits).tobytes(), codec="zstd", asbytes=True), None, None, None))
+        types = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                        ["kind", "level", "part", "chunk", "keys", "counts", "flags", "tally"])
+    return run
+
 
+def _bits_of(part: int, parts: int) -> tuple[int, int]:
+    """First and last bit of the map that a key range touches."""
+    return ((part << KEY_BITS) // parts) >> (KEY_BITS - MAP_BITS), ((((part + 1) << KEY_BITS) // parts) - 1) >> (KEY_BITS - MAP_BITS)
 
-def _add_up(table: pa.Table) -> pa.Table:
-    """One range: its part of the count table, the answers to its chunks, and counts of counts."""
-    level, part = table["level"][0].as_py(), table["part"][0].as_py()
-    table = table.sort_by("chunk")  # the first chunk that holds a key owns it
-    keys = [unpack_sorted(x) for x in table["keys"].to_pylist()]
-    sizes = [len(k) for k in keys]
-    train = np.concatenate([unpack(x, 4) for x in table["train"].to_pylist()]).astype(np.int64)
-    held = np.concatenate([unpack(x, 1) for x in table["held"].to_pylist()]).astype(np.int64)
-    every, first, number = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = np.bincount(number, train, len(every)).astype(np.int64)
-    outside = np.bincount(number, held, len(every)) > 0
-    owned = np.zeros(len(train), bool)
-    owned[first] = True
-    flags = owned + 2 * outside[number]
-    cuts = np.cumsum([0, *sizes]).tolist()
-    rows = [("answer", level, part, c, None, pack(total[number[a:b]], 5), pack(flags[a:b], 1), None)
-            for c, a, b in zip(table["chunk"].to_pylist(), cuts, cuts[1:])]
-    known = total > 0
-    tally = np.bincount(np.minimum(total[known], K + 2), minlength=K + 3)
-    rows.append(("table", level, part, None, pack_sorted(every[known]), pack(total[known], 5), None, None))
-    rows.append(("tally", level, part, None, None, None, None, [*tally[1:K + 2].tolist(), int(known.sum()), int(total.sum())]))
-    types = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                    ["kind", "level", "part", "chunk", "keys", "counts", "flags", "tally"])
+
+def _map_of(counted: DataFrame, parts: int) -> bytes:
+    """The whole map of a level, 2^MAP_BITS bits (8 MB), from its ranges' slices."""
+    bits = np.zeros(1 << MAP_BITS, bool)
+    for r in counted.where("kind = 'map'").select("part", "keys").toLocalIterator():
+        first, last = _bits_of(r["part"], parts)
+        n = last - first + 1
+        raw = pa.decompress(bytes(r["keys"]), -(-n // 8), codec="zstd", asbytes=True)
+        bits[first:last + 1] |= np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
+    return np.packbits(bits).tobytes()
 
 
 # ------------------------------------------------------------------ discounts
@@ -253,24 +316,31 @@ _SCHEMA = pa.schema([("kind", pa.string()), ("row", pa.int64()), ("doc_id", pa.i
                      ("level", pa.int32()), ("history", pa.int64()), ("uses", pa.int64()), ("left", pa.float64()), ("mass", pa.float64())])
 
 
-def _answered(chunk: Chunk, answers: pa.Table, order: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def _answered(chunk: Chunk, answers: pa.Table, order: int, maps: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """(training count, flags) of every key of the chunk, by level; words in the order of their numbers."""
     got = {level: ([], []) for level in range(1, order + 1)}
     for a in answers.select(["level", "part", "counts", "flags"]).sort_by([("level", "ascending"), ("part", "ascending")]).to_pylist():
         got[a["level"]][0].append(unpack(a["counts"], 5))
         got[a["level"]][1].append(unpack(a["flags"], 1))
-    none = [np.zeros(0, np.uint64)]
-    out = {level: tuple(np.concatenate(x or none).astype(np.int64) for x in both) for level, both in got.items()}
-    words = []
-    for values in out[1]:
-        place = np.zeros(len(chunk.words), np.int64)
-        place[chunk.by_key] = values
-        words.append(place)
-    out[1] = tuple(words)
+    out = {}
+    for level, (counts, flags) in got.items():
+        _, train, held = chunk.counts(level)
+        own = train.astype(np.int64), 1 + 2 * (held > 0)
+        asked = chunk.asked(level, maps)
+        if counts:
+            own[0][asked], own[1][asked] = (np.concatenate(x).astype(np.int64) for x in (counts, flags))
+        out[level] = own
+    out[1] = tuple(_by_number(chunk, x) for x in out[1])
     return out
 
 
-def _evaluate(discounts: dict[int, Discount], n_docs: int):
+def _by_number(chunk: Chunk, values: np.ndarray) -> np.ndarray:
+    place = np.zeros(len(chunk.words), np.int64)
+    place[chunk.by_key] = values
+    return place
+
+
+def _evaluate(discounts: dict[int, Discount], n_docs: int, maps: dict[int, Broadcast]):
     """Texts' sums, histories' sums over owned n-grams, and the histories that texts back off from."""
     order, one = max(discounts), discounts[1]
     words_total = max(one.total, 1)
@@ -279,7 +349,7 @@ def _evaluate(discounts: dict[int, Discount], n_docs: int):
     def run(key: tuple, states: pa.Table, answers: pa.Table) -> pa.Table:
         row = states.to_pylist()[0]
         chunk = Chunk(row, order)
-        known = _answered(chunk, answers, order)
+        known = _answered(chunk, answers, order, _unpacked(maps))
         count, flag = known[1]
         before = np.roll(chunk.tokens, 1)
         before[chunk.starts] = len(chunk.words)  # START
@@ -359,14 +429,19 @@ def score(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "text"
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = {1: max(1, wide // 8, -(-tokens // (4 * RANGE_KEYS)))}
     ranges |= {level: max(wide, -(-tokens // RANGE_KEYS)) for level in range(2, order + 1)}
-    counted = _stored(chunks.mapInArrow(_ask(ranges), _ASKED).groupBy("level", "part").applyInArrow(_add_up, _COUNTED),
-                      "llm-katz-counts", "kind", "level")
-    tally = {r["level"]: r["tally"] for r in counted.where("kind = 'tally'").groupBy("level").agg(
-        F.array(*[F.sum(F.col("tally")[i]) for i in range(K + 3)]).alias("tally")).collect()}
-    discounts = {level: Discount(tally.get(level, [0] * (K + 3))) for level in ranges}
-    answers = counted.where("kind = 'answer'").select("chunk", "level", "part", "counts", "flags")
+    maps: dict[int, Broadcast] = {}
+    answers, discounts = None, {}
+    for level, parts in ranges.items():
+        counted = _stored(chunks.mapInArrow(_ask(level, parts, maps), _ASKED).groupBy("part").applyInArrow(_add_up(level, parts), _COUNTED),
+                          f"llm-katz-counts-{level}", "kind")
+        tally = counted.where("kind = 'tally'").agg(F.array(*[F.sum(F.col("tally")[i]) for i in range(K + 3)])).first()[0]
+        discounts[level] = Discount([x or 0 for x in tally])
+        if level < order:
+            maps[level] = spark.sparkContext.broadcast(_map_of(counted, parts))
+        own = counted.where("kind = 'answer'").select("chunk", "level", "part", "counts", "flags")
+        answers = own if answers is None else answers.unionByName(own)
     scored = _stored(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _evaluate(discounts, n_docs), _SCORED), "llm-katz-scores", "kind")
+        _evaluate(discounts, n_docs, maps), _SCORED), "llm-katz-scores", "kind")
     weight = F.log10(F.sum("left") / F.max("uses") / (1 - F.sum("mass")))
     alpha = scored.where("kind = 'history'").groupBy("level", "history").agg(weight.alias("alpha"))
     back = (scored.where("kind = 'back'").select("row", "level", "history", "uses").join(alpha, ["level", "history"])

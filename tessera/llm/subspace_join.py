@@ -10,10 +10,12 @@ input vectors in double precision.
 The range join of a block parts space by a median tree (fitted on at most
 ``SAMPLE`` vectors; it affects the cost only).  A vector goes to its own leaf
 and to every leaf within the radius; a pair is examined in the leaf of its
-smaller member, and counted in the first block that admits it, hence once.
+earlier member, and counted in the first block that admits it, hence once.
 Leaves over ``TILE`` members are cut into tiles by hash and pairs of tiles, so
-every group is bounded.  A group returns link counts and a star per connected
-set, never its pairs.  Equal vectors of one label form a class first, so copies
+every group is bounded.  What is dealt to the leaves is the block's few coordinates
+in single precision, whose rounding the filter allows for; a group marks the members that have a
+candidate, a row for each, and only these get their vectors.
+A group then returns link counts and a star per connected set, never its pairs.  Equal vectors of one label form a class first, so copies
 are neither joined nor expanded.
 
 Defined cases: vectors that are null, empty, zero, of null label, or that hold
@@ -37,8 +39,8 @@ from tessera.llm.common import saved
 from tessera.llm.components import components
 
 BLOCK_DIMS, SAMPLE, LEAF, TILE, MOST_DEPTH = 8, 20_000, 2048, 8192, 14
-#: Room for rounding in the candidate filter; verification has none.
-SLACK = 1e-9
+#: Room for rounding in the candidate filter, and that of single precision; verification has none.
+SLACK, SINGLE_SLACK = 1e-9, 1e-5
 
 
 @functools.lru_cache(maxsize=8)
@@ -126,19 +128,44 @@ def _deal(trees: dict[int, list], cosine: float):
                     end = starts[b + 1] if b + 1 < len(starts) else dims
                     tree = trees.get(int(dims), [[]] * len(starts))[b]
                     row, leaf, home = leaves(tree, points[:, start:end], float(np.sqrt(budget)) + SLACK)
-                    for at in range(0, len(row), 4096):
-                        part = slice(at, at + 4096)
-                        rows = batch.take(pa.array(row[part]))
+                    coords = points[:, start:end].astype(np.float32)
+                    for at in range(0, len(row), 1 << 16):
+                        part = slice(at, at + (1 << 16))
+                        rows = batch.select(["label", "num", "dims"]).take(pa.array(row[part]))
+                        cuts = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * coords.shape[1])
                         yield pa.RecordBatch.from_arrays(
-                            [*rows.columns, pa.array(np.full(len(rows), b, np.int32)), pa.array(leaf[part].astype(np.int32)),
-                             pa.array(home[part])], [*rows.schema.names, "block", "leaf", "home"])
+                            [*rows.columns, pa.ListArray.from_arrays(cuts, coords[row[part]].reshape(-1)), pa.array(np.full(len(rows), b, np.int32)),
+                             pa.array(leaf[part].astype(np.int32)), pa.array(home[part])], [*rows.schema.names, "coords", "block", "leaf", "home"])
+    return run
+
+
+def _mark(cosine: float):
+    """The members of one group that have a candidate in it: (tile, num, home)."""
+    def run(table: pa.Table) -> pa.Table:
+        order = np.argsort(table["num"].to_numpy(), kind="stable")
+        home, tile = table["home"].to_numpy(zero_copy_only=False)[order], table["tile"].to_numpy()[order]
+        same_tile = table["low_tile"][0].as_py() == table["high_tile"][0].as_py()
+        own = _vectors(table["coords"].combine_chunks()).astype(np.float32)[order]
+        allowed = budgets(table["dims"][0].as_py(), cosine)[table["block"][0].as_py()] + SINGLE_SLACK
+        square = (own * own).sum(1)
+        told = np.zeros(len(own), bool)
+        for at in range(0, len(own), 256):
+            rows = np.arange(at, min(at + 256, len(own)))
+            near = square[rows, None] + square[None, :] - 2 * own[rows] @ own.T <= allowed
+            near &= rows[:, None] < np.arange(len(own))[None, :]
+            near &= home[rows, None]
+            if not same_tile:
+                near &= tile[rows, None] != tile[None, :]
+            told[rows] |= near.any(1)
+            told |= near.any(0)
+        return table.take(pa.array(order[told])).drop_columns(["coords"])
     return run
 
 
 def _link(cosine: float):
     """Links of one group: (class, links, root); ``root`` joins what the group connects."""
     def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["class"].to_numpy(), kind="stable")
+        order = np.argsort(table["num"].to_numpy(), kind="stable")
         name, copies = table["class"].to_numpy()[order], table["copies"].to_numpy()[order]
         home = table["home"].to_numpy(zero_copy_only=False)[order]
         tile = table["tile"].to_numpy()[order]
@@ -156,7 +183,7 @@ def _link(cosine: float):
             apart = square[rows, None] + square[None, :] - 2 * own[rows] @ own.T
             a, b = np.nonzero(apart <= allowed[block] + SLACK)
             a = rows[a]
-            # In the leaf of the smaller member, and of two tiles unless the group is one tile.
+            # In the leaf of the earlier member, and of two tiles unless the group is one tile.
             pick = (a < b) & home[a] & (same_tile | (tile[a] != tile[b]))
             a, b = a[pick], b[pick]
             cos = (vectors[a] * vectors[b]).sum(1) / (norm[a] * norm[b])
@@ -206,22 +233,22 @@ def linked(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
         _digests, f"id bigint, vector array<{element}>, label {label}, digest binary"), "subspace-vectors")
     classes = saved(members.where("digest is not null").groupBy("label", "digest").agg(
         F.min("id").alias("class"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
-        .withColumn("dims", F.size("vector")), "subspace-classes")
+        .withColumns({"dims": F.size("vector"), "num": F.monotonically_increasing_id()}), "subspace-classes")
     most = classes.groupBy("label", "dims").count().agg(F.max("count")).first()[0] or 0
     depth = min(MOST_DEPTH, max(0, int(np.ceil(np.log2(max(1, most) / LEAF)))))
-    fields = classes.select("label", "class", "copies", "vector", "dims")
-    dealt = saved(fields.mapInArrow(
+    dealt = saved(classes.select("label", "num", "vector", "dims").mapInArrow(
         _deal(_trees(classes, depth), cosine),
-        f"label {label}, class bigint, copies bigint, vector array<{element}>, dims int, block int, leaf int, home boolean"),
-        "subspace-dealt")
+        f"label {label}, num bigint, dims int, coords array<float>, block int, leaf int, home boolean"), "subspace-dealt")
     group = ["label", "dims", "block", "leaf"]
     sizes = dealt.groupBy(*group).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     tiled = (dealt.join(sizes, group)
-             .withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
+             .withColumn("tile", F.pmod(F.xxhash64("num"), F.col("tiles")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
              .withColumns({"low_tile": F.least("tile", "other"), "high_tile": F.greatest("tile", "other")})
-             .select(*group, "low_tile", "high_tile", "tile", "class", "copies", "home", "vector"))
-    found = saved(tiled.groupBy(*group, "low_tile", "high_tile").applyInArrow(
+             .select(*group, "low_tile", "high_tile", "tile", "num", "home", "coords"))
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tiled.schema.fields if f.name != "coords")
+    marked = saved(tiled.groupBy(*group, "low_tile", "high_tile").applyInArrow(_mark(cosine), names), "subspace-marked")
+    found = saved(marked.join(classes.select("num", "class", "copies", "vector"), "num").groupBy(*group, "low_tile", "high_tile").applyInArrow(
         _link(cosine), "class bigint, links bigint, root bigint"), "subspace-links")
     links = found.groupBy(F.col("class").alias("l_class")).agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
