@@ -17,7 +17,7 @@ step only.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,15 +74,16 @@ def _mark(words: Column, number: Column) -> Column:
 _STATE = ("row", "req_id", "origin", "destination", "cur", "cursor", "seen", "route", "total_km", "status")
 
 
-def _hop(state: DataFrame, lists: DataFrame) -> DataFrame:
-    """Every open request looks at one chunk; others stay as they are."""
+def _hops(lists: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """A hop over ``lists``: every open request looks at one chunk; others stay as they are.
+
+    The expressions are made once and serve every hop.
+    """
     items = lists.select(F.col("from_no").alias("_from"), F.col("chunk_no").alias("_chunk"), "last", "items")
-    near = state.join(items, (F.col("cur") == F.col("_from")) & (F.col("cursor") == F.col("_chunk"))
-                      & (F.col("status") == "open"), "left")
-    free = F.get(F.filter("items", lambda x: ~_seen(F.col("seen"), x["to_no"])), F.lit(0))
-    near = near.withColumn("pick", free)
+    meets = (F.col("cur") == F.col("_from")) & (F.col("cursor") == F.col("_chunk")) & (F.col("status") == "open")
+    pick = F.get(F.filter("items", lambda x: ~_seen(F.col("seen"), x["to_no"])), F.lit(0))
     found, going = F.col("pick").isNotNull(), F.col("status") == "open"
-    return near.select(
+    after = [
         "row", "req_id", "origin", "destination",
         F.when(found, F.col("pick.to_no")).otherwise(F.col("cur")).alias("cur"),
         F.when(found, 0).otherwise(F.col("cursor") + 1).cast("bigint").alias("cursor"),
@@ -90,7 +91,8 @@ def _hop(state: DataFrame, lists: DataFrame) -> DataFrame:
         F.when(found, F.array_append("route", F.col("pick.dst"))).otherwise(F.col("route")).alias("route"),
         (F.col("total_km") + F.coalesce("pick.km", F.lit(0.0))).alias("total_km"),
         F.when(going & found & (F.col("pick.dst") == F.col("destination")), F.lit("arrived"))
-        .when(going & ~found & F.coalesce("last", F.lit(True)), F.lit("dead")).otherwise(F.col("status")).alias("status"))
+        .when(going & ~found & F.coalesce("last", F.lit(True)), F.lit("dead")).otherwise(F.col("status")).alias("status")]
+    return lambda state: state.join(items, meets, "left").withColumn("pick", pick).select(*after)
 
 
 def greedy_routes(requests: DataFrame, edges: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -122,6 +124,7 @@ def greedy_routes(requests: DataFrame, edges: DataFrame, chunk: int = CHUNK) ->
         F.lit(0.0).alias("total_km"),
         F.when(F.col("_a").isNull() | F.col("_b").isNull(), F.lit("unknown"))
         .when(F.col("origin") == F.col("destination"), F.lit("arrived")).otherwise(F.lit("open")).alias("status"))
+    hop = _hops(lists)
     step = 0
     while True:  # ends: every hop adds a city to each open route, moves its cursor on, or closes it
         state.select(*_STATE).write.parquet(f"{root}/step={step}")
@@ -129,7 +132,7 @@ def greedy_routes(requests: DataFrame, edges: DataFrame, chunk: int = CHUNK) ->
         if state.isEmpty():
             break
         for _ in range(HOPS):
-            state = _hop(state, lists)
+            state = hop(state)
         step += 1
     done = spark.read.schema(state.schema).parquet(root).where("status != 'open'")
     lost = F.col("status") == "unknown"

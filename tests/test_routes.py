@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.routes import _hop, greedy_routes, neighbour_lists
+from tessera.operators.routes import _hops, greedy_routes, neighbour_lists
 from tests.test_io_and_stream import _brute_routes
 
 ASK = "req_id int, origin string, destination string"
@@ -53,5 +53,5 @@ def test_a_hop_has_one_row_per_request(spark):
         F.lit(0).cast("bigint").alias("cur"), F.lit(0).cast("bigint").alias("cursor"),
         F.array_repeat(F.lit(0).cast("bigint"), 8).alias("seen"), F.array(F.lit("hub")).alias("route"), F.lit(0.0).alias("total_km"),
         F.lit("open").alias("status"))
-    hop = _hop(state, lists)
+    hop = _hops(lists)(state)
     assert hop.count() == 10 and "Aggregate" not in hop._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
