@@ -106,7 +106,23 @@ def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ 3: decontamination
-@query("op3_fm_decontamination")
+_PLAIN = (r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+@query("op3_fm_decontamination", f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS doc, {_PLAIN.format("text")} AS ws FROM documents),
+ items AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {_PLAIN.format("text")} AS ws FROM benchmark),
+ windows AS (SELECT DISTINCT item, k, array_to_string(ws[i:i + k - 1], ' ') AS w
+   FROM (SELECT item, ws, least(10, len(ws)) AS k, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM items WHERE len(ws) > 0)),
+ spots AS (SELECT doc, k, i, array_to_string(ws[i:i + k - 1], ' ') AS w
+   FROM (SELECT doc, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(ws) >= k)),
+ found AS (SELECT doc, s.k, i, item FROM spots s JOIN windows USING (k, w)),
+ hits AS (SELECT doc, count(DISTINCT word_no) AS n FROM (SELECT doc, unnest(range(i, i + k)) AS word_no FROM (SELECT DISTINCT doc, i, k FROM found)) GROUP BY doc),
+ named AS (SELECT doc, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY doc)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(a.n, 0) AS n_items,
+ sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits h USING (doc) LEFT JOIN named a USING (doc)""")
 def op3_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside an occurrence of a ten-word window of a test item."""
     found = fm_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -137,15 +153,41 @@ def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(line_crf.score(docs, line_crf.train(docs, table(spark, sf_dir, "labels"))), line_crf.GOOD)
 
 
+#: ``component_id`` of every node of ``nodes`` (id) by the pairs in ``pairs`` (x, y, both ways).
+_REACH = """ reach(id, other) AS (SELECT id, id FROM nodes UNION SELECT r.id, p.y FROM reach r JOIN pairs p ON p.x = r.other),
+ comps AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"""
+
+
 # ------------------------------------------------------------------ 5: near-duplicates
-@query("op5_minhash_inverted")
+@query("op5_minhash_inverted", r"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ shingles AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) = 1 THEN ws[1] ELSE ws[i] || ' ' || ws[i + 1] END AS s
+   FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws)))) AS i FROM docs WHERE len(ws) > 0)),
+ sized AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+ numbered AS (SELECT doc_id, n, hash(s) AS h FROM shingles JOIN sized USING (doc_id)),
+ common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared, any_value(a.n) AS n, any_value(b.n) AS m FROM numbered a JOIN numbered b
+   ON a.h = b.h AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+ pairs AS (SELECT x, y FROM common WHERE 100 * shared >= 80 * (n + m - shared)),
+ nodes AS (SELECT doc_id AS id FROM documents),""" + _REACH + """
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN comps ON id = doc_id LEFT JOIN sized USING (doc_id)""")
 def op5_minhash_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose two-word shingle sets are at least 80 % alike."""
     return minhash_inverted.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
 # ------------------------------------------------------------------ 4: embeddings
-@query("op4_subspace_join")
+@query("op4_subspace_join", f"""
+WITH RECURSIVE good AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+   AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ pairs AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+   WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.98),
+ nodes AS (SELECT vec_id AS id FROM embeddings),{_REACH},
+ degree AS (SELECT x, count(*) AS n FROM pairs GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN comps ON id = vec_id LEFT JOIN degree ON x = vec_id""")
 def op4_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of one label whose cosine is at least 0.98, and what they connect."""
     return subspace_join.linked(table(spark, sf_dir, "embeddings"), cosine=0.98)
