@@ -23,7 +23,6 @@ from tessera.operators.routes import edges_from_matrix
 from tessera.plans import employees as E
 from tessera.plans import oracle_model as M
 from tessera.plans import oracle_survey as S
-from tessera.plans import retail as R
 from tessera.plans.registry import _CLEAN_COLS, _PRICED, _PRICED_COLS, _V, _clean, _t, query
 from tessera.session import scratch_dir
 from tessera.sinks import checked as K

@@ -6,7 +6,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators.routes import greedy_routes
 from tessera.sources.quarantine import read_with_ordinal
