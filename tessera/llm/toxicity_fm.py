@@ -35,7 +35,7 @@ from tessera.llm.common import plain_words, slices, text_bytes
 from tessera.llm.labelled import fitted, labelled_sample, sigmoid
 
 HASH_BITS, PIECE, LEAST, FACTORS = 31, 5, 3, 8
-PER_CLASS, STEPS, KEEP = 4000, 200, 300_000
+PER_CLASS, STEPS, KEEP = 4000, 200, 100_000
 #: Bytes of a model that is sent to the executors, at most.
 MOST_MODEL = 256 << 20
 #: A batch of the fit: texts and terms at most; passes over the sample at least.
@@ -145,25 +145,38 @@ def fit(sample: pa.Table) -> dict[str, np.ndarray]:
 
 
 class Scorer:
-    """Scores texts with a fitted model; a word's known terms are kept per worker."""
+    """Scores texts with a fitted model; the places of a word's known terms are kept per worker, as bytes."""
 
     def __init__(self, model: dict[str, np.ndarray]):
         self.model = model
-        self.number = {int(b): i for i, b in enumerate(model["buckets"])}
-        self.words: dict[bytes, tuple[int, ...]] = {}
-
-    def terms(self, text: bytes) -> set[int]:
-        words, known, number = set(plain_words(text)), self.words, self.number
-        if len(known) > KEEP:
-            known.clear()
-        for w in words.difference(known):
-            known[w] = tuple(number[t] for t in word_terms(w) if t in number)
-        return set().union(*[t for t in map(known.__getitem__, words) if t])
+        self.buckets = model["buckets"].astype(np.int64)
+        self.words: dict[bytes, bytes] = {}
+
+    def learn(self, words: set[bytes]) -> None:
+        found = [word_terms(w) for w in words]
+        flat = np.array([t for f in found for t in f], np.int64)
+        at = np.minimum(np.searchsorted(self.buckets, flat), max(0, len(self.buckets) - 1))
+        hit = self.buckets[at] == flat if len(self.buckets) else np.zeros(len(flat), bool)
+        at, ends = at.astype(np.int32), np.cumsum([0, *map(len, found)])
+        upto = np.concatenate([[0], np.cumsum(hit)])[ends]
+        kept = at[hit].tobytes()
+        for w, a, b in zip(words, upto[:-1].tolist(), upto[1:].tolist()):
+            self.words[w] = kept[4 * a:4 * b]
+
+    def terms(self, text: bytes) -> np.ndarray:
+        """Sorted places of the text's terms in the model."""
+        words = set(plain_words(text))
+        if len(self.words) > KEEP:
+            self.words.clear()
+        new = words.difference(self.words)
+        if new:
+            self.learn(new)
+        return np.unique(np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.int32))
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        found = [sorted(self.terms(t)) for t in texts]
+        found = [self.terms(t) for t in texts]
         cuts = np.cumsum([0] + [len(f) for f in found])
-        return sigmoid(logits(self.model, np.array([t for f in found for t in f], np.int64), cuts)[0])
+        return sigmoid(logits(self.model, np.concatenate(found) if found else np.zeros(0, np.int32), cuts)[0])
 
 
 def pack_model(model: dict[str, np.ndarray]) -> bytes:
