@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import saved, slices, text_bytes
 
 DEPTH = 4
-CHUNK_BYTES, BUCKET_ROWS, MOST_BUCKETS = 6 << 20, 1_000_000, 4096
+CHUNK_BYTES, BUCKET_ROWS, MOST_BUCKETS = 4 << 20, 700_000, 4096
 #: The bit map of frequent words has at most so many bits (16 MB); it is sent to every task.
 MOST_BITS = 1 << 27
 #: The table of the most frequent words has at most so many codes (8 MB); it is sent to every task.
