@@ -244,7 +244,9 @@ def product_sales_ranking(products_silver: DataFrame, transactions_silver: DataF
 def product_sales_membership_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
     """PIP10a/JN12 on the unnested form ``(transaction_id, product_id)``:
     a product counts once per transaction (distinct pairs), as FIND_IN_SET.
-    Distinct and count are partial aggregates; nothing is collected."""
+    Distinct and count are partial aggregates; nothing is collected.  Lines
+    dealt by transaction, as ``transaction_lines`` gives them, are not dealt
+    anew for the distinct pairs."""
     per = lines.select("transaction_id", "product_id").distinct() \
         .groupBy("product_id").agg(F.count("*").alias("veces_vendido"))
     p = products.select(F.col("product_id").alias("id"), F.col("name").alias("product_name"))

@@ -26,6 +26,9 @@ from tessera.functions.dates import mysql_short_date
 from tessera.functions.text import substr_from
 from tessera.sources.tables import Tables
 
+#: Rows of order lines and orders that one task joins (see ``transaction_lines``).
+ROWS_A_TASK = 250_000
+
 
 def _geo(t: Tables) -> DataFrame:
     n, r = t.nation, t.region
@@ -77,11 +80,18 @@ def transaction_lines(t: Tables) -> DataFrame:
     product occurrence), i.e. the order lines of existing orders.
 
     Queries that only unnest the list read this directly, so no per-order
-    list is ever collected (a hot order stays spread over tasks).
+    list is ever collected.  Both sides are dealt by transaction into a number
+    of parts that follows their rows (counted from the Parquet footers): left
+    to itself, AQE joins small parts until each core has one, and the sort of
+    a part, and what a caller keeps per transaction, grow with the input.
+    The keys are made distinct for an inner join, as a semi join would be
+    pushed below the lines' repartition and deal them twice.
     """
     li = line_products(t)
     o = t.orders.select(F.col("o_orderkey").alias("_o"))
-    return li.join(o, li.transaction_id == o._o, "left_semi")
+    parts = (li.count() + o.count()) // ROWS_A_TASK + 1
+    return li.repartition(parts, "transaction_id").join(
+        o.repartition(parts, "_o").distinct(), F.col("transaction_id") == F.col("_o")).drop("_o")
 
 
 def transactions(t: Tables, with_products: bool = True) -> DataFrame:

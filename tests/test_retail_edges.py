@@ -145,3 +145,44 @@ def test_day_variant_and_close_gap(spark):  # FLT7 day=, PIP28 close_gap
                                "data_naixement date, temperatura_mitjana_ciutat double, km_anuals double")
     assert E.apply_salary_policy(df).first().incremento_edad == 0.0
     assert E.apply_salary_policy(df, close_gap=True).first().incremento_edad == 2.0
+
+
+def _order_tables(spark, folder, lines, orders):
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    orders.write.parquet(f"{folder}/orders.parquet")
+    return Tables(spark, folder)
+
+
+def test_transaction_lines_of_odd_keys(spark, tmp_out):  # JN12, JN10
+    lines = [(1, 5), (1, 5), (1, 7), (2, 7), (2, None), (3, 5), (None, 5), (9, 7), (9, 7)]
+    orders = [(1,), (2,), (2,), (None,), (9,), (9,), (8,)]  # 3 is missing, 2 and 9 come twice
+    t = _order_tables(spark, tmp_out, spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint"),
+                      spark.createDataFrame(orders, "o_orderkey bigint"))
+    got = src.transaction_lines(t)
+    assert got.columns == ["transaction_id", "product_id"]
+    kept = [x for x in lines if x[0] in (1, 2, 9)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(kept, key=repr)
+    p = spark.createDataFrame([(5, "a"), (7, "b"), (8, "never")], "product_id bigint, name string")
+    assert {r.id: r.veces_vendido for r in R.product_sales_membership_lines(got, p).collect()} == {5: 1, 7: 3}
+    ps = p.withColumns({"price": F.lit(1.0), "colour": F.lit("x")})
+    assert {r.product_id: r.total_sold for r in R.product_sales_ranking_lines(ps, got).collect()} == {5: 2, 7: 4, 8: 0}
+
+
+def test_transaction_lines_parts_follow_the_rows(spark, tmp_out):
+    """Few shuffle partitions, or AQE that joins them, leave no task with more rows than ``ROWS_A_TASK`` or so."""
+    t = _order_tables(spark, tmp_out,
+                      spark.range(900_000).selectExpr("id % 300000 AS l_orderkey", "id % 1009 AS l_partkey"),
+                      spark.range(300_000).selectExpr("id AS o_orderkey"))
+    keys = {"spark.sql.shuffle.partitions": "1", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        lines = src.transaction_lines(t)
+        for rows in (lines, lines.distinct()):  # the distinct pairs stay where the lines were dealt
+            tasks = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(tasks) == 900_000 and max(tasks) < 250_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
